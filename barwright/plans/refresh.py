@@ -20,7 +20,7 @@ from barwright.schemas import BRONZE, GOLD, KEY, SILVER
 from barwright.session import staged
 from barwright.sources.raw import EmptySourceError, RawBars
 from barwright.sources.tables import (
-    append_bronze, in_months, read_bronze_batch, read_table, table_path, touched_months,
+    append_bronze, in_months, load_path, read_bronze_batch, read_table, touched_months,
     write_months,
 )
 
@@ -41,16 +41,15 @@ def load(raw: RawBars, root: str, batch: int, strict: bool = False) -> int:
     ``strict`` a bad row stops the load before anything is written. An empty source is an error.
     """
     if raw.parsed.isEmpty():
-        raise EmptySourceError("the source has no rows")
+        raise EmptySourceError(f"the source {raw.source} has no rows")
     if strict:
-        return append_bronze(raw.strict, root, batch)
+        return append_bronze(raw.strict, root, raw.source, batch)
     counted = Observation()
-    parsed = raw.parsed.observe(counted, F.count_if(F.col("_reason").isNotNull()).alias("bad"))
-    rows = append_bronze(RawBars(parsed).bars, root, batch)
+    parsed = raw.parsed.drop("_raw") \
+        .observe(counted, F.count_if(F.col("_reason").isNotNull()).alias("bad"))
+    rows = append_bronze(RawBars(raw.source, parsed).bars, root, raw.source, batch)
     if counted.get["bad"]:
-        raw.bad.withColumn("batch", F.lit(batch).cast("long")) \
-            .write.mode("append").partitionBy("source", "batch") \
-            .parquet(table_path(root, "bronze_rejects"))
+        raw.bad.write.mode("append").parquet(load_path(root, "bronze_rejects", raw.source, batch))
     return rows
 
 

@@ -52,10 +52,11 @@ def ticks(rows: DataFrame) -> DataFrame:
         "symbol", "ts", F.col("open").alias("price"), F.col("volume").alias("size"), "seq")
 
 
-def loaded(rows: DataFrame) -> raw.RawBars:
+def loaded(rows: DataFrame, source: str) -> raw.RawBars:
     """Rows that need no parsing, as a source for a load."""
     none = F.lit(None).cast("string")
-    return raw.RawBars(rows.select(*BRONZE.names, none.alias("_raw"), none.alias("_reason")))
+    return raw.RawBars(source, rows.select(*BRONZE.names, none.alias("_raw"),
+                                           none.alias("_reason")))
 
 
 # ---- sources and bronze
@@ -99,9 +100,9 @@ def bronze_union(spark, sf):
 @query
 def bronze_append(spark, sf):
     root = scratch_dir(spark, "tables")
-    refresh.load(loaded(feed_bronze(spark, sf)), root, 1)
-    refresh.load(loaded(bulk_bronze(spark, sf)), root, 1)
-    refresh.load(loaded(feed_bronze(spark, sf)), root, 2)
+    refresh.load(loaded(feed_bronze(spark, sf), "feed"), root, 1)
+    refresh.load(loaded(bulk_bronze(spark, sf), "bulk"), root, 1)
+    refresh.load(loaded(feed_bronze(spark, sf), "feed"), root, 2)
     return tables.read_table(spark, root, "bronze_price_raw")
 
 
@@ -214,7 +215,7 @@ def gold_upsert(spark, sf):
 @query
 def medallion_gold(spark, sf):
     root = scratch_dir(spark, "tables")
-    sources = [loaded(feed_bronze(spark, sf)), loaded(bulk_bronze(spark, sf))]
+    sources = [loaded(feed_bronze(spark, sf), "feed"), loaded(bulk_bronze(spark, sf), "bulk")]
     refresh.run(spark, sources, root, batch=1)
     return tables.read_table(spark, root, "features_gold").select(*GOLD.names)
 
@@ -222,8 +223,8 @@ def medallion_gold(spark, sf):
 @query
 def incremental_gold(spark, sf):
     root = scratch_dir(spark, "tables")
-    refresh.run(spark, [loaded(feed_bronze(spark, sf))], root, batch=1)
-    refresh.load(loaded(restated_feed(spark, sf)), root, 2)
+    refresh.run(spark, [loaded(feed_bronze(spark, sf), "feed")], root, batch=1)
+    refresh.load(loaded(restated_feed(spark, sf), "restated"), root, 2)
     refresh.refresh_increment(spark, root, "restated", 2)
     return tables.read_table(spark, root, "features_gold").select(*GOLD.names)
 

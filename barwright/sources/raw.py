@@ -36,6 +36,7 @@ class EmptySourceError(ValueError):
 class RawBars:
     """Parsed rows: the bronze columns, ``_raw`` (the row as JSON) and ``_reason`` (NULL if good)."""
 
+    source: str
     parsed: DataFrame
 
     @property
@@ -45,7 +46,7 @@ class RawBars:
     @property
     def bad(self) -> DataFrame:
         return self.parsed.where(F.col("_reason").isNotNull()).select(
-            "source", F.col("_raw").alias("raw"), F.col("_reason").alias("reason"))
+            F.col("_raw").alias("raw"), F.col("_reason").alias("reason"))
 
     @property
     def strict(self) -> DataFrame:
@@ -137,7 +138,7 @@ def parse_bars(raw: DataFrame, dates: list[str], source: str, seq: int | Column
         "source": F.lit(source),
         "seq": F.lit(seq) if isinstance(seq, int) else seq,
     }
-    return RawBars(raw.select(
+    return RawBars(source, raw.select(
         *[columns[f.name].cast(f.dataType).alias(f.name) for f in BRONZE.fields],
         F.to_json(F.struct(*raw.columns)).alias("_raw"),
         reason.alias("_reason"),
@@ -190,7 +191,7 @@ def feed_bars(raw: DataFrame, symbol: str | None = None, start: str | None = Non
     if start:
         outside = outside | (F.col("dt") < F.lit(start).cast("date"))
     # A row without a date is kept: it is bad, or silver will reject it.
-    return RawBars(parsed.where(F.col("dt").isNull() | ~outside))
+    return RawBars(source, parsed.where(F.col("dt").isNull() | ~outside))
 
 
 def require_rows(rows: DataFrame, what: str) -> DataFrame:

@@ -7,6 +7,8 @@ table as it was.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,24 +39,30 @@ def read_bronze_batch(spark: SparkSession, root: str, source: str, batch: int) -
     return rows.where((F.col("source") == source) & (F.col("batch") == batch))
 
 
-def append_bronze(bars: DataFrame, root: str, batch: int) -> int:
+def append_bronze(bars: DataFrame, root: str, source: str, batch: int) -> int:
     """Add a load and return its number of rows. Loading the same input again adds it again."""
-    return _write_bronze(bars, root, batch, "append")
+    return _write_bronze(bars, root, source, batch, "append")
 
 
-def replace_bronze_batch(bars: DataFrame, root: str, batch: int) -> int:
+def replace_bronze_batch(bars: DataFrame, root: str, source: str, batch: int) -> int:
     """Write a load so that repeating it, as a restarted stream does, leaves one copy."""
-    return _write_bronze(bars, root, batch, "overwrite")
+    return _write_bronze(bars, root, source, batch, "overwrite")
+
 
+def load_path(root: str, name: str, source: str, batch: int) -> str:
+    if not re.fullmatch(r"[\w.-]+", source):
+        raise ValueError(f"a source name is used as a folder name, which rules out {source!r}")
+    return f"{table_path(root, name)}/source={source}/batch={batch}"
 
-def _write_bronze(bars: DataFrame, root: str, batch: int, mode: str) -> int:
+
+def _write_bronze(bars: DataFrame, root: str, source: str, batch: int, mode: str) -> int:
+    """Write into the folder of the load itself: ``partitionBy`` would sort every task first, by
+    columns that are constant."""
     counted = Observation()
-    (bars.withColumn("batch", F.lit(batch).cast("long"))
+    (bars.drop("source")
      .observe(counted, F.count(F.lit(1)).alias("rows"))
      .write.mode(mode)
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("source", "batch")
-     .parquet(table_path(root, "bronze_price_raw")))
+     .parquet(load_path(root, "bronze_price_raw", source, batch)))
     return counted.get["rows"]
 
 

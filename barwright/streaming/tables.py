@@ -17,7 +17,9 @@ from barwright.operators.silver import build_silver
 from barwright.plans.refresh import apply_to_gold, apply_to_silver
 from barwright.schemas import BRONZE, KEY, SILVER
 from barwright.session import staged
-from barwright.sources.tables import read_bronze_batch, replace_bronze_batch, table_path
+from barwright.sources.tables import (
+    load_path, read_bronze_batch, replace_bronze_batch, table_path,
+)
 from barwright.streaming.topics import read_stream, start
 
 CHANGES = T.StructType([
@@ -30,20 +32,12 @@ CHANGES = T.StructType([
 def silver_batch(rows: DataFrame, batch: int, root: str, source: str) -> None:
     """Land one micro-batch in bronze, log its clean rows as changes, merge them into silver."""
     spark = rows.sparkSession
-    named = rows.withColumn("source", F.lit(source)) \
-        .withColumn("seq", F.coalesce("seq", F.lit(batch).cast("long"))) \
-        .select(*BRONZE.names)
-    replace_bronze_batch(named, root, batch)
-
-    log = table_path(root, "silver_changes")
-    (build_silver(read_bronze_batch(spark, root, source, batch))
-     .withColumn("source", F.lit(source))
-     .withColumn("batch", F.lit(batch).cast("long"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("source", "batch").parquet(log))
-    changes = spark.read.schema(CHANGES).parquet(log) \
-        .where((F.col("source") == source) & (F.col("batch") == batch))
-    apply_to_silver(changes, root)
+    numbered = rows.withColumn("seq", F.coalesce("seq", F.lit(batch).cast("long")))
+    replace_bronze_batch(numbered.select(*BRONZE.names), root, source, batch)
+    log = load_path(root, "silver_changes", source, batch)
+    build_silver(read_bronze_batch(spark, root, source, batch)) \
+        .write.mode("overwrite").parquet(log)
+    apply_to_silver(spark.read.schema(SILVER).parquet(log), root)
 
 
 def stream_silver(raw: DataFrame, root: str, source: str, checkpoint: str,
