@@ -1,0 +1,158 @@
+"""Semantics of cleaning, dedupe and features on small hand-written rows."""
+
+from __future__ import annotations
+
+import datetime
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from barwright.operators.gold import gold_features, gold_features_chunked
+from barwright.operators.quality import reconcile_tables
+from barwright.operators.silver import build_silver, complete_rows, latest_per_key, quarantine
+from conftest import bar, day, price, rows_of
+
+
+def test_newest_seq_wins_then_larger_values(bronze):
+    rows = bronze([
+        bar("A", "2024-01-02", 10, seq=1), bar("A", "2024-01-02", 9, seq=3),
+        bar("A", "2024-01-02", 8, seq=3), bar("A", "2024-01-03", 7, seq=None),
+        bar("A", "2024-01-03", 6, seq=0),
+    ])
+    assert rows_of(build_silver(rows), "dt", "close") == [
+        (day("2024-01-02"), price(9)), (day("2024-01-03"), price(6))]
+
+
+def test_older_complete_row_beats_newer_incomplete_row(bronze):
+    newer = list(bar("A", "2024-01-02", 11, seq=2))
+    newer[3] = None
+    rows = bronze([bar("A", "2024-01-02", 10, seq=1), tuple(newer)])
+    assert rows_of(build_silver(rows), "close") == [(price(10),)]
+
+
+@pytest.mark.parametrize("column", range(7))
+def test_any_missing_column_rejects_the_row(bronze, column):
+    row = list(bar("A", "2024-01-02", 10))
+    row[column] = None
+    rows = bronze([tuple(row), bar("B", "2024-01-02", 5)])
+    assert rows_of(build_silver(rows), "symbol") == [("B",)]
+    rejected = quarantine(rows).collect()
+    name = ["symbol", "dt", "open", "high", "low", "close", "volume"][column]
+    assert [r["reason"] for r in rejected] == [f"missing: {name}"]
+
+
+def test_quarantine_and_filter_split_the_rows(bronze):
+    rows = bronze([bar("A", "2024-01-02", 1), bar(None, "2024-01-02", 1),
+                   bar("A", None, 1, volume=None)])
+    assert complete_rows(rows).count() + quarantine(rows).count() == 3
+    assert {r["reason"] for r in quarantine(rows).collect()} == {
+        "missing: symbol", "missing: dt, volume"}
+
+
+def test_negative_volume_is_clamped_not_dropped(bronze):
+    rows = bronze([bar("A", "2024-01-02", 1, volume=-5), bar("B", "2024-01-02", 1, volume=7)])
+    assert rows_of(build_silver(rows), "symbol", "volume") == [("A", 0), ("B", 7)]
+
+
+def test_silver_does_not_depend_on_order_or_partitions(bronze):
+    rng = random.Random(1)
+    rows = [bar(f"S{rng.randrange(3)}", f"2024-01-{rng.randrange(1, 9):02}", rng.randrange(5),
+                volume=rng.randrange(3), seq=rng.randrange(4)) for _ in range(200)]
+    expected = rows_of(build_silver(bronze(rows)))
+    for parts in (1, 7):
+        rng.shuffle(rows)
+        assert rows_of(build_silver(bronze(rows).repartition(parts))) == expected
+
+
+def test_short_frames_average_what_there_is_and_gaps_do_not_shorten_them(bronze):
+    # Four stored rows spread over months still fill frames counted in rows.
+    dates = ["2024-01-02", "2024-02-02", "2024-05-20", "2024-09-09"]
+    rows = bronze([bar("A", d, c, volume=v)
+                   for d, c, v in zip(dates, [1, 2, 6, 10], [10, 20, 30, 50])])
+    got = rows_of(gold_features(build_silver(rows)), "dt", "ma3", "ma5", "ma20", "vol10")
+    assert got == [
+        (day(dates[0]), 1.0, 1.0, 1.0, 10.0),
+        (day(dates[1]), 1.5, 1.5, 1.5, 15.0),
+        (day(dates[2]), 3.0, 3.0, 3.0, 20.0),
+        (day(dates[3]), 6.0, 4.75, 4.75, 27.5),
+    ]
+
+
+def test_return_is_null_on_the_first_row_and_after_a_zero_close(bronze):
+    rows = bronze([bar("A", "2024-01-02", 4), bar("A", "2024-01-03", 0),
+                   bar("A", "2024-01-04", 5), bar("A", "2024-01-05", 6)])
+    assert rows_of(gold_features(build_silver(rows)), "dt", "ret1d") == [
+        (day("2024-01-02"), None), (day("2024-01-03"), -1.0),
+        (day("2024-01-04"), None), (day("2024-01-05"), 0.2)]
+
+
+def brute_force_features(series):
+    """Features of one symbol's (dt, close, volume) rows, by the definition."""
+    out = []
+    for i, (dt, close, _) in enumerate(series):
+        def mean(column, n):
+            frame = [row[column] for row in series[max(0, i - n + 1):i + 1]]
+            return float(sum(frame)) / len(frame)
+        previous = series[i - 1][1] if i else None
+        change = None if not previous else float(close - previous) / float(previous)
+        out.append((dt, mean(1, 3), mean(1, 5), mean(1, 20), mean(2, 10), change))
+    return out
+
+
+def random_series(rng, symbol, size, span=4000):
+    first = datetime.date(2005, 1, 1)
+    days = sorted(rng.sample(range(span), size))
+    return [bar(symbol, (first + datetime.timedelta(days=d)).isoformat(),
+                rng.choice([0, rng.randrange(1, 10**8) / 10**4]), volume=rng.randrange(10**9))
+            for d in days]
+
+
+def test_features_equal_brute_force_also_in_chunks(bronze):
+    rng = random.Random(2)
+    data = {"HOT": random_series(rng, "HOT", 900), "FEW": random_series(rng, "FEW", 7),
+            "MID": random_series(rng, "MID", 61, 20000)}
+    silver = build_silver(bronze([row for rows in data.values() for row in rows]))
+    expected = sorted((symbol, *line) for symbol, rows in data.items()
+                      for line in brute_force_features([(r[1], r[5], r[6]) for r in rows]))
+    key = lambda row: row[:2]
+    assert sorted(map(tuple, gold_features(silver).collect()), key=key) == expected
+    for chunk_rows in (20, 64, 1000):
+        got = gold_features_chunked(silver, chunk_rows)
+        assert sorted(map(tuple, got.collect()), key=key) == expected
+
+
+def test_chunk_must_exceed_the_halo(bronze):
+    with pytest.raises(ValueError):
+        gold_features_chunked(build_silver(bronze([])), 19)
+
+
+def test_large_volumes_do_not_overflow(bronze):
+    huge = 2**63 - 1
+    rows = bronze([bar("A", f"2024-01-{d:02}", 1, volume=huge) for d in range(1, 6)])
+    assert {row["vol10"] for row in gold_features(build_silver(rows)).collect()} == {float(huge)}
+
+
+def test_a_key_with_a_third_of_all_rows_shrinks_before_the_shuffle(spark, bronze):
+    from barwright.schemas import BRONZE
+    hot = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("S"), F.col("id"))).alias("symbol"),
+        F.lit(day("2024-01-02")).alias("dt"),
+        *[F.lit(price(1)).alias(c) for c in ("open", "high", "low", "close")],
+        F.lit(1).cast("long").alias("volume"), F.lit("t").alias("source"), F.col("id").alias("seq"),
+    ).select(*BRONZE.names)
+    silver = latest_per_key(hot.repartition(8))
+    plan = silver._jdf.queryExecution().executedPlan().toString()
+    before_shuffle = plan[plan.index("Exchange hashpartitioning(symbol"):]
+    assert "WindowGroupLimit" in before_shuffle and "Partial" in before_shuffle
+    assert silver.where("symbol = 'HOT'").select("seq").collect()[0][0] == 29997
+
+
+def test_reconcile_tables_reports_each_kind_of_difference(bronze):
+    a = build_silver(bronze([bar("A", "2024-01-02", 1), bar("B", "2024-01-02", 1),
+                             bar("C", "2024-01-02", 1)]))
+    b = build_silver(bronze([bar("A", "2024-01-02", 1), bar("B", "2024-01-02", 2),
+                             bar("D", "2024-01-02", 1)]))
+    assert rows_of(reconcile_tables(a, b), "symbol", "status") == [
+        ("B", "changed"), ("C", "only_left"), ("D", "only_right")]
+    assert reconcile_tables(a, a).isEmpty()
