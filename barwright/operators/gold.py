@@ -59,7 +59,8 @@ def gold_features_chunked(silver: DataFrame, chunk_rows: int = 2048) -> DataFram
 
     Each row gets its position in the symbol from the row counts of earlier years. Positions are
     cut into chunks, the last ``HALO`` rows of a chunk also go to the next one, and the windows run
-    per (symbol, chunk). Positions count rows, so gaps in the dates do not matter.
+    per (symbol, chunk). Positions count rows, so gaps in the dates do not matter. The offsets have
+    a row per symbol and year; their hint keeps Spark from building on the bars instead.
     """
     if chunk_rows <= HALO:
         raise ValueError(f"chunk_rows must exceed {HALO}")
@@ -76,7 +77,7 @@ def gold_features_chunked(silver: DataFrame, chunk_rows: int = 2048) -> DataFram
     reaches_next = F.col("_position") % chunk_rows >= chunk_rows - HALO
     placed = (bars
               .withColumn("_in_year", in_year)
-              .join(offsets, ["symbol", "_year"])
+              .join(offsets.hint("shuffle_hash"), ["symbol", "_year"])
               .withColumn("_position", position)
               .withColumn("_home", chunk)
               .withColumn("_chunk", F.explode(

@@ -40,8 +40,11 @@ def latest_per_key(rows: DataFrame) -> DataFrame:
     holds a large part of the table sends one row per map task and not all its copies.
     """
     newest = [F.col(name).desc() for name in ["seq", *PRICE_COLUMNS, "volume"]]
-    rank = F.row_number().over(Window.partitionBy(*KEY).orderBy(*newest))
-    return rows.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
+    # Spark sorts by the first eight bytes of the first column and looks further only on a tie.
+    # Those bytes tell few symbols apart, a hash of the key tells all keys apart.
+    hashed = rows.withColumn("_hash", F.xxhash64(*KEY))
+    rank = F.row_number().over(Window.partitionBy("_hash", *KEY).orderBy(*newest))
+    return hashed.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank", "_hash")
 
 
 def clamp_volume(rows: DataFrame) -> DataFrame:

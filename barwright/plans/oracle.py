@@ -171,6 +171,11 @@ SELECT * FROM gold2 UNION ALL SELECT * FROM gold1 {KEEP_OLD.format("gold2")}""",
 loads AS (SELECT {BRONZE} FROM feed UNION ALL SELECT {BRONZE} FROM restated),
 {_silver("merged", "loads")},{_gold("gold", "merged")} SELECT * FROM gold""",
     "daily_bars": f"WITH {TICKS} SELECT * FROM bars",
+    "intraday_rollup": f"""WITH {FEED}
+SELECT symbol, dt, CAST(min_by(open, seq) AS {P}) AS open, CAST(max(high) AS {P}) AS high,
+       CAST(min(low) AS {P}) AS low, CAST(max_by(close, seq) AS {P}) AS close,
+       CAST(sum({CLAMPED}) AS BIGINT) AS volume
+FROM feed_raw WHERE {COMPLETE} GROUP BY symbol, dt""",
     "business_calendar": f"""WITH {BULK},
 span AS (SELECT min(dt) AS a, max(dt) AS b FROM bulk),
 days AS (SELECT CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS dt FROM span)

@@ -6,22 +6,22 @@ refresh gives the same tables while reading one load and the months it touches.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barwright.functions.dates import month_key
 from barwright.operators.gold import HALO, gold_features
 from barwright.operators.merge import merge_keyed, merge_latest
 from barwright.operators.quality import check_counts, enforce_constraints
 from barwright.operators.silver import build_silver
-from barwright.schemas import BRONZE, GOLD, KEY, SILVER
+from barwright.schemas import BRONZE, GOLD, KEY, SILVER, STORED
 from barwright.session import staged
-from barwright.sources.raw import EmptySourceError, RawBars
+from barwright.sources.raw import EmptySourceError, RawBars, read_csv_bars, read_feed
 from barwright.sources.tables import (
-    append_bronze, in_months, load_path, read_bronze_batch, read_table, touched_months,
-    write_months,
+    append_bronze, check_stored_schema, load_path, read_bronze_batch, read_months, read_table,
+    stored_months, touched_months, write_months,
 )
 
 
@@ -53,6 +53,20 @@ def load(raw: RawBars, root: str, batch: int, strict: bool = False) -> int:
     return rows
 
 
+def load_csv_to_bronze(spark: SparkSession, path: str, root: str, batch: int = 0,
+                       source: str = "csv", strict: bool = False) -> int:
+    """Load CSV files; a higher ``batch`` wins over a lower one for the same symbol and date."""
+    return load(read_csv_bars(spark, path, source, seq=batch), root, batch, strict)
+
+
+def load_feed_to_bronze(spark: SparkSession, path: str, root: str, symbol: str, start: str,
+                        end: str | None = None, fmt: str = "parquet", batch: int = 0,
+                        source: str = "feed", strict: bool = False) -> int:
+    """Load the landed extracts of one symbol for ``start`` up to but not including ``end``."""
+    raw = read_feed(spark, path, symbol, start, end, fmt, source, seq=batch)
+    return load(raw, root, batch, strict)
+
+
 def refresh_silver(spark: SparkSession, root: str) -> dict[str, int]:
     """Rebuild silver from all of bronze; rows that only silver still has stay.
 
@@ -80,15 +94,17 @@ def refresh_gold(spark: SparkSession, root: str, keep_orphans: bool = True) -> i
 
 
 def refresh_all(spark: SparkSession, root: str) -> Refresh:
+    for name in STORED:
+        check_stored_schema(spark, root, name)
     quality = refresh_silver(spark, root)
     return Refresh(quality["rows"], refresh_gold(spark, root), quality)
 
 
 def run(spark: SparkSession, sources: list[RawBars], root: str, batch: int,
         strict: bool = False) -> Refresh:
-    """Load every source, then silver, then gold. A failing load stops the run before silver."""
-    for raw in sources:
-        load(raw, root, batch, strict)
+    """Load the sources side by side, then silver, then gold. All loads must succeed first."""
+    with ThreadPoolExecutor(max(1, len(sources))) as pool:
+        list(pool.map(lambda raw: load(raw, root, batch, strict), sources))
     return refresh_all(spark, root)
 
 
@@ -105,59 +121,55 @@ def apply_to_silver(changes: DataFrame, root: str) -> dict[str, int]:
     months = touched_months(changes)
     if not months:
         return {}
-    known = in_months(read_table(changes.sparkSession, root, "price_silver"), months)
+    known = read_months(changes.sparkSession, root, "price_silver", months)
     merged = merge_latest(known.select(*SILVER.names), changes.select(*SILVER.names))
     return _write_silver(merged, root)
 
 
 def apply_to_gold(changes: DataFrame, root: str) -> int:
     """Recompute the gold rows that the silver rows at the keys of ``changes`` have an effect on."""
-    spark = changes.sparkSession
-    affected = gold_for_changes(read_table(spark, root, "price_silver"), changes)
-    if affected is None:
-        return 0
-    return upsert_gold(affected, root)
+    affected = gold_for_changes(changes, root)
+    return 0 if affected is None else upsert_gold(affected, root)
 
 
 def upsert_gold(features: DataFrame, root: str) -> int:
     """Merge rows with unique keys into the months of gold they touch."""
     with staged(features, "gold-changes") as rows:
-        gold = read_table(rows.sparkSession, root, "features_gold")
-        known = in_months(gold, touched_months(rows)).select(*GOLD.names)
-        return write_months(merge_keyed(known, rows), root, "features_gold")["rows"]
+        known = read_months(rows.sparkSession, root, "features_gold", touched_months(rows))
+        merged = merge_keyed(known.select(*GOLD.names), rows)
+        return write_months(merged, root, "features_gold")["rows"]
 
 
-def gold_for_changes(silver: DataFrame, changes: DataFrame,
-                     lookback_months: int = 2) -> DataFrame | None:
+def gold_for_changes(changes: DataFrame, root: str, lookback_months: int = 2) -> DataFrame | None:
     """Features of each changed row and of the next ``HALO`` rows of its symbol.
 
-    Reads silver from ``lookback_months`` before the earliest change. Symbols that have fewer than
-    ``HALO`` rows between there and their own first change get their last ``HALO`` rows from the
-    months before as well, so every frame is complete however sparse a series is.
+    Reads stored silver from ``lookback_months`` before the earliest change. Symbols that have fewer
+    than ``HALO`` rows between there and their own first change get their last ``HALO`` rows from
+    the months before as well, so every frame is complete however sparse a series is.
     """
+    spark = changes.sparkSession
     start = changes.agg(F.min("dt")).first()[0]
     if start is None:
         return None
-    index = start.year * 12 + start.month - 1 - lookback_months
-    cutoff = index // 12 * 100 + index % 12 + 1
+    month = start.year * 12 + start.month - 1 - lookback_months
+    cutoff = month // 12 * 100 + month % 12 + 1
+    months = stored_months(spark, root, "price_silver")
+    late, early = (read_months(spark, root, "price_silver", some).select(*KEY, "close", "volume")
+                   for some in ([m for m in months if m >= cutoff],
+                                [m for m in months if m < cutoff]))
+
     first = changes.groupBy("symbol").agg(F.min("dt").alias("_first"))
-    columns = [*KEY, "close", "volume"]
-
-    # Written as a filter on the date too, for silver that is not a stored table.
-    late = month_key(F.col("dt")) >= cutoff
-    early = month_key(F.col("dt")) < cutoff
-    if "ym" in silver.columns:
-        late, early = F.col("ym") >= cutoff, F.col("ym") < cutoff
-    rows = silver.where(late).select(*columns).join(first, "symbol")
-
-    ahead = rows.groupBy("symbol").agg(F.count_if(F.col("dt") < F.col("_first")).alias("_ahead"))
-    thin = first.join(ahead, "symbol", "left") \
-        .where(F.coalesce("_ahead", F.lit(0)) < HALO).select("symbol", "_first")
-    if not thin.isEmpty():
-        newest = F.row_number().over(Window.partitionBy("symbol").orderBy(F.col("dt").desc()))
-        older = (silver.where(early).select(*columns).join(thin, "symbol")
-                 .withColumn("_rank", newest).where(F.col("_rank") <= HALO).drop("_rank"))
-        rows = rows.unionByName(older)
+    rows = late.join(first, "symbol")
+    if months and months[0] < cutoff:
+        ahead = rows.groupBy("symbol") \
+            .agg(F.count_if(F.col("dt") < F.col("_first")).alias("_ahead"))
+        thin = first.join(ahead, "symbol", "left") \
+            .where(F.coalesce("_ahead", F.lit(0)) < HALO).select("symbol", "_first")
+        if not thin.isEmpty():
+            newest = F.row_number().over(Window.partitionBy("symbol").orderBy(F.col("dt").desc()))
+            rows = rows.unionByName(early.join(thin, "symbol")
+                                    .withColumn("_rank", newest)
+                                    .where(F.col("_rank") <= HALO).drop("_rank"))
 
     marks = changes.select(*KEY, F.lit(1).alias("_changed"))
     frame = Window.partitionBy("symbol").orderBy("dt").rowsBetween(-HALO, Window.currentRow)

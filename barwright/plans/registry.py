@@ -236,6 +236,12 @@ def daily_bars(spark, sf):
     return bars.daily_bars(ticks(feed_rows(table(spark, sf, "events"))))
 
 
+@query
+def intraday_rollup(spark, sf):
+    rows = feed_rows(table(spark, sf, "events"))
+    return bars.roll_up(silver.clamp_volume(silver.complete_rows(rows)))
+
+
 @query
 def business_calendar(spark, sf):
     return calendar.business_calendar(bulk_bronze(spark, sf))

@@ -6,6 +6,7 @@ import contextlib
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +25,17 @@ DEFAULTS = {
 _LOCAL_SCRATCH = "spark.barwright.localScratch"
 
 
+def sizing(input_bytes: int) -> dict[str, str]:
+    """Settings for a job over ``input_bytes``: about 1 GB a reduce task before AQE merges small
+    ones, at most 50,000 of them, since every map task keeps an entry for each."""
+    tasks = min(max(input_bytes // 2**30, 200), 50_000)
+    return {
+        "spark.sql.shuffle.partitions": str(tasks),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+    }
+
+
 def build_session(app: str = "barwright", master: str | None = None, **conf: str) -> SparkSession:
     """A session with this package's defaults; ``conf`` entries win over them."""
     builder = SparkSession.builder.appName(app)
@@ -69,7 +81,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return _hadoop_path(spark, path, lambda fs, folder: fs.exists(folder))
 
 
-def _hadoop_path(spark: SparkSession, path: str, use: Callable) -> bool:
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below ``path``; none when it does not exist."""
+    def names(fs, folder):
+        return [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    return _hadoop_path(spark, path, names)
+
+
+def _hadoop_path(spark: SparkSession, path: str, use: Callable) -> Any:
     """Call ``use`` with the file system that ``path`` names, whichever it is."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return use(folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder)

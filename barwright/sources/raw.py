@@ -8,6 +8,7 @@ bad, it becomes NULL (volume: 0), and silver decides about the row.
 from __future__ import annotations
 
 import datetime
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,7 +58,8 @@ class RawBars:
 
 
 def lower_case_names(raw: DataFrame) -> DataFrame:
-    names = [name.lower() for name in raw.columns]
+    """Lower-case names; of a two-level name such as ``('Close', 'AAA')`` the first level."""
+    names = [re.sub(r"^\('([^']*)',.*\)$", r"\1", name).lower() for name in raw.columns]
     repeated = sorted({name for name in names if names.count(name) > 1})
     if repeated:
         raise ValueError(f"columns differ only in letter case: {repeated}")

@@ -8,14 +8,16 @@ table as it was.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barwright.functions.dates import month_key
 from barwright.operators.serving import latest_features
-from barwright.schemas import BAR_COLUMNS, GOLD, KEY, STORED
-from barwright.session import path_exists
+from barwright.schemas import BAR_COLUMNS, GOLD, KEY, STORED, check_compatible
+from barwright.session import path_exists, subfolders
 
 
 def table_path(root: str, name: str) -> str:
@@ -72,9 +74,31 @@ def touched_months(rows: DataFrame) -> list[int]:
                   .distinct().collect())
 
 
-def in_months(table: DataFrame, months: list[int]) -> DataFrame:
-    """``table`` restricted to ``months``; Spark lists and reads only their folders."""
-    return table.where(F.col("ym").isin(months))
+def stored_months(spark: SparkSession, root: str, name: str) -> list[int]:
+    folders = subfolders(spark, table_path(root, name))
+    return sorted(int(f.removeprefix("ym=")) for f in folders if f.startswith("ym="))
+
+
+def read_months(spark: SparkSession, root: str, name: str, months: Iterable[int]) -> DataFrame:
+    """Only the given months of a table. Their folders are opened by name, so the files of other
+    months are not even listed."""
+    path = table_path(root, name)
+    wanted = [f"{path}/ym={month}" for month in set(months) & set(stored_months(spark, root, name))]
+    if not wanted:
+        return spark.createDataFrame([], STORED[name])
+    return spark.read.schema(STORED[name]).option("basePath", path).parquet(*sorted(wanted))
+
+
+def check_stored_schema(spark: SparkSession, root: str, name: str) -> None:
+    """Raise when the files of a table were written with a schema that the declared one cannot
+    follow. Reads one file footer."""
+    if not table_exists(spark, root, name):
+        return
+    folders = ("ym", "source", "batch")
+    written = spark.read.parquet(table_path(root, name)).schema
+    old, new = ([f for f in schema.fields if f.name not in folders]
+                for schema in (written, STORED[name]))
+    check_compatible(T.StructType(old), T.StructType(new))
 
 
 def write_months(rows: DataFrame, root: str, name: str,

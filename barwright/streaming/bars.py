@@ -11,18 +11,19 @@ from barwright.schemas import BAR_COLUMNS
 from barwright.streaming.topics import start
 
 
-def streaming_daily_bars(ticks: DataFrame, delay: str = "2 days", price: str = "price",
-                         size: str = "size", ts: str = "ts", order: str = "seq") -> DataFrame:
+def streaming_daily_bars(ticks: DataFrame, delay: str = "2 days", ts: str = "ts",
+                         order: str = "seq", **columns: str) -> DataFrame:
     """A bar per symbol and UTC day, given out once the watermark has passed the end of the day.
 
-    State is one row per symbol and open day. Rows older than ``delay`` behind the newest are late
+    The session time zone must be UTC, as in :mod:`barwright.session`. State is one row per symbol
+    and open day. Rows older than ``delay`` behind the newest are late
     and not counted, as with any watermark; where late rows must count, stream into silver instead.
     """
     return (ticks
             .withColumn(ts, F.col(ts).cast("timestamp"))
             .withWatermark(ts, delay)
             .groupBy("symbol", F.window(ts, "1 day").alias("day"))
-            .agg(*bar_aggregates(price, size, order))
+            .agg(*bar_aggregates(order, **columns))
             .withColumn("dt", F.to_date("day.start"))
             .select(*BAR_COLUMNS))
 

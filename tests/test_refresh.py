@@ -14,9 +14,10 @@ from barwright.operators.merge import DuplicateKeyError, merge_keyed, require_un
 from barwright.operators.quality import QualityError, enforce_constraints, require_constraints
 from barwright.operators.silver import build_silver
 from barwright.plans import refresh
-from barwright.schemas import GOLD, SILVER
+from barwright.schemas import GOLD, SILVER, SchemaChangeError
 from barwright.session import scratch_dir, staged
 from barwright.sources import tables
+from barwright.sources.raw import EmptySourceError, RawBars
 from conftest import bar, day, price, rows_of
 from test_silver_gold import random_series
 
@@ -171,3 +172,24 @@ def test_scratch_lies_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert scratch_dir(spark, "x").startswith(shared)
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
+
+
+def test_tables_written_with_another_schema_are_refused(spark, bronze, tmp_path):
+    root = str(tmp_path)
+    spark.sql("SELECT 'A' AS symbol, 1 AS dt, 202401 AS ym").write.partitionBy("ym") \
+        .parquet(f"{root}/price_silver")
+    tables.append_bronze(bronze([bar("A", "2024-01-02", 1)]), root, "t", 1)
+    with pytest.raises(SchemaChangeError, match="dt changed"):
+        refresh.refresh_all(spark, root)
+    tables.check_stored_schema(spark, root, "bronze_price_raw")
+
+
+def test_a_run_loads_all_sources_before_silver(spark, bronze, tmp_path):
+    good, empty = (RawBars(name, bronze(rows).selectExpr("*", "string(null) AS _raw",
+                                                         "string(null) AS _reason"))
+                   for name, rows in (("a", [bar("A", "2024-01-02", 1)]), ("b", [])))
+    with pytest.raises(EmptySourceError):
+        refresh.run(spark, [good, empty], str(tmp_path), 1)
+    assert silver_of(spark, str(tmp_path)) == []
+    result = refresh.run(spark, [good], str(tmp_path), 2)
+    assert (result.silver_rows, result.gold_rows, result.quality["volume_is_negative"]) == (1, 1, 0)

@@ -143,7 +143,7 @@ def test_a_key_with_a_third_of_all_rows_shrinks_before_the_shuffle(spark, bronze
     ).select(*BRONZE.names)
     silver = latest_per_key(hot.repartition(8))
     plan = silver._jdf.queryExecution().executedPlan().toString()
-    before_shuffle = plan[plan.index("Exchange hashpartitioning(symbol"):]
+    before_shuffle = plan[plan.index("Exchange hashpartitioning(_hash"):]
     assert "WindowGroupLimit" in before_shuffle and "Partial" in before_shuffle
     assert silver.where("symbol = 'HOT'").select("seq").collect()[0][0] == 29997
 

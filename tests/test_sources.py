@@ -144,3 +144,20 @@ def test_an_empty_source_is_an_error(spark, tmp_path):
 def test_source_names_are_folder_names(spark, bronze, tmp_path):
     with pytest.raises(ValueError, match="folder"):
         tables.append_bronze(bronze([]), str(tmp_path), "a/b", 1)
+
+
+def test_two_level_names_keep_their_first_level(spark):
+    frame = spark.createDataFrame([], "`('Close', 'AAA')` double, Date date")
+    assert raw.lower_case_names(frame).columns == ["close", "date"]
+
+
+def test_loads_by_path(spark, tmp_path):
+    root = str(tmp_path / "tables")
+    (tmp_path / "csv").mkdir()
+    path = write(tmp_path / "csv", "a.csv", HEADER + "2024-01-02,1,1,1,1,1,A\n")
+    assert refresh.load_csv_to_bronze(spark, path, root, batch=3) == 1
+    feed(spark, [(day("2024-01-03"), 1.0, 2.0, 0.5, 1.5, 1.4, 10)]) \
+        .write.parquet(str(tmp_path / "f"))
+    assert refresh.load_feed_to_bronze(spark, str(tmp_path / "f"), root, "B", "2024-01-01") == 1
+    assert rows_of(tables.read_table(spark, root, "bronze_price_raw"), "symbol", "source", "batch",
+                   "seq") == [("A", "csv", 3, 3), ("B", "feed", 0, 0)]
