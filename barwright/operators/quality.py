@@ -129,13 +129,27 @@ def reconcile_layers(bronze: DataFrame, silver: DataFrame, gold: DataFrame) -> D
     return reduce(DataFrame.unionByName, tagged).groupBy(*KEY).agg(*flags).where(~everywhere)
 
 
-def reconcile_tables(left: DataFrame, right: DataFrame, keys: list[str] = KEY) -> DataFrame:
-    """Keys whose rows differ: ``only_left``, ``only_right`` or ``changed`` (NULL equals NULL)."""
+def compare_tables(left: DataFrame, right: DataFrame, keys: list[str] = KEY) -> DataFrame:
+    """A row per key with its status: ``same``, ``changed``, ``only_left`` or ``only_right``.
+
+    NULL equals NULL. Both sides must have unique keys.
+    """
     values = [name for name in left.columns if name not in keys]
     a = left.select(*keys, F.struct(*values).alias("_left"))
     b = right.select(*keys, F.struct(*values).alias("_right"))
     status = (F.when(F.col("_right").isNull(), "only_left")
               .when(F.col("_left").isNull(), "only_right")
-              .when(~F.col("_left").eqNullSafe(F.col("_right")), "changed"))
-    return a.join(b, keys, "full_outer").select(*keys, status.alias("status")) \
-        .where(F.col("status").isNotNull())
+              .when(F.col("_left").eqNullSafe(F.col("_right")), "same")
+              .otherwise("changed"))
+    return a.join(b, keys, "full_outer").select(*keys, status.alias("status"))
+
+
+def reconcile_tables(left: DataFrame, right: DataFrame, keys: list[str] = KEY) -> DataFrame:
+    """The keys whose rows differ."""
+    return compare_tables(left, right, keys).where(F.col("status") != "same")
+
+
+def reconcile_summary(left: DataFrame, right: DataFrame, keys: list[str] = KEY) -> DataFrame:
+    """How many keys have each status."""
+    return compare_tables(left, right, keys).groupBy("status") \
+        .agg(F.count(F.lit(1)).alias("n_keys"))

@@ -238,6 +238,10 @@ WHERE status IS NOT NULL""",
     "stream_daily_bars": f"""WITH {TICKS}
 SELECT * FROM bars
 WHERE dt < (SELECT CAST(max(ts) - INTERVAL 2 DAY AS DATE) FROM ticks)""",
+    "stream_reconcile": f"""WITH {TICKS}
+SELECT CASE WHEN dt < (SELECT CAST(max(ts) - INTERVAL 2 DAY AS DATE) FROM ticks)
+            THEN 'same' ELSE 'only_right' END AS status, count(*) AS n_keys
+FROM bars GROUP BY 1""",
     "stream_silver": f"WITH {FEED_SILVER} SELECT * FROM feed_silver",
     "stream_gold": f"WITH {FEED_SILVER},{_gold('gold', 'feed_silver')} SELECT * FROM gold",
 }

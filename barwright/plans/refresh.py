@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barwright.operators.gold import HALO, gold_features
-from barwright.operators.merge import merge_keyed, merge_latest
+from barwright.operators.merge import merge_keyed, merge_latest, require_unique
 from barwright.operators.quality import check_counts, enforce_constraints
 from barwright.operators.silver import build_silver
 from barwright.schemas import BRONZE, GOLD, KEY, SILVER, STORED
@@ -133,8 +133,9 @@ def apply_to_gold(changes: DataFrame, root: str) -> int:
 
 
 def upsert_gold(features: DataFrame, root: str) -> int:
-    """Merge rows with unique keys into the months of gold they touch."""
+    """Merge rows into the months of gold they touch; two rows for one key raise."""
     with staged(features, "gold-changes") as rows:
+        require_unique(rows)
         known = read_months(rows.sparkSession, root, "features_gold", touched_months(rows))
         merged = merge_keyed(known.select(*GOLD.names), rows)
         return write_months(merged, root, "features_gold")["rows"]

@@ -318,10 +318,16 @@ def event_stream(spark, sf):
 def stream_daily_bars(spark, sf):
     root = scratch_dir(spark, "stream")
     stream_bars.write_daily_bars(ticks(feed_rows(event_stream(spark, sf))),
-                                 f"{root}/bars", f"{root}/checkpoint").awaitTermination()
+                                 f"{root}/checkpoint", path=f"{root}/bars").awaitTermination()
     return spark.read.parquet(f"{root}/bars")
 
 
+@query
+def stream_reconcile(spark, sf):
+    """Streamed bars against the batch: closed days agree, open ones are in the batch only."""
+    return quality.reconcile_summary(stream_daily_bars(spark, sf), daily_bars(spark, sf))
+
+
 def streamed_silver(spark, sf):
     root = scratch_dir(spark, "stream")
     rows = silver.cast_bars(feed_rows(event_stream(spark, sf)), F.lit("feed").alias("source"),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -57,6 +59,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="barwright-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set(_LOCAL_SCRATCH, base)
     return f"{base.rstrip('/')}/barwright/{label}-{uuid.uuid4().hex}"
 

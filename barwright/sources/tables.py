@@ -92,9 +92,9 @@ def read_months(spark: SparkSession, root: str, name: str, months: Iterable[int]
 def check_stored_schema(spark: SparkSession, root: str, name: str) -> None:
     """Raise when the files of a table were written with a schema that the declared one cannot
     follow. Reads one file footer."""
-    if not table_exists(spark, root, name):
-        return
     folders = ("ym", "source", "batch")
+    if not any(f.startswith(folders) for f in subfolders(spark, table_path(root, name))):
+        return
     written = spark.read.parquet(table_path(root, name)).schema
     old, new = ([f for f in schema.fields if f.name not in folders]
                 for schema in (written, STORED[name]))

@@ -28,9 +28,14 @@ def streaming_daily_bars(ticks: DataFrame, delay: str = "2 days", ts: str = "ts"
             .select(*BAR_COLUMNS))
 
 
-def write_daily_bars(ticks: DataFrame, path: str, checkpoint: str, delay: str = "2 days",
-                     fmt: str = "parquet", every: str | None = None) -> StreamingQuery:
-    """Append closed bars to ``path``; the file sink commits each micro-batch exactly once."""
-    bars = streaming_daily_bars(ticks, delay)
-    return start(bars.writeStream.outputMode("append").format(fmt).option("path", path),
-                 checkpoint, every)
+def write_daily_bars(ticks: DataFrame, checkpoint: str, delay: str = "2 days",
+                     fmt: str = "parquet", every: str | None = None,
+                     **options: str) -> StreamingQuery:
+    """Append closed bars to a sink, such as ``path=...`` for files.
+
+    The file sink commits each micro-batch exactly once. For a message broker, name its format and
+    options and give :func:`barwright.streaming.topics.encode` the bars of
+    :func:`streaming_daily_bars`.
+    """
+    writer = streaming_daily_bars(ticks, delay).writeStream.outputMode("append")
+    return start(writer.format(fmt).options(**options), checkpoint, every)

@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
         "spark.sql.shuffle.partitions": "4",
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         "spark.driver.memory": "4g",
+        "spark.sql.maxMetadataStringLength": "10000",
         "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
     })
     session.sparkContext.setLogLevel("ERROR")

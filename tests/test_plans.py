@@ -1,0 +1,126 @@
+"""The shape of physical plans, and how work is spread when one key holds a third of the rows."""
+
+from __future__ import annotations
+
+import re
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from barwright.operators import bars, gold, merge, quality, serving, silver, synth
+from barwright.schemas import BRONZE, GOLD
+from barwright.sources import tables
+from conftest import day, price
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """Tables in which one symbol has two thirds of bronze, half of that on one date."""
+    root = str(tmp_path_factory.mktemp("tables"))
+    n = F.col("id")
+    hot = F.when(n % 3 < 2, "HOT").otherwise(F.concat(F.lit("S"), (n % 101).cast("string")))
+    dt = F.when(n % 3 == 0, F.lit(day("2021-06-01"))) \
+        .otherwise(F.date_add(F.lit(day("2021-01-01")), (n % 409).cast("int")))
+    bronze = spark.range(0, 30000, 1, 6).select(
+        hot.alias("symbol"), dt.alias("dt"),
+        *[F.lit(price(c)).alias(name) for name, c in
+          (("open", 1), ("high", 2), ("low", 1), ("close", 2))],
+        F.lit(1).cast("long").alias("volume"), F.lit("t").alias("source"), n.alias("seq"))
+    tables.append_bronze(bronze.select(*BRONZE.names), root, "t", 1)
+    rows = silver.build_silver(tables.read_table(spark, root, "bronze_price_raw"))
+    tables.write_months(rows, root, "price_silver")
+    clean = tables.read_table(spark, root, "price_silver")
+    tables.write_months(gold.gold_features(clean), root, "features_gold")
+    return root
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def shuffles(df) -> list[str]:
+    """The keys of each shuffle."""
+    return re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan(df))
+
+
+def table(spark, root, name):
+    return tables.read_table(spark, root, name)
+
+
+def test_silver_filters_reach_the_scan_and_rows_shrink_before_the_shuffle(spark, stored):
+    df = silver.build_silver(table(spark, stored, "bronze_price_raw"))
+    text = plan(df)
+    pushed = re.search(r"PushedFilters: \[(.*?)\]", text).group(1)
+    assert "IsNotNull(symbol)" in pushed
+    assert [re.sub(r"#\d+L?", "", keys) for keys in shuffles(df)] == ["_hash, symbol, dt"]
+    assert re.search(r"WindowGroupLimit .*Partial", text[text.index("Exchange"):])
+
+
+def test_the_hot_key_crosses_the_shuffle_once_per_map_task(spark, stored):
+    bronze = table(spark, stored, "bronze_price_raw")
+    df = silver.build_silver(bronze)
+    keys = len(df.collect())
+    final = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    written = float(re.search(r"ShuffleQueryStage.*rowCount=([\d.E+]+)", final).group(1))
+    tasks = bronze.rdd.getNumPartitions()
+    assert keys <= written <= keys + 410 * (tasks - 1) < 15000
+
+
+def test_gold_reads_four_columns_and_shuffles_once(spark, stored):
+    df = gold.gold_features(table(spark, stored, "price_silver"))
+    assert [re.sub(r"#\d+L?", "", keys) for keys in shuffles(df)] == ["symbol"]
+    assert "ReadSchema: struct<symbol:string,dt:date,close:decimal(18,6),volume:bigint>" in plan(df)
+    assert plan(df).count("Sort [") == 1
+
+
+def test_chunked_gold_never_shuffles_by_symbol_alone_except_year_counts(spark, stored):
+    df = gold.gold_features_chunked(table(spark, stored, "price_silver"), 64)
+    keys = [re.sub(r"#\d+L?", "", k) for k in shuffles(df)]
+    assert "symbol, _year" in keys and "symbol, _chunk" in keys
+    assert "BroadcastHashJoin" not in plan(df)
+
+
+def test_roll_up_and_reports_aggregate_by_hash_before_the_shuffle(spark, stored):
+    bronze = table(spark, stored, "bronze_price_raw")
+    ticks = bronze.withColumn("ts", F.col("dt").cast("timestamp_ntz"))
+    for df in (bars.roll_up(ticks), merge.duplicate_keys(bronze), quality.duplicate_rate(bronze),
+               quality.drift_report(bronze, F.lit(day("2021-06-01"))),
+               serving.latest_date(bronze)):
+        text = plan(df)
+        assert "SortAggregate" not in text and "partial_" in text
+
+
+def test_latest_ranked_shrinks_before_the_shuffle(spark, stored):
+    text = plan(serving.latest_ranked(table(spark, stored, "features_gold")))
+    assert re.search(r"WindowGroupLimit .*Partial", text[text.index("Exchange"):])
+
+
+def test_months_are_read_by_folder(spark, stored):
+    months = tables.stored_months(spark, stored, "price_silver")
+    assert months[0] == 202101 and len(months) == 14
+    some = tables.read_months(spark, stored, "price_silver", [202102, 202103, 209901])
+    assert {Path(f).parent.name for f in some.inputFiles()} == {"ym=202102", "ym=202103"}
+    assert {row[0] for row in some.select("ym").distinct().collect()} == {202102, 202103}
+    assert tables.read_months(spark, stored, "price_silver", []).isEmpty()
+
+
+def test_a_merge_shuffles_nothing_of_the_base_when_the_increment_is_small(spark, stored):
+    base = table(spark, stored, "features_gold").select(*GOLD.names)
+    small = base.where("symbol = 'S7'").limit(3)
+    merged = merge.merge_keyed(base, spark.createDataFrame(small.collect(), GOLD))
+    assert "LeftAnti" in plan(merged)
+
+
+def test_generated_rows_are_not_shuffled(spark):
+    df = synth.synth_bars(synth.numbered_symbols(spark, 10), 100, partitions=5)
+    text = plan(df)
+    assert text.count("Exchange") == 1
+    assert text.index("Generate explode") < text.index("Exchange")
+
+
+def test_a_month_is_few_files_sorted_by_key(spark, stored):
+    files = list(Path(stored, "price_silver", "ym=202103").glob("*.parquet"))
+    assert len(files) == 1
+    rows = spark.read.parquet(str(files[0])).select("symbol", "dt").collect()
+    assert rows == sorted(rows)

@@ -184,6 +184,23 @@ def test_tables_written_with_another_schema_are_refused(spark, bronze, tmp_path)
     tables.check_stored_schema(spark, root, "bronze_price_raw")
 
 
+def test_a_refresh_without_usable_rows_can_be_repeated(spark, bronze, tmp_path):
+    root = str(tmp_path)
+    tables.append_bronze(bronze([bar(None, "2024-01-02", 1)]), root, "t", 1)
+    for _ in range(2):
+        result = refresh.refresh_all(spark, root)
+        assert (result.silver_rows, result.gold_rows) == (0, 0)
+    tables.append_bronze(bronze([bar("A", "2024-01-02", 1)]), root, "t", 2)
+    assert refresh.refresh_all(spark, root).gold_rows == 1
+
+
+def test_a_gold_upsert_with_a_repeated_key_is_refused(spark, bronze, tmp_path):
+    one = gold_features(build_silver(bronze([bar("A", "2024-01-02", 1)])))
+    with pytest.raises(DuplicateKeyError):
+        refresh.upsert_gold(one.unionByName(one), str(tmp_path))
+    assert gold_of(spark, str(tmp_path)) == []
+
+
 def test_a_run_loads_all_sources_before_silver(spark, bronze, tmp_path):
     good, empty = (RawBars(name, bronze(rows).selectExpr("*", "string(null) AS _raw",
                                                          "string(null) AS _reason"))

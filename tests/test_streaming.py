@@ -5,12 +5,10 @@ from __future__ import annotations
 import random
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from barwright.operators.bars import daily_bars
 from barwright.operators.gold import gold_features
 from barwright.operators.silver import build_silver
-from barwright.plans import refresh
 from barwright.schemas import BAR_COLUMNS, BRONZE, GOLD, SILVER
 from barwright.sources import tables
 from barwright.streaming.bars import streaming_daily_bars, write_daily_bars
@@ -99,7 +97,7 @@ def test_streamed_bars_of_closed_days_equal_the_batch(spark, tmp_path):
         ticks(spark, days).coalesce(1).write.mode("append").parquet(landing)
     stream = read_stream(spark, landing, spark.read.parquet(landing).schema,
                          maxFilesPerTrigger="1")
-    write_daily_bars(stream, str(tmp_path / "bars"), str(tmp_path / "cp")).awaitTermination()
+    write_daily_bars(stream, str(tmp_path / "cp"), path=str(tmp_path / "bars")).awaitTermination()
     closed = daily_bars(spark.read.parquet(landing)).where("dt < DATE'2024-01-06'")
     got = spark.read.parquet(str(tmp_path / "bars")).select(*BAR_COLUMNS)
     assert rows_of(got) == rows_of(closed) and got.count() == 10
