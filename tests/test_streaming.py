@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from barwright.functions.dates import utc_date, utc_instant
 from barwright.operators.bars import daily_bars
 from barwright.operators.gold import gold_features
 from barwright.operators.silver import build_silver
@@ -103,6 +105,21 @@ def test_streamed_bars_of_closed_days_equal_the_batch(spark, tmp_path):
     assert rows_of(got) == rows_of(closed) and got.count() == 10
 
 
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Tokyo", "UTC"])
+def test_utc_reading_of_zone_free_times_ignores_the_session_zone(spark, zone):
+    times = ["2024-03-10 02:30:00.123456", "2024-11-03 01:30:00", "1969-12-31 23:59:59.5"]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        frame = spark.createDataFrame([(t,) for t in times], "t string") \
+            .select(F.col("t").cast("timestamp_ntz").alias("t"))
+        got = frame.select(F.unix_micros(utc_instant(F.col("t"))),
+                           utc_date(utc_instant(F.col("t"))).cast("string")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [row[0] for row in got] == [1710037800123456, 1730597400000000, -500000]
+    assert [row[1] for row in got] == [t[:10] for t in times]
+
+
 def test_streaming_plan_needs_a_watermark_column(spark, tmp_path):
     ticks(spark, [1]).write.parquet(str(tmp_path / "t"))
     stream = read_stream(spark, str(tmp_path / "t"), spark.read.parquet(str(tmp_path / "t")).schema)
