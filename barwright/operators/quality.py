@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barwright.operators.merge import duplicate_keys
+from barwright.operators.silver import complete_rows
 from barwright.schemas import BAR_COLUMNS, KEY
 
 
@@ -121,7 +122,7 @@ def reconcile_layers(bronze: DataFrame, silver: DataFrame, gold: DataFrame) -> D
     Bronze counts with its complete rows only; what silver drops by rule is no mismatch. A union
     and one aggregation take the place of two outer joins.
     """
-    layers = {"bronze": bronze.dropna(subset=BAR_COLUMNS), "silver": silver, "gold": gold}
+    layers = {"bronze": complete_rows(bronze), "silver": silver, "gold": gold}
     tagged = [rows.select(*KEY, *[F.lit(name == layer).alias(f"in_{layer}") for layer in layers])
               for name, rows in layers.items()]
     flags = [F.bool_or(f"in_{layer}").alias(f"in_{layer}") for layer in layers]

@@ -20,7 +20,7 @@ from barwright.schemas import BRONZE, GOLD, KEY, SILVER, STORED
 from barwright.session import staged
 from barwright.sources.raw import EmptySourceError, RawBars, read_csv_bars, read_feed
 from barwright.sources.tables import (
-    append_bronze, check_stored_schema, load_path, read_bronze_batch, read_months, read_table,
+    append_bronze, check_stored_schema, load_path, read_bronze_loads, read_months, read_table,
     stored_months, touched_months, write_months,
 )
 
@@ -101,16 +101,21 @@ def refresh_all(spark: SparkSession, root: str) -> Refresh:
 
 
 def run(spark: SparkSession, sources: list[RawBars], root: str, batch: int,
-        strict: bool = False) -> Refresh:
-    """Load the sources side by side, then silver, then gold. All loads must succeed first."""
+        strict: bool = False, full: bool = True) -> Refresh:
+    """Load the sources side by side, then silver, then gold. All loads must succeed first.
+
+    With ``full`` off only the new loads are worked into silver and gold.
+    """
     with ThreadPoolExecutor(max(1, len(sources))) as pool:
         list(pool.map(lambda raw: load(raw, root, batch, strict), sources))
-    return refresh_all(spark, root)
+    if full:
+        return refresh_all(spark, root)
+    return refresh_increment(spark, root, [(raw.source, batch) for raw in sources])
 
 
-def refresh_increment(spark: SparkSession, root: str, source: str, batch: int) -> Refresh:
-    """Bring silver and gold up to date with one load of bronze."""
-    new = read_bronze_batch(spark, root, source, batch).select(*BRONZE.names)
+def refresh_increment(spark: SparkSession, root: str, loads: list[tuple[str, int]]) -> Refresh:
+    """Bring silver and gold up to date with (source, batch) loads of bronze."""
+    new = read_bronze_loads(spark, root, loads).select(*BRONZE.names)
     with staged(build_silver(new), "silver-changes") as changes:
         quality = apply_to_silver(changes, root)
         return Refresh(quality.get("rows", 0), apply_to_gold(changes, root), quality)

@@ -224,8 +224,7 @@ def medallion_gold(spark, sf):
 def incremental_gold(spark, sf):
     root = scratch_dir(spark, "tables")
     refresh.run(spark, [loaded(feed_bronze(spark, sf), "feed")], root, batch=1)
-    refresh.load(loaded(restated_feed(spark, sf), "restated"), root, 2)
-    refresh.refresh_increment(spark, root, "restated", 2)
+    refresh.run(spark, [loaded(restated_feed(spark, sf), "restated")], root, batch=2, full=False)
     return tables.read_table(spark, root, "features_gold").select(*GOLD.names)
 
 

@@ -35,10 +35,13 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(STORED[name]).parquet(table_path(root, name))
 
 
-def read_bronze_batch(spark: SparkSession, root: str, source: str, batch: int) -> DataFrame:
-    """One load; the filters are on folder names, so no other load is read."""
-    rows = read_table(spark, root, "bronze_price_raw")
-    return rows.where((F.col("source") == source) & (F.col("batch") == batch))
+def read_bronze_loads(spark: SparkSession, root: str, loads: list[tuple[str, int]]) -> DataFrame:
+    """The given (source, batch) loads. Their folders are opened by name, so the files of other
+    loads are not even listed."""
+    name = "bronze_price_raw"
+    paths = [load_path(root, name, source, batch) for source, batch in loads]
+    return spark.read.schema(STORED[name]).option("basePath", table_path(root, name)) \
+        .parquet(*paths)
 
 
 def append_bronze(bars: DataFrame, root: str, source: str, batch: int) -> int:

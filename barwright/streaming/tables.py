@@ -18,7 +18,7 @@ from barwright.plans.refresh import apply_to_gold, apply_to_silver
 from barwright.schemas import BRONZE, KEY, SILVER
 from barwright.session import staged
 from barwright.sources.tables import (
-    load_path, read_bronze_batch, replace_bronze_batch, table_path,
+    load_path, read_bronze_loads, replace_bronze_batch, table_path,
 )
 from barwright.streaming.topics import read_stream, start
 
@@ -35,7 +35,7 @@ def silver_batch(rows: DataFrame, batch: int, root: str, source: str) -> None:
     numbered = rows.withColumn("seq", F.coalesce("seq", F.lit(batch).cast("long")))
     replace_bronze_batch(numbered.select(*BRONZE.names), root, source, batch)
     log = load_path(root, "silver_changes", source, batch)
-    build_silver(read_bronze_batch(spark, root, source, batch)) \
+    build_silver(read_bronze_loads(spark, root, [(source, batch)])) \
         .write.mode("overwrite").parquet(log)
     apply_to_silver(spark.read.schema(SILVER).parquet(log), root)
 

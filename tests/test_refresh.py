@@ -92,7 +92,7 @@ def test_an_upsert_rewrites_only_the_months_it_touches(spark, bronze, tmp_path):
     refresh.refresh_all(spark, root)
     before = months(root)
     tables.append_bronze(bronze([bar("A", "2024-03-06", 3)]), root, "t", 2)
-    refresh.refresh_increment(spark, root, "t", 2)
+    refresh.refresh_increment(spark, root, [("t", 2)])
     after = months(root)
     assert [m for m in before if before[m] != after[m]] == ["ym=202403"]
     assert len(silver_of(spark, root)) == 7
@@ -118,14 +118,26 @@ def test_increments_equal_a_full_refresh(spark, bronze, tmp_path, seed):
         if batch == 0:
             refresh.refresh_all(spark, root)
         else:
-            refresh.refresh_increment(spark, root, "t", batch)
+            refresh.refresh_increment(spark, root, [("t", batch)])
     assert (silver_of(spark, root), gold_of(spark, root)) == expected(bronze(sum(loads, [])))
 
 
+def test_an_increment_of_two_sources(spark, bronze, tmp_path):
+    root = str(tmp_path)
+    rng = random.Random(8)
+    parts = [random_series(rng, symbol, 40, 90) for symbol in ("A", "B", "A")]
+    sources = [RawBars(name, bronze(rows).selectExpr("*", "string(null) AS _raw",
+                                                     "string(null) AS _reason"))
+               for name, rows in zip(["x", "y", "z"], parts)]
+    refresh.run(spark, sources[:1], root, 1)
+    refresh.run(spark, sources[1:], root, 2, full=False)
+    assert (silver_of(spark, root), gold_of(spark, root)) == expected(bronze(sum(parts, [])))
+
+
 def test_an_increment_without_usable_rows_changes_nothing(spark, bronze, tmp_path):
     root = str(tmp_path)
     tables.append_bronze(bronze([bar(None, "2024-01-02", 1)]), root, "t", 1)
-    result = refresh.refresh_increment(spark, root, "t", 1)
+    result = refresh.refresh_increment(spark, root, [("t", 1)])
     assert (result.silver_rows, result.gold_rows) == (0, 0)
 
 
