@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from barwright.functions.dates import month_key
 from barwright.operators.gold import HALO, gold_features
 from barwright.operators.merge import merge_keyed, merge_latest, require_unique
 from barwright.operators.quality import check_counts, enforce_constraints
@@ -25,6 +27,10 @@ from barwright.sources.tables import (
 )
 
 
+# Up to this many symbols are named in a scan filter; more are found by the join alone.
+_NAMED = 1000
+
+
 @dataclass
 class Refresh:
     """Rows written per layer, and the counts of the quality checks on silver."""
@@ -146,38 +152,73 @@ def upsert_gold(features: DataFrame, root: str) -> int:
         return write_months(merged, root, "features_gold")["rows"]
 
 
-def gold_for_changes(changes: DataFrame, root: str, lookback_months: int = 2) -> DataFrame | None:
+def gold_for_changes(changes: DataFrame, root: str, margin: int = 2) -> DataFrame | None:
     """Features of each changed row and of the next ``HALO`` rows of its symbol.
 
-    Reads stored silver from ``lookback_months`` before the earliest change. Symbols that have fewer
-    than ``HALO`` rows between there and their own first change get their last ``HALO`` rows from
-    the months before as well, so every frame is complete however sparse a series is.
+    Reads the months of the changes and ``margin`` months on either side. A correction years back
+    is a segment of its own, so the months between it and today are not read.
     """
     spark = changes.sparkSession
-    start = changes.agg(F.min("dt")).first()[0]
-    if start is None:
+    stored = stored_months(spark, root, "price_silver")
+    parts = [_gold_for_segment(changes, root, stored, low, high)
+             for low, high in month_segments(touched_months(changes), margin)]
+    if not parts:
         return None
-    month = start.year * 12 + start.month - 1 - lookback_months
-    cutoff = month // 12 * 100 + month % 12 + 1
-    months = stored_months(spark, root, "price_silver")
-    late, early = (read_months(spark, root, "price_silver", some).select(*KEY, "close", "volume")
-                   for some in ([m for m in months if m >= cutoff],
-                                [m for m in months if m < cutoff]))
-
-    first = changes.groupBy("symbol").agg(F.min("dt").alias("_first"))
-    rows = late.join(first, "symbol")
-    if months and months[0] < cutoff:
-        ahead = rows.groupBy("symbol") \
-            .agg(F.count_if(F.col("dt") < F.col("_first")).alias("_ahead"))
-        thin = first.join(ahead, "symbol", "left") \
-            .where(F.coalesce("_ahead", F.lit(0)) < HALO).select("symbol", "_first")
-        if not thin.isEmpty():
-            newest = F.row_number().over(Window.partitionBy("symbol").orderBy(F.col("dt").desc()))
-            rows = rows.unionByName(early.join(thin, "symbol")
-                                    .withColumn("_rank", newest)
+    # A sparse symbol can have the same row in reach of two segments, with the same values.
+    return reduce(DataFrame.unionByName, parts).distinct() if len(parts) > 1 else parts[0]
+
+
+def month_segments(months: list[int], margin: int, most: int = 3) -> list[tuple[int, int]]:
+    """Ranges that hold ``months`` and ``margin`` months around each.
+
+    Ranges that meet are joined, and so are the closest ones until at most ``most`` are left: each
+    is a part of the plan, and reading some months in between is cheaper than many parts.
+    """
+    ranges = [[index - margin, index + margin]
+              for index in sorted(month // 100 * 12 + month % 100 - 1 for month in months)]
+    gaps = [right[0] - left[1] for left, right in zip(ranges, ranges[1:])]
+    widest = sorted((gap for gap in gaps if gap > 1), reverse=True)[:most - 1]
+    segments = ranges[:1]
+    for gap, following in zip(gaps, ranges[1:]):
+        if gap in widest:
+            widest.remove(gap)
+            segments.append(following)
+        else:
+            segments[-1][1] = following[1]
+    return [tuple(index // 12 * 100 + index % 12 + 1 for index in pair) for pair in segments]
+
+
+def _gold_for_segment(changes: DataFrame, root: str, stored: list[int],
+                      low: int, high: int) -> DataFrame:
+    spark = changes.sparkSession
+
+    def silver(months):
+        return read_months(spark, root, "price_silver", months).select(*KEY, "close", "volume")
+
+    changed = changes.where(month_key(F.col("dt")).between(low, high))
+    span = changed.groupBy("symbol").agg(F.min("dt").alias("_first"), F.max("dt").alias("_last"))
+    rows = silver(m for m in stored if low <= m <= high).join(span, "symbol")
+
+    # Symbols too sparse to have HALO rows before their first and after their last change in these
+    # months get the nearest HALO rows from the months outside.
+    counts = rows.groupBy("symbol").agg(
+        F.count_if(F.col("dt") < F.col("_first")).alias("_before"),
+        F.count_if(F.col("dt") > F.col("_last")).alias("_after"))
+    spans = span.join(counts, "symbol", "left").fillna(0, ["_before", "_after"])
+    for side, months, nearest in (("_before", [m for m in stored if m < low], F.desc("dt")),
+                                  ("_after", [m for m in stored if m > high], F.asc("dt"))):
+        sparse = spans.where(F.col(side) < HALO).select(span.columns)
+        names = [row["symbol"] for row in sparse.take(_NAMED + 1)] if months else []
+        if names:
+            outside = silver(months)
+            if len(names) <= _NAMED:
+                # Reaches the Parquet scan, where most row groups have no such symbol.
+                outside = outside.where(F.col("symbol").isin(names))
+            rank = F.row_number().over(Window.partitionBy("symbol").orderBy(nearest))
+            rows = rows.unionByName(outside.join(sparse, "symbol").withColumn("_rank", rank)
                                     .where(F.col("_rank") <= HALO).drop("_rank"))
 
-    marks = changes.select(*KEY, F.lit(1).alias("_changed"))
+    marks = changed.select(*KEY, F.lit(1).alias("_changed"))
     frame = Window.partitionBy("symbol").orderBy("dt").rowsBetween(-HALO, Window.currentRow)
     marked = rows.join(marks, KEY, "left").withColumn("_near", F.max("_changed").over(frame))
     return gold_features(marked, carry=["_near"]).where(F.col("_near") == 1).select(*GOLD.names)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import random
 from pathlib import Path
 
@@ -42,7 +43,7 @@ def months(root):
 
 def test_running_twice_changes_bronze_only(spark, bronze, tmp_path):
     root = str(tmp_path)
-    rows = bronze(random_series(random.Random(3), "A", 50))
+    rows = bronze(random_series(random.Random(3), "A", 50, 120))
     for batch in (1, 2):
         tables.append_bronze(rows, root, "t", batch)
         result = refresh.refresh_all(spark, root)
@@ -98,7 +99,7 @@ def test_an_upsert_rewrites_only_the_months_it_touches(spark, bronze, tmp_path):
     assert len(silver_of(spark, root)) == 7
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(4))
 def test_increments_equal_a_full_refresh(spark, bronze, tmp_path, seed):
     """Late rows, corrections and new symbols, on dense and on very sparse series."""
     rng = random.Random(seed)
@@ -122,6 +123,38 @@ def test_increments_equal_a_full_refresh(spark, bronze, tmp_path, seed):
     assert (silver_of(spark, root), gold_of(spark, root)) == expected(bronze(sum(loads, [])))
 
 
+@pytest.mark.parametrize("months, expected", [
+    ([], []),
+    ([202401], [(202311, 202403)]),
+    ([202401, 202406], [(202311, 202408)]),
+    ([202401, 202407], [(202311, 202403), (202405, 202409)]),
+    ([202401, 202402, 199912], [(199910, 200002), (202311, 202404)]),
+    ([200001, 200101, 200201, 201001, 202001],
+     [(199911, 200203), (200911, 201003), (201911, 202003)]),
+])
+def test_month_segments(months, expected):
+    assert refresh.month_segments(months, 2) == expected
+
+
+def test_an_old_correction_does_not_read_the_months_since(spark, bronze, tmp_path):
+    root = str(tmp_path)
+    first = datetime.date(2015, 1, 1)
+    rows = [bar("A", (first + datetime.timedelta(days=d)).isoformat(), d % 7 + 1)
+            for d in range(0, 2000, 1)]
+    fixes = [bar("A", "2015-06-10", 99, seq=2), bar("A", "2019-02-01", 98, seq=2)]
+    tables.append_bronze(bronze(rows), root, "t", 1)
+    refresh.refresh_all(spark, root)
+    tables.append_bronze(bronze(fixes), root, "t", 2)
+    result = refresh.refresh_increment(spark, root, [("t", 2)])
+    assert (silver_of(spark, root), gold_of(spark, root)) == expected(bronze(rows + fixes))
+    # Two touched months of silver, and of gold the two and the months after them.
+    assert (result.silver_rows, result.gold_rows) == (30 + 28, 30 + 28)
+    affected = refresh.gold_for_changes(build_silver(bronze(fixes)), root)
+    assert affected.count() == 2 * 20
+    read = {Path(f).parent.name for f in affected.inputFiles()}
+    assert "ym=201704" not in read and "ym=201508" in read
+
+
 def test_an_increment_of_two_sources(spark, bronze, tmp_path):
     root = str(tmp_path)
     rng = random.Random(8)
