@@ -86,9 +86,11 @@ def _present(raw: DataFrame, name: str) -> Column:
     return F.when(~text.isin(MISSING), text)
 
 
-def _date(raw: DataFrame, name: str, present: Column) -> Column:
+def _date(raw: DataFrame, name: str, present: Column, pattern: str | None) -> Column:
     if isinstance(raw.schema[name].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return F.to_date(name)
+    if pattern:
+        return F.try_to_timestamp(present, F.lit(pattern)).cast("date")
     return present.try_cast("timestamp_ntz").cast("date")
 
 
@@ -100,11 +102,12 @@ def _whole_number(present: Column) -> Column:
 
 def parse_bars(raw: DataFrame, dates: list[str], source: str, seq: int | Column = 0,
                symbol: str | None = None, volume_required: bool = False,
-               missing_symbol: str | None = None) -> RawBars:
+               missing_symbol: str | None = None, date_format: str | None = None) -> RawBars:
     """The canonical columns of ``raw``, whose names are in lower case.
 
     ``symbol`` names a source that holds one symbol and no symbol column. An empty symbol cell
-    becomes ``missing_symbol``; by default that is NULL, which silver rejects.
+    becomes ``missing_symbol``; by default that is NULL, which silver rejects. Dates as text are ISO
+    dates or timestamps unless ``date_format`` says otherwise.
     """
     required = [*PRICE_COLUMNS, *([] if symbol else ["symbol"]),
                 *(["volume"] if volume_required else [])]
@@ -116,7 +119,7 @@ def parse_bars(raw: DataFrame, dates: list[str], source: str, seq: int | Column
     cells = {name: _present(raw, name)
              for name in [date, *PRICE_COLUMNS, "volume"] if name in raw.columns}
     values = {name: cells[name].try_cast(PRICE) for name in PRICE_COLUMNS}
-    values[date] = _date(raw, date, cells[date])
+    values[date] = _date(raw, date, cells[date], date_format)
     if "volume" in cells:
         values["volume"] = _whole_number(cells["volume"])
 
@@ -148,7 +151,7 @@ def parse_bars(raw: DataFrame, dates: list[str], source: str, seq: int | Column
 
 
 def read_csv_bars(spark: SparkSession, path: str, source: str = "csv", seq: int | Column = 0,
-                  missing_symbol: str | None = None) -> RawBars:
+                  missing_symbol: str | None = None, date_format: str | None = None) -> RawBars:
     """CSV with a header in any column order and letter case; ``date`` or ``dt``, all others named
     as in the tables, further columns ignored.
 
@@ -160,15 +163,16 @@ def read_csv_bars(spark: SparkSession, path: str, source: str = "csv", seq: int
     schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, CORRUPT]])
     raw = spark.read.csv(
         path, schema=schema, header=True, enforceSchema=False, mode="PERMISSIVE",
-        columnNameOfCorruptRecord=CORRUPT)
+        columnNameOfCorruptRecord=CORRUPT, escape='"')
     return parse_bars(lower_case_names(raw), ["dt", "date"], source, seq, volume_required=True,
-                      missing_symbol=missing_symbol)
+                      missing_symbol=missing_symbol, date_format=date_format)
 
 
 def read_feed(spark: SparkSession, path: str, symbol: str | None = None,
               start: str | None = None, end: str | None = None, fmt: str = "parquet",
               source: str = "feed", seq: int | Column = 0,
-              schema: T.StructType | None = None) -> RawBars:
+              schema: T.StructType | str | None = None,
+              date_format: str | None = None) -> RawBars:
     """Landed vendor extracts: ``Date`` or ``Datetime`` columns, volume optional.
 
     ``symbol`` is the one the extracts are about; leave it out when they carry a symbol column.
@@ -180,23 +184,19 @@ def read_feed(spark: SparkSession, path: str, symbol: str | None = None,
     if fmt == "json":
         schema = schema or FEED_JSON
     raw = lower_case_names((reader.schema(schema) if schema else reader).load(path))
-    return feed_bars(raw, symbol, start, end, source, seq)
+    return feed_bars(raw, symbol, start, end, source, seq, date_format)
 
 
 def feed_bars(raw: DataFrame, symbol: str | None = None, start: str | None = None,
-              end: str | None = None, source: str = "feed", seq: int | Column = 0) -> RawBars:
+              end: str | None = None, source: str = "feed", seq: int | Column = 0,
+              date_format: str | None = None) -> RawBars:
     """:func:`read_feed` for extracts that are a DataFrame already, batch or stream."""
     raw = lower_case_names(raw)
     end = end or datetime.datetime.now(datetime.timezone.utc).date().isoformat()
-    parsed = parse_bars(raw, ["date", "datetime"], source, seq, symbol).parsed
+    parsed = parse_bars(raw, ["date", "datetime"], source, seq, symbol,
+                        date_format=date_format).parsed
     outside = F.col("dt") >= F.lit(end).cast("date")
     if start:
         outside = outside | (F.col("dt") < F.lit(start).cast("date"))
     # A row without a date is kept: it is bad, or silver will reject it.
     return RawBars(source, parsed.where(F.col("dt").isNull() | ~outside))
-
-
-def require_rows(rows: DataFrame, what: str) -> DataFrame:
-    if rows.isEmpty():
-        raise EmptySourceError(f"no rows in {what}")
-    return rows

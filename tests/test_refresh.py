@@ -123,6 +123,19 @@ def test_increments_equal_a_full_refresh(spark, bronze, tmp_path, seed):
     assert (silver_of(spark, root), gold_of(spark, root)) == expected(bronze(sum(loads, [])))
 
 
+def test_many_sparse_symbols_are_found_without_naming_them(spark, bronze, tmp_path, monkeypatch):
+    monkeypatch.setattr(refresh, "_NAMED", 1)
+    root = str(tmp_path)
+    rng = random.Random(9)
+    rows = [row for s in "ABCD" for row in random_series(rng, s, 12, 900)]
+    fixes = [(*row[:5], price(3), row[6], "t", 5) for row in rows[::12]]
+    for batch, load in enumerate([rows, fixes]):
+        tables.append_bronze(bronze(load), root, "t", batch)
+    refresh.refresh_increment(spark, root, [("t", 0)])
+    refresh.refresh_increment(spark, root, [("t", 1)])
+    assert (silver_of(spark, root), gold_of(spark, root)) == expected(bronze(rows + fixes))
+
+
 @pytest.mark.parametrize("months, expected", [
     ([], []),
     ([202401], [(202311, 202403)]),

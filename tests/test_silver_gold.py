@@ -59,7 +59,13 @@ def test_silver_does_not_depend_on_order_or_partitions(bronze):
     rng = random.Random(1)
     rows = [bar(f"S{rng.randrange(3)}", f"2024-01-{rng.randrange(1, 9):02}", rng.randrange(5),
                 volume=rng.randrange(3), seq=rng.randrange(4)) for _ in range(200)]
+    # The winner by definition: the largest (seq, open, high, low, close, volume) of each key.
+    best = {}
+    for row in rows:
+        rank = (row[8], *row[2:7])
+        best[row[:2]] = max(best.get(row[:2], rank), rank)
     expected = rows_of(build_silver(bronze(rows)))
+    assert expected == sorted((*key, *rank[1:], rank[0]) for key, rank in best.items())
     for parts in (1, 7):
         rng.shuffle(rows)
         assert rows_of(build_silver(bronze(rows).repartition(parts))) == expected

@@ -62,6 +62,18 @@ def test_files_of_one_folder_must_share_their_header(spark, tmp_path):
         raw.read_csv_bars(spark, str(tmp_path)).bars.collect()
 
 
+def test_dates_in_another_format(spark, tmp_path):
+    got = read(spark, tmp_path, HEADER + "01/31/2024,1,1,1,1,1,A\n31/01/2024,1,1,1,1,1,B\n",
+               date_format="MM/dd/yyyy")
+    assert rows_of(got.bars, "symbol", "dt") == [("A", day("2024-01-31"))]
+    assert [r["reason"] for r in got.bad.collect()] == ["unreadable: date"]
+
+
+def test_quoted_cells(spark, tmp_path):
+    got = read(spark, tmp_path, HEADER + '"2024-01-02","1","1","1","1","1","A ""x"", B"\n')
+    assert rows_of(got.bars, "symbol") == [('A "x", B',)]
+
+
 def test_csv_needs_its_columns(spark, tmp_path):
     with pytest.raises(ValueError, match="date"):
         read(spark, tmp_path, "day,open,high,low,close,volume,symbol\n1,1,1,1,1,1,A\n")
