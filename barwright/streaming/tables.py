@@ -29,7 +29,8 @@ CHANGES = T.StructType([
 ])
 
 
-def silver_batch(rows: DataFrame, batch: int, root: str, source: str) -> None:
+def silver_batch(rows: DataFrame, batch: int, root: str, source: str,
+                 with_gold: bool = False) -> None:
     """Land one micro-batch in bronze, log its clean rows as changes, merge them into silver."""
     spark = rows.sparkSession
     numbered = rows.withColumn("seq", F.coalesce("seq", F.lit(batch).cast("long")))
@@ -37,18 +38,22 @@ def silver_batch(rows: DataFrame, batch: int, root: str, source: str) -> None:
     log = load_path(root, "silver_changes", source, batch)
     build_silver(read_bronze_loads(spark, root, [(source, batch)])) \
         .write.mode("overwrite").parquet(log)
-    apply_to_silver(spark.read.schema(SILVER).parquet(log), root)
+    changes = spark.read.schema(SILVER).parquet(log)
+    apply_to_silver(changes, root)
+    if with_gold:
+        apply_to_gold(changes, root)
 
 
 def stream_silver(raw: DataFrame, root: str, source: str, checkpoint: str,
-                  every: str | None = None) -> StreamingQuery:
+                  every: str | None = None, with_gold: bool = False) -> StreamingQuery:
     """Keep silver up to date with a stream of rows in bronze columns.
 
     Late rows count whenever they come: the merge is by key and ``seq``, not by a watermark. A row
-    without ``seq`` gets the number of its micro-batch.
+    without ``seq`` gets the number of its micro-batch. ``with_gold`` does gold in the same
+    micro-batch; :func:`stream_gold` does it in a query of its own.
     """
     writer = raw.writeStream.foreachBatch(
-        lambda rows, batch: silver_batch(rows, batch, root, source))
+        lambda rows, batch: silver_batch(rows, batch, root, source, with_gold))
     return start(writer, checkpoint, every)
 
 
@@ -62,7 +67,9 @@ def stream_gold(spark: SparkSession, root: str, checkpoint: str,
     """Follow the change log of silver and recompute the features around each change.
 
     Row windows are not allowed on a stream, and a late row changes features of later rows that
-    were given out before, so gold is merged from a batch computation on the affected rows.
+    were given out before, so gold is merged from a batch computation on the affected rows. If silver
+    replaces a month while it is read here, the micro-batch fails and is repeated on restart; let the
+    two queries take turns, or use ``with_gold``, to avoid that.
     """
     changes = read_stream(spark, table_path(root, "silver_changes"), CHANGES, **options)
     writer = changes.writeStream.foreachBatch(lambda rows, batch: gold_batch(rows, batch, root))

@@ -59,6 +59,16 @@ def test_streamed_silver_and_gold_equal_the_batch(spark, bronze, tmp_path):
         == rows_of(stored)
 
 
+def test_silver_and_gold_in_one_stream(spark, bronze, tmp_path):
+    rows = shuffled_rows(10)
+    landing, root = str(tmp_path / "landing"), str(tmp_path / "root")
+    land(bronze, rows, landing, 2)
+    raw = read_stream(spark, landing, BRONZE, maxFilesPerTrigger="1")
+    stream_silver(raw, root, "live", f"{root}/cp", with_gold=True).awaitTermination()
+    gold = tables.read_table(spark, root, "features_gold").select(*GOLD.names)
+    assert rows_of(gold) == rows_of(gold_features(build_silver(bronze(rows))))
+
+
 def test_a_repeated_micro_batch_changes_nothing(spark, bronze, tmp_path):
     root = str(tmp_path)
     rows = shuffled_rows(5)
