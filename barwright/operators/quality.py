@@ -63,18 +63,18 @@ def require_constraints(silver: DataFrame) -> None:
         raise QualityError(f"rows repeat a key {KEY}")
 
 
-def enforce_constraints(silver: DataFrame) -> DataFrame:
-    """The same rows, but evaluating a row that breaks NOT NULL or volume >= 0 fails the job.
+def enforce_constraints(rows: DataFrame, required: list[str] = BAR_COLUMNS) -> DataFrame:
+    """The same rows, but evaluating one that breaks NOT NULL or volume >= 0 fails the job.
 
     Put in front of a write it acts as a table constraint without a pass of its own: the tasks
     fail, the write is never committed and the table stays as it was.
     """
-    nulls = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in BAR_COLUMNS])
-    broken = nulls | (F.col("volume") < 0)
-    message = F.concat(F.lit("silver constraint broken at "),
-                       F.to_json(F.struct(*BAR_COLUMNS)))
-    checked = F.when(broken, F.raise_error(message).cast("long")).otherwise(F.col("volume"))
-    return silver.withColumn("volume", checked)
+    broken = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in required])
+    if "volume" in rows.columns:
+        broken = broken | (F.col("volume") < 0)
+    message = F.concat(F.lit("constraint broken at "), F.to_json(F.struct(*rows.columns)))
+    stop = F.raise_error(message).cast("string")
+    return rows.withColumn("symbol", F.when(broken, stop).otherwise(F.col("symbol")))
 
 
 def duplicate_rate(bronze: DataFrame) -> DataFrame:

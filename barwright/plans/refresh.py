@@ -27,7 +27,7 @@ from barwright.sources.tables import (
 )
 
 
-# Up to this many symbols are named in a scan filter; more are found by the join alone.
+# Up to this many symbols are named in a scan filter; more are found by a join.
 _NAMED = 1000
 
 
@@ -96,7 +96,7 @@ def refresh_gold(spark: SparkSession, root: str, keep_orphans: bool = True) -> i
     gold = gold_features(read_table(spark, root, "price_silver"))
     if keep_orphans:
         gold = merge_keyed(read_table(spark, root, "features_gold").select(*GOLD.names), gold)
-    return write_months(gold, root, "features_gold")["rows"]
+    return write_months(enforce_constraints(gold, KEY), root, "features_gold")["rows"]
 
 
 def refresh_all(spark: SparkSession, root: str) -> Refresh:
@@ -149,7 +149,7 @@ def upsert_gold(features: DataFrame, root: str) -> int:
         require_unique(rows)
         known = read_months(rows.sparkSession, root, "features_gold", touched_months(rows))
         merged = merge_keyed(known.select(*GOLD.names), rows)
-        return write_months(merged, root, "features_gold")["rows"]
+        return write_months(enforce_constraints(merged, KEY), root, "features_gold")["rows"]
 
 
 def gold_for_changes(changes: DataFrame, root: str, margin: int = 2) -> DataFrame | None:
@@ -196,29 +196,33 @@ def _gold_for_segment(changes: DataFrame, root: str, stored: list[int],
         return read_months(spark, root, "price_silver", months).select(*KEY, "close", "volume")
 
     changed = changes.where(month_key(F.col("dt")).between(low, high))
+    marks = changed.select(*KEY, F.lit(1).alias("_changed"))
     span = changed.groupBy("symbol").agg(F.min("dt").alias("_first"), F.max("dt").alias("_last"))
-    rows = silver(m for m in stored if low <= m <= high).join(span, "symbol")
+    bars = silver(m for m in stored if low <= m <= high)
+    # The join by symbol comes last: the window then finds its rows partitioned by symbol already.
+    rows = bars.join(marks, KEY, "left").join(span, "symbol", "left_semi")
 
     # Symbols too sparse to have HALO rows before their first and after their last change in these
     # months get the nearest HALO rows from the months outside.
-    counts = rows.groupBy("symbol").agg(
+    counts = bars.join(span, "symbol").groupBy("symbol").agg(
         F.count_if(F.col("dt") < F.col("_first")).alias("_before"),
         F.count_if(F.col("dt") > F.col("_last")).alias("_after"))
     spans = span.join(counts, "symbol", "left").fillna(0, ["_before", "_after"])
     for side, months, nearest in (("_before", [m for m in stored if m < low], F.desc("dt")),
                                   ("_after", [m for m in stored if m > high], F.asc("dt"))):
-        sparse = spans.where(F.col(side) < HALO).select(span.columns)
+        sparse = spans.where(F.col(side) < HALO).select("symbol")
         names = [row["symbol"] for row in sparse.take(_NAMED + 1)] if months else []
         if names:
-            outside = silver(months)
-            if len(names) <= _NAMED:
+            outside = silver(months).withColumn("_changed", F.lit(None).cast("int"))
+            if len(names) > _NAMED:
+                outside = outside.join(sparse, "symbol", "left_semi")
+            else:
                 # Reaches the Parquet scan, where most row groups have no such symbol.
                 outside = outside.where(F.col("symbol").isin(names))
             rank = F.row_number().over(Window.partitionBy("symbol").orderBy(nearest))
-            rows = rows.unionByName(outside.join(sparse, "symbol").withColumn("_rank", rank)
+            rows = rows.unionByName(outside.withColumn("_rank", rank)
                                     .where(F.col("_rank") <= HALO).drop("_rank"))
 
-    marks = changed.select(*KEY, F.lit(1).alias("_changed"))
     frame = Window.partitionBy("symbol").orderBy("dt").rowsBetween(-HALO, Window.currentRow)
-    marked = rows.join(marks, KEY, "left").withColumn("_near", F.max("_changed").over(frame))
-    return gold_features(marked, carry=["_near"]).where(F.col("_near") == 1).select(*GOLD.names)
+    near = rows.withColumn("_near", F.max("_changed").over(frame))
+    return gold_features(near, carry=["_near"]).where(F.col("_near") == 1).select(*GOLD.names)

@@ -192,7 +192,7 @@ def test_broken_constraints_stop_the_write_and_keep_the_table(spark, bronze, tmp
     good = build_silver(bronze([bar("A", "2024-01-02", 1)]))
     tables.write_months(enforce_constraints(good), root, "price_silver")
     bad = good.withColumn("volume", F.lit(-1).cast("long"))
-    with pytest.raises(PySparkException, match="silver constraint broken"):
+    with pytest.raises(PySparkException, match="constraint broken"):
         tables.write_months(enforce_constraints(bad), root, "price_silver")
     assert len(silver_of(spark, root)) == 1
     require_constraints(good)
@@ -252,6 +252,13 @@ def test_a_refresh_without_usable_rows_can_be_repeated(spark, bronze, tmp_path):
     assert refresh.refresh_all(spark, root).gold_rows == 1
 
 
+def test_a_gold_row_without_a_key_is_refused(spark, bronze, tmp_path):
+    one = gold_features(build_silver(bronze([bar("A", "2024-01-02", 1)])))
+    with pytest.raises(PySparkException, match="constraint broken"):
+        refresh.upsert_gold(one.withColumn("symbol", F.lit(None).cast("string")), str(tmp_path))
+    assert gold_of(spark, str(tmp_path)) == []
+
+
 def test_a_gold_upsert_with_a_repeated_key_is_refused(spark, bronze, tmp_path):
     one = gold_features(build_silver(bronze([bar("A", "2024-01-02", 1)])))
     with pytest.raises(DuplicateKeyError):
