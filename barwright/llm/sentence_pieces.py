@@ -9,8 +9,8 @@ Three transducers are compiled from the model file and composed with each input:
 Weights lie in the tropical semiring: a path adds its weights and the smallest sum wins. The state
 after a piece remembers that piece. An arc weighs 0 if merging by score would leave its piece and
 the remembered one side by side, otherwise infinity. Merging leaves exactly one cut of any prefix,
-so at each position exactly one state has a finite weight, and the shortest path is found in one
-pass from left to right. Where no piece has a mark after another symbol, no piece crosses the place
+so at each position exactly one state has a finite weight, and the search of the shortest path never
+comes to a position twice with hope. Where no piece has a mark after another symbol, no piece crosses the place
 before a run of marks, and the input is composed run by run; recent runs are remembered.
 
 Decoding runs the pieces the other way: marks become spaces, runs of byte ids become text (bytes
@@ -31,6 +31,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,8 +42,6 @@ MEMORY = 600_000
 PAIRS = 500_000
 # The state at the start and after bytes, where nothing merges with what stands before.
 APART = (1 << 20) - 1
-# A position that no path has reached yet.
-NOWHERE = -1
 # Kinds of pieces and of models in the file format: fixed values.
 NORMAL, UNKNOWN, CONTROL, USER, BYTE, UNUSED = 1, 2, 3, 4, 6, 5
 BPE = 2
@@ -94,9 +93,20 @@ class PieceModel:
                 self._add(part[1].decode(), struct.unpack("<f", part.get(2, bytes(4)))[0],
                           part.get(3, NORMAL))
         self._compile_merges()
+        self.texts = ["" if kind in (CONTROL, BYTE) else " ⁇ " if kind == UNKNOWN
+                      else piece.replace(MARK, " ") for piece, kind in self.pieces]
+        self.fallback = np.zeros(len(self.pieces), bool)
+        self.fallback[[*self.bytes.values()]] = True
         self.byte_of = {i: b for b, i in self.bytes.items()}
-        # Every beginning of a piece: the id if it is a piece itself, else -1.
-        self.prefixes = {p[:k]: -1 for p in self.ids for k in range(1, len(p))} | self.ids
+        self.sizes = {i: len(p) for p, i in self.ids.items()} | {APART: 1}
+        self.longest = max(map(len, self.ids))
+        # From a beginning of pieces by a symbol to the id of the piece, or -1, and what goes on.
+        self.trie: dict = {}
+        for piece, number in self.ids.items():
+            node = self.trie
+            for symbol in piece[:-1]:
+                node = node.setdefault(symbol, [-1, {}])[1]
+            node.setdefault(piece[-1], [-1, {}])[0] = number
         runs = not any(MARK in p.lstrip(MARK) for p in self.ids)
         self.run = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if runs else ".+", re.DOTALL)
         self.recent = Recent({}, self.shortest, MEMORY)
@@ -156,60 +166,73 @@ class PieceModel:
         return found
 
     def shortest(self, run: str) -> bytes:
-        """Output of the shortest path of the composition with ``run``, as 32-bit ids."""
-        prefix, known, end = self.prefixes.get, self.weights.get, len(run)
-        states, origin = [NOWHERE] * (end + 1), [0] * (end + 1)
-        states[0] = APART
-        for at in range(end):
-            if states[at] == NOWHERE:
-                # No piece ends here: the symbol before goes to its bytes, and nothing merges with it.
-                states[at], origin[at] = APART, at - 1
-            state = states[at] << 20
-            for to in range(at + 1, end + 1):
-                piece = prefix(run[at:to])
-                if piece is None:
+        """Output of the shortest path of the composition with ``run``, as 32-bit ids.
+
+        Depth first, longest arcs first. As a position has one state at most, a position that led
+        nowhere once is closed for good.
+        """
+        trie, longest, known, sizes = self.trie, self.longest, self.weights.get, self.sizes
+        end = len(run)
+        path, closed, at, state = [], None, 0, APART
+        while at < end:
+            arcs, node = [], trie
+            for symbol in run[at:at + longest]:
+                step = node.get(symbol)
+                if step is None:
+                    break
+                piece, node = step
+                if piece >= 0:
+                    arcs.append(piece)
+            if not arcs:
+                # No piece: the symbol goes to its bytes, and nothing merges with it.
+                path.append(APART)
+                at, state = at + 1, APART
+                continue
+            while arcs:
+                piece = arcs.pop()
+                weight = known(state << 20 | piece)
+                if weight is None:
+                    weight = self.finite(state, piece)
+                if weight and not (closed and at + sizes[piece] in closed):
+                    path.append(piece)
+                    at, state = at + sizes[piece], piece
                     break
-                if piece >= 0 and states[to] == NOWHERE:
-                    weight = known(state | piece)
-                    if weight or weight is None and self.finite(state >> 20, piece):
-                        states[to], origin[to] = piece, at
-        if states[end] == NOWHERE:
-            states[end], origin[end] = APART, end - 1
-        out, to = array("i"), end
-        while to:
-            if states[to] == APART:
-                out.extend(self.bytes[b] for b in reversed(run[to - 1].encode()))
             else:
-                out.append(states[to])
-            to = origin[to]
-        out.reverse()
+                closed = closed or set()
+                closed.add(at)
+                at -= sizes[path.pop()]
+                state = path[-1] if path else APART
+        if APART not in path:
+            return array("i", path).tobytes()
+        out, at = array("i"), 0
+        for piece in path:
+            out.extend([piece] if piece != APART else [self.bytes[b] for b in run[at].encode()])
+            at += sizes[piece]
         return out.tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         runs = self.run.findall(self.normalised(text))
         return np.frombuffer(b"".join(map(self.recent.__getitem__, runs)), np.int32)
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: np.ndarray) -> str:
         """The text of ids. Control pieces have no text."""
-        out, pending, first = [], bytearray(), True
-        for i in [*ids, -1]:
-            if i in self.byte_of:
-                pending.append(self.byte_of[i])
-                continue
-            if pending:
-                out.append(readable(bytes(pending)))
-                pending.clear()
-                first = False
-            if i >= 0:
-                piece, kind = self.pieces[i]
-                if kind == UNKNOWN:
-                    out.append(" ⁇ ")
-                elif kind != CONTROL:
-                    # Only the first piece with text stands behind the mark of the normaliser.
-                    text = piece.replace(MARK, " ")
-                    out.append(text[1:] if first and self.prefix and text[0] == " " else text)
-                    first = False
-        return "".join(out)
+        if self.fallback[ids].any():
+            text, pending = [], bytearray()
+            for i in [*ids.tolist(), -1]:
+                if i in self.byte_of:
+                    pending.append(self.byte_of[i])
+                    continue
+                if pending:
+                    text.append(readable(bytes(pending)))
+                    pending.clear()
+                text.append(self.texts[i] if i >= 0 else "")
+            out = "".join(text)
+        else:
+            out = "".join(map(self.texts.__getitem__, ids.tolist()))
+        # The mark of the normaliser goes, if the first piece with text brought one.
+        first = next((i for i in ids.tolist() if self.fallback[i] or self.texts[i]), None)
+        marked = first is not None and not self.fallback[first] and self.texts[first][0] == " "
+        return out[1:] if self.prefix and marked and self.pieces[first][1] == NORMAL else out
 
 
 def readable(data: bytes) -> str:
@@ -237,24 +260,40 @@ def piece_model(path: str) -> PieceModel:
     return PieceModel(path)
 
 
+def ids_of(column: pa.Array) -> list[np.ndarray | None]:
+    """The rows of a list column as arrays."""
+    flat, ends = column.flatten().to_numpy(), np.cumsum(pa.compute.fill_null(
+        pa.compute.list_value_length(column), 0).to_numpy())
+    return [None if null else flat[end - size:end] for null, end, size in zip(
+        column.is_null().to_pylist(), ends, np.diff(ends, prepend=0))]
+
+
+def lists_of(ids: list[np.ndarray | None]) -> pa.Array:
+    ends = np.cumsum([0, *(0 if x is None else len(x) for x in ids)])
+    offsets = pa.array(ends, pa.int32(), mask=np.array([*(x is None for x in ids), False]))
+    parts = [x for x in ids if x is not None]
+    return pa.ListArray.from_arrays(offsets, np.concatenate(parts) if parts else
+                                    pa.array([], pa.int32()))
+
+
 def encoded(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, ids (array of int) and n_bytes (ids that stand for bytes) of every text."""
+    """doc_id, ids (array of int), n_bytes (ids that stand for bytes) and text, which is decoded
+    from the ids again, of every row."""
     def run(batches):
         model = piece_model(path)
-        fallback = np.zeros(len(model.pieces), bool)
-        fallback[list(model.byte_of)] = True
         for batch in pieces(batches, 256):
             ids = [None if t is None else model.encode(t)
                    for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"),
-                pa.array(ids, pa.list_(pa.int32())),
-                pa.array([None if x is None else int(fallback[x].sum()) for x in ids], pa.int64()),
-            ], ["doc_id", "ids", "n_bytes"])
+                batch.column("doc_id"), lists_of(ids),
+                pa.array([None if x is None else int(model.fallback[x].sum()) for x in ids],
+                         pa.int64()),
+                pa.array([None if x is None else model.decode(x) for x in ids], pa.string()),
+            ], ["doc_id", "ids", "n_bytes", "text"])
 
     rows = docs.select("doc_id", docs["text"].cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>, n_bytes long")
+    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>, n_bytes long, text string")
 
 
 def decoded(rows: DataFrame, path: str) -> DataFrame:
@@ -262,27 +301,17 @@ def decoded(rows: DataFrame, path: str) -> DataFrame:
     def run(batches):
         model = piece_model(path)
         for batch in pieces(batches, 256):
-            texts = [None if x is None else model.decode(x)
-                     for x in batch.column("ids").to_pylist()]
+            texts = [None if x is None else model.decode(x) for x in ids_of(batch.column("ids"))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
+    return rows.select("doc_id", rows["ids"].cast("array<int>").alias("ids")).mapInArrow(
+        run, f"doc_id {kind}, text string")
 
 
 def round_trips(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, n_bytes, ids and decoded_sha256 (of the decoded ids) of every text."""
-    def run(batches):
-        model = piece_model(path)
-        for batch in pieces(batches, 256):
-            texts = [None if x is None else model.decode(x)
-                     for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
-
-    rows = encoded(docs, path)
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    back = rows.mapInArrow(run, f"doc_id {kind}, ids array<int>, n_bytes long, decoded string")
-    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "n_bytes", "ids",
-                       F.sha2("decoded", 256).alias("decoded_sha256"))
+    return encoded(docs, path).select(
+        "doc_id", F.when(F.col("ids").isNotNull(), F.size("ids")).cast("long").alias("n_tokens"),
+        "n_bytes", "ids", F.sha2("text", 256).alias("decoded_sha256"))
