@@ -1,0 +1,181 @@
+"""Top products, edit fingerprints and license scans against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+
+from barwright.llm import edit_embedding, license_scan, top_products
+from barwright.llm.common import table
+from samples import SF, random_texts
+
+
+def best(vectors, every=50, top=5):
+    """(vec_id, list) rows -> result rows, by all products."""
+    rows = {(i, tuple(math.floor(256 * x) for x in v)) for i, v in vectors
+            if i is not None and v and all(x is not None and math.isfinite(x) for x in v)}
+    out = []
+    for q in sorted({i for i, _ in rows if i % every == 0}):
+        own = max(v for i, v in rows if i == q)
+        scores = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in rows if i != q)
+        out += [(q, n, i, -s) for n, (s, i) in enumerate(scores[:top], 1)]
+    return out
+
+
+@pytest.mark.parametrize("options", [{}, {"query_block": 2, "range_rows": 40}])
+def test_top_products_equal_brute_force(spark, options):
+    vectors = pq.read_table(f"{SF}/embeddings.parquet").to_pylist()
+    got = top_products.top_products(table(spark, SF, "embeddings"), **options).collect()
+    assert sorted(map(tuple, got)) == best([(r["vec_id"], r["embedding"]) for r in vectors])
+
+
+def test_odd_vectors(spark):
+    draw = np.random.default_rng(1)
+    rows = [(i, draw.normal(size=6).round(2).tolist()) for i in range(120)]
+    rows += [(i, [0.5] * 6) for i in range(120, 160)]  # ties
+    rows += [(200, None), (201, []), (202, [1.0, None]), (203, [float("nan")] * 6),
+             (204, [float("inf")] * 6), (None, [9.0] * 6), (205, [0.0] * 6), (206, [3.0]),
+             (250, [0.1] * 6), (250, [0.1] * 6), (300, [1.0, 2.0]), (300, [2.0, 1.0])]
+    docs = spark.createDataFrame([(i, v, "x", 1) for i, v in rows],
+                                 "vec_id long, embedding array<double>, part string, norm int")
+    for options in ({}, {"range_rows": 16, "query_block": 1}):
+        got = top_products.top_products(docs, every=10, **options).collect()
+        assert sorted(map(tuple, got)) == best(rows, 10)
+
+
+def test_few_or_no_vectors(spark):
+    schema = "vec_id long, embedding array<float>"
+    assert top_products.top_products(spark.createDataFrame([], schema)).collect() == []
+    two = spark.createDataFrame([(0, [1.0]), (1, [-1.0])], schema)
+    assert [tuple(r) for r in top_products.top_products(two).collect()] == [(0, 1, 1, -65536)]
+
+
+def edits(rows):
+    """Rows in the order of the contract -> (doc_id, n_chars, digest of the edited text, next)."""
+    rows = sorted(((i, t or "") for i, t in rows), key=lambda r: r[1], reverse=True)
+    rows.sort(key=lambda r: (r[0] is not None, r[0] or 0), reverse=True)
+    out = []
+    for n, (i, text) in enumerate(rows):
+        after = rows[(n + 1) % len(rows)][1]
+        third = len(text) // 3
+        edited = text[:len(text) - third] + after[:third]
+        out.append((i, len(text), hashlib.sha256(edited.encode()).hexdigest(), text, edited, after))
+    return out
+
+
+def check_edits(got, rows):
+    likeness = edit_embedding.walk(edit_embedding.SEED).likeness
+    want = []
+    for i, n, digest, text, edited, after in edits(rows):
+        prints = [edit_embedding.fingerprint(t) for t in (text, edited, after)]
+        want.append((i, n, digest, *prints[:2], likeness(*prints[:2]),
+                     likeness(prints[0], prints[2])))
+    assert sorted(map(str, (tuple(r)[:7] for r in got))) == sorted(map(str, want))
+
+
+def test_edit_fingerprints_of_the_table(spark, sf_docs):
+    got = edit_embedding.fingerprint_edits(table(spark, SF, "documents")).collect()
+    check_edits(got, [*sf_docs.items()])
+    assert np.mean([r["near_edited"] for r in got]) > 0.55
+    far = [r for r in got if sf_docs[r["doc_id"]][:20] != sf_docs.get(r["doc_id"] - 1, "")[:20]]
+    assert np.mean([r["near_next"] for r in far]) < 0.05
+    assert np.mean([r["edited_bands"] > 0 for r in got if r["n_chars"] > 300]) > 0.95
+
+
+def test_edit_fingerprints_of_odd_rows(spark, odd_docs, odd_texts, no_docs):
+    check_edits(edit_embedding.fingerprint_edits(odd_docs).collect(), odd_texts)
+    assert edit_embedding.fingerprint_edits(no_docs).collect() == []
+    one = spark.createDataFrame([(5, "abcdef")], "doc_id long, text string")
+    check_edits(edit_embedding.fingerprint_edits(one).collect(), [(5, "abcdef")])
+
+
+def test_ids_far_apart_find_their_next(spark):
+    ids = [-9000, -1, 0, 3, 255, 256, 5000, 70_000_000, 2**40, 2**40 + 1]
+    rows = [(i, f"text of {i} " * 9) for i in ids]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    check_edits(edit_embedding.fingerprint_edits(docs).collect(), rows)
+
+
+def test_few_edits_keep_a_fingerprint_near(sf_docs):
+    likeness = edit_embedding.walk(edit_embedding.SEED).likeness
+    texts = [t for t in sf_docs.values() if len(t) > 2000][:20]
+    near = []
+    for text in texts:
+        at = len(text) // 2
+        near.append(likeness(*map(edit_embedding.fingerprint,
+                                  (text, text[:at] + "some words more " + text[at:]))))
+    far = [likeness(*map(edit_embedding.fingerprint, pair)) for pair in zip(texts, texts[1:])]
+    assert np.median(near) > 0.6 and np.median(far) < 0.1
+
+
+def test_plain_fingerprints(odd_docs, odd_texts):
+    got = edit_embedding.fingerprints(odd_docs).collect()
+    want = [(i, edit_embedding.fingerprint(t or "")) for i, t in odd_texts]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+def lowered(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def scan(rows, order):
+    """Result rows by looking at every word and every block."""
+    rank = {w: i for i, w in enumerate(order)}
+    out = []
+    for doc_id, text in rows:
+        words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lowered(text or ""))
+        places = [(i, label) for phrase, label in license_scan.PHRASES.items()
+                  for i in range(len(words)) if words[i:i + len(phrase.split())] == phrase.split()]
+        base, more, score = sorted({x for _, x in places}), set(), float(bool(places))
+        half = license_scan.BLOCK // 2
+        for b in range(max(0, math.ceil((len(words) - license_scan.BLOCK) / half)) + 1):
+            block = {*words[b * half:b * half + license_scan.BLOCK]}
+            for label, template in license_scan.TEMPLATES:
+                t = {*template.split()}
+                if len(block & t) >= math.ceil(license_scan.THRESHOLD * len(t) - 1e-9):
+                    more.add(label)
+                    score = max(score, len(block & t) / len(t))
+        out.append((doc_id, len(words), len(places), min((i for i, _ in places), default=None),
+                    max((i for i, _ in places), default=None), ",".join(base),
+                    ",".join(sorted({*base, *more})), score))
+    return out
+
+
+def licensed(seed):
+    texts = random_texts(seed, 40, "abc de\n", 400)
+    notices = [t for _, t in license_scan.TEMPLATES] + [*license_scan.PHRASES]
+    rows = []
+    for n, notice in enumerate(notices * 3):
+        words = notice.split()
+        if n % 3 == 1 and len(words) > 8:
+            words[3] = "other"
+        sep = [" ", "\n", ", "][n % 3]
+        rows.append((100 + n, texts[n % 40] * (n % 4) + " " + sep.join(words).upper() + " " + texts[n % 7]))
+    return rows
+
+
+def test_license_scan_equals_brute_force(spark, odd_texts):
+    rows = licensed(3) + odd_texts
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in license_scan.scan_licenses(docs).collect()]
+    want = scan(rows, license_scan.known_words())
+    assert sum(bool(r[6]) for r in want) > 30
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_license_query_and_odd_rows(spark, sf_docs, odd_docs, odd_texts, no_docs):
+    got = license_scan.scan_licenses(table(spark, SF, "documents")).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, scan([*sf_docs.items()], [])))
+    odd = license_scan.scan_licenses(odd_docs).collect()
+    assert sorted(map(str, map(tuple, odd))) == sorted(map(str, scan(odd_texts, [])))
+    assert license_scan.scan_licenses(no_docs).collect() == []
+
+
+def test_license_scan_runs_no_python(odd_docs):
+    plan = license_scan.scan_licenses(odd_docs)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
