@@ -42,7 +42,8 @@ def completeness_gaps(silver: DataFrame) -> DataFrame:
     Looks at neighbouring dates and lists only what lies between them, so the work follows the rows
     there are and the days that are missing; no full calendar per symbol is built or joined.
     """
-    days = silver.select("symbol", "dt").distinct()
+    # A repeated date has a distance of 0 and falls out by itself.
+    days = silver.select("symbol", "dt")
     previous = F.lag("dt").over(Window.partitionBy("symbol").orderBy("dt"))
     return (days
             .withColumn("_previous", previous)

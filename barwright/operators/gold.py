@@ -42,15 +42,18 @@ def _with_features(silver: DataFrame, series: WindowSpec) -> DataFrame:
     })
 
 
-def gold_features(silver: DataFrame, carry: list[str] = ()) -> DataFrame:
-    """All features from one shuffle and one sort by (symbol, dt); ``carry`` names columns to keep.
+def gold_features(silver: DataFrame, carry: list[str] = (),
+                  series: list[str] = ("symbol",)) -> DataFrame:
+    """All features from one shuffle and one sort by (symbol, dt); ``carry`` names columns to keep,
+    and ``series`` the columns whose values make a series of their own.
 
     Silver has one row per symbol and date, so the calendar bounds the rows of a symbol (about 250
     a year) whatever the size of the table. Where even that is too long for one task, use
     :func:`gold_features_chunked`.
     """
-    series = Window.partitionBy("symbol").orderBy("dt")
-    return _with_features(silver.select(*KEY, "close", "volume", *carry), series) \
+    window = Window.partitionBy(*series).orderBy("dt")
+    own = [name for name in series if name not in KEY and name not in carry]
+    return _with_features(silver.select(*KEY, "close", "volume", *own, *carry), window) \
         .select(*KEY, *FEATURE_COLUMNS, *carry)
 
 
@@ -60,7 +63,7 @@ def gold_features_chunked(silver: DataFrame, chunk_rows: int = 2048) -> DataFram
     Each row gets its position in the symbol from the row counts of earlier years. Positions are
     cut into chunks, the last ``HALO`` rows of a chunk also go to the next one, and the windows run
     per (symbol, chunk). Positions count rows, so gaps in the dates do not matter. The offsets have
-    a row per symbol and year; their hint keeps Spark from building on the bars instead.
+    a row per symbol and year. ``silver`` is read twice and should be a stored table.
     """
     if chunk_rows <= HALO:
         raise ValueError(f"chunk_rows must exceed {HALO}")
@@ -77,7 +80,7 @@ def gold_features_chunked(silver: DataFrame, chunk_rows: int = 2048) -> DataFram
     reaches_next = F.col("_position") % chunk_rows >= chunk_rows - HALO
     placed = (bars
               .withColumn("_in_year", in_year)
-              .join(offsets.hint("shuffle_hash"), ["symbol", "_year"])
+              .join(offsets, ["symbol", "_year"])
               .withColumn("_position", position)
               .withColumn("_home", chunk)
               .withColumn("_chunk", F.explode(

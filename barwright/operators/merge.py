@@ -28,8 +28,8 @@ def require_unique(rows: DataFrame, keys: list[str] = KEY) -> None:
 def merge_keyed(base: DataFrame, increment: DataFrame, keys: list[str] = KEY) -> DataFrame:
     """``increment`` wins on every key it holds; its NULLs overwrite too.
 
-    The increment is read twice and must have unique keys. AQE broadcasts its keys when they are
-    measured to be small, and then ``base`` is not shuffled at all.
+    The increment is read twice and must have unique keys. AQE broadcasts its keys when they turn out
+    to be small; by then ``base`` has been shuffled too.
     """
     kept = base.join(increment.select(*keys), keys, "left_anti").select(*base.columns)
     return kept.unionByName(increment)
@@ -37,5 +37,6 @@ def merge_keyed(base: DataFrame, increment: DataFrame, keys: list[str] = KEY) ->
 
 def merge_latest(base: DataFrame, increment: DataFrame) -> DataFrame:
     """Merge of silver rows in which the higher ``seq`` wins, so that a late load of old rows does
-    not replace newer ones. Repeating a merge changes nothing."""
-    return latest_per_key(base.unionByName(increment))
+    not replace newer ones; at equal ``seq`` the increment wins. Repeating a merge changes nothing."""
+    both = base.withColumn("_new", F.lit(0)).unionByName(increment.withColumn("_new", F.lit(1)))
+    return latest_per_key(both, after="_new").drop("_new")

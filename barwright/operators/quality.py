@@ -42,14 +42,14 @@ def check_counts() -> list[Column]:
 def quality_report(bars: DataFrame) -> DataFrame:
     """One row per check: how many rows failed, of how many; and the surplus rows per key."""
     names = list(row_checks())
-    lines = ", ".join(f"'{name}', {name}" for name in names)
-    per_row = bars.agg(*check_counts()).selectExpr(
-        f"stack({len(names)}, {lines}) AS (check_name, n_failed)", "rows AS n_rows")
-    surplus = bars.groupBy(*KEY).agg(F.count(F.lit(1)).alias("copies")).agg(
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("n_failed"),
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("n_rows"),
-    ).select(F.lit("key_is_repeated").alias("check_name"), "n_failed", "n_rows")
-    return per_row.unionByName(surplus)
+    # One scan: counted by key first, then added up.
+    per_key = bars.groupBy(*KEY).agg(*check_counts()).withColumn(
+        "key_is_repeated", F.col("rows") - 1)
+    totals = per_key.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name)
+                           for name in ["rows", *names, "key_is_repeated"]])
+    lines = ", ".join(f"'{name}', {name}" for name in [*names, "key_is_repeated"])
+    return totals.selectExpr(
+        f"stack({len(names) + 1}, {lines}) AS (check_name, n_failed)", "rows AS n_rows")
 
 
 def require_constraints(silver: DataFrame) -> None:
@@ -90,7 +90,8 @@ def duplicate_rate(bronze: DataFrame) -> DataFrame:
 def drift_report(bars: DataFrame, split: Column) -> DataFrame:
     """Per symbol, the close prices before ``split`` (ref) against those from it on (cur).
 
-    Means come from exact sums; ``mean_shift`` is the relative change of the mean.
+    Means and deviations come from exact sums of values and squares, so they do not depend on the
+    order of rows; ``mean_shift`` is the relative change of the mean.
     """
     after = F.col("dt") >= split
     sides = {"ref": ~after, "cur": after}
@@ -101,7 +102,7 @@ def drift_report(bars: DataFrame, split: Column) -> DataFrame:
             F.count_if(here).alias(f"n_{side}"),
             (F.sum(close).cast("double") / F.nullif(F.count(close), F.lit(0)))
             .alias(f"mean_{side}"),
-            F.round(F.stddev_samp(close.cast("double")), 4).alias(f"std_{side}"),
+            _deviation(close).alias(f"std_{side}"),
             (F.count_if(here & F.col("close").isNull()).cast("double")
              / F.nullif(F.count_if(here), F.lit(0))).alias(f"null_rate_{side}"),
         ]
@@ -109,6 +110,17 @@ def drift_report(bars: DataFrame, split: Column) -> DataFrame:
     return bars.groupBy("symbol").agg(*parts).withColumn("mean_shift", shift)
 
 
+def _deviation(value: Column) -> Column:
+    """Sample deviation of prices from exact sums; NULL below two values."""
+    exact = value.cast("decimal(18,6)")
+    n, total = F.count(exact), F.sum(exact)
+    squares = F.sum((exact * exact).cast("decimal(38,12)"))
+    # n * squares - total * total, taken apart so that no product leaves 38 digits.
+    mean = total.cast("double") / n
+    spread = (squares.cast("double") - mean * total.cast("double")) / (n - 1)
+    return F.when(n > 1, F.round(F.sqrt(F.greatest(spread, F.lit(0.0))), 4))
+
+
 def middle_date(rows: DataFrame) -> Column:
     """The date halfway between the first and the last ``dt``, as a scalar subquery."""
     first, last = F.min("dt"), F.max("dt")

@@ -134,6 +134,25 @@ FROM feed WHERE dt >= DATE '2024-01-01' AND dt < current_date""",
     "feed_single_symbol": f"""WITH {FEED}
 SELECT 'ALL' AS symbol, dt, open, high, low, close, CAST(0 AS BIGINT) AS volume, source, seq
 FROM feed WHERE dt >= DATE '2024-01-01' AND dt < current_date""",
+    "feed_date_range": f"""WITH {FEED}
+SELECT symbol, dt, open, high, low, close, coalesce(volume, 0) AS volume, source, seq
+FROM feed WHERE dt >= DATE '2024-01-05' AND dt < DATE '2024-01-20'""",
+    "feed_intraday_load": f"""WITH {FEED}
+SELECT symbol, dt, CAST(first(open ORDER BY ts, seq) AS {P}) AS open,
+       CAST(max(high) AS {P}) AS high, CAST(min(low) AS {P}) AS low,
+       CAST(last(close ORDER BY ts, seq) AS {P}) AS close,
+       CAST(sum({CLAMPED}) AS BIGINT) AS volume
+FROM feed_raw WHERE symbol IS NOT NULL AND close IS NOT NULL AND dt >= DATE '2024-01-01'
+GROUP BY symbol, dt""",
+    "refresh_after_replaced_load": f"WITH {FEED_SILVER} SELECT * FROM feed_silver",
+    "refresh_after_withdrawn_load": f"""WITH {TWO_LOADS}
+SELECT * FROM first UNION ALL SELECT * FROM second {KEEP_OLD.format("first")}""",
+    "late_correction_wins": f"""WITH {FEED_SILVER}
+SELECT symbol, dt, CAST(open - 1 AS {P}) AS open, CAST(high - 1 AS {P}) AS high,
+       CAST(low - 1 AS {P}) AS low, CAST(close - 1 AS {P}) AS close, volume FROM feed_silver""",
+    "refresh_twice": f"WITH {FEED_SILVER},{_gold('gold', 'feed_silver')} SELECT * FROM gold",
+    "load_counts": f"""WITH {BOTH}
+SELECT source, count(*) AS n_rows FROM bronze GROUP BY source""",
     "bronze_union": f"WITH {BOTH} SELECT * FROM bronze",
     "bronze_append": f"""WITH {BOTH}
 SELECT *, CAST(1 AS BIGINT) AS batch FROM bronze

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,21 +15,18 @@ from pyspark.sql import functions as F
 from barwright.functions.dates import month_key
 from barwright.operators.gold import HALO, gold_features
 from barwright.operators.merge import merge_keyed, merge_latest, require_unique
-from barwright.operators.quality import check_counts, enforce_constraints
-from barwright.operators.silver import build_silver
+from barwright.operators.quality import QualityError, check_counts, enforce_constraints
+from barwright.operators.silver import build_silver, quarantine
 from barwright.schemas import BRONZE, GOLD, KEY, SILVER, STORED
 from barwright.session import staged
 from barwright.sources.raw import EmptySourceError, RawBars, read_csv_bars, read_feed
 from barwright.sources.tables import (
-    append_bronze, check_stored_schema, load_path, read_bronze_loads, read_months, read_table,
-    stored_months, touched_months, write_months,
+    append_bronze, check_stored_schema, load_number, load_path, note_loads, pending_loads,
+    read_bronze_loads, read_months, read_parts, read_table, stored_months, table_path,
+    touched_parts, write_months,
 )
 
 
-# Up to this many symbols are named in a scan filter; more are found by a join.
-_NAMED = 1000
-
-
 @dataclass
 class Refresh:
     """Rows written per layer, and the counts of the quality checks on silver."""
@@ -40,47 +36,52 @@ class Refresh:
     quality: dict[str, int] = field(default_factory=dict)
 
 
-def load(raw: RawBars, root: str, batch: int, strict: bool = False) -> int:
-    """Append a source to bronze in one pass and return the number of rows loaded.
+def load(raw: RawBars, root: str, batch: int | None = None, strict: bool = False) -> int:
+    """Append a source to bronze and return the number of rows loaded.
 
-    Bad rows go to ``bronze_rejects`` (a second pass, made only if the first one counted any); with
-    ``strict`` a bad row stops the load before anything is written. An empty source is an error.
+    Without ``batch`` the load gets the next number over all sources. Bad rows go to
+    ``bronze_rejects`` first (a pass made only if the first one counted any), so that rows are never
+    in bronze without their rejects; with ``strict`` a bad row stops the load before anything is
+    written. An empty source is an error. A load that succeeded is noted as pending.
     """
-    if raw.parsed.isEmpty():
+    spark = raw.parsed.sparkSession
+    if batch is None:
+        batch = load_number(spark, root)
+    counts = raw.parsed.agg(F.count("*"), F.count("_reason")).first()
+    if not counts[0]:
         raise EmptySourceError(f"the source {raw.source} has no rows")
-    if strict:
-        return append_bronze(raw.strict, root, raw.source, batch)
-    counted = Observation()
-    parsed = raw.parsed.drop("_raw") \
-        .observe(counted, F.count_if(F.col("_reason").isNotNull()).alias("bad"))
-    rows = append_bronze(RawBars(raw.source, parsed).bars, root, raw.source, batch)
-    if counted.get["bad"]:
+    if counts[1] and not strict:
         raw.bad.write.mode("append").parquet(load_path(root, "bronze_rejects", raw.source, batch))
+    rows = append_bronze(raw.strict if strict else raw.bars, root, raw.source, batch)
+    note_loads(spark, root, [(batch, raw.source, batch)], "loaded")
     return rows
 
 
-def load_csv_to_bronze(spark: SparkSession, path: str, root: str, batch: int = 0,
+def load_csv_to_bronze(spark: SparkSession, path: str, root: str, batch: int | None = None,
                        source: str = "csv", strict: bool = False) -> int:
-    """Load CSV files; a higher ``batch`` wins over a lower one for the same symbol and date."""
+    """Load CSV files; a later load wins over an earlier one for the same symbol and date."""
+    batch = load_number(spark, root) if batch is None else batch
     return load(read_csv_bars(spark, path, source, seq=batch), root, batch, strict)
 
 
 def load_feed_to_bronze(spark: SparkSession, path: str, root: str, symbol: str, start: str,
-                        end: str | None = None, fmt: str = "parquet", batch: int = 0,
-                        source: str = "feed", strict: bool = False) -> int:
-    """Load the landed extracts of one symbol for ``start`` up to but not including ``end``."""
-    raw = read_feed(spark, path, symbol, start, end, fmt, source, seq=batch)
+                        end: str | None = None, fmt: str = "parquet", batch: int | None = None,
+                        source: str = "feed", strict: bool = False, intraday: bool = False) -> int:
+    """Load the landed extracts of one symbol for ``start`` up to but not including ``end``.
+
+    ``intraday`` rolls extracts with several rows a day up to daily bars, by their times.
+    """
+    batch = load_number(spark, root) if batch is None else batch
+    raw = read_feed(spark, path, symbol, start, end, fmt, source, seq=batch, intraday=intraday)
     return load(raw, root, batch, strict)
 
 
 def refresh_silver(spark: SparkSession, root: str) -> dict[str, int]:
-    """Rebuild silver from all of bronze; rows that only silver still has stay.
-
-    Stored silver rows take part in the dedupe as one more source, so the merge needs no join.
-    """
+    """Rebuild silver from all of bronze, whatever silver held for its keys; rows of keys that only
+    silver still has stay."""
     bronze = read_table(spark, root, "bronze_price_raw").select(*SILVER.names)
     known = read_table(spark, root, "price_silver").select(*SILVER.names)
-    return _write_silver(build_silver(bronze.unionByName(known)), root)
+    return _write_silver(build_silver(bronze, known), root)
 
 
 def _write_silver(silver: DataFrame, root: str) -> dict[str, int]:
@@ -93,46 +94,86 @@ def refresh_gold(spark: SparkSession, root: str, keep_orphans: bool = True) -> i
     ``keep_orphans`` keeps gold rows whose silver row was removed by hand; where nobody does that,
     leaving it out saves a join of both tables.
     """
-    gold = gold_features(read_table(spark, root, "price_silver"))
+    silver = read_table(spark, root, "price_silver")
+    require_unique(silver)
+    gold = gold_features(silver)
     if keep_orphans:
         gold = merge_keyed(read_table(spark, root, "features_gold").select(*GOLD.names), gold)
     return write_months(enforce_constraints(gold, KEY), root, "features_gold")["rows"]
 
 
-def refresh_all(spark: SparkSession, root: str) -> Refresh:
+def refresh_all(spark: SparkSession, root: str,
+                limits: dict[str, float] | None = None) -> Refresh:
+    """Silver from all of bronze, gold from all of silver; every load then counts as worked in.
+
+    Incomplete rows of bronze are stored in ``quarantine`` and counted. ``limits`` names checks
+    (those of ``row_checks``, or ``incomplete``) and the share of rows that may fail each; above one
+    the refresh stops before silver is touched.
+    """
     for name in STORED:
         check_stored_schema(spark, root, name)
-    quality = refresh_silver(spark, root)
-    return Refresh(quality["rows"], refresh_gold(spark, root), quality)
-
-
-def run(spark: SparkSession, sources: list[RawBars], root: str, batch: int,
+    pending = pending_loads(spark, root)
+    bronze = read_table(spark, root, "bronze_price_raw")
+    counted = Observation()
+    set_aside = quarantine(bronze.select(*BRONZE.names))
+    set_aside.observe(counted, F.count("*").alias("incomplete")).write.mode("overwrite").parquet(
+        table_path(root, "quarantine"))
+    incomplete = counted.get["incomplete"]
+    if limits:
+        clean = build_silver(bronze, read_table(spark, root, "price_silver"))
+        found = clean.agg(*check_counts()).first().asDict()
+        total = {"incomplete": bronze.count()}
+        over = {name: (found | {"incomplete": incomplete})[name] for name, share in limits.items()
+                if (found | {"incomplete": incomplete})[name]
+                > share * total.get(name, found["rows"])}
+        if over:
+            raise QualityError(f"more rows fail than allowed: {over}")
+    quality = refresh_silver(spark, root) | {"incomplete": incomplete}
+    done = Refresh(quality["rows"], refresh_gold(spark, root), quality)
+    note_loads(spark, root, pending, "applied")
+    return done
+
+
+def run(spark: SparkSession, sources: list[RawBars], root: str, batch: int | None = None,
         strict: bool = False, full: bool = True) -> Refresh:
     """Load the sources side by side, then silver, then gold. All loads must succeed first.
 
-    With ``full`` off only the new loads are worked into silver and gold.
+    Without ``batch`` each source gets a number of its own. With ``full`` off only the new loads are
+    worked into silver and gold.
     """
+    first = load_number(spark, root) if batch is None else batch
+    numbers = [first + (i if batch is None else 0) for i in range(len(sources))]
     with ThreadPoolExecutor(max(1, len(sources))) as pool:
-        list(pool.map(lambda raw: load(raw, root, batch, strict), sources))
+        list(pool.map(lambda raw, number: load(raw, root, number, strict), sources, numbers))
     if full:
         return refresh_all(spark, root)
-    return refresh_increment(spark, root, [(raw.source, batch) for raw in sources])
-
-
-def refresh_increment(spark: SparkSession, root: str, loads: list[tuple[str, int]]) -> Refresh:
-    """Bring silver and gold up to date with (source, batch) loads of bronze."""
+    return refresh_increment(
+        spark, root, [(raw.source, number) for raw, number in zip(sources, numbers)])
+
+
+def refresh_increment(spark: SparkSession, root: str,
+                      loads: list[tuple[str, int]] | None = None) -> Refresh:
+    """Bring silver and gold up to date with (source, batch) loads of bronze; with all loads that
+    no refresh has worked in yet, if none are named."""
+    pending = pending_loads(spark, root)
+    if loads is None:
+        loads = [(source, batch) for _, source, batch in pending]
+    if not loads:
+        return Refresh()
     new = read_bronze_loads(spark, root, loads).select(*BRONZE.names)
     with staged(build_silver(new), "silver-changes") as changes:
         quality = apply_to_silver(changes, root)
-        return Refresh(quality.get("rows", 0), apply_to_gold(changes, root), quality)
+        done = Refresh(quality.get("rows", 0), apply_to_gold(changes, root), quality)
+    note_loads(spark, root, [entry for entry in pending if entry[1:] in loads], "applied")
+    return done
 
 
 def apply_to_silver(changes: DataFrame, root: str) -> dict[str, int]:
-    """Merge clean rows into the months of silver they touch. ``changes`` must be a written table."""
-    months = touched_months(changes)
-    if not months:
+    """Merge clean rows into the buckets of silver they touch. ``changes`` must be a written table."""
+    parts = touched_parts(changes, root)
+    if not parts:
         return {}
-    known = read_months(changes.sparkSession, root, "price_silver", months)
+    known = read_parts(changes.sparkSession, root, "price_silver", parts)
     merged = merge_latest(known.select(*SILVER.names), changes.select(*SILVER.names))
     return _write_silver(merged, root)
 
@@ -144,10 +185,10 @@ def apply_to_gold(changes: DataFrame, root: str) -> int:
 
 
 def upsert_gold(features: DataFrame, root: str) -> int:
-    """Merge rows into the months of gold they touch; two rows for one key raise."""
+    """Merge rows into the buckets of gold they touch; two rows for one key raise."""
     with staged(features, "gold-changes") as rows:
         require_unique(rows)
-        known = read_months(rows.sparkSession, root, "features_gold", touched_months(rows))
+        known = read_parts(rows.sparkSession, root, "features_gold", touched_parts(rows, root))
         merged = merge_keyed(known.select(*GOLD.names), rows)
         return write_months(enforce_constraints(merged, KEY), root, "features_gold")["rows"]
 
@@ -155,74 +196,69 @@ def upsert_gold(features: DataFrame, root: str) -> int:
 def gold_for_changes(changes: DataFrame, root: str, margin: int = 2) -> DataFrame | None:
     """Features of each changed row and of the next ``HALO`` rows of its symbol.
 
-    Reads the months of the changes and ``margin`` months on either side. A correction years back
-    is a segment of its own, so the months between it and today are not read.
+    Reads the months of the changes and ``margin`` months on either side, in the buckets of the
+    changed symbols and in one scan. A correction years back is a segment of its own, so the months
+    between it and today are not read; windows run by symbol and segment.
     """
     spark = changes.sparkSession
-    stored = stored_months(spark, root, "price_silver")
-    parts = [_gold_for_segment(changes, root, stored, low, high)
-             for low, high in month_segments(touched_months(changes), margin)]
+    parts = touched_parts(changes, root)
     if not parts:
         return None
-    # A sparse symbol can have the same row in reach of two segments, with the same values.
-    return reduce(DataFrame.unionByName, parts).distinct() if len(parts) > 1 else parts[0]
-
-
-def month_segments(months: list[int], margin: int, most: int = 3) -> list[tuple[int, int]]:
-    """Ranges that hold ``months`` and ``margin`` months around each.
-
-    Ranges that meet are joined, and so are the closest ones until at most ``most`` are left: each
-    is a part of the plan, and reading some months in between is cheaper than many parts.
-    """
-    ranges = [[index - margin, index + margin]
-              for index in sorted(month // 100 * 12 + month % 100 - 1 for month in months)]
-    gaps = [right[0] - left[1] for left, right in zip(ranges, ranges[1:])]
-    widest = sorted((gap for gap in gaps if gap > 1), reverse=True)[:most - 1]
-    segments = ranges[:1]
-    for gap, following in zip(gaps, ranges[1:]):
-        if gap in widest:
-            widest.remove(gap)
-            segments.append(following)
-        else:
-            segments[-1][1] = following[1]
-    return [tuple(index // 12 * 100 + index % 12 + 1 for index in pair) for pair in segments]
-
-
-def _gold_for_segment(changes: DataFrame, root: str, stored: list[int],
-                      low: int, high: int) -> DataFrame:
-    spark = changes.sparkSession
+    buckets = sorted({bucket for _, bucket in parts})
+    segments = month_segments(sorted({month for month, _ in parts}), margin)
+    stored = stored_months(spark, root, "price_silver")
+    number = {month: i for i, (low, high) in enumerate(segments)
+              for month in stored if low <= month <= high}
 
     def silver(months):
-        return read_months(spark, root, "price_silver", months).select(*KEY, "close", "volume")
-
-    changed = changes.where(month_key(F.col("dt")).between(low, high))
-    marks = changed.select(*KEY, F.lit(1).alias("_changed"))
-    span = changed.groupBy("symbol").agg(F.min("dt").alias("_first"), F.max("dt").alias("_last"))
-    bars = silver(m for m in stored if low <= m <= high)
-    # The join by symbol comes last: the window then finds its rows partitioned by symbol already.
-    rows = bars.join(marks, KEY, "left").join(span, "symbol", "left_semi")
+        return read_months(spark, root, "price_silver", months, buckets).select(
+            *KEY, "close", "volume", "ym")
+
+    of_month = F.create_map(*[F.lit(x) for pair in number.items() for x in pair])
+    place = ["symbol", "_segment"]
+    marks = changes.select(*KEY).distinct().withColumn("_changed", F.lit(1))
+    span = marks.groupBy("symbol", of_month[month_key(F.col("dt"))].alias("_segment")).agg(
+        F.min("dt").alias("_first"), F.max("dt").alias("_last"))
+    # Cut to the changed symbols before anything else.
+    bars = silver(number).withColumn("_segment", of_month[F.col("ym")]).join(span, place)
+    wanted = [*place, "dt", "close", "volume", "_changed"]
+    rows = bars.join(marks, KEY, "left").select(*wanted)
 
     # Symbols too sparse to have HALO rows before their first and after their last change in these
     # months get the nearest HALO rows from the months outside.
-    counts = bars.join(span, "symbol").groupBy("symbol").agg(
+    sparse = bars.groupBy(*place).agg(
         F.count_if(F.col("dt") < F.col("_first")).alias("_before"),
-        F.count_if(F.col("dt") > F.col("_last")).alias("_after"))
-    spans = span.join(counts, "symbol", "left").fillna(0, ["_before", "_after"])
-    for side, months, nearest in (("_before", [m for m in stored if m < low], F.desc("dt")),
-                                  ("_after", [m for m in stored if m > high], F.asc("dt"))):
-        sparse = spans.where(F.col(side) < HALO).select("symbol")
-        names = [row["symbol"] for row in sparse.take(_NAMED + 1)] if months else []
-        if names:
-            outside = silver(months).withColumn("_changed", F.lit(None).cast("int"))
-            if len(names) > _NAMED:
-                outside = outside.join(sparse, "symbol", "left_semi")
-            else:
-                # Reaches the Parquet scan, where most row groups have no such symbol.
-                outside = outside.where(F.col("symbol").isin(names))
-            rank = F.row_number().over(Window.partitionBy("symbol").orderBy(nearest))
-            rows = rows.unionByName(outside.withColumn("_rank", rank)
-                                    .where(F.col("_rank") <= HALO).drop("_rank"))
-
-    frame = Window.partitionBy("symbol").orderBy("dt").rowsBetween(-HALO, Window.currentRow)
+        F.count_if(F.col("dt") > F.col("_last")).alias("_after")
+    ).where(F.least("_before", "_after") < HALO)
+    elsewhere = len(segments) > 1 or len(stored) > len(number)
+    if elsewhere and not sparse.isEmpty():
+        ends = [F.create_map(*[F.lit(x) for i, pair in enumerate(segments) for x in (i, pair[end])])
+                for end in (0, 1)]
+        earlier = (F.col("ym") < ends[0][F.col("_segment")]) & (F.col("_before") < HALO)
+        later = (F.col("ym") > ends[1][F.col("_segment")]) & (F.col("_after") < HALO)
+        day = F.unix_date("dt")
+        rank = F.row_number().over(Window.partitionBy(*place, "_early").orderBy(
+            F.when(F.col("_early"), -day).otherwise(day)))
+        outside = silver(stored).join(sparse, "symbol").where(earlier | later).withColumn(
+            "_early", F.col("ym") < ends[0][F.col("_segment")])
+        # They are read by frames only: if changed themselves, they are so in their own segment.
+        rows = rows.unionByName(outside.withColumn("_rank", rank).where(F.col("_rank") <= HALO)
+                                .withColumn("_changed", F.lit(None).cast("int")).select(*wanted))
+
+    frame = Window.partitionBy(*place).orderBy("dt").rowsBetween(-HALO, Window.currentRow)
     near = rows.withColumn("_near", F.max("_changed").over(frame))
-    return gold_features(near, carry=["_near"]).where(F.col("_near") == 1).select(*GOLD.names)
+    found = gold_features(near, carry=["_near"], series=place).where(F.col("_near") == 1).select(
+        *GOLD.names)
+    # A sparse symbol can have the same row in reach of two segments, with the same values.
+    return found.distinct() if len(segments) > 1 else found
+
+
+def month_segments(months: list[int], margin: int) -> list[tuple[int, int]]:
+    """Ranges that hold ``months`` and ``margin`` months around each; ranges that meet are one."""
+    segments: list[list[int]] = []
+    for index in sorted(month // 100 * 12 + month % 100 - 1 for month in months):
+        if segments and index - margin <= segments[-1][1] + 1:
+            segments[-1][1] = index + margin
+        else:
+            segments.append([index - margin, index + margin])
+    return [tuple(index // 12 * 100 + index % 12 + 1 for index in pair) for pair in segments]

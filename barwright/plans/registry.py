@@ -35,11 +35,7 @@ def restated_feed(spark: SparkSession, sf: str) -> DataFrame:
 
     It meets keys of the first load, adds keys after its last day and leaves its first days alone.
     """
-    first = feed_bronze(spark, sf)
-    dearer = {name: (F.col(name) + 1).cast(first.schema[name].dataType)
-              for name in ["open", "high", "low", "close"]}
-    return first.withColumns({
-        **dearer,
+    return dearer(feed_bronze(spark, sf), 1).withColumns({
         "dt": F.date_add("dt", RESTATED_DAYS),
         "seq": F.col("seq") + RESTATED_SEQ,
         "source": F.lit("restated"),
@@ -92,6 +88,25 @@ def feed_single_symbol(spark, sf):
                          schema=schema, seq=F.col("seq")).bars
 
 
+@query
+def feed_date_range(spark, sf):
+    folder = scratch_dir(spark, "feed")
+    vendor_extract(spark, sf).write.parquet(folder)
+    return raw.read_feed(spark, folder, start="2024-01-05", end="2024-01-20",
+                         seq=F.col("seq")).bars
+
+
+@query
+def feed_intraday_load(spark, sf):
+    """The vendor extract, several rows a day, loaded as daily bars and refreshed to silver."""
+    folder, root = scratch_dir(spark, "feed"), scratch_dir(spark, "tables")
+    vendor_extract(spark, sf).write.parquet(folder)
+    refresh.load(raw.read_feed(spark, folder, start="2024-01-01", end="2025-01-01",
+                               seq=F.col("seq"), intraday=True), root)
+    refresh.refresh_all(spark, root)
+    return tables.read_table(spark, root, "price_silver").select(*BAR_COLUMNS)
+
+
 @query
 def bronze_union(spark, sf):
     return both_bronze(spark, sf)
@@ -173,7 +188,12 @@ def latest_date(spark, sf):
 
 @query
 def latest_features(spark, sf):
-    return serving.latest_features(gold.gold_features(clean(spark, sf)))
+    """Through the view, which is registered before the tables have any rows."""
+    root = scratch_dir(spark, "tables")
+    tables.register_views(spark, root)
+    refresh.run(spark, [loaded(feed_bronze(spark, sf), "feed")], root)
+    refresh.run(spark, [loaded(bulk_bronze(spark, sf), "bulk")], root)
+    return spark.table("latest_features")
 
 
 @query
@@ -228,6 +248,62 @@ def incremental_gold(spark, sf):
     return tables.read_table(spark, root, "features_gold").select(*GOLD.names)
 
 
+def dearer(rows, by):
+    """The same rows with all prices changed by ``by``."""
+    return rows.withColumns({name: (F.col(name) + by).cast(rows.schema[name].dataType)
+                             for name in ["open", "high", "low", "close"]})
+
+
+@query
+def refresh_after_replaced_load(spark, sf):
+    """A load is replaced by one with lower prices at the same ``seq``: silver follows."""
+    root = scratch_dir(spark, "tables")
+    refresh.run(spark, [loaded(dearer(feed_bronze(spark, sf), 1), "feed")], root, batch=1)
+    tables.replace_bronze_batch(feed_bronze(spark, sf), root, "feed", 1)
+    refresh.refresh_all(spark, root)
+    return tables.read_table(spark, root, "price_silver").select(*SILVER.names)
+
+
+@query
+def refresh_after_withdrawn_load(spark, sf):
+    """A newer load is emptied: its keys fall back to the older load, those it alone had stay."""
+    root = scratch_dir(spark, "tables")
+    refresh.run(spark, [loaded(feed_bronze(spark, sf), "feed"),
+                        loaded(restated_feed(spark, sf), "restated")], root, batch=1)
+    tables.replace_bronze_batch(restated_feed(spark, sf).limit(0), root, "restated", 1)
+    refresh.refresh_all(spark, root)
+    return tables.read_table(spark, root, "price_silver").select(*SILVER.names)
+
+
+@query
+def late_correction_wins(spark, sf):
+    """Two loads of CSV files without a batch: the later one wins with lower prices."""
+    root, rows = scratch_dir(spark, "tables"), silver.build_silver(feed_bronze(spark, sf))
+    for by in (0, -1):
+        folder = scratch_dir(spark, "csv")
+        synth.write_csv(dearer(rows, by), folder)
+        refresh.load_csv_to_bronze(spark, folder, root)
+        refresh.refresh_increment(spark, root)
+    return tables.read_table(spark, root, "price_silver").select(*BAR_COLUMNS)
+
+
+@query
+def refresh_twice(spark, sf):
+    root = scratch_dir(spark, "tables")
+    refresh.run(spark, [loaded(feed_bronze(spark, sf), "feed")], root)
+    refresh.refresh_all(spark, root)
+    return tables.read_table(spark, root, "features_gold").select(*GOLD.names)
+
+
+@query
+def load_counts(spark, sf):
+    """Rows that each load brought, as the loads counted them."""
+    root = scratch_dir(spark, "tables")
+    counts = [(name, refresh.load(loaded(rows, name), root)) for name, rows in
+              (("feed", feed_bronze(spark, sf)), ("bulk", bulk_bronze(spark, sf)))]
+    return spark.createDataFrame(counts, "source string, n_rows long")
+
+
 # ---- bars, calendar, generator
 
 @query
@@ -328,9 +404,12 @@ def stream_reconcile(spark, sf):
 
 
 def streamed_silver(spark, sf):
+    """The events in three files, a micro-batch each, so that later ones merge into earlier ones."""
     root = scratch_dir(spark, "stream")
-    rows = silver.cast_bars(feed_rows(event_stream(spark, sf)), F.lit("feed").alias("source"),
-                            "seq")
+    events = table(spark, sf, "events")
+    events.repartition(3, "event_id").write.parquet(f"{root}/events")
+    stream = read_stream(spark, f"{root}/events", events.schema, maxFilesPerTrigger="1")
+    rows = silver.cast_bars(feed_rows(stream), F.lit("feed").alias("source"), "seq")
     stream_tables.stream_silver(rows, root, "feed", f"{root}/checkpoint-silver").awaitTermination()
     return root
 
@@ -344,5 +423,6 @@ def stream_silver(spark, sf):
 @query
 def stream_gold(spark, sf):
     root = streamed_silver(spark, sf)
-    stream_tables.stream_gold(spark, root, f"{root}/checkpoint-gold").awaitTermination()
+    stream_tables.stream_gold(spark, root, f"{root}/checkpoint-gold",
+                              maxFilesPerTrigger="1").awaitTermination()
     return tables.read_table(spark, root, "features_gold").select(*GOLD.names)

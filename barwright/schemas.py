@@ -37,12 +37,13 @@ GOLD = T.StructType([
     *[T.StructField(name, T.DoubleType()) for name in FEATURE_COLUMNS],
 ])
 
-# Stored form: bronze lies in one folder per load, silver and gold in one folder per month. A month
-# holds every symbol, so no folder is tiny and an increment rewrites only the months it touches.
+# Stored form: bronze lies in one folder per load, silver and gold in one folder per month and bucket
+# of symbols. An increment rewrites the buckets of the symbols and months it touches.
+PARTS = [T.StructField("ym", T.IntegerType()), T.StructField("bucket", T.IntegerType())]
 STORED = {
     "bronze_price_raw": T.StructType([*BRONZE.fields, T.StructField("batch", T.LongType())]),
-    "price_silver": T.StructType([*SILVER.fields, T.StructField("ym", T.IntegerType())]),
-    "features_gold": T.StructType([*GOLD.fields, T.StructField("ym", T.IntegerType())]),
+    "price_silver": T.StructType([*SILVER.fields, *PARTS]),
+    "features_gold": T.StructType([*GOLD.fields, *PARTS]),
 }
 
 

@@ -29,10 +29,10 @@ DEFAULTS = {
 _LOCAL_SCRATCH = "spark.barwright.localScratch"
 
 
-def sizing(input_bytes: int) -> dict[str, str]:
-    """Settings for a job over ``input_bytes``: about 1 GB a reduce task before AQE merges small
-    ones, at most 50,000 of them, since every map task keeps an entry for each."""
-    tasks = min(max(input_bytes // 2**30, 200), 50_000)
+def sizing(input_bytes: int, task_bytes: int = 2**30) -> dict[str, str]:
+    """Settings for a job over ``input_bytes``: about ``task_bytes`` a reduce task before AQE merges
+    small ones. Every map task keeps an entry for each; raise ``task_bytes`` if those get too many."""
+    tasks = max(input_bytes // task_bytes, 200)
     return {
         "spark.sql.shuffle.partitions": str(tasks),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barwright.operators.bars import bar_aggregates
+from barwright.operators.silver import is_complete, clamp_volume
 from barwright.schemas import BRONZE, PRICE, PRICE_COLUMNS
 
 CORRUPT = "_corrupt_record"
@@ -94,15 +96,24 @@ def _date(raw: DataFrame, name: str, present: Column, pattern: str | None) -> Co
     return present.try_cast("timestamp_ntz").cast("date")
 
 
+def _time(raw: DataFrame, name: str, present: Column, pattern: str | None) -> Column:
+    if isinstance(raw.schema[name].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.col(name).cast("timestamp_ntz")
+    if pattern:
+        return F.try_to_timestamp(present, F.lit(pattern)).cast("timestamp_ntz")
+    return present.try_cast("timestamp_ntz")
+
+
 def _whole_number(present: Column) -> Column:
     """1500 and '1500.0' convert, 1.5 does not."""
-    number = present.try_cast("decimal(38,6)")
+    number = present.try_cast("decimal(38,18)")
     return F.when(number == F.floor(number), number).try_cast("long")
 
 
 def parse_bars(raw: DataFrame, dates: list[str], source: str, seq: int | Column = 0,
                symbol: str | None = None, volume_required: bool = False,
-               missing_symbol: str | None = None, date_format: str | None = None) -> RawBars:
+               missing_symbol: str | None = None, date_format: str | None = None,
+               keep_time: bool = False) -> RawBars:
     """The canonical columns of ``raw``, whose names are in lower case.
 
     ``symbol`` names a source that holds one symbol and no symbol column. An empty symbol cell
@@ -147,6 +158,7 @@ def parse_bars(raw: DataFrame, dates: list[str], source: str, seq: int | Column
         *[columns[f.name].cast(f.dataType).alias(f.name) for f in BRONZE.fields],
         F.to_json(F.struct(*raw.columns)).alias("_raw"),
         reason.alias("_reason"),
+        *([_time(raw, date, cells[date], date_format).alias("_ts")] if keep_time else []),
     ))
 
 
@@ -172,11 +184,12 @@ def read_feed(spark: SparkSession, path: str, symbol: str | None = None,
               start: str | None = None, end: str | None = None, fmt: str = "parquet",
               source: str = "feed", seq: int | Column = 0,
               schema: T.StructType | str | None = None,
-              date_format: str | None = None) -> RawBars:
+              date_format: str | None = None, intraday: bool = False) -> RawBars:
     """Landed vendor extracts: ``Date`` or ``Datetime`` columns, volume optional.
 
     ``symbol`` is the one the extracts are about; leave it out when they carry a symbol column.
     Dates from ``start`` up to but not including ``end`` are kept; ``end`` defaults to today.
+    ``intraday`` rolls the rows of a day up to one bar by their times, ties by ``seq``.
     """
     reader = spark.read.format(fmt)
     if fmt == "csv":
@@ -184,19 +197,36 @@ def read_feed(spark: SparkSession, path: str, symbol: str | None = None,
     if fmt == "json":
         schema = schema or FEED_JSON
     raw = lower_case_names((reader.schema(schema) if schema else reader).load(path))
-    return feed_bars(raw, symbol, start, end, source, seq, date_format)
+    return feed_bars(raw, symbol, start, end, source, seq, date_format, intraday)
 
 
 def feed_bars(raw: DataFrame, symbol: str | None = None, start: str | None = None,
               end: str | None = None, source: str = "feed", seq: int | Column = 0,
-              date_format: str | None = None) -> RawBars:
+              date_format: str | None = None, intraday: bool = False) -> RawBars:
     """:func:`read_feed` for extracts that are a DataFrame already, batch or stream."""
     raw = lower_case_names(raw)
     end = end or datetime.datetime.now(datetime.timezone.utc).date().isoformat()
     parsed = parse_bars(raw, ["date", "datetime"], source, seq, symbol,
-                        date_format=date_format).parsed
+                        date_format=date_format, keep_time=intraday).parsed
     outside = F.col("dt") >= F.lit(end).cast("date")
     if start:
         outside = outside | (F.col("dt") < F.lit(start).cast("date"))
     # A row without a date is kept: it is bad, or silver will reject it.
-    return RawBars(source, parsed.where(F.col("dt").isNull() | ~outside))
+    kept = parsed.where(F.col("dt").isNull() | ~outside)
+    return RawBars(source, _daily(kept) if intraday else kept)
+
+
+def _daily(parsed: DataFrame) -> DataFrame:
+    """Complete rows of a symbol and day as one bar, first and last by time, ties by ``seq``; its
+    ``seq`` is the largest. Other rows stay as they are."""
+    usable = is_complete() & F.col("_reason").isNull()
+    # One number that orders by both: fixed in width, so days are aggregated by hash.
+    order = (F.unix_micros(F.col("_ts").cast("timestamp")).cast("decimal(18,0)")
+             * F.expr("CAST('10000000000000000000' AS decimal(20,0))") + F.col("seq")).cast("decimal(38,0)")
+    bars = clamp_volume(parsed.where(usable)).withColumn("_order", order).groupBy(
+        "symbol", "dt", "source").agg(
+        *bar_aggregates("_order", "open", "high", "low", "close", "volume"),
+        F.max("seq").alias("seq"))
+    none = F.lit(None).cast("string")
+    return bars.select(*BRONZE.names, none.alias("_raw"), none.alias("_reason")).unionByName(
+        parsed.where(~usable).drop("_ts"))

@@ -1,13 +1,17 @@
 """The three stored tables: Parquet below one root folder.
 
-Bronze has a folder per load (source, batch); silver and gold a folder per month. Writes replace
-whole folders through Spark's commit protocol: a job that fails, or loses executors, leaves the
-table as it was.
+Bronze has a folder per load (source, batch); silver and gold a folder per month and bucket of
+symbols, so that the files of a month hold disjoint symbols and a correction of one symbol rewrites
+one bucket. The number of buckets is chosen at the first write (``spark.barwright.buckets``, 4 if
+unset) and kept with the tables. Writes replace whole folders through Spark's commit protocol: a job
+that fails, or loses executors, leaves the table as it was; only a driver lost during the commit
+itself can leave some folders new and others not, which repeating the refresh mends.
 """
 
 from __future__ import annotations
 
 import re
+import threading
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -68,13 +72,71 @@ def _write_bronze(bars: DataFrame, root: str, source: str, batch: int, mode: str
      .observe(counted, F.count(F.lit(1)).alias("rows"))
      .write.mode(mode)
      .parquet(load_path(root, "bronze_price_raw", source, batch)))
+    renew_views(bars.sparkSession, root)
     return counted.get["rows"]
 
 
-def touched_months(rows: DataFrame) -> list[int]:
-    """The months ``rows`` falls in: at most twelve per year of data, however many rows."""
-    return sorted(row["ym"] for row in rows.select(month_key(F.col("dt")).alias("ym"))
-                  .distinct().collect())
+def buckets(spark: SparkSession, root: str) -> int:
+    """The number of buckets of the tables below ``root``, settled by the first call."""
+    path = table_path(root, "layout")
+    if not path_exists(spark, path):
+        count = int(spark.conf.get("spark.barwright.buckets", "4"))
+        spark.createDataFrame([(count,)], "buckets int").coalesce(1).write.parquet(path)
+        return count
+    return spark.read.schema("buckets int").parquet(path).first()["buckets"]
+
+
+def bucket_of(symbol: Column, count: int) -> Column:
+    return F.pmod(F.xxhash64(symbol), F.lit(count)).cast("int")
+
+
+_NOTING = threading.Lock()
+LOADS = "number long, source string, batch long, state string"
+
+
+def loads(spark: SparkSession, root: str) -> DataFrame:
+    """What was loaded (``loaded``) and worked into silver and gold (``applied``), a row for each."""
+    path = table_path(root, "loads")
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], LOADS)
+    return spark.read.schema(LOADS).parquet(path)
+
+
+def note_loads(spark: SparkSession, root: str, noted: list[tuple[int, str, int]],
+               state: str) -> None:
+    if not noted:
+        return
+    with _NOTING:  # sources may be loaded side by side, and one write at a time may go to a folder
+        spark.createDataFrame([(*entry, state) for entry in noted], LOADS).coalesce(1) \
+            .write.mode("append").parquet(table_path(root, "loads"))
+
+
+def load_number(spark: SparkSession, root: str, source: str | None = None,
+                batch: int | None = None) -> int:
+    """The next number over all sources; the one it has already for a load that is repeated."""
+    known = loads(spark, root)
+    if source is not None:
+        own = known.where((F.col("source") == source) & (F.col("batch") == batch)).agg(
+            F.max("number")).first()[0]
+        if own is not None:
+            return own
+    return (known.agg(F.max("number")).first()[0] or 0) + 1
+
+
+def pending_loads(spark: SparkSession, root: str) -> list[tuple[int, str, int]]:
+    """Loads that no refresh has worked in yet: (number, source, batch)."""
+    states = loads(spark, root).groupBy("number", "source", "batch").agg(
+        F.bool_or(F.col("state") == "applied").alias("done"))
+    return [(r["number"], r["source"], r["batch"])
+            for r in states.where(~F.col("done")).orderBy("number").collect()]
+
+
+def touched_parts(rows: DataFrame, root: str) -> list[tuple[int, int]]:
+    """The months and buckets ``rows`` falls in: no more than the tables have folders for."""
+    count = buckets(rows.sparkSession, root)
+    parts = rows.select(month_key(F.col("dt")).alias("ym"),
+                        bucket_of(F.col("symbol"), count).alias("bucket")).distinct()
+    return sorted((row["ym"], row["bucket"]) for row in parts.collect())
 
 
 def stored_months(spark: SparkSession, root: str, name: str) -> list[int]:
@@ -82,11 +144,24 @@ def stored_months(spark: SparkSession, root: str, name: str) -> list[int]:
     return sorted(int(f.removeprefix("ym=")) for f in folders if f.startswith("ym="))
 
 
-def read_months(spark: SparkSession, root: str, name: str, months: Iterable[int]) -> DataFrame:
-    """Only the given months of a table. Their folders are opened by name, so the files of other
-    months are not even listed."""
-    path = table_path(root, name)
-    wanted = [f"{path}/ym={month}" for month in set(months) & set(stored_months(spark, root, name))]
+def read_months(spark: SparkSession, root: str, name: str, months: Iterable[int],
+                only: Iterable[int] | None = None) -> DataFrame:
+    """Only the given months of a table, and of those only the given buckets."""
+    parts = [(month, bucket) for month in months for bucket in
+             (range(buckets(spark, root)) if only is None else only)]
+    return read_parts(spark, root, name, parts)
+
+
+def read_parts(spark: SparkSession, root: str, name: str,
+               parts: Iterable[tuple[int, int]]) -> DataFrame:
+    """Only the given (month, bucket) folders of a table. They are opened by name, so the files of
+    others are not even listed."""
+    path, wanted, parts = table_path(root, name), [], set(parts)
+    for month in {month for month, _ in parts} & set(stored_months(spark, root, name)):
+        there = subfolders(spark, f"{path}/ym={month}")
+        wanted += [f"{path}/ym={month}/{folder}" for folder in there
+                   if folder.startswith("bucket=")
+                   and (month, int(folder.removeprefix("bucket="))) in parts]
     if not wanted:
         return spark.createDataFrame([], STORED[name])
     return spark.read.schema(STORED[name]).option("basePath", path).parquet(*sorted(wanted))
@@ -95,7 +170,7 @@ def read_months(spark: SparkSession, root: str, name: str, months: Iterable[int]
 def check_stored_schema(spark: SparkSession, root: str, name: str) -> None:
     """Raise when the files of a table were written with a schema that the declared one cannot
     follow. Reads one file footer."""
-    folders = ("ym", "source", "batch")
+    folders = ("ym", "bucket", "source", "batch")
     if not any(f.startswith(folders) for f in subfolders(spark, table_path(root, name))):
         return
     written = spark.read.parquet(table_path(root, name)).schema
@@ -106,28 +181,43 @@ def check_stored_schema(spark: SparkSession, root: str, name: str) -> None:
 
 def write_months(rows: DataFrame, root: str, name: str,
                  metrics: list[Column] | None = None) -> dict[str, int]:
-    """Replace the months that occur in ``rows`` and leave all others alone.
+    """Replace the months and buckets that occur in ``rows`` and leave all others alone.
 
-    ``rebalance`` gathers a month into few files, and AQE splits a month that is larger than the
-    advisory partition size, so neither thousands of small files nor one huge task appear. Sorting
-    by key gives the files narrow min/max ranges on symbol. The overwrite mode is set on the write
-    itself: with the session default (static) Spark would empty the whole table first.
+    ``rebalance`` gathers a bucket into few files, and AQE splits one that is larger than the
+    advisory partition size, so neither thousands of small files nor one huge task appear. The
+    overwrite mode is set on the write itself: with the session default (static) Spark would empty
+    the whole table first.
     """
-    counted = Observation()
+    counted, spark = Observation(), rows.sparkSession
+    count = buckets(spark, root)
     (rows.withColumn("ym", month_key(F.col("dt")))
+     .withColumn("bucket", bucket_of(F.col("symbol"), count))
      .select(STORED[name].names)
-     .hint("rebalance", "ym")
-     .sortWithinPartitions("ym", *KEY)
+     .hint("rebalance", "ym", "bucket")
+     .sortWithinPartitions("ym", "bucket", *KEY)
      .observe(counted, *(metrics or [F.count(F.lit(1)).alias("rows")]))
      .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("ym")
+     .partitionBy("ym", "bucket")
      .parquet(table_path(root, name)))
+    renew_views(spark, root)
     return counted.get
 
 
+_VIEWS = "spark.barwright.views"
+
+
+def renew_views(spark: SparkSession, root: str) -> None:
+    """Point the session's views, if they show the tables below ``root``, to the files of now. A
+    view keeps the list of files of its making, and writes replace files."""
+    if spark.conf.get(_VIEWS, None) == root:
+        register_views(spark, root)
+
+
 def register_views(spark: SparkSession, root: str) -> None:
-    """Temporary views with the public columns: the three tables and ``latest_features``."""
+    """Temporary views with the public columns: the three tables and ``latest_features``. Writes of
+    this session renew them; after writes of others call this again."""
+    spark.conf.set(_VIEWS, root)
     gold = read_table(spark, root, "features_gold").select(*GOLD.names)
     for name in ["bronze_price_raw", "price_silver"]:
         read_table(spark, root, name).select(*BAR_COLUMNS).createOrReplaceTempView(name)

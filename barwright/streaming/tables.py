@@ -18,7 +18,7 @@ from barwright.plans.refresh import apply_to_gold, apply_to_silver
 from barwright.schemas import BRONZE, KEY, SILVER
 from barwright.session import staged
 from barwright.sources.tables import (
-    load_path, read_bronze_loads, replace_bronze_batch, table_path,
+    load_number, load_path, note_loads, read_bronze_loads, replace_bronze_batch, table_path,
 )
 from barwright.streaming.topics import read_stream, start
 
@@ -33,7 +33,9 @@ def silver_batch(rows: DataFrame, batch: int, root: str, source: str,
                  with_gold: bool = False) -> None:
     """Land one micro-batch in bronze, log its clean rows as changes, merge them into silver."""
     spark = rows.sparkSession
-    numbered = rows.withColumn("seq", F.coalesce("seq", F.lit(batch).cast("long")))
+    number = load_number(spark, root, source, batch)
+    note_loads(spark, root, [(number, source, batch)], "loaded")
+    numbered = rows.withColumn("seq", F.coalesce("seq", F.lit(number).cast("long")))
     replace_bronze_batch(numbered.select(*BRONZE.names), root, source, batch)
     log = load_path(root, "silver_changes", source, batch)
     build_silver(read_bronze_loads(spark, root, [(source, batch)])) \
@@ -42,6 +44,7 @@ def silver_batch(rows: DataFrame, batch: int, root: str, source: str,
     apply_to_silver(changes, root)
     if with_gold:
         apply_to_gold(changes, root)
+    note_loads(spark, root, [(number, source, batch)], "applied")
 
 
 def stream_silver(raw: DataFrame, root: str, source: str, checkpoint: str,
@@ -49,7 +52,7 @@ def stream_silver(raw: DataFrame, root: str, source: str, checkpoint: str,
     """Keep silver up to date with a stream of rows in bronze columns.
 
     Late rows count whenever they come: the merge is by key and ``seq``, not by a watermark. A row
-    without ``seq`` gets the number of its micro-batch. ``with_gold`` does gold in the same
+    without ``seq`` gets the number of its load, which grows over all sources. ``with_gold`` does gold in the same
     micro-batch; :func:`stream_gold` does it in a query of its own.
     """
     writer = raw.writeStream.foreachBatch(

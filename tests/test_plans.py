@@ -8,7 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from barwright.operators import bars, gold, merge, quality, serving, silver, synth
+from barwright.operators import bars, calendar, gold, merge, quality, serving, silver, synth
 from barwright.schemas import BRONZE, GOLD
 from barwright.sources import tables
 from conftest import day, price
@@ -78,7 +78,6 @@ def test_chunked_gold_never_shuffles_by_symbol_alone_except_year_counts(spark, s
     df = gold.gold_features_chunked(table(spark, stored, "price_silver"), 64)
     keys = [re.sub(r"#\d+L?", "", k) for k in shuffles(df)]
     assert "symbol, _year" in keys and "symbol, _chunk" in keys
-    assert "BroadcastHashJoin" not in plan(df)
 
 
 def test_roll_up_and_reports_aggregate_by_hash_before_the_shuffle(spark, stored):
@@ -100,12 +99,14 @@ def test_months_are_read_by_folder(spark, stored):
     months = tables.stored_months(spark, stored, "price_silver")
     assert months[0] == 202101 and len(months) == 14
     some = tables.read_months(spark, stored, "price_silver", [202102, 202103, 209901])
-    assert {Path(f).parent.name for f in some.inputFiles()} == {"ym=202102", "ym=202103"}
+    assert {Path(f).parent.parent.name for f in some.inputFiles()} == {"ym=202102", "ym=202103"}
+    one = tables.read_months(spark, stored, "price_silver", [202102], [1])
+    assert {Path(f).parent.name for f in one.inputFiles()} == {"bucket=1"}
     assert {row[0] for row in some.select("ym").distinct().collect()} == {202102, 202103}
     assert tables.read_months(spark, stored, "price_silver", []).isEmpty()
 
 
-def test_a_merge_shuffles_nothing_of_the_base_when_the_increment_is_small(spark, stored):
+def test_a_merge_of_a_small_increment_is_an_anti_join(spark, stored):
     base = table(spark, stored, "features_gold").select(*GOLD.names)
     small = base.where("symbol = 'S7'").limit(3)
     merged = merge.merge_keyed(base, spark.createDataFrame(small.collect(), GOLD))
@@ -119,8 +120,14 @@ def test_generated_rows_are_not_shuffled(spark):
     assert text.index("Generate explode") < text.index("Exchange")
 
 
-def test_a_month_is_few_files_sorted_by_key(spark, stored):
-    files = list(Path(stored, "price_silver", "ym=202103").glob("*.parquet"))
+def test_a_bucket_is_few_files_sorted_by_key(spark, stored):
+    files = list(Path(stored, "price_silver", "ym=202103", "bucket=0").glob("*.parquet"))
     assert len(files) == 1
     rows = spark.read.parquet(str(files[0])).select("symbol", "dt").collect()
     assert rows == sorted(rows)
+
+
+def test_quality_report_scans_once_and_gaps_shuffle_once(spark, stored):
+    clean = table(spark, stored, "price_silver")
+    assert plan(quality.quality_report(clean)).count("FileScan") == 1
+    assert len(shuffles(calendar.completeness_gaps(clean))) == 1

@@ -37,7 +37,7 @@ def expected(bronze_rows):
 
 
 def months(root):
-    return {p.name: sorted(f.name for f in p.glob("*.parquet"))
+    return {p.name: sorted(f.name for f in p.glob("bucket=*/*.parquet"))
             for p in Path(root, "price_silver").glob("ym=*")}
 
 
@@ -123,8 +123,7 @@ def test_increments_equal_a_full_refresh(spark, bronze, tmp_path, seed):
     assert (silver_of(spark, root), gold_of(spark, root)) == expected(bronze(sum(loads, [])))
 
 
-def test_many_sparse_symbols_are_found_without_naming_them(spark, bronze, tmp_path, monkeypatch):
-    monkeypatch.setattr(refresh, "_NAMED", 1)
+def test_sparse_symbols_find_their_rows_outside(spark, bronze, tmp_path):
     root = str(tmp_path)
     rng = random.Random(9)
     rows = [row for s in "ABCD" for row in random_series(rng, s, 12, 900)]
@@ -143,7 +142,7 @@ def test_many_sparse_symbols_are_found_without_naming_them(spark, bronze, tmp_pa
     ([202401, 202407], [(202311, 202403), (202405, 202409)]),
     ([202401, 202402, 199912], [(199910, 200002), (202311, 202404)]),
     ([200001, 200101, 200201, 201001, 202001],
-     [(199911, 200203), (200911, 201003), (201911, 202003)]),
+     [(199911, 200003), (200011, 200103), (200111, 200203), (200911, 201003), (201911, 202003)]),
 ])
 def test_month_segments(months, expected):
     assert refresh.month_segments(months, 2) == expected
@@ -164,14 +163,139 @@ def test_an_old_correction_does_not_read_the_months_since(spark, bronze, tmp_pat
     assert (result.silver_rows, result.gold_rows) == (30 + 28, 30 + 28)
     affected = refresh.gold_for_changes(build_silver(bronze(fixes)), root)
     assert affected.count() == 2 * 20
-    read = {Path(f).parent.name for f in affected.inputFiles()}
+    read = {Path(f).parent.parent.name for f in affected.inputFiles()}
     assert "ym=201704" not in read and "ym=201508" in read
 
 
+def test_ten_corrections_far_apart_read_their_months_only(spark, bronze, tmp_path):
+    root = str(tmp_path)
+    first = datetime.date(2005, 1, 1)
+    rows = [bar("A", (first + datetime.timedelta(days=d)).isoformat(), d % 7 + 1)
+            for d in range(0, 3650)]
+    fixes = [bar("A", f"{2005 + n}-06-15", 50 + n, seq=2) for n in range(10)]
+    for batch, load in enumerate([rows, fixes], 1):
+        tables.append_bronze(bronze(load), root, "t", batch)
+        if batch == 1:
+            refresh.refresh_all(spark, root)
+    affected = refresh.gold_for_changes(build_silver(bronze(fixes)), root)
+    read = {Path(f).parent.parent.name for f in affected.inputFiles()}
+    assert read == {f"ym={2005 + n}{m:02}" for n in range(10) for m in range(4, 9)}
+    refresh.refresh_increment(spark, root, [("t", 2)])
+    assert (silver_of(spark, root), gold_of(spark, root)) == expected(bronze(rows + fixes))
+
+
+def test_a_correction_of_one_symbol_rewrites_one_bucket(spark, bronze, tmp_path):
+    root = str(tmp_path)
+    rows = [bar(f"S{n}", f"2024-03-{d:02}", d) for n in range(40) for d in range(4, 9)]
+    tables.append_bronze(bronze(rows), root, "t", 1)
+    refresh.refresh_all(spark, root)
+    files = lambda: {str(f.relative_to(root)) for name in ("price_silver", "features_gold")
+                     for f in Path(root, name).rglob("*.parquet")}
+    symbols = [{r["symbol"] for r in spark.read.parquet(str(p)).collect()}
+               for p in Path(root, "price_silver", "ym=202403").glob("bucket=*")]
+    assert len(symbols) == 4 and sum(map(len, symbols)) == len(set().union(*symbols)) == 40
+    before = files()
+    tables.append_bronze(bronze([bar("S7", "2024-03-05", 99, seq=2)]), root, "t", 2)
+    refresh.refresh_increment(spark, root, [("t", 2)])
+    changed = {Path(f).parent for f in before ^ files()}
+    assert len(changed) == 2 and len({p.name for p in changed}) == 1
+
+
+def test_the_number_of_buckets_stays(spark, tmp_path):
+    root = str(tmp_path)
+    assert tables.buckets(spark, root) == 4
+    spark.conf.set("spark.barwright.buckets", "9")
+    try:
+        assert tables.buckets(spark, root) == 4
+        assert tables.buckets(spark, root + "/other") == 9
+    finally:
+        spark.conf.unset("spark.barwright.buckets")
+
+
+def test_a_full_refresh_follows_bronze(spark, bronze, tmp_path):
+    root = str(tmp_path)
+    tables.append_bronze(bronze([bar("A", "2024-01-02", 10, seq=1), bar("B", "2024-01-02", 5)]),
+                         root, "t", 1)
+    tables.append_bronze(bronze([bar("A", "2024-01-02", 99, seq=2)]), root, "t", 2)
+    refresh.refresh_all(spark, root)
+    tables.replace_bronze_batch(bronze([]), root, "t", 2)
+    refresh.refresh_all(spark, root)
+    assert [(r[0], r[5]) for r in silver_of(spark, root)] == [("A", price(10)), ("B", price(5))]
+    tables.replace_bronze_batch(bronze([bar("A", "2024-01-02", 9, seq=1)]), root, "t", 1)
+    refresh.refresh_all(spark, root)
+    assert [(r[0], r[5]) for r in silver_of(spark, root)] == [("A", price(9)), ("B", price(5))]
+
+
+def test_an_incoming_row_wins_at_equal_seq(spark, bronze, tmp_path):
+    root = str(tmp_path)
+    for close in (10, 9):
+        with staged(build_silver(bronze([bar("A", "2024-01-02", close)])), "x") as rows:
+            refresh.apply_to_silver(rows, root)
+    assert [r[5] for r in silver_of(spark, root)] == [price(9)]
+
+
+def raw_of(bronze, source, rows):
+    return RawBars(source, bronze(rows).selectExpr("*", "string(null) AS _raw",
+                                                   "string(null) AS _reason"))
+
+
+def test_loads_are_numbered_over_all_sources_and_found_when_pending(spark, bronze, tmp_path):
+    root = str(tmp_path)
+    refresh.load(raw_of(bronze, "x", [bar("A", "2024-01-02", 1)]), root)
+    refresh.load(raw_of(bronze, "y", [bar("B", "2024-01-02", 1)]), root)
+    assert tables.pending_loads(spark, root) == [(1, "x", 1), (2, "y", 2)]
+    assert refresh.refresh_increment(spark, root).gold_rows == 2
+    assert tables.pending_loads(spark, root) == []
+    assert refresh.refresh_increment(spark, root) == refresh.Refresh()
+    refresh.load(raw_of(bronze, "x", [bar("C", "2024-01-02", 1)]), root)
+    assert tables.pending_loads(spark, root) == [(3, "x", 3)]
+    refresh.refresh_all(spark, root)
+    assert tables.pending_loads(spark, root) == [] and len(silver_of(spark, root)) == 3
+    assert tables.load_number(spark, root, "y", 2) == 2
+
+
+def test_views_live_through_refreshes(spark, bronze, tmp_path):
+    root = str(tmp_path)
+    tables.register_views(spark, root)
+    counts = lambda: [spark.table(name).count() for name in
+                      ("bronze_price_raw", "price_silver", "features_gold", "latest_features")]
+    assert counts() == [0, 0, 0, 0]
+    refresh.run(spark, [raw_of(bronze, "t", [bar("A", "2024-01-02", 1)])], root)
+    assert counts() == [1, 1, 1, 1]
+    # A month that is there and a new one.
+    refresh.run(spark, [raw_of(bronze, "t", [bar("A", "2024-01-03", 2), bar("B", "2024-05-02", 1)])],
+                root, full=False)
+    assert counts() == [3, 3, 3, 2]
+
+
+def test_a_refresh_counts_and_stores_what_it_sets_aside_and_may_stop(spark, bronze, tmp_path):
+    root = str(tmp_path)
+    rows = [bar("A", f"2024-01-{d:02}", 5) for d in range(2, 10)]
+    rows += [bar(None, "2024-01-02", 1), bar("A", "2024-01-10", 5, high=1)]
+    tables.append_bronze(bronze(rows), root, "t", 1)
+    with pytest.raises(QualityError, match="ohlc_is_inconsistent"):
+        refresh.refresh_all(spark, root, {"ohlc_is_inconsistent": 0.1, "incomplete": 0.5})
+    assert silver_of(spark, root) == []
+    result = refresh.refresh_all(spark, root, {"ohlc_is_inconsistent": 0.2, "incomplete": 0.5})
+    assert result.quality["incomplete"] == 1 and result.silver_rows == 9
+    assert spark.read.parquet(f"{root}/quarantine").count() == 1
+    with pytest.raises(QualityError, match="incomplete"):
+        refresh.refresh_all(spark, root, {"incomplete": 0.0})
+
+
+def test_a_full_refresh_refuses_a_repeated_silver_key(spark, bronze, tmp_path):
+    root = str(tmp_path)
+    one = build_silver(bronze([bar("A", "2024-01-02", 1)]))
+    tables.write_months(one.unionByName(one), root, "price_silver")
+    with pytest.raises(DuplicateKeyError):
+        refresh.refresh_gold(spark, root)
+
+
 def test_an_increment_of_two_sources(spark, bronze, tmp_path):
     root = str(tmp_path)
     rng = random.Random(8)
     parts = [random_series(rng, symbol, 40, 90) for symbol in ("A", "B", "A")]
+    parts[2] = [(*row[:8], 2) for row in parts[2]]
     sources = [RawBars(name, bronze(rows).selectExpr("*", "string(null) AS _raw",
                                                      "string(null) AS _reason"))
                for name, rows in zip(["x", "y", "z"], parts)]

@@ -172,4 +172,19 @@ def test_loads_by_path(spark, tmp_path):
         .write.parquet(str(tmp_path / "f"))
     assert refresh.load_feed_to_bronze(spark, str(tmp_path / "f"), root, "B", "2024-01-01") == 1
     assert rows_of(tables.read_table(spark, root, "bronze_price_raw"), "symbol", "source", "batch",
-                   "seq") == [("A", "csv", 3, 3), ("B", "feed", 0, 0)]
+                   "seq") == [("A", "csv", 3, 3), ("B", "feed", 4, 4)]
+
+
+def test_an_intraday_extract_becomes_daily_bars_by_time(spark, tmp_path):
+    rows = [("2024-01-02 15:00:00", 4.0, 9.0, 1.0, 5.0, 10), ("2024-01-02 09:30:00", 2.0, 3.0, 2.0, 3.0, 5),
+            ("2024-01-02 12:00:00", 3.0, 4.0, 0.5, None, 7), ("2024-01-03 09:30:00", 1.0, 1.0, 1.0, 1.0, None)]
+    spark.createDataFrame(rows, "Datetime string, Open double, High double, Low double, "
+                          "Close double, Volume long").write.parquet(str(tmp_path / "feed"))
+    root = str(tmp_path / "root")
+    loaded = refresh.load_feed_to_bronze(spark, str(tmp_path / "feed"), root, "ABC", "2024-01-01",
+                                         "2024-02-01", intraday=True)
+    assert loaded == 3  # two bars, and the incomplete row as it is
+    refresh.refresh_all(spark, root)
+    got = tables.read_table(spark, root, "price_silver").orderBy("dt").select(
+        "open", "high", "low", "close", "volume").collect()
+    assert [tuple(map(float, r)) for r in got] == [(2, 9, 1, 5, 15), (1, 1, 1, 1, 0)]
