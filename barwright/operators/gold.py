@@ -29,7 +29,8 @@ def _with_features(silver: DataFrame, series: WindowSpec) -> DataFrame:
     running = silver.withColumns({
         "_rows": F.row_number().over(series),
         "_previous": F.lag("close").over(series),
-        "_close": F.sum("close").over(so_far),
+        # A digit less than the sum may have, so that the difference below keeps them all.
+        "_close": F.sum("close").over(so_far).cast("decimal(37,8)"),
         # A sum of longs could overflow; this one cannot.
         "_volume": F.sum(F.col("volume").cast("decimal(19,0)")).over(so_far),
     })

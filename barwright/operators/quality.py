@@ -111,14 +111,16 @@ def drift_report(bars: DataFrame, split: Column) -> DataFrame:
 
 
 def _deviation(value: Column) -> Column:
-    """Sample deviation of prices from exact sums; NULL below two values."""
-    exact = value.cast("decimal(18,6)")
-    n, total = F.count(exact), F.sum(exact)
-    squares = F.sum((exact * exact).cast("decimal(38,12)"))
-    # n * squares - total * total, taken apart so that no product leaves 38 digits.
-    mean = total.cast("double") / n
-    spread = (squares.cast("double") - mean * total.cast("double")) / (n - 1)
-    return F.when(n > 1, F.round(F.sqrt(F.greatest(spread, F.lit(0.0))), 4))
+    """Sample deviation of prices, to four digits; NULL below two values. It comes from exact sums of
+    six digits after the point, unless a price or a sum is too large for them."""
+    exact = value.try_cast("decimal(18,6)")
+    n, total = F.count(exact), F.try_sum(exact)
+    squares = F.try_sum((exact * exact).try_cast("decimal(38,12)"))
+    mean = total.cast("double") / F.nullif(n, F.lit(0))
+    spread = (squares.cast("double") - mean * total.cast("double")) / F.nullif(n - 1, F.lit(0))
+    fits = F.when(n == F.count(value), F.sqrt(F.greatest(spread, F.lit(0.0))))
+    return F.when(F.count(value) > 1, F.round(F.coalesce(
+        F.when(spread.isNotNull(), fits), F.stddev_samp(value.cast("double"))), 4))
 
 
 def middle_date(rows: DataFrame) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-P = "DECIMAL(18,6)"
+P = "DECIMAL(28,8)"
 NEWEST = "seq DESC, open DESC, high DESC, low DESC, close DESC, volume DESC"
 BARS = "symbol, dt, open, high, low, close, volume"
 BRONZE = f"{BARS}, source, seq"

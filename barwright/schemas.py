@@ -7,7 +7,9 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-PRICE = T.DecimalType(18, 6)
+# Prices are rounded to eight digits after the point; one that would become 0 is rejected. Running sums
+# have ten digits more before the point.
+PRICE = T.DecimalType(28, 8)
 PRICE_COLUMNS = ["open", "high", "low", "close"]
 BAR_COLUMNS = ["symbol", "dt", *PRICE_COLUMNS, "volume"]
 KEY = ["symbol", "dt"]

@@ -104,6 +104,12 @@ def _time(raw: DataFrame, name: str, present: Column, pattern: str | None) -> Co
     return present.try_cast("timestamp_ntz")
 
 
+def _price(present: Column) -> Column:
+    """Rounded to the digits of a price; NULL for one that is not 0 and would become it."""
+    price = present.try_cast(PRICE)
+    return F.when((price != 0) | (present.try_cast("double") == 0), price)
+
+
 def _whole_number(present: Column) -> Column:
     """1500 and '1500.0' convert, 1.5 does not."""
     number = present.try_cast("decimal(38,18)")
@@ -129,7 +135,7 @@ def parse_bars(raw: DataFrame, dates: list[str], source: str, seq: int | Column
     date = date_column(raw, dates)
     cells = {name: _present(raw, name)
              for name in [date, *PRICE_COLUMNS, "volume"] if name in raw.columns}
-    values = {name: cells[name].try_cast(PRICE) for name in PRICE_COLUMNS}
+    values = {name: _price(cells[name]) for name in PRICE_COLUMNS}
     values[date] = _date(raw, date, cells[date], date_format)
     if "volume" in cells:
         values["volume"] = _whole_number(cells["volume"])

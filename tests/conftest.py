@@ -32,7 +32,7 @@ def day(text: str | None) -> datetime.date | None:
 
 
 def price(value) -> Decimal | None:
-    return None if value is None else Decimal(str(value)).quantize(Decimal("0.000001"))
+    return None if value is None else Decimal(str(value)).quantize(Decimal("0.00000001"))
 
 
 def bar(symbol, dt, close, volume=100, seq=1, open=None, high=None, low=None, source="t"):

@@ -70,7 +70,7 @@ def test_the_hot_key_crosses_the_shuffle_once_per_map_task(spark, stored):
 def test_gold_reads_four_columns_and_shuffles_once(spark, stored):
     df = gold.gold_features(table(spark, stored, "price_silver"))
     assert [re.sub(r"#\d+L?", "", keys) for keys in shuffles(df)] == ["symbol"]
-    assert "ReadSchema: struct<symbol:string,dt:date,close:decimal(18,6),volume:bigint>" in plan(df)
+    assert "ReadSchema: struct<symbol:string,dt:date,close:decimal(28,8),volume:bigint>" in plan(df)
     assert plan(df).count("Sort [") == 1
 
 

@@ -164,5 +164,5 @@ def test_split_csv_reads_back(spark, tmp_path):
     got = raw.read_csv_bars(spark, path)
     assert got.bad.isEmpty()
     assert rows_of(got.bars.select(bars.columns)) == rows_of(
-        bars.select("symbol", "dt", *[F.col(c).cast("decimal(18,6)").alias(c)
+        bars.select("symbol", "dt", *[F.col(c).cast("decimal(28,8)").alias(c)
                                       for c in ("open", "high", "low", "close")], "volume"))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from barwright.operators.gold import gold_features
+from barwright.operators.silver import build_silver
 from barwright.plans import refresh
 from barwright.sources import raw, tables
 from conftest import day, price, rows_of
@@ -188,3 +192,24 @@ def test_an_intraday_extract_becomes_daily_bars_by_time(spark, tmp_path):
     got = tables.read_table(spark, root, "price_silver").orderBy("dt").select(
         "open", "high", "low", "close", "volume").collect()
     assert [tuple(map(float, r)) for r in got] == [(2, 9, 1, 5, 15), (1, 1, 1, 1, 0)]
+
+
+def test_price_digits(spark, tmp_path):
+    text = HEADER + "".join(f"2024-01-0{d},{p},{p},{p},{p},1,A\n" for d, p in enumerate(
+        ["0.00000012", "123.456789012345678", "1234567890123.25", "1.2e-7", "0.0000000000001", "0"], 1))
+    parsed = read(spark, tmp_path, text)
+    good = {r["dt"].day: r["close"] for r in parsed.bars.collect()}
+    assert good == {1: Decimal("0.00000012"), 2: Decimal("123.45678901"),
+                    3: Decimal("1234567890123.25"), 4: Decimal("0.00000012"), 6: Decimal(0)}
+    assert "close" in parsed.bad.first()["reason"]
+    tiny = gold_features(build_silver(parsed.bars.where("dt < '2024-01-02'").unionByName(
+        parsed.bars.where("dt = '2024-01-04'"))))
+    assert [r["ma3"] for r in tiny.orderBy("dt").collect()] == [1.2e-7, 1.2e-7]
+
+
+def test_whole_volumes(spark, tmp_path):
+    text = HEADER + "".join(f"2024-01-0{d},1,1,1,1,{v},A\n" for d, v in enumerate(
+        ["1500", "1500.0", "1.0000001", "1.5"], 1))
+    parsed = read(spark, tmp_path, text)
+    assert sorted(r["volume"] for r in parsed.bars.collect()) == [1500, 1500]
+    assert parsed.bad.count() == 2

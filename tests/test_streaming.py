@@ -19,7 +19,7 @@ from barwright.streaming.topics import decode, encode, read_stream
 from conftest import rows_of
 from test_silver_gold import random_series
 
-TICK = "symbol string, ts timestamp_ntz, price decimal(18,6), size bigint, seq bigint"
+TICK = "symbol string, ts timestamp_ntz, price decimal(28,8), size bigint, seq bigint"
 
 
 def shuffled_rows(seed):
