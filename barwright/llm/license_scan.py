@@ -184,3 +184,47 @@ def scan_licenses(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         F.array_max(places["place"]).cast("long").alias("last_word"),
         F.array_join(base, ",").alias("base_labels"),
         F.array_join(F.array_sort(both), ",").alias("labels"), score.alias("score"))
+
+
+def license_scan_sql(threshold: float = THRESHOLD) -> str:
+    """DuckDB SQL that looks at every word for the phrases and at every block for the templates."""
+    def quoted(words: list[str]) -> str:
+        return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+    templates = ", ".join(
+        f"('{label}', {quoted(words)}, {max(1, ceil(threshold * len(words) - 1e-9))})"
+        for label, text in TEMPLATES for words in [sorted({*text.split()})])
+    cases = " ".join(
+        "WHEN " + " AND ".join(f"w[i + {k}] = '{part}'" for k, part in enumerate(phrase.split(), 1))
+        + f" THEN '{label}'" for phrase, label in PHRASES.items())
+    half = BLOCK // 2
+    return rf"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'),
+    '[^\x00-\x2f\x3a-\x60\x7b-\x7f]+') AS w FROM documents),
+templates(label, words, need) AS (VALUES {templates}),
+places AS (
+  SELECT doc_id, i, CASE {cases} END AS label
+  FROM (SELECT doc_id, w, unnest(range(len(w))) AS i FROM docs) p),
+base AS (
+  SELECT doc_id, count(*) AS n, min(i) AS a, max(i) AS b, list(DISTINCT label) AS found
+  FROM places WHERE label IS NOT NULL GROUP BY doc_id),
+blocks AS (
+  SELECT doc_id, list_slice(w, k * {half} + 1, k * {half} + {BLOCK}) AS block
+  FROM (SELECT doc_id, w, unnest(range(
+          CAST(greatest(0, ceil((len(w) - {BLOCK}) / {half}.0)) AS BIGINT) + 1)) AS k
+        FROM docs) b),
+met AS (
+  SELECT doc_id, label, len(list_intersect(words, block)) / len(words) AS share
+  FROM blocks JOIN templates ON len(list_intersect(words, block)) >= need),
+more AS (
+  SELECT doc_id, list(DISTINCT label) AS found, max(share) AS share FROM met GROUP BY doc_id)
+SELECT docs.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base,
+       a AS first_word, b AS last_word,
+       coalesce(array_to_string(list_sort(base.found), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(
+         coalesce(base.found, []), coalesce(more.found, [])))), ','), '') AS labels,
+       greatest(coalesce(share, 0.0), CASE WHEN n > 0 THEN 1.0 ELSE 0.0 END) AS score
+FROM docs LEFT JOIN base USING (doc_id) LEFT JOIN more USING (doc_id)
+"""

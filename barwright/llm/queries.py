@@ -59,4 +59,5 @@ QUERIES = {f.__name__: f for f in (
 ORACLE = {
     "op4_top_products": top_products.TOP_PRODUCTS_SQL,
     "op6_line_dedup": line_dedup.LINE_DEDUP_SQL,
+    "op8_license_scan": license_scan.license_scan_sql(),
 }
