@@ -44,9 +44,10 @@ def _with_features(silver: DataFrame, series: WindowSpec) -> DataFrame:
 
 
 def gold_features(silver: DataFrame, carry: list[str] = (),
-                  series: list[str] = ("symbol",)) -> DataFrame:
+                  series: list[str] = ("symbol",), unique: bool = False) -> DataFrame:
     """All features from one shuffle and one sort by (symbol, dt); ``carry`` names columns to keep,
-    and ``series`` the columns whose values make a series of their own.
+    and ``series`` the columns whose values make a series of their own. With ``unique`` a date that
+    a series repeats fails the job; repeated dates are neighbours, so that takes no pass of its own.
 
     Silver has one row per symbol and date, so the calendar bounds the rows of a symbol (about 250
     a year) whatever the size of the table. Where even that is too long for one task, use
@@ -54,8 +55,14 @@ def gold_features(silver: DataFrame, carry: list[str] = (),
     """
     window = Window.partitionBy(*series).orderBy("dt")
     own = [name for name in series if name not in KEY and name not in carry]
-    return _with_features(silver.select(*KEY, "close", "volume", *own, *carry), window) \
-        .select(*KEY, *FEATURE_COLUMNS, *carry)
+    rows = silver.select(*KEY, "close", "volume", *own, *carry)
+    if not unique:
+        return _with_features(rows, window).select(*KEY, *FEATURE_COLUMNS, *carry)
+    found = _with_features(rows.withColumn("_before", F.lag("dt").over(window)), window)
+    stop = F.raise_error(F.concat(F.lit("key is repeated: "), F.to_json(F.struct(*KEY))))
+    symbol = F.when(F.col("_before") == F.col("dt"), stop.cast("string")) \
+        .otherwise(F.col("symbol"))
+    return found.select(symbol.alias("symbol"), "dt", *FEATURE_COLUMNS, *carry)
 
 
 def gold_features_chunked(silver: DataFrame, chunk_rows: int = 2048) -> DataFrame:

@@ -175,7 +175,9 @@ SELECT DISTINCT ON (symbol, dt) {BARS}, seq FROM bulk ORDER BY symbol, dt, {NEWE
     "vol10": f"WITH {GOLD} SELECT symbol, dt, vol10 FROM gold",
     "ret1d": f"WITH {GOLD} SELECT symbol, dt, ret1d FROM gold",
     "latest_date": f"WITH {SILVER} SELECT symbol, max(dt) AS dt FROM silver GROUP BY symbol",
-    "latest_features": f"WITH {GOLD} {LATEST}",
+    "latest_features": f"""WITH {FEED},{RESTATED},
+loads AS (SELECT {BRONZE} FROM feed UNION ALL SELECT {BRONZE} FROM restated),
+{_silver("merged", "loads")},{_gold("gold", "merged")} {LATEST}""",
     "latest_ranked": f"WITH {GOLD} {LATEST}",
     "layer_counts": f"""WITH {GOLD}
 SELECT 'bronze_price_raw' AS layer, count(*) AS n_rows FROM bronze

@@ -94,9 +94,7 @@ def refresh_gold(spark: SparkSession, root: str, keep_orphans: bool = True) -> i
     ``keep_orphans`` keeps gold rows whose silver row was removed by hand; where nobody does that,
     leaving it out saves a join of both tables.
     """
-    silver = read_table(spark, root, "price_silver")
-    require_unique(silver)
-    gold = gold_features(silver)
+    gold = gold_features(read_table(spark, root, "price_silver"), unique=True)
     if keep_orphans:
         gold = merge_keyed(read_table(spark, root, "features_gold").select(*GOLD.names), gold)
     return write_months(enforce_constraints(gold, KEY), root, "features_gold")["rows"]

@@ -192,7 +192,7 @@ def latest_features(spark, sf):
     root = scratch_dir(spark, "tables")
     tables.register_views(spark, root)
     refresh.run(spark, [loaded(feed_bronze(spark, sf), "feed")], root)
-    refresh.run(spark, [loaded(bulk_bronze(spark, sf), "bulk")], root)
+    refresh.run(spark, [loaded(restated_feed(spark, sf), "restated")], root, full=False)
     return spark.table("latest_features")
 
 
