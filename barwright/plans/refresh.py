@@ -6,6 +6,7 @@ refresh gives the same tables while reading one load and the months it touches.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -17,11 +18,11 @@ from barwright.operators.gold import HALO, gold_features
 from barwright.operators.merge import merge_keyed, merge_latest, require_unique
 from barwright.operators.quality import QualityError, check_counts, enforce_constraints
 from barwright.operators.silver import build_silver, quarantine
-from barwright.schemas import BRONZE, GOLD, KEY, SILVER, STORED
+from barwright.schemas import BRONZE, GOLD, KEY, SILVER
 from barwright.session import staged
 from barwright.sources.raw import EmptySourceError, RawBars, read_csv_bars, read_feed
 from barwright.sources.tables import (
-    append_bronze, check_stored_schema, load_number, load_path, note_loads, pending_loads,
+    append_bronze, check_schemas, load_number, load_path, note_loads, pending_loads,
     read_bronze_loads, read_months, read_parts, read_table, stored_months, table_path,
     touched_parts, write_months,
 )
@@ -94,9 +95,13 @@ def refresh_gold(spark: SparkSession, root: str, keep_orphans: bool = True) -> i
     ``keep_orphans`` keeps gold rows whose silver row was removed by hand; where nobody does that,
     leaving it out saves a join of both tables.
     """
-    gold = gold_features(read_table(spark, root, "price_silver"), unique=True)
+    silver = read_table(spark, root, "price_silver")
+    gold = gold_features(silver, unique=True)
     if keep_orphans:
-        gold = merge_keyed(read_table(spark, root, "features_gold").select(*GOLD.names), gold)
+        # Gold has the keys of silver, so they are read there instead of made again.
+        known = read_table(spark, root, "features_gold").select(*GOLD.names)
+        gold = known.join(silver.select(*KEY), KEY, "left_anti").select(*GOLD.names) \
+            .unionByName(gold)
     return write_months(enforce_constraints(gold, KEY), root, "features_gold")["rows"]
 
 
@@ -108,8 +113,7 @@ def refresh_all(spark: SparkSession, root: str,
     (those of ``row_checks``, or ``incomplete``) and the share of rows that may fail each; above one
     the refresh stops before silver is touched.
     """
-    for name in STORED:
-        check_stored_schema(spark, root, name)
+    check_schemas(spark, root)
     pending = pending_loads(spark, root)
     bronze = read_table(spark, root, "bronze_price_raw")
     counted = Observation()
@@ -158,6 +162,7 @@ def refresh_increment(spark: SparkSession, root: str,
         loads = [(source, batch) for _, source, batch in pending]
     if not loads:
         return Refresh()
+    check_schemas(spark, root)
     new = read_bronze_loads(spark, root, loads).select(*BRONZE.names)
     with staged(build_silver(new), "silver-changes") as changes:
         quality = apply_to_silver(changes, root)
@@ -176,19 +181,25 @@ def apply_to_silver(changes: DataFrame, root: str) -> dict[str, int]:
     return _write_silver(merged, root)
 
 
-def apply_to_gold(changes: DataFrame, root: str) -> int:
+def apply_to_gold(changes: DataFrame, root: str,
+                  then: Callable[[DataFrame], None] | None = None) -> int:
     """Recompute the gold rows that the silver rows at the keys of ``changes`` have an effect on."""
     affected = gold_for_changes(changes, root)
-    return 0 if affected is None else upsert_gold(affected, root)
+    return 0 if affected is None else upsert_gold(affected, root, then)
 
 
-def upsert_gold(features: DataFrame, root: str) -> int:
-    """Merge rows into the buckets of gold they touch; two rows for one key raise."""
+def upsert_gold(features: DataFrame, root: str,
+                then: Callable[[DataFrame], None] | None = None) -> int:
+    """Merge rows into the buckets of gold they touch; two rows for one key raise. ``then`` is called
+    with the rows when they are merged."""
     with staged(features, "gold-changes") as rows:
         require_unique(rows)
         known = read_parts(rows.sparkSession, root, "features_gold", touched_parts(rows, root))
         merged = merge_keyed(known.select(*GOLD.names), rows)
-        return write_months(enforce_constraints(merged, KEY), root, "features_gold")["rows"]
+        count = write_months(enforce_constraints(merged, KEY), root, "features_gold")["rows"]
+        if then:
+            then(rows)
+        return count
 
 
 def gold_for_changes(changes: DataFrame, root: str, margin: int = 2) -> DataFrame | None:

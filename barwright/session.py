@@ -79,7 +79,11 @@ def staged(rows: DataFrame, label: str) -> Iterator[DataFrame]:
     try:
         yield spark.read.schema(rows.schema).parquet(path)
     finally:
-        _hadoop_path(spark, path, lambda fs, folder: fs.delete(folder, True))
+        remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    _hadoop_path(spark, path, lambda fs, folder: fs.delete(folder, True))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -20,8 +20,10 @@ from pyspark.sql import types as T
 
 from barwright.functions.dates import month_key
 from barwright.operators.serving import latest_features
-from barwright.schemas import BAR_COLUMNS, GOLD, KEY, STORED, check_compatible
-from barwright.session import path_exists, subfolders
+from barwright.schemas import (
+    BAR_COLUMNS, GOLD, KEY, STORED, check_compatible, empty_table, few_rows,
+)
+from barwright.session import path_exists, remove, subfolders
 
 
 def table_path(root: str, name: str) -> str:
@@ -35,7 +37,7 @@ def table_exists(spark: SparkSession, root: str, name: str) -> bool:
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The stored table with its declared schema; an empty one when nothing was written yet."""
     if not table_exists(spark, root, name):
-        return spark.createDataFrame([], STORED[name])
+        return empty_table(spark, name)
     return spark.read.schema(STORED[name]).parquet(table_path(root, name))
 
 
@@ -76,12 +78,38 @@ def _write_bronze(bars: DataFrame, root: str, source: str, batch: int, mode: str
     return counted.get["rows"]
 
 
+# The folder that gathers old loads of a source; no load has this number.
+GATHERED = -1
+
+
+def compact_bronze(spark: SparkSession, root: str, source: str) -> int:
+    """Gather the worked-in loads of ``source`` in one folder and return how many; a stream leaves a
+    folder for each micro-batch.
+
+    The newest stays, since a restarted stream may write it again. Rows are copied before their old
+    folders go: a job lost in between leaves rows twice, which silver counts once, and never none.
+    """
+    states = loads(spark, root).where(
+        (F.col("source") == source) & (F.col("state") == "applied"))
+    done = sorted(row["batch"] for row in states.select("batch").distinct().collect())[:-1]
+    there = set(subfolders(spark, f"{table_path(root, 'bronze_price_raw')}/source={source}"))
+    old = [batch for batch in done if f"batch={batch}" in there]
+    if old:
+        rows = read_bronze_loads(spark, root, [(source, batch) for batch in old])
+        rows.drop("source", "batch").hint("rebalance").write.mode("append").parquet(
+            load_path(root, "bronze_price_raw", source, GATHERED))
+        for batch in old:
+            remove(spark, load_path(root, "bronze_price_raw", source, batch))
+        renew_views(spark, root)
+    return len(old)
+
+
 def buckets(spark: SparkSession, root: str) -> int:
     """The number of buckets of the tables below ``root``, settled by the first call."""
     path = table_path(root, "layout")
     if not path_exists(spark, path):
         count = int(spark.conf.get("spark.barwright.buckets", "4"))
-        spark.createDataFrame([(count,)], "buckets int").coalesce(1).write.parquet(path)
+        few_rows(spark, [(count,)], "buckets int").write.parquet(path)
         return count
     return spark.read.schema("buckets int").parquet(path).first()["buckets"]
 
@@ -98,7 +126,7 @@ def loads(spark: SparkSession, root: str) -> DataFrame:
     """What was loaded (``loaded``) and worked into silver and gold (``applied``), a row for each."""
     path = table_path(root, "loads")
     if not path_exists(spark, path):
-        return spark.createDataFrame([], LOADS)
+        return few_rows(spark, [], LOADS)
     return spark.read.schema(LOADS).parquet(path)
 
 
@@ -107,7 +135,7 @@ def note_loads(spark: SparkSession, root: str, noted: list[tuple[int, str, int]]
     if not noted:
         return
     with _NOTING:  # sources may be loaded side by side, and one write at a time may go to a folder
-        spark.createDataFrame([(*entry, state) for entry in noted], LOADS).coalesce(1) \
+        few_rows(spark, [(*entry, state) for entry in noted], LOADS) \
             .write.mode("append").parquet(table_path(root, "loads"))
 
 
@@ -163,13 +191,39 @@ def read_parts(spark: SparkSession, root: str, name: str,
                    if folder.startswith("bucket=")
                    and (month, int(folder.removeprefix("bucket="))) in parts]
     if not wanted:
-        return spark.createDataFrame([], STORED[name])
+        return empty_table(spark, name)
     return spark.read.schema(STORED[name]).option("basePath", path).parquet(*sorted(wanted))
 
 
+SCHEMAS = "name string, version int, columns string"
+
+
+def check_schemas(spark: SparkSession, root: str) -> dict[str, int]:
+    """Table name -> version of its schema. The versions are kept with the tables: a declared schema
+    that only adds columns to the last one becomes the next version, any other change raises."""
+    path, known = table_path(root, "schemas"), {}
+    if path_exists(spark, path):
+        for row in spark.read.schema(SCHEMAS).parquet(path).orderBy("version").collect():
+            known[row["name"]] = (row["version"], row["columns"])
+    new = []
+    for name, declared in STORED.items():
+        version, columns = known.get(name, (0, None))
+        if columns is None:
+            check_stored_schema(spark, root, name)
+        elif columns == declared.json():
+            continue
+        else:
+            check_compatible(columns, declared)
+        new.append((name, version + 1, declared.json()))
+    if new:
+        few_rows(spark, new, SCHEMAS).write.mode("append").parquet(path)
+    return {name: version for name, (version, _) in known.items()} | {
+        name: version for name, version, _ in new}
+
+
 def check_stored_schema(spark: SparkSession, root: str, name: str) -> None:
-    """Raise when the files of a table were written with a schema that the declared one cannot
-    follow. Reads one file footer."""
+    """Raise when the files of a table, of which no version is known, were written with a schema
+    that the declared one cannot follow. Reads one file footer."""
     folders = ("ym", "bucket", "source", "batch")
     if not any(f.startswith(folders) for f in subfolders(spark, table_path(root, name))):
         return

@@ -1,13 +1,19 @@
 """Raw rows to silver to gold, micro-batch by micro-batch.
 
-Every step can be repeated: a micro-batch that runs again after a failure overwrites the folders of
-its own number (bronze, change log) and merges rows that are there already (silver, gold). That and
-the checkpoint make the tables exactly-once. A source name belongs to one checkpoint, since
-micro-batches are numbered from 0 in each.
+Every step can be repeated: a micro-batch that runs again after a failure overwrites the folder of
+its own number in bronze and merges rows that are there already (silver, gold). That and the
+checkpoint make the tables exactly-once. In the change log each attempt has a folder of its own, so
+that files which the gold stream has planned never go; keys that stand there twice are recomputed
+once. A source name belongs to one checkpoint, since micro-batches are numbered from 0 in each.
+
+Folders of micro-batches add up: ``compact_bronze`` gathers those of bronze, and the option
+``cleanSource="delete"`` of :func:`stream_gold` removes what it has worked in from the change log.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,60 +26,68 @@ from barwright.session import staged
 from barwright.sources.tables import (
     load_number, load_path, note_loads, read_bronze_loads, replace_bronze_batch, table_path,
 )
-from barwright.streaming.topics import read_stream, start
+from barwright.streaming.topics import publish, read_stream, start
 
 CHANGES = T.StructType([
     *SILVER.fields,
     T.StructField("source", T.StringType()),
     T.StructField("batch", T.LongType()),
+    T.StructField("attempt", T.StringType()),
 ])
 
 
 def silver_batch(rows: DataFrame, batch: int, root: str, source: str,
-                 with_gold: bool = False) -> None:
+                 with_gold: bool = False, topic: dict[str, str] | None = None,
+                 gold_topic: dict[str, str] | None = None) -> None:
     """Land one micro-batch in bronze, log its clean rows as changes, merge them into silver."""
     spark = rows.sparkSession
     number = load_number(spark, root, source, batch)
     note_loads(spark, root, [(number, source, batch)], "loaded")
     numbered = rows.withColumn("seq", F.coalesce("seq", F.lit(number).cast("long")))
     replace_bronze_batch(numbered.select(*BRONZE.names), root, source, batch)
-    log = load_path(root, "silver_changes", source, batch)
-    build_silver(read_bronze_loads(spark, root, [(source, batch)])) \
-        .write.mode("overwrite").parquet(log)
+    log = f"{load_path(root, 'silver_changes', source, batch)}/attempt={uuid.uuid4().hex}"
+    build_silver(read_bronze_loads(spark, root, [(source, batch)])).write.parquet(log)
     changes = spark.read.schema(SILVER).parquet(log)
     apply_to_silver(changes, root)
+    publish(changes, topic)
     if with_gold:
-        apply_to_gold(changes, root)
+        apply_to_gold(changes, root, lambda gold: publish(gold, gold_topic))
     note_loads(spark, root, [(number, source, batch)], "applied")
 
 
 def stream_silver(raw: DataFrame, root: str, source: str, checkpoint: str,
-                  every: str | None = None, with_gold: bool = False) -> StreamingQuery:
+                  every: str | None = None, with_gold: bool = False,
+                  topic: dict[str, str] | None = None,
+                  gold_topic: dict[str, str] | None = None) -> StreamingQuery:
     """Keep silver up to date with a stream of rows in bronze columns.
 
     Late rows count whenever they come: the merge is by key and ``seq``, not by a watermark. A row
-    without ``seq`` gets the number of its load, which grows over all sources. ``with_gold`` does gold in the same
-    micro-batch; :func:`stream_gold` does it in a query of its own.
+    without ``seq`` gets the number of its load, which grows over all sources. ``with_gold`` does
+    gold in the same micro-batch; :func:`stream_gold` does it in a query of its own. ``topic`` and
+    ``gold_topic`` give the clean rows, and the features recomputed with them, out as messages.
     """
     writer = raw.writeStream.foreachBatch(
-        lambda rows, batch: silver_batch(rows, batch, root, source, with_gold))
+        lambda rows, batch: silver_batch(rows, batch, root, source, with_gold, topic, gold_topic))
     return start(writer, checkpoint, every)
 
 
-def gold_batch(changes: DataFrame, batch: int, root: str) -> None:
+def gold_batch(changes: DataFrame, batch: int, root: str,
+               topic: dict[str, str] | None = None) -> None:
     with staged(changes.select(*KEY).distinct(), "gold-keys") as keys:
-        apply_to_gold(keys, root)
+        apply_to_gold(keys, root, lambda gold: publish(gold, topic))
 
 
-def stream_gold(spark: SparkSession, root: str, checkpoint: str,
-                every: str | None = None, **options: str) -> StreamingQuery:
+def stream_gold(spark: SparkSession, root: str, checkpoint: str, every: str | None = None,
+                topic: dict[str, str] | None = None, **options: str) -> StreamingQuery:
     """Follow the change log of silver and recompute the features around each change.
 
     Row windows are not allowed on a stream, and a late row changes features of later rows that
     were given out before, so gold is merged from a batch computation on the affected rows. If silver
     replaces a month while it is read here, the micro-batch fails and is repeated on restart; let the
-    two queries take turns, or use ``with_gold``, to avoid that.
+    two queries take turns, or use ``with_gold``, to avoid that. ``topic`` gives the recomputed
+    features out as messages; ``options`` are those of the file source.
     """
     changes = read_stream(spark, table_path(root, "silver_changes"), CHANGES, **options)
-    writer = changes.writeStream.foreachBatch(lambda rows, batch: gold_batch(rows, batch, root))
+    writer = changes.writeStream.foreachBatch(
+        lambda rows, batch: gold_batch(rows, batch, root, topic))
     return start(writer, checkpoint, every)

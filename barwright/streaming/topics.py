@@ -33,6 +33,18 @@ def encode(rows: DataFrame, key: str = "symbol") -> DataFrame:
                        F.to_json(F.struct(*rows.columns)).alias("value"))
 
 
+def publish(rows: DataFrame, topic: dict[str, str] | None) -> None:
+    """Give rows of a micro-batch out as messages. ``topic`` names the ``format`` and its options, such
+    as ``{"format": "kafka", "topic": "silver", ...}`` or ``{"format": "json", "path": ...}``.
+
+    At least once: a repeated micro-batch gives its messages again, and readers that keep the last
+    message of a key and date lose nothing by that.
+    """
+    if topic:
+        options = {name: value for name, value in topic.items() if name != "format"}
+        encode(rows).write.format(topic["format"]).options(**options).mode("append").save()
+
+
 def start(writer: DataStreamWriter, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Start with a checkpoint: a pass over what is there now, or a micro-batch ``every`` so often."""
     writer = writer.option("checkpointLocation", checkpoint)

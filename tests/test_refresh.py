@@ -9,6 +9,7 @@ from pathlib import Path
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barwright.operators.gold import gold_features
 from barwright.operators.merge import DuplicateKeyError, merge_keyed, require_unique
@@ -366,6 +367,22 @@ def test_tables_written_with_another_schema_are_refused(spark, bronze, tmp_path)
     tables.check_stored_schema(spark, root, "bronze_price_raw")
 
 
+def test_schema_versions_are_kept_and_grow(spark, bronze, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    tables.append_bronze(bronze([bar("A", "2024-01-02", 1)]), root, "t", 1)
+    refresh.refresh_all(spark, root)
+    assert tables.check_schemas(spark, root) == dict.fromkeys(tables.STORED, 1)
+    wider = T.StructType([*tables.STORED["features_gold"].fields,
+                          T.StructField("ma50", T.DoubleType())])
+    monkeypatch.setitem(tables.STORED, "features_gold", wider)
+    for _ in range(2):
+        assert tables.check_schemas(spark, root)["features_gold"] == 2
+    assert tables.read_table(spark, root, "features_gold").first()["ma50"] is None
+    monkeypatch.setitem(tables.STORED, "features_gold", T.StructType(wider.fields[1:]))
+    with pytest.raises(SchemaChangeError, match="symbol was dropped"):
+        refresh.refresh_increment(spark, root, [("t", 1)])
+
+
 def test_a_refresh_without_usable_rows_can_be_repeated(spark, bronze, tmp_path):
     root = str(tmp_path)
     tables.append_bronze(bronze([bar(None, "2024-01-02", 1)]), root, "t", 1)

@@ -11,6 +11,7 @@ from barwright.functions.dates import utc_date, utc_instant
 from barwright.operators.bars import daily_bars
 from barwright.operators.gold import gold_features
 from barwright.operators.silver import build_silver
+from barwright.plans.refresh import refresh_all
 from barwright.schemas import BAR_COLUMNS, BRONZE, GOLD, SILVER
 from barwright.sources import tables
 from barwright.streaming.bars import streaming_daily_bars, write_daily_bars
@@ -87,6 +88,55 @@ def test_a_repeated_micro_batch_changes_nothing(spark, bronze, tmp_path):
         == rows_of(gold_features(silver))
 
 
+def test_a_repeated_attempt_leaves_the_logged_files(spark, bronze, tmp_path):
+    root, rows = str(tmp_path), random_series(random.Random(8), "A", 30)
+    silver_batch(bronze(rows), 0, root, "live")
+    planned = set(spark.read.parquet(f"{root}/silver_changes").inputFiles())
+    silver_batch(bronze(rows), 0, root, "live")
+    assert planned < set(spark.read.parquet(f"{root}/silver_changes").inputFiles())
+    stream_gold(spark, root, f"{root}/cp-gold").awaitTermination()
+    gold = tables.read_table(spark, root, "features_gold").select(*GOLD.names)
+    assert rows_of(gold) == rows_of(gold_features(build_silver(bronze(rows))))
+
+
+def test_old_changes_are_cleaned_and_old_micro_batches_gathered(spark, bronze, tmp_path):
+    root, rows = str(tmp_path), shuffled_rows(9)
+    for part in range(4):
+        silver_batch(bronze(rows[part::4]), part, root, "live")
+        stream_gold(spark, root, f"{root}/cp-gold", cleanSource="delete").awaitTermination()
+    silver = build_silver(bronze(rows))
+
+    def check():
+        stored = tables.read_table(spark, root, "bronze_price_raw").select(*BRONZE.names)
+        assert rows_of(stored) == rows_of(bronze(rows).withColumn("source", F.lit("live")))
+        gold = tables.read_table(spark, root, "features_gold").select(*GOLD.names)
+        assert rows_of(gold) == rows_of(gold_features(silver))
+
+    check()
+    assert len(list((tmp_path / "silver_changes").rglob("*.parquet"))) < 4
+    assert tables.compact_bronze(spark, root, "live") == 3
+    folders = {f.name for f in (tmp_path / "bronze_price_raw" / "source=live").iterdir()}
+    assert folders == {"batch=-1", "batch=3"}
+    assert tables.compact_bronze(spark, root, "live") == 0
+    # A restarted stream may write the newest again, and a full refresh reads both folders.
+    silver_batch(bronze(rows[3::4]), 3, root, "live")
+    refresh_all(spark, root)
+    check()
+
+
+def test_clean_rows_and_features_are_given_out_as_messages(spark, bronze, tmp_path):
+    root, rows = str(tmp_path), random_series(random.Random(11), "A", 25)
+    topics = [{"format": "json", "path": f"{root}/topics/{name}"} for name in ("silver", "gold")]
+    silver_batch(bronze(rows), 0, root, "live", True, *topics)
+    gold_batch(bronze(rows), 0, root, {"format": "json", "path": f"{root}/topics/again"})
+    silver = build_silver(bronze(rows))
+    for name, schema, want in (("silver", SILVER, silver), ("gold", GOLD, gold_features(silver)),
+                               ("again", GOLD, gold_features(silver))):
+        messages = spark.read.schema("key string, value string").json(f"{root}/topics/{name}")
+        assert {row["key"] for row in messages.collect()} == {"A"}
+        assert rows_of(decode(messages, schema)) == rows_of(want.select(*schema.names))
+
+
 def test_rows_without_seq_are_ordered_by_micro_batch(spark, bronze, tmp_path):
     root = str(tmp_path)
     first = bronze(random_series(random.Random(6), "A", 1)).withColumn("seq", F.lit(None).cast("long"))
