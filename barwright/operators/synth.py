@@ -46,18 +46,30 @@ def synth_bars(symbols: DataFrame, days: int = DAYS_PER_SYMBOL,
     spark = symbols.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     here = [F.col("symbol"), F.col("i")]
-    series = Window.partitionBy("symbol").orderBy("i")
-    so_far = series.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
     change = draws.normal(DRIFT, VOLATILITY, seed, "change", *here)
     gap = draws.normal(0.0, GAP_STDDEV, seed, "gap", *here)
     spread = F.abs(draws.normal(SPREAD_MEAN, SPREAD_STDDEV, seed, "spread", *here))
-    walk = (symbols
-            .repartition(partitions, "symbol")
-            .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(days - 1))))
-            .withColumns({"change": change, "gap": gap, "spread": spread})
-            .withColumn("close", F.col("start_price") * F.product(1 + F.col("change")).over(so_far)))
-    opened = walk.withColumn("open", F.coalesce(
+    days_ = (symbols
+             .repartition(partitions, "symbol")
+             .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(days - 1))))
+             .withColumns({"change": change, "gap": gap, "spread": spread}))
+    return walk(days_).select(
+        "symbol",
+        business_day_number(first_business_day(start), F.col("i")).alias("dt"),
+        "open", "high", "low", "close",
+        draws.integer(VOLUME_LOW, VOLUME_HIGH, seed, "volume", *here).alias("volume"),
+    )
+
+
+def walk(days: DataFrame) -> DataFrame:
+    """Prices in cents for days ``i`` of a symbol, from its ``start_price`` and the day's ``change``,
+    ``gap`` and ``spread``: a close is the one before times 1 + change, an open the close before times
+    1 + gap, and high and low lie a spread outside of both."""
+    series = Window.partitionBy("symbol").orderBy("i")
+    so_far = series.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    closed = days.withColumn(
+        "close", F.col("start_price") * F.product(1 + F.col("change")).over(so_far))
+    opened = closed.withColumn("open", F.coalesce(
         F.lag("close").over(series) * (1 + F.col("gap")),
         F.col("close") / (1 + F.col("change"))))
     cents = {
@@ -66,12 +78,8 @@ def synth_bars(symbols: DataFrame, days: int = DAYS_PER_SYMBOL,
         "low": F.least("open", "close") * (1 - F.col("spread")),
         "close": F.col("close"),
     }
-    return opened.select(
-        "symbol",
-        business_day_number(first_business_day(start), F.col("i")).alias("dt"),
-        *[F.round(value, 2).cast("decimal(18,2)").alias(name) for name, value in cents.items()],
-        draws.integer(VOLUME_LOW, VOLUME_HIGH, seed, "volume", *here).alias("volume"),
-    )
+    return opened.withColumns({name: F.round(value, 2).cast("decimal(18,2)")
+                               for name, value in cents.items()})
 
 
 def generate_bars(spark: SparkSession, rows: int | None = None, num_symbols: int = 200,

@@ -128,6 +128,7 @@ def _side(side: str, here: str) -> str:
 
 ORACLE = {
     "csv_ingest": f"WITH {BULK} SELECT {BARS}, 'csv' AS source, CAST(0 AS BIGINT) AS seq FROM bulk",
+    "csv_split": f"WITH {BULK} SELECT {BARS}, 'csv' AS source, CAST(0 AS BIGINT) AS seq FROM bulk",
     "feed_ingest": f"""WITH {FEED}
 SELECT symbol, dt, open, high, low, close, coalesce(volume, 0) AS volume, source, seq
 FROM feed WHERE dt >= DATE '2024-01-01' AND dt < current_date""",
@@ -207,6 +208,26 @@ days AS (SELECT symbol, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DA
          FROM span)
 SELECT d.symbol, d.dt FROM days d LEFT JOIN silver s ON s.symbol = d.symbol AND s.dt = d.dt
 WHERE isodow(d.dt) <= 5 AND s.symbol IS NULL""",
+    "synth_walk": """WITH days AS (
+  SELECT CAST(l_suppkey AS VARCHAR) AS symbol,
+         CAST(row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey,
+           l_quantity, l_extendedprice, l_discount, l_tax) - 1 AS INTEGER) AS i,
+         CAST(100 AS DOUBLE) / 3 + l_suppkey * CAST(0.5 AS DOUBLE) AS start_price,
+         (l_discount - CAST(0.05 AS DOUBLE)) / 7 AS change,
+         (l_tax - CAST(0.04 AS DOUBLE)) / 90 AS gap, l_quantity / 9000 AS spread
+  FROM lineitem),
+closed AS (
+  SELECT *, start_price * product(1 + change) OVER (
+           PARTITION BY symbol ORDER BY i ROWS UNBOUNDED PRECEDING) AS c
+  FROM days),
+opened AS (
+  SELECT *, coalesce(lag(c) OVER (PARTITION BY symbol ORDER BY i) * (1 + gap), c / (1 + change)) AS o
+  FROM closed)
+SELECT symbol, i, CAST(round(o, 2) AS DECIMAL(18,2)) AS open,
+       CAST(round(greatest(o, c) * (1 + spread), 2) AS DECIMAL(18,2)) AS high,
+       CAST(round(least(o, c) * (1 - spread), 2) AS DECIMAL(18,2)) AS low,
+       CAST(round(c, 2) AS DECIMAL(18,2)) AS close
+FROM opened""",
     "synth_ohlcv_profile": """WITH
 span AS (SELECT CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS b
          FROM orders),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barwright.operators import bars, calendar, gold, merge, quality, serving, silver, synth
@@ -64,6 +64,14 @@ def csv_ingest(spark, sf):
     return raw.read_csv_bars(spark, folder).bars
 
 
+@query
+def csv_split(spark, sf):
+    """Files of 1000 rows at most, read back as one source."""
+    folder = scratch_dir(spark, "csv")
+    synth.write_csv(bulk_bronze(spark, sf), folder, split_rows=1000)
+    return raw.read_csv_bars(spark, folder).bars
+
+
 def vendor_extract(spark, sf):
     return feed_rows(table(spark, sf, "events")).select(
         F.col("ts").alias("Datetime"), F.col("symbol").alias("Symbol"),
@@ -161,7 +169,10 @@ def gold_features(spark, sf):
 
 @query
 def gold_features_chunked(spark, sf):
-    return gold.gold_features_chunked(clean(spark, sf), chunk_rows=256)
+    """On stored silver, as the operator reads it twice."""
+    folder = scratch_dir(spark, "silver")
+    clean(spark, sf).write.parquet(folder)
+    return gold.gold_features_chunked(spark.read.schema(SILVER).parquet(folder), chunk_rows=256)
 
 
 @query
@@ -339,6 +350,20 @@ def synth_ohlcv_profile(spark, sf):
     return synth.profile(synth.synth_bars(symbols, periods, first))
 
 
+@query
+def synth_walk(spark, sf):
+    """The generator's walk with changes, gaps and spreads out of table columns."""
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
+             "l_discount", "l_tax"]
+    days = table(spark, sf, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("symbol"),
+        (F.row_number().over(Window.partitionBy("l_suppkey").orderBy(*order)) - 1).alias("i"),
+        (100.0 / 3 + F.col("l_suppkey") * synth.PRICE_STEP).alias("start_price"),
+        ((F.col("l_discount") - 0.05) / 7).alias("change"),
+        ((F.col("l_tax") - 0.04) / 90).alias("gap"), (F.col("l_quantity") / 9000).alias("spread"))
+    return synth.walk(days).select("symbol", "i", "open", "high", "low", "close")
+
+
 # ---- quality
 
 @query

@@ -54,7 +54,8 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder name below the shared folder of ``spark.checkpoint.dir``.
 
     Every executor must see what is written here, so a machine-local folder is used only when the
-    setting is absent and Spark itself runs on one machine.
+    setting is absent and Spark itself runs on one machine. What is there when this process ends is
+    removed.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_LOCAL_SCRATCH, None)
     if not base:
@@ -63,7 +64,20 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="barwright-")
         atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set(_LOCAL_SCRATCH, base)
-    return f"{base.rstrip('/')}/barwright/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/barwright/{label}-{uuid.uuid4().hex}"
+    _remove_at_exit(spark, path)
+    return path
+
+
+def _remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Results are lazy and read their folders as long as this process lives, and no longer."""
+    folder, settings = _folder(spark, path)
+
+    def clean() -> None:
+        with contextlib.suppress(Exception):  # the JVM may be gone before
+            folder.getFileSystem(settings).delete(folder, True)
+
+    atexit.register(clean)
 
 
 @contextlib.contextmanager
@@ -99,5 +113,10 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
 
 def _hadoop_path(spark: SparkSession, path: str, use: Callable) -> Any:
     """Call ``use`` with the file system that ``path`` names, whichever it is."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return use(folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder)
+    folder, settings = _folder(spark, path)
+    return use(folder.getFileSystem(settings), folder)
+
+
+def _folder(spark: SparkSession, path: str) -> tuple[Any, Any]:
+    return (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path),
+            spark.sparkContext._jsc.hadoopConfiguration())

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime
 import random
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
@@ -357,6 +359,24 @@ def test_scratch_lies_in_the_shared_folder(spark):
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
 
 
+def test_scratch_goes_with_the_process(tmp_path):
+    code = """
+import sys
+from barwright.session import build_session, scratch_dir
+spark = build_session("scratch", "local[1]", **{"spark.checkpoint.dir": sys.argv[1]})
+path = scratch_dir(spark, "x")
+spark.range(3).write.parquet(path)
+assert spark.read.parquet(path).count() == 3
+if sys.argv[2] == "stop":
+    spark.stop()
+"""
+    for how in ("stop", "leave"):
+        folder = tmp_path / how
+        subprocess.run([sys.executable, "-c", code, str(folder), how], check=True, timeout=120,
+                       cwd=Path(__file__).resolve().parents[1])
+        assert list((folder / "barwright").iterdir()) == []
+
+
 def test_tables_written_with_another_schema_are_refused(spark, bronze, tmp_path):
     root = str(tmp_path)
     spark.sql("SELECT 'A' AS symbol, 1 AS dt, 202401 AS ym").write.partitionBy("ym") \
