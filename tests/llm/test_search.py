@@ -85,6 +85,10 @@ def test_edit_fingerprints_of_the_table(spark, sf_docs):
     far = [r for r in got if sf_docs[r["doc_id"]][:20] != sf_docs.get(r["doc_id"] - 1, "")[:20]]
     assert np.mean([r["near_next"] for r in far]) < 0.05
     assert np.mean([r["edited_bands"] > 0 for r in got if r["n_chars"] > 300]) > 0.95
+    for kind in ("edited", "next"):
+        assert {r[f"{kind}_linked"] == (r[f"{kind}_bands"] > 0 and r[f"near_{kind}"]
+                                        >= edit_embedding.ALIKE) for r in got} == {True}
+    assert {r["next_linked"] for r in far if r["n_chars"] > 300} == {False}
 
 
 def test_edit_fingerprints_of_odd_rows(spark, odd_docs, odd_texts, no_docs):
@@ -113,6 +117,17 @@ def test_few_edits_keep_a_fingerprint_near(sf_docs):
     assert np.median(near) > 0.6 and np.median(far) < 0.1
 
 
+def test_small_edits_of_long_texts_are_linked_by_a_band(sf_docs):
+    likeness = edit_embedding.walk(edit_embedding.SEED).likeness
+    texts = [t for t in sf_docs.values() if len(t) > 2000][:30]
+    linked = []
+    for text in texts:
+        a, b = map(edit_embedding.fingerprint, (text, text[:-9] + "other end"))
+        linked.append(edit_embedding.shared_bands(a, b) > 0
+                      and likeness(a, b) >= edit_embedding.ALIKE)
+    assert np.mean(linked) > 0.9
+
+
 def test_plain_fingerprints(odd_docs, odd_texts):
     got = edit_embedding.fingerprints(odd_docs).collect()
     want = [(i, edit_embedding.fingerprint(t or "")) for i, t in odd_texts]
