@@ -9,8 +9,8 @@ Calibration: a temperature fits the probabilities on documents set aside, and ``
 whether the score is above the threshold that would have rejected the wrong ones there best.
 
 Learning uses texts with a lang whose crc32(doc_id) mod 3 is not 1. Of more than ``SAMPLE`` rows
-about that many are taken by a hash of the id, and of each the first ``SAMPLE_BYTES`` are learnt, in short examples;
-predictions read whole texts. Lang, source and doc_id are no input of a prediction. lang_pred is a
+about that many are taken by a hash of the id, and of each up to ``SAMPLE_BYTES`` in a row are
+learnt, from a place that a hash chooses and in short examples; predictions read whole texts. Lang, source and doc_id are no input of a prediction. lang_pred is a
 learned lang, or "und" with score 0 where the text is null or has no letter, or where nothing could
 be learnt. Repeated rows give repeated results, a null doc_id stays null, other columns are ignored,
 an empty table gives an empty result.
