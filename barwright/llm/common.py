@@ -24,7 +24,7 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     """``rows`` written to the folder that all executors share, and read back.
 
     Later steps read files instead of running the plan again, also after executors are lost. The
-    files stay until the cluster empties that folder, because the returned frame is lazy.
+    files stay until this process ends, because the returned frame is lazy.
     """
     path = scratch_dir(rows.sparkSession, label)
     rows.write.parquet(path)
