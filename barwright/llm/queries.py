@@ -20,7 +20,7 @@ def op2_token_counts(spark, sf):
 
 
 def op3_edit_embedding(spark, sf):
-    return edit_embedding.fingerprint_edits(table(spark, sf, "documents"))
+    return edit_embedding.edit_classes(table(spark, sf, "documents"))
 
 
 def op4_top_products(spark, sf):

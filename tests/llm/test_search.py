@@ -128,6 +128,47 @@ def test_small_edits_of_long_texts_are_linked_by_a_band(sf_docs):
     assert np.mean(linked) > 0.9
 
 
+def check_classes(got, rows):
+    """Classes and numbers of links by comparing all pairs of texts."""
+    likeness = edit_embedding.walk(edit_embedding.SEED).likeness
+    prints = [edit_embedding.fingerprint(t or "") for _, t in rows]
+    alike = {(a, b): a == b or (edit_embedding.shared_bands(a, b) > 0
+                                and likeness(a, b) >= edit_embedding.ALIKE)
+             for a in {*prints} for b in {*prints}}
+    want = []
+    for i, print_ in enumerate(prints):
+        seen, queue = {i}, [i]
+        while queue:
+            here = prints[queue.pop()]
+            more = [j for j in range(len(rows)) if j not in seen and alike[here, prints[j]]]
+            seen.update(more)
+            queue.extend(more)
+        ids = [rows[j][0] for j in seen if rows[j][0] is not None]
+        links = sum(alike[print_, other] for other in prints) - 1
+        want.append((rows[i][0], print_, min(ids, default=None), links))
+    assert sorted(map(str, ((r["doc_id"], r["fingerprint"], r["class_id"], r["n_links"])
+                            for r in got))) == sorted(map(str, want))
+
+
+@pytest.mark.parametrize("block", [edit_embedding.BLOCK, 4, 1])
+def test_near_copies_that_are_no_neighbours_are_linked(spark, sf_docs, block):
+    long = [t for t in sf_docs.values() if len(t) > 2000][:4]
+    rows = [(1000 * n + k, t[:-20] + f" end {k} of it" * (k > 1)) for k in range(12)
+            for n, t in enumerate(long)] + [(None, long[0][:-20]), (9999, ""), (9998, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = edit_embedding.edit_classes(docs, block=block).collect()
+    check_classes(got, rows)
+    assert min(r["n_links"] for r in got if r["n_chars"]) >= 10
+    check_edits(got, rows)
+
+
+def test_classes_of_the_table_and_of_odd_rows(spark, sf_docs, odd_docs, odd_texts, no_docs):
+    got = edit_embedding.edit_classes(table(spark, SF, "documents")).collect()
+    check_classes(got, [*sf_docs.items()])
+    check_classes(edit_embedding.edit_classes(odd_docs).collect(), odd_texts)
+    assert edit_embedding.edit_classes(no_docs).collect() == []
+
+
 def test_plain_fingerprints(odd_docs, odd_texts):
     got = edit_embedding.fingerprints(odd_docs).collect()
     want = [(i, edit_embedding.fingerprint(t or "")) for i, t in odd_texts]
