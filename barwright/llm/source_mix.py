@@ -1,9 +1,12 @@
 """Mixing sources to target weights: a multivariate-hypergeometric splitting tree over blocks.
 
-The words of a source's documents stand in one row, document after document, and are cut into blocks
-of equal size. A source's target in words is a number of blocks: whole passes over all its blocks,
-and a last pass over some. Output shards share these quotas by a tree: a node's blocks of each
-source are dealt to its two halves by a multivariate hypergeometric draw with exact totals, down to
+The documents of a source stand in one row, in the order of a hash, and are cut into blocks of whole
+documents: those whose first words lie in the same stretch of ``BLOCK_WORDS`` words of the row, at
+every size. A source's target in words is whole passes over all its blocks, and a last pass over as
+many permuted blocks as reach it; the document there that would go beyond the target is cut, and
+what follows it in its block is left out. So at most one document of a source is cut, and a source
+gives its target to the word. Output shards share these quotas of blocks by a tree: a node's blocks of
+each source are dealt to its two halves by a multivariate hypergeometric draw with exact totals, down to
 single shards. Each shard finds its own quotas, and where they begin in each source, by going down
 from the root; draws are seeded by node, so all shards see the same tree and none needs the others.
 The blocks of a pass are permuted by a keyed bijection, shards take disjoint runs of the permuted
@@ -11,7 +14,7 @@ row, and each shard shuffles what it took. Every draw depends on the seed and nu
 reruns agree.
 
 Size is the number of words between ASCII white space, 0 for null. Null is a source of its own, the
-last in order. Repeated rows count each; rows are put in row by (doc_id, text). Sources without
+last in order. Repeated rows count each; rows are put in row by a hash of (doc_id, text). Sources without
 words have target 0. Only doc_id, text and source are read; an empty table gives an empty result.
 The driver holds one number per source, no documents; a source may hold any share of the rows.
 """
@@ -32,9 +35,7 @@ from barwright.llm.common import SPACES, pieces, same, stored, text_key
 
 WEIGHTS = (5, 2, 1)
 MOST = 3.0
-BLOCK_WORDS = 1024
-# A source is cut into this many blocks at least, if it has the words.
-LEAST_BLOCKS = 4096
+BLOCK_WORDS = 16
 # Blocks of all sources together; beyond, blocks grow.
 MOST_BLOCKS = 2**29
 SHARD_BLOCKS = 4096
@@ -73,12 +74,23 @@ class Plan:
         self.targets = shared_targets(
             self.sizes, [weights[i % len(weights)] for i in range(len(self.names))], most)
         floor = ceil(MOST * sum(self.sizes) / MOST_BLOCKS)
-        self.words = [max(1, floor, min(block_words, size // LEAST_BLOCKS)) for size in self.sizes]
+        self.words = [max(floor, block_words)] * len(self.sizes)
         self.blocks = [ceil(size / words) for size, words in zip(self.sizes, self.words)]
         self.quotas = [min(round(target / words), int(most * blocks)) for target, words, blocks
                        in zip(self.targets, self.words, self.blocks)]
+        goals = [min(round(target), int(most * size))
+                 for target, size in zip(self.targets, self.sizes)]
+        # Whole passes, and words of the last one.
+        self.passes = [goal // size if size else 0 for goal, size in zip(goals, self.sizes)]
+        self.rests = [goal - n * size for goal, n, size in zip(goals, self.passes, self.sizes)]
+        self.shard_blocks, self.seed = shard_blocks, seed
         self.shards = max(1, ceil(sum(self.quotas) / shard_blocks))
-        self.seed = seed
+
+    def settle(self, last: dict[int, int]) -> None:
+        """Quotas from the number of blocks that each source's last pass needs for its words."""
+        self.quotas = [n * blocks + last.get(i, 0)
+                       for i, (n, blocks) in enumerate(zip(self.passes, self.blocks))]
+        self.shards = max(1, ceil(sum(self.quotas) / self.shard_blocks))
 
     def shard(self, number: int) -> tuple[np.ndarray, np.ndarray]:
         """First block and number of blocks of each source in one shard."""
@@ -102,18 +114,30 @@ class Plan:
         Four Feistel rounds over the next even number of bits; results beyond the blocks go through
         again until they fall inside.
         """
+        return self._moved(source, turn, at, False)
+
+    def places(self, source: int, turn: int, blocks: np.ndarray) -> np.ndarray:
+        """The places of ``blocks`` in a pass."""
+        return self._moved(source, turn, blocks, True)
+
+    def _moved(self, source: int, turn: int, at: np.ndarray, back: bool) -> np.ndarray:
         count = self.blocks[source]
         half = max(1, ((count - 1).bit_length() + 1) // 2)
         mask = np.uint64((1 << half) - 1)
         rounds = np.random.default_rng([self.seed, source, turn, 1]).integers(
             1, 2**63, 4, dtype=np.uint64) | np.uint64(1)
+
+        def mixed(word, key):
+            word = (word + key) * np.uint64(0x9E3779B97F4A7C15)
+            word ^= word >> np.uint64(29)
+            return (word * key >> np.uint64(17)) & mask
+
         out, todo = at.astype(np.uint64), np.ones(len(at), bool)
         while todo.any():
             left, right = out[todo] >> np.uint64(half), out[todo] & mask
-            for key in rounds:
-                mixed = (right + key) * np.uint64(0x9E3779B97F4A7C15)
-                mixed ^= mixed >> np.uint64(29)
-                left, right = right, left ^ (mixed * key >> np.uint64(17)) & mask
+            for key in rounds[::-1] if back else rounds:
+                left, right = (right ^ mixed(left, key), left) if back else (
+                    right, left ^ mixed(right, key))
             out[todo] = left << np.uint64(half) | right
             todo = out >= count
         return out.astype(np.int64)
@@ -179,7 +203,8 @@ def numbered(rows: DataFrame) -> DataFrame:
     offsets = dealt.groupBy("source", "bucket").agg(F.sum("size").alias("words")).select(
         F.col("source").alias("of_source"), F.col("bucket").alias("of_bucket"),
         F.coalesce(F.sum("words").over(before), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("bucket", "source").orderBy("doc_id", "text_key").rowsBetween(
+    inside = Window.partitionBy("bucket", "source").orderBy(
+        F.xxhash64("doc_id", "text_key", F.lit("row")), "doc_id", "text_key").rowsBetween(
         Window.unboundedPreceding, -1)
     sums = dealt.repartition("bucket").withColumn(
         "inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
@@ -189,6 +214,38 @@ def numbered(rows: DataFrame) -> DataFrame:
         "of_source", "of_bucket", "bucket", "inside", "offset")
 
 
+def last_pass(rows: DataFrame, plan: Plan) -> DataFrame:
+    """``rows`` with ``place``, that of their block in the last pass of their source, and ``last``,
+    how many of their first words that pass takes.
+
+    Words are added up over runs of BUCKET places, and rows inside a run.
+    """
+    @F.pandas_udf("long")
+    def place_of(number: pd.Series, block: pd.Series) -> pd.Series:
+        out = np.zeros(len(block), np.int64)
+        sources, blocks = number.to_numpy(), block.to_numpy()
+        for source in np.unique(sources):
+            own = (sources == source) & (blocks < plan.blocks[source])  # empty rows may stand behind
+            out[own] = plan.places(int(source), plan.passes[source], blocks[own])
+        return pd.Series(out)
+
+    placed = rows.withColumn("place", place_of("number", "block")).withColumn(
+        "run", F.floor(F.col("place") / BUCKET))
+    before = Window.partitionBy("of_number").orderBy("of_run").rowsBetween(
+        Window.unboundedPreceding, -1)
+    offsets = placed.groupBy(F.col("number").alias("of_number"), F.col("run").alias("of_run")).agg(
+        F.sum("size").alias("words_here")).withColumn(
+        "offset", F.coalesce(F.sum("words_here").over(before), F.lit(0)))
+    inside = Window.partitionBy("number", "run").orderBy("place", "start", "size").rowsBetween(
+        Window.unboundedPreceding, -1)
+    sums = placed.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    open_ = F.col("rest") - F.col("offset") - F.col("inside")
+    return sums.join(offsets, (F.col("number") == F.col("of_number")) & (
+        F.col("run") == F.col("of_run"))).withColumn(
+        "last", F.greatest(F.expr("0L"), F.least(F.col("size"), open_))).drop(
+        "of_number", "of_run", "run", "words_here", "offset", "inside")
+
+
 class Mix:
     """A mix of documents: the plan, the documents' places in their sources, the blocks taken."""
 
@@ -201,51 +258,49 @@ class Mix:
             F.sum("size").alias("size")).collect()}  # a row per source
         self.plan = plan = Plan(sizes, weights, most, block_words, shard_blocks, seed)
         table = spark.createDataFrame(
-            [*zip(range(len(plan.names)), plan.names, plan.sizes, plan.targets, plan.words)],
-            "number long, name string, source_size long, target double, words long")
-        self.rows = stored(numbered(rows).join(
-            table, F.col("source").eqNullSafe(F.col("name"))).drop("name"), "mix-rows")
+            [*zip(range(len(plan.names)), plan.names, plan.sizes, plan.targets, plan.words,
+                  plan.passes, plan.rests)],
+            "number long, name string, source_size long, target double, words long, "
+            "passes long, rest long")
+        placed = stored(numbered(rows).join(
+            table, F.col("source").eqNullSafe(F.col("name"))).drop("name").withColumn(
+            "block", F.floor(F.col("start") / F.col("words"))), "mix-rows")
+        self.rows = stored(last_pass(placed, plan), "mix-last")
+        plan.settle({r["number"]: r["last"] for r in self.rows.where("last > 0").groupBy(
+            "number").agg((F.max("place") + 1).alias("last")).collect()})  # a row per source
         self.placements = placements(spark, plan)
 
-    def spans(self) -> DataFrame:
-        """The rows with every block they reach into: block, and from and to in their own words.
-        Rows without words have one row without a block."""
-        last = F.floor((F.col("start") + F.col("size") - 1) / F.col("words"))
-        reach = F.when(F.col("size") > 0, F.sequence(
-            F.floor(F.col("start") / F.col("words")), last))
-        rows = self.rows.withColumn("block", F.explode_outer(reach))
-        begin = F.col("block") * F.col("words") - F.col("start")
-        return rows.withColumn("from", F.greatest(F.expr("0L"), begin)).withColumn(
-            "to", F.least(F.col("size"), begin + F.col("words")))
+    def passed(self) -> DataFrame:
+        """A row for each pass that takes words of a row: turn, and gain, the number of its first
+        words that are taken. Rows without words have none."""
+        # Their size is not known before they are made, and Spark's guess would broadcast them.
+        blocks = self.placements.hint("merge").select(F.col("source").alias("p_source"),
+                                        F.col("block").alias("p_block"), "turn")
+        gain = F.when(F.col("turn") < F.col("passes"), F.col("size")).otherwise(F.col("last"))
+        return self.rows.where("size > 0").join(
+            blocks, (F.col("number") == F.col("p_source")) & (F.col("block") == F.col("p_block"))
+        ).withColumn("gain", gain).where("gain > 0").drop("p_source", "p_block")
 
     def taken(self) -> DataFrame:
         """doc_id, size, source_size, target and taken (words with repeats) of every row."""
-        blocks = self.placements.groupBy("source", "block").agg(F.count("*").alias("times")).select(
-            F.col("source").alias("p_source"), F.col("block").alias("p_block"), "times")
-        joined = self.spans().join(blocks, (F.col("number") == F.col("p_source"))
-                                   & (F.col("block") == F.col("p_block")), "left")
-        words = F.coalesce((F.col("to") - F.col("from")) * F.col("times"), F.lit(0))
         # start tells rows with words apart; of those without, repeated ones are numbered.
-        some = joined.where("size > 0").groupBy("doc_id", "number", "start").agg(
-            *[F.first(c).alias(c) for c in ("size", "source_size", "target")],
-            F.sum(words).cast("long").alias("taken"))
+        gains = self.passed().groupBy(F.col("number").alias("of"), F.col("start").alias("at")).agg(
+            F.sum("gain").alias("gain"))
+        some = self.rows.where("size > 0").join(
+            gains, (F.col("number") == F.col("of")) & (F.col("start") == F.col("at")), "left"
+        ).withColumn("taken", F.coalesce("gain", F.expr("0L")))
         columns = ["doc_id", "size", "source_size", "target", "taken"]
         none = self.rows.where("size = 0").withColumn("taken", F.expr("0L"))
         return some.select(columns).unionByName(none.select(columns))
 
     def texts(self, docs: DataFrame) -> DataFrame:
         """Rows of ``docs`` as the mix takes them: a row for each pass that takes any of its words,
-        with the text cut to the blocks taken, and n_chars, if there, counted anew. A row whose
+        with the text cut after the words taken, and n_chars, if there, counted anew. A row whose
         words are all taken keeps its text as it is; rows without words are not taken."""
-        parts = self.spans().where("size > 0").join(
-            self.placements.select(F.col("source").alias("p_source"), "turn",
-                                   F.col("block").alias("p_block"), "shard", "place"),
-            (F.col("number") == F.col("p_source")) & (F.col("block") == F.col("p_block")))
         key = ["doc_id", "text_key", "source"]
-        cuts = parts.groupBy(*key, "start", "turn").agg(
-            (F.sum(F.col("to") - F.col("from")) == F.first("size")).alias("whole"),
-            F.sort_array(F.collect_list(F.struct("from", "to"))).alias("spans"))
-        # Rows with the same key and text are numbered on both sides.
+        cuts = self.passed().withColumn("whole", F.col("gain") == F.col("size")).withColumn(
+            "spans", F.array(F.struct(F.expr("0L").alias("from"), F.col("gain").alias("to"))))
+        # Rows with the same key and text are numbered on both sides; every one has a start.
         number = F.dense_rank().over(Window.partitionBy(*key).orderBy("start"))
         taken = cuts.withColumn("copy", number).groupBy(*key).agg(
             F.collect_list(F.struct("copy", "whole", "spans")).alias("taken"))

@@ -151,6 +151,25 @@ def test_mix_of_odd_rows(odd_docs, no_docs):
     assert source_mix.mixed_documents(no_docs).collect() == []
 
 
+def test_mix_cuts_one_document_of_a_source_at_most(spark):
+    docs = table(spark, BIG, "documents")
+    sources = {r["doc_id"]: r["source"] for r in docs.select("doc_id", "source").collect()}
+    cut, gained, goals = {}, {}, {}
+    for r in source_mix.mix_sources(docs).collect():
+        source = sources[r["doc_id"]]
+        goals[source] = r["target"]
+        gained[source] = gained.get(source, 0) + r["taken"]
+        cut[source] = cut.get(source, 0) + (r["size"] > 0 and r["taken"] % r["size"] > 0)
+    assert max(cut.values()) <= 1
+    assert all(gained[s] == round(goals[s]) for s in goals)
+
+
+def test_places_turn_the_permutation_back():
+    plan = source_mix.Plan({"a": 50_000})
+    blocks = np.arange(plan.blocks[0])
+    assert (plan.places(0, 2, plan.permuted(0, 2, blocks)) == blocks).all()
+
+
 def test_targets_stop_at_three_times_the_size():
     assert source_mix.shared_targets([10, 1000, 0], [5, 2, 1]) == [30.0, 980.0, 0.0]
     assert source_mix.shared_targets([], []) == []
