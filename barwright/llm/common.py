@@ -53,8 +53,12 @@ def bounded_sample(rows: DataFrame, most: int, key: str = "doc_id") -> DataFrame
     count = rows.count()
     if count <= most:
         return rows
-    share = int(most / count * 2**20)
-    return rows.where(F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(2**20)) < share)
+    return rows.where(sample_hash(key) < most * 2**63 // count)
+
+
+def sample_hash(*keys: str) -> Column:
+    """A number of 63 bits."""
+    return F.xxhash64(F.lit("sample"), *keys).bitwiseAND(F.lit(2**63 - 1))
 
 
 def same(left: Column, right: Column, *more: Column) -> Column:

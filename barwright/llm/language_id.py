@@ -8,9 +8,13 @@ linear, embeddings and layer are multiplied once, so reading a text adds up a ro
 Calibration: a temperature fits the probabilities on documents set aside, and ``accepted`` says
 whether the score is above the threshold that would have rejected the wrong ones there best.
 
-Learning uses texts with a lang whose crc32(doc_id) mod 3 is not 1. Of more than ``SAMPLE`` rows
-about that many are taken by a hash of the id, and of each up to ``SAMPLE_BYTES`` in a row are
-learnt, from a place that a hash chooses and in short examples; predictions read whole texts. Lang, source and doc_id are no input of a prediction. lang_pred is a
+Learning uses texts with a lang whose crc32(doc_id) mod 3 is not 1. Rows are counted by lang first,
+and of more than ``SAMPLE`` about that many are taken by a hash of id and text, as many of one lang as
+of another: all of the rare ones, and never under about ``LEAST`` of a lang that has them, so every
+lang is learnt at any size. A quarter of each lang's rows is set aside; there a row counts for the
+rows of its lang that it stands for, so that scores hold for the table. Of each row up to
+``SAMPLE_BYTES`` are learnt, from a place that a hash chooses and in short examples; predictions read
+whole texts. Lang, source and doc_id are no input of a prediction. lang_pred is a
 learned lang, or "und" with score 0 where the text is null or has no letter, or where nothing could
 be learnt. Repeated rows give repeated results, a null doc_id stays null, other columns are ignored,
 an empty table gives an empty result.
@@ -25,12 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barwright.llm.common import bounded_sample, learns, pieces
+from barwright.llm.common import learns, pieces, sample_hash
 
 BUCKETS = 2**15
 DIMENSIONS = 16
 GRAMS = (2, 3, 4)
 SAMPLE, SAMPLE_BYTES, EXAMPLE = 3000, 1200, 300
+# Rows of a language that are learnt, if it has them, however many languages there are.
+LEAST = 200
 EPOCHS, RATE, BATCH = 3, 1.0, 16
 SEED = 41
 # Bytes that are read at once.
@@ -91,8 +97,9 @@ class Model:
         return self.languages[best], float(chances[best])
 
 
-def train(texts: list[str], langs: list[str]) -> Model:
-    """Stochastic gradient descent on three quarters of the texts, calibration on the rest."""
+def train(texts: list[str], langs: list[str], totals: dict[str, int] | None = None) -> Model:
+    """Stochastic gradient descent on three quarters of each language's texts, calibration on the
+    rest. ``totals`` has how many rows of each language there are, if not those given."""
     model = Model(sorted({*langs}))
     if not model.languages:
         return model
@@ -100,9 +107,11 @@ def train(texts: list[str], langs: list[str]) -> Model:
     labels = np.array([number[x] for x in langs])
     rng = np.random.default_rng(SEED)
     order = rng.permutation(len(texts))
-    aside, used = order[:len(texts) // 4], order[len(texts) // 4:]
+    each = [order[labels[order] == label] for label in range(len(model.languages))]
+    aside = np.concatenate([own[:len(own) // 4] for own in each])
+    used = np.concatenate([own[len(own) // 4:] for own in each])
     # Short examples, so that a step does not average a whole text away.
-    examples = [(np.concatenate(buckets(part)), labels[i]) for i in (used if len(used) else order)
+    examples = [(np.concatenate(buckets(part)), labels[i]) for i in used
                 for data in [letters_of(texts[i])[:SAMPLE_BYTES]]
                 for at in range(0, len(data), EXAMPLE) if len(part := data[at:at + EXAMPLE]) > 8]
     table = rng.uniform(-1, 1, (BUCKETS, DIMENSIONS)) / DIMENSIONS
@@ -122,20 +131,23 @@ def train(texts: list[str], langs: list[str]) -> Model:
             layer -= rate / len(rows) * means.T @ wrong
             np.subtract.at(table, flat, np.repeat(step, sizes, 0))
     model.logits = (table @ layer).astype(np.float32)
-    return calibrate(model, [texts[i] for i in aside], labels[aside])
+    given = np.bincount(labels, minlength=len(model.languages))
+    stands = np.array([(totals or {}).get(x, n) / n for x, n in zip(model.languages, given)])
+    return calibrate(model, [texts[i] for i in aside], labels[aside], stands[labels[aside]])
 
 
-def calibrate(model: Model, texts: list[str], labels: np.ndarray) -> Model:
+def calibrate(model: Model, texts: list[str], labels: np.ndarray, stands: np.ndarray) -> Model:
+    """Temperature and threshold from texts that count for ``stands`` rows each."""
     kept = [i for i, t in enumerate(texts) if LETTER.search(t)]
     if not kept:
         return model
     averages = np.array([model.averages(texts[i]) for i in kept])
-    labels = labels[kept]
+    labels, stands = labels[kept], stands[kept]
 
     def loss(temperature):
         model.temperature = temperature
         chances = model.chances(averages)[np.arange(len(labels)), labels]
-        return -np.log(np.maximum(chances, 1e-12)).mean()
+        return -(np.log(np.maximum(chances, 1e-12)) * stands).sum() / stands.sum()
 
     model.temperature = min((float(t) for t in np.geomspace(0.1, 100, 61)), key=loss)
     chances = model.chances(averages)
@@ -143,11 +155,23 @@ def calibrate(model: Model, texts: list[str], labels: np.ndarray) -> Model:
     scores = chances.max(1)
     # Rejecting is worth it up to the score where most of what is rejected was wrong.
     cuts = np.unique(np.concatenate([[0.0], scores]))
-    gain = [(~right[scores < c]).sum() - right[scores < c].sum() for c in cuts]
+    wrong = np.where(right, -stands, stands)
+    gain = [wrong[scores < c].sum() for c in cuts]
     model.threshold = float(cuts[int(np.argmax(gain))])
     return model
 
 
+def fair_share(counts: list[int], sample: int) -> int:
+    """How many rows a language may give so that all together give ``sample``; LEAST at least."""
+    left = sample
+    for n, count in enumerate(sorted(counts)):
+        share = left // (len(counts) - n)
+        if count > share:
+            return max(LEAST, share)
+        left -= count
+    return max(LEAST, *counts, 0)
+
+
 def learnt(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """The model of the documents that may be learnt from."""
     known = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).where(
@@ -155,10 +179,20 @@ def learnt(docs: DataFrame, sample: int = SAMPLE) -> Model:
     # Of a long text a stretch anywhere in it, since many may begin alike.
     places = F.greatest(F.char_length("text") - SAMPLE_BYTES + 1, F.lit(1))
     begin = F.pmod(F.xxhash64(F.lit("stretch"), "doc_id", "text"), places).cast("int") + 1
-    rows = bounded_sample(known, sample).select(
+    # A row per language.
+    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    share = fair_share([*counts.values()], sample)
+    # From Arrow Spark knows how small it is, and shuffles no texts for the join.
+    bounds = docs.sparkSession.createDataFrame(pa.table({
+        "of": pa.array([*counts], pa.string()),
+        "bound": pa.array([min(2**63 - 1, share * 2**63 // n) for n in counts.values()],
+                          pa.int64())}))
+    chosen = known.join(bounds, F.col("lang") == F.col("of")).where(
+        sample_hash("doc_id", "text") <= F.col("bound"))
+    rows = chosen.select(
         "doc_id", "lang", F.substring("text", begin, F.lit(SAMPLE_BYTES)).alias("text")).toArrow()
     rows = rows.sort_by([("doc_id", "ascending"), ("text", "ascending"), ("lang", "ascending")])
-    return train(rows.column("text").to_pylist(), rows.column("lang").to_pylist())
+    return train(rows.column("text").to_pylist(), rows.column("lang").to_pylist(), counts)
 
 
 def identified(docs: DataFrame, model: Model) -> DataFrame:

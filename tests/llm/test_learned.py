@@ -80,6 +80,30 @@ def test_language_on_held_out_documents(spark):
     assert np.mean([r["lang_pred"] == langs[r["doc_id"]] for r in taken]) > 0.98
 
 
+def test_rare_languages_are_learnt_from_any_table(spark):
+    rare = {"x" + c: f"{c}{c}u {c}o{c} {c}{c}{c}a" for c in "bdfgkmnpqw"}
+    rows = [(i, f"the cat and the dog of house {i}", "en") for i in range(9000)]
+    rows += [(20_000 + 40 * n + k, f"{words} " * (k % 5 + 3), lang)
+             for n, (lang, words) in enumerate(rare.items()) for k in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.learnt(docs, sample=100)
+    assert model.languages == sorted(["en", *rare])
+    assert [model.predict(words * 4)[0] for words in rare.values()] == [*rare]
+
+
+def test_shares_of_languages():
+    assert language_id.fair_share([5000, 300, 9000], 3000) == 1350
+    assert language_id.fair_share([700] * 100, 3000) == language_id.LEAST
+    assert language_id.fair_share([7, 9], 3000) >= 9
+    assert language_id.fair_share([], 3000) >= 0
+
+
+def test_small_samples_of_many_rows_are_not_empty(spark):
+    from barwright.llm.common import bounded_sample
+    rows = spark.range(8_000_000).withColumnRenamed("id", "doc_id")
+    assert 1 <= bounded_sample(rows, 7).count() <= 25
+
+
 def test_language_of_odd_rows(spark, odd_docs, odd_texts, no_docs):
     rows = language_id.identify(odd_docs).collect()
     assert len(rows) == len(odd_texts)
