@@ -86,3 +86,9 @@ class Recent(dict):
             self[word] = value
             self.made.append(word)
         return value
+
+
+def bounded_broadcast(rows: DataFrame, most: int = 100_000) -> DataFrame:
+    """``rows`` marked for a broadcast if a count finds at most ``most`` of them; else as they are, so
+    that the join shuffles."""
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
