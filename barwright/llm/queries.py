@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from barwright.llm import (edit_embedding, golay_simhash, language_id, license_scan, line_dedup,
-                           quality, sentence_pieces, source_divergence, source_mix, substring_dedup,
-                           token_counts, top_products)
+from barwright.llm import (edit_embedding, filter_audit, golay_simhash, language_id, license_scan,
+                           line_dedup, quality, sentence_pieces, source_divergence, source_mix,
+                           substring_dedup, token_counts, top_products)
 from barwright.llm.common import table
 
 
@@ -60,10 +60,14 @@ def op12_substring_dedup(spark, sf):
     return substring_dedup.remove_repeats(table(spark, sf, "documents"))
 
 
+def op13_filter_audit(spark, sf):
+    return filter_audit.audit(spark, f"{sf}/documents.parquet", table(spark, sf, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sentence_pieces, op2_token_counts, op3_edit_embedding, op4_top_products,
     op5_golay_simhash, op6_line_dedup, op7_quality, op8_license_scan, op9_language_id,
-    op10_source_mix, op11_source_divergence, op12_substring_dedup)}
+    op10_source_mix, op11_source_divergence, op12_substring_dedup, op13_filter_audit)}
 
 ORACLE = {
     "op4_top_products": top_products.TOP_PRODUCTS_SQL,
@@ -71,4 +75,5 @@ ORACLE = {
     "op8_license_scan": license_scan.license_scan_sql(),
     "op11_source_divergence": source_divergence.DIVERGENCE_SQL,
     "op12_substring_dedup": substring_dedup.SUBSTRING_SQL,
+    "op13_filter_audit": filter_audit.FILTER_AUDIT_SQL,
 }

@@ -12,7 +12,7 @@ from barwright.llm.queries import ORACLE, QUERIES
 @pytest.mark.parametrize("name", list(ORACLE))
 def test_query_equals_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "labels"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     answer = duck.execute(ORACLE[name])
     columns = [c[0] for c in answer.description]
