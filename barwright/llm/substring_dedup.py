@@ -217,10 +217,12 @@ def parcels(docs: DataFrame, buckets: int, hot: frozenset[int]) -> DataFrame:
         codec = pa.Codec("zstd")
         for rows, strings in strings_of(batches):
             chosen = np.flatnonzero(~is_hot(strings.key))
+            if not len(chosen):
+                continue
             bucket = (mixed(strings.key[chosen]) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             chosen, bucket = chosen[order], bucket[order]
-            begins = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]][:len(bucket)])
+            begins = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
             ends = np.r_[begins[1:], len(bucket)].astype(np.int32)
             packed = strings.packed(chosen)
             blobs = [b" ".join(packed[a:b]) for a, b in zip(begins.tolist(), ends.tolist())]
