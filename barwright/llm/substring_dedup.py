@@ -1,8 +1,8 @@
 """Substring dedup: repeated windows of words, counted exactly in buckets of super-k-mers.
 
-A window is ``WINDOW`` consecutive words of one document. Its minimiser is the smallest hash of
-``MINIMISER`` consecutive words in it. Consecutive windows with the same minimiser overlap but for
-one word each, so they travel together as one packed string (a super-k-mer, the words joined by a
+A window is ``WINDOW`` consecutive words of one document. Its minimiser is its longest word, of several
+the one with the smallest hash: long words are rare ones, so few windows share one by chance.
+Consecutive windows with the same minimiser overlap but for one word each, so they travel together as one packed string (a super-k-mer, the words joined by a
 space) to the bucket of their minimiser: equal windows have equal minimisers and meet there. A bucket
 sorts its windows by a hash, compares the words of neighbours that are equal in it, and flags every
 window that also starts in a document with a smaller doc_id. The flags of a string travel back as the
@@ -31,19 +31,20 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barwright.llm.common import pieces, stored, text_key
 
-WINDOW, MINIMISER = 13, 3
+WINDOW = 13
 # Windows of a string at most: their flags are bits of a long.
 LONGEST = 32
 STRETCH = 50_000
 # Strings of a bucket; of a minimiser that counts as hot; that a task counts at once.
 BUCKET, HOT, COUNTED = 1 << 16, 4096, 1 << 20
-# Bytes of text that are cut at once, and that are hashed at once.
-CUT, HASHED = 1 << 22, 1 << 20
+# Bytes of text that are hashed at once, that are cut at once, and whose strings a parcel is made of.
+HASHED, CUT, PACKED = 1 << 19, 1 << 20, 1 << 22
 LAST_ID = 2**63 - 1
 STEP = np.uint64(0x9E3779B97F4A7C15)
 LETTERS = np.random.default_rng(12).integers(0, 2**64, 256, np.uint64)
@@ -115,9 +116,9 @@ class Strings:
             self.key, self.word = np.zeros(0, np.uint64), np.zeros(0, np.int64)
             self.windows = self.text = self.pos = np.zeros(0, np.int32)
             return
-        marks = hashes_of(word_hashes(np.frombuffer(self.data, np.uint8), self.start, self.end),
-                          MINIMISER)
-        least = least_of(marks, WINDOW - MINIMISER + 1)
+        marks = word_hashes(np.frombuffer(self.data, np.uint8), self.start, self.end)
+        longest = (255 - np.minimum(self.end - self.start, 255)).astype(np.uint64)
+        least = least_of(longest << np.uint64(56) | marks >> np.uint64(8), WINDOW)
         first = np.r_[0, np.cumsum(sizes)[:-1]]
         counts = sizes - WINDOW + 1
         offset = np.repeat(first, counts)
@@ -209,37 +210,76 @@ def _is_hot(hot: frozenset[int]):
     return lambda keys: np.isin(keys.view(np.int64), among)
 
 
+def planes(values: np.ndarray) -> bytes:
+    """The numbers byte by byte, first all lowest bytes, so that they compress."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def from_planes(data: bytes, n: int, kind: type, at: int) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(data, np.uint8, n * size, at).reshape(size, n).T.copy().view(kind).ravel()
+
+
+class Parcel:
+    """Strings on their way: doc, text_key, pos and windows of each, and their words."""
+
+    COLUMNS = {"doc": np.int64, "text_key": np.int64, "pos": np.int32, "windows": np.uint8}
+
+    def __init__(self, **columns: np.ndarray):
+        self.columns = {c: columns[c].astype(kind) for c, kind in self.COLUMNS.items()}
+
+    def part(self, low: int, high: int, words: list[bytes]) -> bytes:
+        return b"".join([planes(values[low:high]) for values in self.columns.values()]
+                        + [b" ".join(words[low:high])])
+
+    @classmethod
+    def read(cls, data: bytes, n: int) -> tuple[list[np.ndarray], bytes]:
+        at, columns = 0, []
+        for kind in cls.COLUMNS.values():
+            columns.append(from_planes(data, n, kind, at))
+            at += columns[-1].nbytes
+        return columns, data[at:]
+
+
 def parcels(docs: DataFrame, buckets: int, hot: frozenset[int]) -> DataFrame:
-    """bucket, and arrays of doc, text_key, pos and windows of strings that go there, with their words."""
+    """bucket, and the n strings that go there, compressed together."""
     is_hot = _is_hot(hot)
 
+    def packed(held):
+        codec = pa.Codec("zstd", 3)
+        bucket, words = (np.concatenate([h[i] for h in held]) for i in (0, 2))
+        order = np.argsort(bucket, kind="stable")
+        bucket, words = bucket[order], words[order].tolist()
+        parcel = Parcel(**{c: np.concatenate([h[1][c] for h in held])[order] for c in held[0][1]})
+        ends = np.flatnonzero(np.r_[bucket[1:] != bucket[:-1], True]) + 1
+        parts = [parcel.part(a, b, words) for a, b in zip([0, *ends.tolist()], ends.tolist())]
+        return pa.RecordBatch.from_arrays([
+            pa.array(bucket[ends - 1]), pa.array(np.diff(np.r_[0, ends])),
+            pa.array([len(p) for p in parts], pa.int64()),
+            pa.array([codec.compress(p, asbytes=True) for p in parts], pa.binary())],
+            ["bucket", "n", "size", "packed"])
+
     def run(batches):
-        codec = pa.Codec("zstd")
+        held, size = [], 0
         for rows, strings in strings_of(batches):
             chosen = np.flatnonzero(~is_hot(strings.key))
             if not len(chosen):
                 continue
-            bucket = (mixed(strings.key[chosen]) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            chosen, bucket = chosen[order], bucket[order]
-            begins = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-            ends = np.r_[begins[1:], len(bucket)].astype(np.int32)
-            packed = strings.packed(chosen)
-            blobs = [b" ".join(packed[a:b]) for a, b in zip(begins.tolist(), ends.tolist())]
-            offsets = pa.array(np.r_[0, ends].astype(np.int32))
-            text = pa.array(strings.text[chosen])
-            lists = [rows.column("doc").take(text), rows.column("text_key").take(text),
-                     pa.array(strings.pos[chosen]), pa.array(strings.windows[chosen])]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[begins]),
-                 *[pa.ListArray.from_arrays(offsets, values) for values in lists],
-                 pa.array([len(b) for b in blobs], pa.int64()),
-                 pa.array([codec.compress(b, asbytes=True) for b in blobs], pa.binary())],
-                ["bucket", "doc", "text_key", "pos", "windows", "size", "packed"])
-
-    return readable(docs).mapInArrow(run, (
-        "bucket long, doc array<long>, text_key array<long>, pos array<int>, windows array<int>, "
-        "size long, packed binary"))
+            words = np.empty(len(chosen), object)
+            words[:] = strings.packed(chosen)
+            text = strings.text[chosen]
+            held.append(((mixed(strings.key[chosen]) % np.uint64(buckets)).astype(np.int64), {
+                "doc": rows.column("doc").to_numpy()[text], "pos": strings.pos[chosen],
+                "text_key": rows.column("text_key").to_numpy()[text],
+                "windows": strings.windows[chosen]}, words))
+            size += len(strings.data)
+            if size > PACKED:
+                yield packed(held)
+                held, size = [], 0
+        if held:
+            yield packed(held)
+
+    return readable(docs).mapInArrow(run, "bucket long, n long, size long, packed binary")
 
 
 def windows_at(windows: np.ndarray) -> np.ndarray:
@@ -283,12 +323,11 @@ def repeated(data: bytes, windows: np.ndarray, doc: np.ndarray) -> np.ndarray:
 
 def _bucket_flags(key, rows):
     """doc, text_key, pos and bits of the strings of a bucket with flagged windows."""
-    doc, text, pos, windows = (rows.column(c).combine_chunks().flatten().to_numpy()
-                               for c in ("doc", "text_key", "pos", "windows"))
     codec = pa.Codec("zstd")
-    data = b" ".join(codec.decompress(p, size, asbytes=True) for p, size in zip(
-        rows.column("packed").to_pylist(), rows.column("size").to_pylist()))
-    bits = repeated(data, windows.astype(np.int64), doc)
+    columns, words = zip(*(Parcel.read(codec.decompress(p, size, asbytes=True), n) for n, size, p in zip(
+        *(rows.column(c).to_pylist() for c in ("n", "size", "packed")))))
+    doc, text, pos, windows = map(np.concatenate, zip(*columns))
+    bits = repeated(b" ".join(words), windows.astype(np.int64), doc)
     has = bits != 0
     return pa.table({"doc": doc[has], "text_key": text[has], "pos": pos[has], "bits": bits[has]})
 
@@ -365,14 +404,14 @@ def with_kept_words(docs: DataFrame, least: int = HOT) -> DataFrame:
     flags = flags_of(docs, least)
     joined = rows.join(flags, (doc_order(F.col("row.doc_id")).cast("long") == F.col("doc"))
                        & (text_key(F.col("row.text")) == F.col("text_key")), "left").select(
-        "row", F.coalesce(F.col("row.text").cast("string"), F.lit("")).cast("binary").alias("text"),
-        F.col("flags.pos").alias("pos"), F.col("flags.bits").alias("bits"))
+        "row", F.col("flags.pos").alias("pos"), F.col("flags.bits").alias("bits"))
 
     def run(batches):
         for batch in pieces(batches):
             n_words, n_removed, kept = [], [], []
-            for text, pos, bits in zip(batch.column("text"), batch.column("pos"), batch.column("bits")):
-                words, gone = text.as_py().split(), 0
+            texts = pc.struct_field(batch.column("row"), "text").cast(pa.binary())
+            for text, pos, bits in zip(texts, batch.column("pos"), batch.column("bits")):
+                words, gone = (text.as_py() or b"").split(), 0
                 n_words.append(len(words))
                 if pos.is_valid:
                     cover = covered(pos.values.to_numpy(), bits.values.to_numpy(), len(words))

@@ -152,7 +152,7 @@ def test_substrings_equal_all_windows(spark, hot):
 
 def test_substrings_in_small_steps(spark, monkeypatch):
     """Many buckets, stretches and cuts give the same."""
-    for name, value in (("BUCKET", 20), ("STRETCH", 20), ("CUT", 300), ("HASHED", 16), ("COUNTED", 50)):
+    for name, value in (("BUCKET", 20), ("STRETCH", 20), ("CUT", 300), ("PACKED", 700), ("HASHED", 16), ("COUNTED", 50)):
         monkeypatch.setattr(substring_dedup, name, value)
     rows = some_passages(seed=2)
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
@@ -179,6 +179,16 @@ def test_substrings_of_odd_rows(spark, odd_docs, no_docs):
     assert whole.count() == len(rows)
 
 
+def test_parcels_come_back_as_sent():
+    draw = np.random.default_rng(2)
+    columns = {"doc": draw.integers(-2**62, 2**62, 9), "text_key": draw.integers(-2**62, 2**62, 9),
+               "pos": draw.integers(0, 2**31, 9), "windows": draw.integers(1, 33, 9)}
+    words = [b"w%d \xff" % i for i in range(9)]
+    found, text = substring_dedup.Parcel.read(substring_dedup.Parcel(**columns).part(2, 7, words), 5)
+    assert text == b" ".join(words[2:7])
+    assert [x.tolist() for x in found] == [x[2:7].tolist() for x in columns.values()]
+
+
 def test_no_string_packs_more_windows_than_it_has_bits():
     strings = substring_dedup.Strings([(0, 0, [b"a"] * 500), (1, 7, [b"x"] * 12)])
     assert strings.windows.max() <= substring_dedup.LONGEST and strings.windows.sum() == 488
