@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from barwright.operators import bars, calendar, gold, merge, quality, serving, silver, synth
 from barwright.schemas import BRONZE, GOLD
 from barwright.sources import tables
-from conftest import day, price
+from bars_help import day, price
 
 
 @pytest.fixture(scope="module")

@@ -22,7 +22,7 @@ from barwright.schemas import GOLD, SILVER, SchemaChangeError
 from barwright.session import scratch_dir, staged
 from barwright.sources import tables
 from barwright.sources.raw import EmptySourceError, RawBars
-from conftest import bar, day, price, rows_of
+from bars_help import bar, day, price, rows_of
 from test_silver_gold import random_series
 
 

@@ -14,7 +14,7 @@ from barwright.operators.gold import gold_features
 from barwright.operators.silver import build_silver
 from barwright.schemas import BRONZE, GOLD, STORED, SchemaChangeError, check_compatible, empty_table
 from barwright.sources import raw
-from conftest import bar, day, price, rows_of
+from bars_help import bar, day, price, rows_of
 
 
 def test_daily_bars_take_first_and_last_by_order(spark):

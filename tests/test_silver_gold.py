@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from barwright.operators.gold import gold_features, gold_features_chunked
 from barwright.operators.quality import reconcile_tables
 from barwright.operators.silver import build_silver, complete_rows, latest_per_key, quarantine
-from conftest import bar, day, price, rows_of
+from bars_help import bar, day, price, rows_of
 
 
 def test_newest_seq_wins_then_larger_values(bronze):

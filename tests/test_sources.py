@@ -12,7 +12,7 @@ from barwright.operators.gold import gold_features
 from barwright.operators.silver import build_silver
 from barwright.plans import refresh
 from barwright.sources import raw, tables
-from conftest import day, price, rows_of
+from bars_help import day, price, rows_of
 
 HEADER = "date,open,high,low,close,volume,symbol\n"
 

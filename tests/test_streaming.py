@@ -17,7 +17,7 @@ from barwright.sources import tables
 from barwright.streaming.bars import streaming_daily_bars, write_daily_bars
 from barwright.streaming.tables import gold_batch, silver_batch, stream_gold, stream_silver
 from barwright.streaming.topics import decode, encode, read_stream
-from conftest import rows_of
+from bars_help import rows_of
 from test_silver_gold import random_series
 
 TICK = "symbol string, ts timestamp_ntz, price decimal(28,8), size bigint, seq bigint"
