@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterable, Iterator
 from functools import reduce
+from sys import getsizeof
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -32,10 +35,19 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
 
 
 def pieces(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most ``rows``, so that long texts never pile up."""
+    """The same rows in batches of at most ``rows``, so that long texts never pile up. At the end memory
+    that is free goes back to the system: Spark's workers live on for other tasks and stages."""
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+    batch = None
+    give_back()
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library is glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def text_key(text: str | Column = "text") -> Column:
@@ -69,22 +81,26 @@ def same(left: Column, right: Column, *more: Column) -> Column:
 
 
 class Recent(dict):
-    """A dict that makes what is missing and forgets all it made when that is over ``most`` strings.
+    """A dict that makes what is missing and forgets all it made when that takes over ``most`` bytes.
     What it is given at the start it keeps, and strings over 64 letters it never remembers."""
 
+    # Of an entry in the dict and in the list of what was made.
+    ENTRY = 120
+
     def __init__(self, given, make, most):
         super().__init__(given)
-        self.make, self.made, self.most = make, [], most
+        self.make, self.made, self.most, self.bytes = make, [], most, 0
 
     def __missing__(self, word: str):
         value = self.make(word)
         if len(word) <= 64:
-            if len(self.made) >= self.most:
+            if self.bytes >= self.most:
                 for old in self.made:
                     del self[old]
-                self.made = []
+                self.made, self.bytes = [], 0
             self[word] = value
             self.made.append(word)
+            self.bytes += getsizeof(word) + getsizeof(value) + self.ENTRY
         return value
 
 

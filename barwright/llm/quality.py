@@ -223,9 +223,10 @@ def good_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     stats = stored(measured(docs), "quality-stats")
     model = fit(stats, labels, sample)
 
-    @F.pandas_udf("double")
-    def score(texts):
-        x = np.array([statistics(t or "") for t in texts]).reshape(-1, WIDTH)
-        return texts.__class__(model.score(x), dtype=float) if len(x) else texts.astype(float)
+    def run(batches):
+        for batch in pieces(batches):
+            texts = batch.column("text").cast(pa.string()).to_pylist()
+            x = np.array([statistics(t or "") for t in texts]).reshape(-1, WIDTH)
+            yield batch.filter(pa.array(model.score(x) >= 0.5))
 
-    return docs.where(score(F.col("text").cast("string")) >= 0.5)
+    return docs.mapInArrow(run, docs.schema)

@@ -5,15 +5,18 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
+import sentencepiece
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from barwright.llm import language_id, quality, source_mix
 from barwright.llm.common import stored, table
 from barwright.llm.queries import ORACLE, QUERIES
-from samples import LONG
+from samples import LONG, SF
+from test_dedup import groups, kept_lines
 
 BIG = "/root/testdata/sf0.01"
 
@@ -188,8 +191,111 @@ def test_mix_cuts_one_document_of_a_source_at_most(spark):
     assert all(gained[s] == round(goals[s]) for s in goals)
 
 
+def naive_mix(mix):
+    """(doc_id, size) -> words taken, (turn, shard, place) of each pass, by walking along each source's
+    permuted blocks."""
+    plan = mix.plan
+    where = {(int(r.source), int(r.turn), int(r.block)): (n, r.places.tolist())
+             for n in range(plan.shards) for r in plan.placed(n).itertuples()}
+    buckets = max(1, -(-mix.rows.where("size > 0").count() // source_mix.BUCKET))
+    hashed = lambda salt: F.xxhash64("doc_id", "text_key", F.lit(salt))
+    rows = mix.rows.where("size > 0").select(
+        "doc_id", "size", "source", F.pmod(hashed("mix"), F.lit(buckets)).alias("bucket"),
+        hashed("row").alias("at")).collect()
+    found, quota = [], [0] * len(plan.names)
+    for number, name in enumerate(plan.names):
+        row = sorted((r for r in rows if r["source"] == name), key=lambda r: (r["bucket"], r["at"]))
+        blocks = [[*range(len(row))][i:i + plan.block_docs] for i in range(0, len(row), plan.block_docs)]
+        left, turn, taken = round(min(plan.targets[number], 3 * plan.sizes[number])), 0, {}
+        while left > 0:
+            order = plan.permuted(number, turn, np.arange(len(blocks))).tolist()
+            for block in order:
+                if left <= 0:
+                    break
+                quota[number] += 1
+                shard, places = where[number, turn, block]
+                for i, at in enumerate(blocks[block]):
+                    gain = min(left, row[at]["size"])
+                    left -= gain
+                    if gain:
+                        taken.setdefault(at, []).append((gain, shard, places[i]))
+            turn += 1
+        found += [(r["doc_id"], r["size"], sum(t[0] for t in taken.get(i, [])),
+                   [t[1] for t in taken.get(i, [])], [t[2] for t in taken.get(i, [])])
+                  for i, r in enumerate(row)]
+    assert quota == plan.quotas
+    return sorted(found)
+
+
+def test_mix_equals_a_walk_along_the_blocks(spark):
+    mix = source_mix.Mix(table(spark, BIG, "documents"), shard_blocks=20)
+    assert mix.plan.shards > 10
+    rows = [r for r in mix.taken().collect() if r["size"]]
+    assert sorted((r["doc_id"], r["size"], r["taken"], r["shards"], r["places"]) for r in rows) \
+        == naive_mix(mix)
+    placed = [x for r in rows for x in zip(r["shards"], r["places"])]
+    assert len(placed) == len({*placed})
+
+
+def test_the_tree_decides_where_documents_go(spark):
+    tree = source_mix.Mix(table(spark, BIG, "documents"), shard_blocks=20)
+    want = {r["doc_id"]: (r["taken"], r["shards"]) for r in tree.taken().collect()}
+    quotas = tree.plan.quotas
+    tree.plan.shard = lambda number: ([0] * len(quotas), [q * (number == 0) for q in quotas])
+    tree.placements = source_mix.placements(spark, tree.plan)
+    flat = {r["doc_id"]: (r["taken"], r["shards"]) for r in tree.taken().collect()}
+    assert {i: t for i, (t, _) in want.items()} == {i: t for i, (t, _) in flat.items()}
+    assert {s for _, shards in flat.values() for s in shards} == {0}
+    assert {s for _, shards in want.values() for s in shards} == {*range(tree.plan.shards)}
+
+
+def test_mixed_documents_stand_by_shard_and_place(spark):
+    docs = table(spark, BIG, "documents")
+    mix = source_mix.Mix(docs, shard_blocks=20)
+    want = {}
+    for r in mix.taken().collect():
+        for shard, place in zip(r["shards"], r["places"]):
+            want.setdefault(shard, []).append((place, r["doc_id"]))
+    got = [[r["doc_id"] for r in part] for part in mix.texts(docs).rdd.glom().collect()]
+    order = {s: [i for _, i in sorted(x)] for s, x in want.items()}
+    first = {tuple(x[:4]): x for x in order.values()}
+    for part in filter(None, got):  # a partition is whole shards one after another
+        while part:
+            shard = first.pop(tuple(part[:4]))
+            assert part[:len(shard)] == shard
+            part = part[len(shard):]
+    assert not first
+
+
+@pytest.mark.parametrize("urn", [2, 30, 10**9])
+def test_draws_have_the_moments_of_the_hypergeometric(urn):
+    rng = np.random.default_rng(4)
+    for good, bad, draws in ((40, 60, 30), (5, 95, 50), (70, 3, 20)):
+        n = good + bad
+        found = np.array([source_mix.hypergeometric(rng, good, bad, draws, urn) for _ in range(6000)])
+        mean, spread = draws * good / n, draws * good * bad * (n - draws) / n**2 / (n - 1)
+        assert max(0, draws - bad) <= found.min() and found.max() <= min(good, draws)
+        assert abs(found.mean() - mean) < 5 * (spread / len(found)) ** 0.5
+        assert abs(found.var() / spread - 1) < 0.12
+
+
+def test_draws_from_urns_of_any_size():
+    rng = np.random.default_rng(5)
+    counts = [10**13, 3, 5 * 10**12, 0]
+    out = source_mix.dealt(rng, counts, 6 * 10**12)
+    assert sum(out) == 6 * 10**12 and all(0 <= a <= b for a, b in zip(out, counts))
+    assert abs(out[0] / (4 * 10**12) - 1) < 1e-5
+
+
+def some_plan(shard_blocks):
+    plan = source_mix.Plan({"a": (50_000, 9_000), "b": (700, 90), None: (9_000, 2_001)},
+                           shard_blocks=shard_blocks)
+    plan.settle({0: 1_500, 1: 20, 2: 300})
+    return plan
+
+
 def test_places_turn_the_permutation_back():
-    plan = source_mix.Plan({"a": 50_000})
+    plan = some_plan(1024)
     blocks = np.arange(plan.blocks[0])
     assert (plan.places(0, 2, plan.permuted(0, 2, blocks)) == blocks).all()
 
@@ -201,7 +307,7 @@ def test_targets_stop_at_three_times_the_size():
 
 
 def test_shards_share_out_every_quota():
-    plan = source_mix.Plan({"a": 50_000, "b": 700, None: 9_000}, shard_blocks=97)
+    plan = some_plan(37)
     rows = [plan.placed(n) for n in range(plan.shards)]
     sizes = [len(r) for r in rows]
     assert plan.shards > 20 and max(sizes) - min(sizes) <= 1
@@ -213,11 +319,11 @@ def test_shards_share_out_every_quota():
         assert [x for x in taken if x[0] < whole] == [
             (t, b) for t in range(whole) for b in range(plan.blocks[source])]
     for r in rows:
-        assert sorted(r["place"]) == [*range(len(r))]
+        assert sorted(x for places in r["places"] for x in places) == [*range(4 * len(r))]
 
 
 def test_blocks_are_permuted():
-    plan = source_mix.Plan({"a": 5000})
+    plan = some_plan(1024)
     order = plan.permuted(0, 0, np.arange(plan.blocks[0]))
     assert sorted(order) == [*range(plan.blocks[0])]
     assert abs(np.corrcoef(order, np.arange(len(order)))[0, 1]) < 0.1
@@ -238,26 +344,54 @@ def test_mixed_documents_hold_the_words_taken(spark, odd_docs):
                    for i, t in whole if t)
 
 
-def test_cut_texts_keeps_what_stands_between_words():
-    import pandas as pd
-    got = source_mix.cut_texts(pd.Series([" a  b\tc d ", None]), pd.Series([[0, 1, 3], []]),
-                               pd.Series([[1, 2, 4], []]))
-    assert got.tolist() == ["a  b\nd", None]
+def test_first_words_keep_what_stands_between(spark):
+    rows = spark.createDataFrame([(" a  b\tc d ", 3), ("x\n\ny z", 1), ("\x0b é\u00a0f g", 1)],
+                                 "text string, n int")
+    got = [r[0] for r in rows.select(source_mix.first_words(F.col("text"), F.col("n"))).collect()]
+    assert got == ["a  b\tc", "x", "é\u00a0f"]
 
 
-def test_pipeline_stages(spark):
-    sf, docs = "/root/testdata/sf0.001", None
-    docs = start = table(spark, sf, "documents")
-    sizes = [docs.count()]
+def test_pipeline_rows_stage_by_stage(spark):
+    """Each stage on its own input against a plain version of it."""
+    docs = start = table(spark, SF, "documents")
+    seen = {}
     assert len(corpus_pipeline.STAGES) == 5
     for name, stage in corpus_pipeline.STAGES:
-        docs = stored(stage(spark, docs, sf), "stage")
-        sizes.append(docs.count())
-        if name != corpus_pipeline.STAGES[-1][0]:
+        before, docs = docs, stored(stage(spark, docs, SF), "stage")
+        rows = [(r["doc_id"], r["text"]) for r in before.select("doc_id", "text").collect()]
+        got = docs.collect()
+        seen[name] = len(got)
+        if name != "sentence pieces":
             assert docs.columns == start.columns, name
-    assert 0 < sizes[1] <= sizes[0] and sizes[2] == sizes[1] and sizes[3] <= sizes[2]
-    assert sizes[5] == sizes[4]
-    assert corpus_pipeline.run(spark, sf).count() == sizes[5]
+            assert all(r["n_chars"] == len(r["text"]) for r in got if name != "quality classifier")
+        pairs = sorted((r["doc_id"], r["text"]) for r in got) if "text" in docs.columns else None
+        if name == "quality classifier":
+            score = {r["doc_id"]: r["predicted"] for r in quality.scored(
+                before, table(spark, SF, "labels")).collect()}
+            assert pairs == sorted(r for r in rows if score[r[0]])
+        elif name == "line dedup":
+            want = kept_lines(rows)
+            assert pairs == sorted((i, want[i, t][2]) for i, t in rows)
+        elif name == "simhash near-dedup":
+            first = {i for i, _, least in groups(rows) if i == least}
+            assert pairs == sorted(r for r in rows if r[0] in first)
+        elif name == "source mix":
+            mix, texts = source_mix.Mix(before), dict(rows)
+            want = naive_mix(mix)
+            assert len(pairs) == sum(len(shards) for *_, shards, _ in want)
+            taken = {}
+            for i, text in pairs:
+                assert texts[i].strip().startswith(text.strip())
+                taken[i] = taken.get(i, 0) + len(text.encode().split())
+            assert taken == {i: n for i, _, n, *_ in want if n}
+        else:
+            model = sentencepiece.SentencePieceProcessor(
+                model_file=public_tokenizers.path("piece_bpe_32k.model"))
+            assert sorted((r["doc_id"], r["ids"]) for r in got) == sorted(
+                (i, model.encode(t)) for i, t in rows)
+    assert 0 < seen["quality classifier"] < start.count()
+    key = lambda rows_: sorted((r["doc_id"], r["decoded_sha256"]) for r in rows_)
+    assert key(corpus_pipeline.run(spark, SF).collect()) == key(got)
 
 
 def test_pipeline_stages_take_odd_and_no_rows(spark, odd_docs, no_docs):
@@ -272,5 +406,5 @@ def test_line_stage_counts_characters_anew(spark, odd_docs):
 
 
 def test_every_operator_has_its_query():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert ORACLE.keys() <= QUERIES.keys()
