@@ -40,7 +40,7 @@ def pieces(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
-    batch = None
+        batch = None  # else it stays until the next one is there
     give_back()
 
 

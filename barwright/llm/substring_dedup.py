@@ -369,10 +369,12 @@ def hot_flags(docs: DataFrame, hot: frozenset[int]) -> DataFrame:
     strings = occurrences.groupBy("packed").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
     windows = stored(strings.mapInArrow(
         unpack, "packed binary, at long, words binary, least long, most long"), "substring-windows")
-    firsts = windows.groupBy("words").agg(
-        F.min("least").alias("first"), F.max("most").alias("most")).where("first < most")
-    found = windows.select("packed", "at", "words").join(firsts, "words").groupBy("packed").agg(
-        F.collect_list(F.struct("at", "first")).alias("firsts"))  # at most LONGEST
+    # Both are written, as Spark splits a skewed side of a join only where it comes from a plain shuffle.
+    firsts = stored(windows.groupBy("words").agg(
+        F.min("least").alias("first"), F.max("most").alias("most")).where("first < most"),
+        "substring-firsts")
+    found = stored(windows.select("packed", "at", "words").join(firsts, "words").groupBy("packed").agg(
+        F.collect_list(F.struct("at", "first")).alias("firsts")), "substring-found")  # at most LONGEST
     bits = F.expr("aggregate(firsts, 0L, (b, w) -> b | if(w.first < doc, shiftleft(1L, cast(w.at AS int)), 0L))")
     return occurrences.join(found, "packed").select(
         "doc", "text_key", "pos", bits.alias("bits")).where("bits <> 0")
