@@ -44,7 +44,7 @@ STRETCH = 50_000
 # Strings of a bucket; of a minimiser that counts as hot; that a task counts at once.
 BUCKET, HOT, COUNTED = 1 << 16, 4096, 1 << 20
 # Bytes of text that are hashed at once, that are cut at once, and whose strings a parcel is made of.
-HASHED, CUT, PACKED = 1 << 19, 1 << 20, 1 << 22
+HASHED, CUT, PACKED = 1 << 19, 1 << 20, 1 << 23
 LAST_ID = 2**63 - 1
 STEP = np.uint64(0x9E3779B97F4A7C15)
 LETTERS = np.random.default_rng(12).integers(0, 2**64, 256, np.uint64)
@@ -246,7 +246,7 @@ def parcels(docs: DataFrame, buckets: int, hot: frozenset[int]) -> DataFrame:
     is_hot = _is_hot(hot)
 
     def packed(held):
-        codec = pa.Codec("zstd", 3)
+        codec = pa.Codec("zstd", 6)
         bucket, words = (np.concatenate([h[i] for h in held]) for i in (0, 2))
         order = np.argsort(bucket, kind="stable")
         bucket, words = bucket[order], words[order].tolist()
