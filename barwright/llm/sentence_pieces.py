@@ -39,8 +39,8 @@ from barwright.llm.common import Recent, pieces
 
 MARK = "▁"
 # Bytes of recent runs that a worker remembers, and pairs of pieces.
-MEMORY = 64 << 20
-PAIRS = 300_000
+MEMORY = 128 << 20
+PAIRS = 500_000
 # The state at the start and after bytes, where nothing merges with what stands before.
 APART = (1 << 20) - 1
 # Kinds of pieces and of models in the file format: fixed values.

@@ -28,7 +28,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 NEWER = r"[\U00011DE0-\U00011DE9\U0001246F\U00012475-\U0001247F\U00012550-\U00012686\U00016FF4-\U00016FF6]"
 NONE = 1 << 60
 # Bytes of recent words that a worker remembers; a quarter as many of pre-tokens.
-MEMORY = 64 << 20
+MEMORY = 96 << 20
 # More than any text has tokens; marks words after which a text cannot be cut.
 OPEN = 1 << 50
 
