@@ -284,6 +284,40 @@ WHERE dt < (SELECT CAST(max(ts) - INTERVAL 2 DAY AS DATE) FROM ticks)""",
 SELECT CASE WHEN dt < (SELECT CAST(max(ts) - INTERVAL 2 DAY AS DATE) FROM ticks)
             THEN 'same' ELSE 'only_right' END AS status, count(*) AS n_keys
 FROM bars GROUP BY 1""",
+    "refresh_after_compaction": f"""WITH {FEED},{RESTATED},
+loads AS (SELECT {BRONZE} FROM feed UNION ALL SELECT {BRONZE} FROM restated),
+{_silver("merged", "loads")} SELECT * FROM merged""",
+    "gold_from_tail": f"""WITH {BULK},{_silver("bulk_silver", "bulk")},{_gold("gold", "bulk_silver")}
+SELECT * FROM gold""",
+    "latest_maintained": f"""WITH {TWO_LOADS},
+loads AS (SELECT {BRONZE} FROM feed UNION ALL SELECT {BRONZE} FROM restated),
+{_silver("merged", "loads")},{_gold("corrected", "merged")},
+left_over AS (SELECT * FROM first UNION ALL SELECT * FROM second {KEEP_OLD.format("first")}),
+{_gold("withdrawn", "left_over")}
+SELECT *, 'corrected' AS step FROM ({LATEST.replace("gold", "corrected")})
+UNION ALL SELECT *, 'withdrawn' AS step FROM ({LATEST.replace("gold", "withdrawn")})""",
+    "gate_stops_refresh": f"""WITH {FEED_SILVER}
+SELECT true AS stopped, CAST(0 AS BIGINT) AS silver_rows
+UNION ALL SELECT false, count(*) FROM feed_silver""",
+    # Three micro-batches take the numbers 1 to 3.
+    "load_states": """SELECT * FROM (VALUES
+  (CAST(3 AS BIGINT), 'feed', CAST(2 AS BIGINT), 'applied'), (4, 'bulk', 4, 'applied'),
+  (5, 'restated', 5, 'loaded')) AS loads(number, source, batch, state)""",
+    "draw_moments": """SELECT draw, n, true AS mean_fits, true AS deviation_fits, true AS range_fits
+FROM (VALUES ('change'), ('gap'), ('spread'), ('volume'), ('uniform')) AS draws(draw),
+     (SELECT count(*) AS n FROM lineitem) counted""",
+    "drift_sketch": f"""WITH {SILVER}
+SELECT symbol, count(*) FILTER (WHERE dt < DATE '1996-01-01') AS n_ref,
+       count(*) FILTER (WHERE dt >= DATE '1996-01-01') AS n_cur,
+       true AS medians_fit, true AS distance_fits
+FROM silver GROUP BY symbol""",
+    "duplicate_rate_sketch": f"""WITH {BOTH}
+SELECT source, count(*) * (CASE source WHEN 'feed' THEN 2 ELSE 1 END) AS n_rows, true AS rate_fits
+FROM bronze GROUP BY source""",
+    "stream_redelivery": f"""WITH {FEED_SILVER}
+SELECT 'bronze_price_raw' AS layer, count(*) AS n_rows FROM feed
+UNION ALL SELECT 'price_silver', count(*) FROM feed_silver""",
+    "topic_gold": f"WITH {FEED_SILVER},{_gold('gold', 'feed_silver')} SELECT * FROM gold",
     "stream_silver": f"WITH {FEED_SILVER} SELECT * FROM feed_silver",
     "stream_gold": f"WITH {FEED_SILVER},{_gold('gold', 'feed_silver')} SELECT * FROM gold",
 }

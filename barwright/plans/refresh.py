@@ -15,16 +15,19 @@ from pyspark.sql import functions as F
 
 from barwright.functions.dates import month_key
 from barwright.operators.gold import HALO, gold_features
-from barwright.operators.merge import merge_keyed, merge_latest, require_unique
+from barwright.operators.merge import DuplicateKeyError, merge_keyed, merge_latest
 from barwright.operators.quality import QualityError, check_counts, enforce_constraints
+from barwright.operators.serving import latest_ranked
 from barwright.operators.silver import build_silver, quarantine
+from barwright.operators.sketches import key_sketches, price_sketches
+from barwright.operators.tail import advance_tail, gold_from_tail, last_rows, out_of_reach
 from barwright.schemas import BRONZE, GOLD, KEY, SILVER
 from barwright.session import staged
 from barwright.sources.raw import EmptySourceError, RawBars, read_csv_bars, read_feed
 from barwright.sources.tables import (
-    append_bronze, check_schemas, load_number, load_path, note_loads, pending_loads,
-    read_bronze_loads, read_months, read_parts, read_table, stored_months, table_path,
-    touched_parts, write_months,
+    append_bronze, bucket_of, buckets, check_schemas, finish_move, is_kept, keep, load_number, load_path,
+    note_loads, pending_loads, read_bronze_loads, read_buckets, read_months, read_parts, read_table,
+    settle_buckets, stored_months, table_exists, table_path, touched_parts, views_at_the_end, write_buckets, write_months,
 )
 
 
@@ -48,9 +51,12 @@ def load(raw: RawBars, root: str, batch: int | None = None, strict: bool = False
     spark = raw.parsed.sparkSession
     if batch is None:
         batch = load_number(spark, root)
-    counts = raw.parsed.agg(F.count("*"), F.count("_reason")).first()
+    counts = raw.parsed.agg(F.count("*"), F.count("_reason"), F.approx_count_distinct(
+        month_key(F.col("dt")))).first()
     if not counts[0]:
         raise EmptySourceError(f"the source {raw.source} has no rows")
+    settle_buckets(spark, root, counts[0] / max(1, counts[2]))
+    note_loads(spark, root, [(batch, raw.source, batch)], "started")
     if counts[1] and not strict:
         raw.bad.write.mode("append").parquet(load_path(root, "bronze_rejects", raw.source, batch))
     rows = append_bronze(raw.strict if strict else raw.bars, root, raw.source, batch)
@@ -89,6 +95,20 @@ def _write_silver(silver: DataFrame, root: str) -> dict[str, int]:
     return write_months(enforce_constraints(silver), root, "price_silver", check_counts())
 
 
+def refresh_tail(spark: SparkSession, root: str) -> None:
+    """Make the tail of silver anew."""
+    silver = read_table(spark, root, "price_silver").select(*SILVER.names)
+    write_buckets(last_rows(silver), root, "silver_tail")
+    keep(spark, root, "silver_tail")
+
+
+def refresh_latest(spark: SparkSession, root: str) -> None:
+    """Make the newest features anew, in one scan of gold."""
+    gold = read_table(spark, root, "features_gold").select(*GOLD.names)
+    write_buckets(latest_ranked(gold), root, "gold_latest")
+    keep(spark, root, "gold_latest")
+
+
 def refresh_gold(spark: SparkSession, root: str, keep_orphans: bool = True) -> int:
     """Rebuild gold from all of silver.
 
@@ -113,6 +133,7 @@ def refresh_all(spark: SparkSession, root: str,
     (those of ``row_checks``, or ``incomplete``) and the share of rows that may fail each; above one
     the refresh stops before silver is touched.
     """
+    finish_move(spark, root)
     check_schemas(spark, root)
     pending = pending_loads(spark, root)
     bronze = read_table(spark, root, "bronze_price_raw")
@@ -130,9 +151,14 @@ def refresh_all(spark: SparkSession, root: str,
                 > share * total.get(name, found["rows"])}
         if over:
             raise QualityError(f"more rows fail than allowed: {over}")
-    quality = refresh_silver(spark, root) | {"incomplete": incomplete}
-    done = Refresh(quality["rows"], refresh_gold(spark, root), quality)
-    note_loads(spark, root, pending, "applied")
+    with views_at_the_end(spark):
+        quality = refresh_silver(spark, root) | {"incomplete": incomplete}
+        with ThreadPoolExecutor(1) as beside:
+            tail = beside.submit(refresh_tail, spark, root)
+            done = Refresh(quality["rows"], refresh_gold(spark, root), quality)
+            refresh_latest(spark, root)
+            tail.result()
+        note_loads(spark, root, pending, "applied")
     return done
 
 
@@ -143,7 +169,7 @@ def run(spark: SparkSession, sources: list[RawBars], root: str, batch: int | Non
     Without ``batch`` each source gets a number of its own. With ``full`` off only the new loads are
     worked into silver and gold.
     """
-    first = load_number(spark, root) if batch is None else batch
+    first = load_number(spark, root, count=max(1, len(sources))) if batch is None else batch
     numbers = [first + (i if batch is None else 0) for i in range(len(sources))]
     with ThreadPoolExecutor(max(1, len(sources))) as pool:
         list(pool.map(lambda raw, number: load(raw, root, number, strict), sources, numbers))
@@ -162,46 +188,109 @@ def refresh_increment(spark: SparkSession, root: str,
         loads = [(source, batch) for _, source, batch in pending]
     if not loads:
         return Refresh()
+    finish_move(spark, root)
     check_schemas(spark, root)
     new = read_bronze_loads(spark, root, loads).select(*BRONZE.names)
-    with staged(build_silver(new), "silver-changes") as changes:
+    with staged(build_silver(new), "silver-changes") as changes, views_at_the_end(spark):
         quality = apply_to_silver(changes, root)
         done = Refresh(quality.get("rows", 0), apply_to_gold(changes, root), quality)
-    note_loads(spark, root, [entry for entry in pending if entry[1:] in loads], "applied")
+        note_loads(spark, root, [entry for entry in pending if entry[1:] in loads], "applied")
     return done
 
 
 def apply_to_silver(changes: DataFrame, root: str) -> dict[str, int]:
-    """Merge clean rows into the buckets of silver they touch. ``changes`` must be a written table."""
+    """Merge clean rows into the buckets of silver they touch, and into its tail. ``changes`` must be
+    a written table.
+
+    The tail counts as out of date until it is written as well, so that one which a lost driver left
+    behind is never read.
+    """
+    spark = changes.sparkSession
     parts = touched_parts(changes, root)
     if not parts:
         return {}
-    known = read_parts(changes.sparkSession, root, "price_silver", parts)
-    merged = merge_latest(known.select(*SILVER.names), changes.select(*SILVER.names))
-    return _write_silver(merged, root)
+    follows = is_kept(spark, root, "silver_tail") or not table_exists(spark, root, "price_silver")
+    known = read_parts(spark, root, "price_silver", parts)
+    changes = changes.select(*SILVER.names)
+    counts = _write_silver(merge_latest(known.select(*SILVER.names), changes), root)
+    if follows:
+        _replace_buckets(spark, root, "silver_tail", {bucket for _, bucket in parts},
+                         lambda tail: advance_tail(tail, changes))
+    return counts
+
+
+def _replace_buckets(spark: SparkSession, root: str, name: str, touched: set[int],
+                     change: Callable[[DataFrame], DataFrame]) -> None:
+    """Write the touched buckets of a small table as ``change`` makes them, and count it as kept."""
+    before = read_buckets(spark, root, name, touched).drop("bucket")
+    # Spark reads while it writes, so what is read must not be what is replaced.
+    with staged(change(before), name) as rows:
+        write_buckets(rows, root, name)
+    keep(spark, root, name)
 
 
 def apply_to_gold(changes: DataFrame, root: str,
                   then: Callable[[DataFrame], None] | None = None) -> int:
-    """Recompute the gold rows that the silver rows at the keys of ``changes`` have an effect on."""
-    affected = gold_for_changes(changes, root)
-    return 0 if affected is None else upsert_gold(affected, root, then)
+    """Recompute the gold rows that the silver rows at the keys of ``changes`` have an effect on.
+
+    The tail of silver has what new days and corrections of the last ones need; months are read for
+    symbols that were corrected further back only.
+    """
+    spark = changes.sparkSession
+    keys = changes.select(*KEY)
+    parts = touched_parts(keys, root)
+    if not parts:
+        return 0
+    if is_kept(spark, root, "silver_tail"):
+        tail = read_buckets(spark, root, "silver_tail", {bucket for _, bucket in parts}).drop("bucket")
+        with staged(out_of_reach(tail, keys), "far-symbols") as far:
+            affected = gold_from_tail(tail, keys.join(far, "symbol", "left_anti"))
+            if not far.isEmpty():
+                affected = affected.unionByName(gold_for_changes(
+                    keys.join(far, "symbol", "left_semi"), root))
+            return upsert_gold(affected, root, then)
+    return upsert_gold(gold_for_changes(keys, root), root, then)
 
 
 def upsert_gold(features: DataFrame, root: str,
                 then: Callable[[DataFrame], None] | None = None) -> int:
-    """Merge rows into the buckets of gold they touch; two rows for one key raise. ``then`` is called
-    with the rows when they are merged."""
+    """Merge rows into the buckets of gold they touch, and into the newest features; two rows for one
+    key raise. ``then`` is called with the rows when they are merged."""
+    spark = features.sparkSession
     with staged(features, "gold-changes") as rows:
-        require_unique(rows)
-        known = read_parts(rows.sparkSession, root, "features_gold", touched_parts(rows, root))
+        parts = _unique_parts(rows, root)
+        follows = is_kept(spark, root, "gold_latest") or not table_exists(spark, root, "features_gold")
+        known = read_parts(spark, root, "features_gold", parts)
         merged = merge_keyed(known.select(*GOLD.names), rows)
         count = write_months(enforce_constraints(merged, KEY), root, "features_gold")["rows"]
+        if follows:
+            _replace_buckets(spark, root, "gold_latest", {bucket for _, bucket in parts},
+                             lambda latest: advance_latest(latest, rows))
         if then:
             then(rows)
         return count
 
 
+def advance_latest(latest: DataFrame, rows: DataFrame) -> DataFrame:
+    """The newest row of each symbol after a merge of ``rows``, which win at equal dates."""
+    both = latest.withColumn("_new", F.lit(0)).unionByName(rows.withColumn("_new", F.lit(1)))
+    newest = F.row_number().over(Window.partitionBy("symbol").orderBy(F.desc("dt"), F.desc("_new")))
+    return both.withColumn("_rank", newest).where(F.col("_rank") == 1).select(*GOLD.names)
+
+
+def _unique_parts(rows: DataFrame, root: str) -> list[tuple[int, int]]:
+    """The months and buckets that ``rows`` fall in; a repeated key raises. One pass does both."""
+    count = buckets(rows.sparkSession, root)
+    parts = rows.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).groupBy(
+        month_key(F.col("dt")).alias("ym"), bucket_of(F.col("symbol"), count).alias("bucket")).agg(
+        F.max_by(F.struct(*KEY, "n"), "n").alias("most")).collect()
+    for row in parts:
+        if row["most"]["n"] > 1:
+            raise DuplicateKeyError(f"key occurs {row['most']['n']} times: "
+                                    f"{[row['most'][key] for key in KEY]}")
+    return sorted((row["ym"], row["bucket"]) for row in parts if row["ym"] is not None)
+
+
 def gold_for_changes(changes: DataFrame, root: str, margin: int = 2) -> DataFrame | None:
     """Features of each changed row and of the next ``HALO`` rows of its symbol.
 
@@ -271,3 +360,31 @@ def month_segments(months: list[int], margin: int) -> list[tuple[int, int]]:
         else:
             segments.append([index - margin, index + margin])
     return [tuple(index // 12 * 100 + index % 12 + 1 for index in pair) for pair in segments]
+
+
+def refresh_price_sketches(spark: SparkSession, root: str,
+                           parts: list[tuple[int, int]] | None = None) -> None:
+    """Make the sketches of closes anew: of all of silver, or of the given (month, bucket) parts only."""
+    silver = (read_table(spark, root, "price_silver") if parts is None
+              else read_parts(spark, root, "price_silver", parts))
+    rows = price_sketches(silver).withColumn("bucket", bucket_of(F.col("symbol"), buckets(spark, root)))
+    rows.hint("rebalance", "ym").write.mode("overwrite").option(
+        "partitionOverwriteMode", "static" if parts is None else "dynamic").partitionBy(
+        "ym", "bucket").parquet(table_path(root, "price_sketches"))
+
+
+def refresh_key_sketches(spark: SparkSession, root: str, loads: list[tuple[str, int]]) -> None:
+    """Make the key sketches of the given loads, which are the only rows read."""
+    key_sketches(read_bronze_loads(spark, root, loads)).coalesce(1).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("source", "batch").parquet(
+        table_path(root, "key_sketches"))
+
+
+def read_price_sketches(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema("symbol string, n_rows long, sketch binary, ym int, bucket int").parquet(
+        table_path(root, "price_sketches"))
+
+
+def read_key_sketches(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema("ym int, n_rows long, sketch binary, source string, batch long").parquet(
+        table_path(root, "key_sketches"))

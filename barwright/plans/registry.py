@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barwright.operators import bars, calendar, gold, merge, quality, serving, silver, synth
+from barwright.functions import draws
+from barwright.functions.dates import month_key
+from barwright.operators import (
+    bars, calendar, gold, merge, quality, serving, silver, sketches, synth,
+)
 from barwright.plans import refresh
 from barwright.plans.driver_tables import bulk_bronze, feed_bronze, feed_rows, table
 from barwright.schemas import BAR_COLUMNS, BRONZE, GOLD, KEY, SILVER
@@ -13,7 +17,7 @@ from barwright.session import scratch_dir, staged
 from barwright.sources import raw, tables
 from barwright.streaming import bars as stream_bars
 from barwright.streaming import tables as stream_tables
-from barwright.streaming.topics import read_stream
+from barwright.streaming.topics import decode, publish, read_stream, without_redeliveries
 
 QUERIES = {}
 
@@ -306,6 +310,72 @@ def refresh_twice(spark, sf):
     return tables.read_table(spark, root, "features_gold").select(*GOLD.names)
 
 
+@query
+def refresh_after_compaction(spark, sf):
+    """A load is gathered with others and then replaced by one with lower prices: silver follows."""
+    root = scratch_dir(spark, "tables")
+    for rows in (dearer(feed_bronze(spark, sf), 1), restated_feed(spark, sf)):
+        refresh.run(spark, [loaded(rows, "feed")], root, full=False)
+    if tables.compact_bronze(spark, root, "feed") != 1:
+        raise ValueError("the first load should have been gathered")
+    tables.replace_bronze_batch(feed_bronze(spark, sf), root, "feed", 1)
+    refresh.refresh_all(spark, root)
+    return tables.read_table(spark, root, "price_silver").select(*SILVER.names)
+
+
+@query
+def gold_from_tail(spark, sf):
+    """The last month comes as an increment: its features need the tail of silver only."""
+    root, rows = scratch_dir(spark, "tables"), bulk_bronze(spark, sf)
+    new = F.col("dt") >= F.date_sub(rows.agg(F.max("dt")).scalar(), 14)
+    refresh.run(spark, [loaded(rows.where(~new), "bulk")], root)
+    refresh.run(spark, [loaded(rows.where(new), "bulk")], root, full=False)
+    return tables.read_table(spark, root, "features_gold").select(*GOLD.names)
+
+
+@query
+def latest_maintained(spark, sf):
+    """The kept newest features after a late correction, and after that load was withdrawn."""
+    root, shown = scratch_dir(spark, "tables"), scratch_dir(spark, "latest")
+
+    def show(step):
+        if not tables.is_kept(spark, root, "gold_latest"):
+            raise ValueError("the newest features should be kept")
+        tables.latest_rows(spark, root).withColumn("step", F.lit(step)).write.mode("append").parquet(shown)
+
+    refresh.run(spark, [loaded(feed_bronze(spark, sf), "feed")], root)
+    refresh.run(spark, [loaded(restated_feed(spark, sf), "restated")], root, full=False)
+    show("corrected")
+    tables.replace_bronze_batch(restated_feed(spark, sf).limit(0), root, "restated", 2)
+    refresh.refresh_all(spark, root)
+    show("withdrawn")
+    return spark.read.parquet(shown)
+
+
+@query
+def gate_stops_refresh(spark, sf):
+    """A limit on incomplete rows stops the refresh before silver has any row; without it, it runs."""
+    root, rows = scratch_dir(spark, "tables"), []
+    refresh.load(loaded(feed_bronze(spark, sf), "feed"), root)
+    for limits in ({"incomplete": 0.0}, None):
+        try:
+            refresh.refresh_all(spark, root, limits)
+            stopped = False
+        except quality.QualityError:
+            stopped = True
+        rows.append((stopped, tables.read_table(spark, root, "price_silver").count()))
+    return spark.createDataFrame(rows, "stopped boolean, silver_rows long")
+
+
+@query
+def load_states(spark, sf):
+    """What the state has of loads: one pending, one worked in, and the newest of many micro-batches."""
+    root = streamed_silver(spark, sf)
+    refresh.run(spark, [loaded(bulk_bronze(spark, sf), "bulk")], root, full=False)
+    refresh.load(loaded(restated_feed(spark, sf), "restated"), root)
+    return tables.loads(spark, root)
+
+
 @query
 def load_counts(spark, sf):
     """Rows that each load brought, as the loads counted them."""
@@ -364,8 +434,91 @@ def synth_walk(spark, sf):
     return synth.walk(days).select("symbol", "i", "open", "high", "low", "close")
 
 
+@query
+def draw_moments(spark, sf):
+    """Of every draw of the generator, over the line items: its number, and whether mean, deviation and
+    range are what is asked for (within five standard errors)."""
+    here = [F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")]
+    low, high = synth.VOLUME_LOW, synth.VOLUME_HIGH
+    normals = {"change": (synth.DRIFT, synth.VOLATILITY), "gap": (0.0, synth.GAP_STDDEV),
+               "spread": (synth.SPREAD_MEAN, synth.SPREAD_STDDEV)}
+    asked = {name: (draws.normal(mean, spread, 42, name, *here), mean, spread, None)
+             for name, (mean, spread) in normals.items()} | {
+        "volume": (draws.integer(low, high, 42, "volume", *here), (low + high - 1) / 2,
+                   (high - low) / 12 ** 0.5, (low, high - 1)),
+        "uniform": (draws.uniform(42, "uniform", *here), 0.5, 12 ** -0.5, (0.0, 1.0)),
+    }
+    rows = table(spark, sf, "lineitem").select(F.explode(F.array(*[
+        F.struct(F.lit(name).alias("draw"), value.cast("double").alias("value"),
+                 F.lit(mean).cast("double").alias("mean"), F.lit(spread).cast("double").alias("spread"),
+                 F.lit(bounds[0] if bounds else float("-inf")).cast("double").alias("low"),
+                 F.lit(bounds[1] if bounds else float("inf")).cast("double").alias("high"))
+        for name, (value, mean, spread, bounds) in asked.items()])).alias("d")).select("d.*")
+    error = F.first("spread") / F.sqrt(F.count("*"))
+    return rows.groupBy("draw").agg(
+        F.count("*").alias("n"),
+        (F.abs(F.avg("value") - F.first("mean")) < 5 * error).alias("mean_fits"),
+        (F.abs(F.stddev_samp("value") - F.first("spread")) < 5 * error).alias("deviation_fits"),
+        F.bool_and(F.col("value").between(F.col("low"), F.col("high"))).alias("range_fits"))
+
+
 # ---- quality
 
+def exact_drift(bars: DataFrame, found: DataFrame, split: int) -> DataFrame:
+    """For each symbol of ``found`` how many closes of a side are up to and below its median, and the
+    largest difference of ranks at any close."""
+    sides = {"ref": month_key(F.col("dt")) < split, "cur": month_key(F.col("dt")) >= split}
+    rows = bars.select("symbol", F.col("close").cast("double").alias("close"),
+                       *[here.alias(f"is_{side}") for side, here in sides.items()])
+    whole = Window.partitionBy("symbol")
+    upto = whole.orderBy("close").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    ranks = [F.count_if(f"is_{side}").over(upto) / F.nullif(F.count_if(f"is_{side}").over(whole), F.lit(0))
+             for side in sides]
+    counts = [F.count_if(F.col(f"is_{side}") & condition).alias(f"{name}_{side}") for side in sides
+              for name, condition in (("upto", F.col("close") <= F.col(f"median_{side}")),
+                                      ("below", F.col("close") < F.col(f"median_{side}")))]
+    return rows.withColumn("gap", F.abs(ranks[0] - ranks[1])).join(
+        found.select("symbol", "median_ref", "median_cur"), "symbol").groupBy("symbol").agg(
+        *counts, F.max("gap").alias("exact"))
+
+
+@query
+def drift_sketch(spark, sf):
+    """Drift from stored sketches of symbols and months, and whether its medians and distances agree
+    with exact ranks."""
+    root, split, error = scratch_dir(spark, "tables"), 199600, 2 * sketches.RANK_ERROR
+    tables.write_months(clean(spark, sf), root, "price_silver")
+    refresh.refresh_price_sketches(spark, root)
+    found = sketches.drift_from_sketches(refresh.read_price_sketches(spark, root),
+                                         sketches.in_months(None, split), sketches.in_months(split, None))
+    medians = [(F.col(f"n_{side}") == 0)
+               | ((F.col(f"upto_{side}") >= (0.5 - error) * F.col(f"n_{side}"))
+                  & (F.col(f"below_{side}") <= (0.5 + error) * F.col(f"n_{side}")))
+               for side in ("ref", "cur")]
+    off = F.coalesce(F.col("exact") - F.col("distance"), F.lit(0.0))
+    return found.join(exact_drift(tables.read_table(spark, root, "price_silver"), found, split),
+                      "symbol").select(
+        "symbol", "n_ref", "n_cur", (medians[0] & medians[1]).alias("medians_fit"),
+        (F.abs(off) <= sketches.DISTANCE_ERROR).alias("distance_fits"))
+
+
+@query
+def duplicate_rate_sketch(spark, sf):
+    """Rows per key from stored sketches of loads and months, and whether it is within 2 % of the exact."""
+    root = scratch_dir(spark, "tables")
+    for number, rows in enumerate((feed_bronze, bulk_bronze, feed_bronze), 1):
+        refresh.load(loaded(rows(spark, sf), rows.__name__.split("_")[0]), root, number)
+    loads = [("feed", 1), ("bulk", 2), ("feed", 3)]
+    refresh.refresh_key_sketches(spark, root, loads[:2])
+    refresh.refresh_key_sketches(spark, root, loads[2:])
+    found = sketches.duplicate_rate_from_sketches(refresh.read_key_sketches(spark, root))
+    exact = quality.duplicate_rate(tables.read_table(spark, root, "bronze_price_raw")).select(
+        "source", F.col("rows_per_key").alias("exact"))
+    return found.join(exact, "source").select(
+        "source", "n_rows", (F.abs(F.col("rows_per_key") / F.col("exact") - 1)
+                             <= sketches.KEY_ERROR).alias("rate_fits"))
+
+
 @query
 def quality_report(spark, sf):
     return quality.quality_report(feed_bronze(spark, sf))
@@ -445,6 +598,40 @@ def stream_silver(spark, sf):
     return tables.read_table(spark, root, "price_silver").select(*SILVER.names)
 
 
+@query
+def stream_redelivery(spark, sf):
+    """Every message comes twice, in files of its own: repeats are dropped by state, the rest merged."""
+    root = scratch_dir(spark, "stream")
+    events = table(spark, sf, "events")
+    for copy in range(2):
+        events.repartition(2, "event_id").write.mode("append").parquet(f"{root}/events")
+    stream = read_stream(spark, f"{root}/events", events.schema, maxFilesPerTrigger="2")
+    rows = silver.cast_bars(feed_rows(without_redeliveries(stream, "ts", "365 days", "event_id")),
+                            F.lit("feed").alias("source"), "seq")
+    stream_tables.stream_silver(rows, root, "feed", f"{root}/checkpoint").awaitTermination()
+    counts = [(name, tables.read_table(spark, root, name).count())
+              for name in ("bronze_price_raw", "price_silver")]
+    return spark.createDataFrame(counts, "layer string, n_rows long")
+
+
+@query
+def topic_gold(spark, sf):
+    """Messages of raw prices to silver and gold in one stream, and both layers out as messages; the
+    last message of a key and date is the result."""
+    root = scratch_dir(spark, "stream")
+    topic = {name: {"format": "parquet", "path": f"{root}/topic-{name}"}
+             for name in ("raw", "silver", "gold")}
+    for part in range(3):
+        publish(feed_bronze(spark, sf).where(F.col("seq") % 3 == part), topic["raw"])
+    messages = read_stream(spark, topic["raw"]["path"], spark.read.parquet(topic["raw"]["path"]).schema,
+                           maxFilesPerTrigger="2")
+    stream_tables.stream_silver(decode(messages, BRONZE), root, "prices", f"{root}/checkpoint",
+                                with_gold=True, topic=topic["silver"],
+                                gold_topic=topic["gold"]).awaitTermination()
+    sent = decode(spark.read.parquet(topic["gold"]["path"]), GOLD).select(*KEY).distinct()
+    return tables.read_table(spark, root, "features_gold").select(*GOLD.names).join(sent, KEY)
+
+
 @query
 def stream_gold(spark, sf):
     root = streamed_silver(spark, sf)

@@ -47,6 +47,8 @@ STORED = {
     "bronze_price_raw": T.StructType([*BRONZE.fields, T.StructField("batch", T.LongType())]),
     "price_silver": T.StructType([*SILVER.fields, *PARTS]),
     "features_gold": T.StructType([*GOLD.fields, *PARTS]),
+    "silver_tail": T.StructType([*SILVER.fields, *PARTS[1:]]),
+    "gold_latest": T.StructType([*GOLD.fields, *PARTS[1:]]),
 }
 
 

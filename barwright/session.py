@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import os
 import shutil
 import tempfile
 import uuid
@@ -100,17 +101,59 @@ def remove(spark: SparkSession, path: str) -> None:
     _hadoop_path(spark, path, lambda fs, folder: fs.delete(folder, True))
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to)
+    if not _hadoop_path(spark, path, lambda fs, folder: fs.rename(folder, target)):
+        raise OSError(f"{path} could not be renamed to {to}")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     return _hadoop_path(spark, path, lambda fs, folder: fs.exists(folder))
 
 
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     """Names directly below ``path``; none when it does not exist."""
+    return file_names(spark, path)
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
     def names(fs, folder):
         return [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
     return _hadoop_path(spark, path, names)
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    def read(fs, file):
+        stream = fs.open(file)
+        try:
+            return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+    return _hadoop_path(spark, path, read)
+
+
+def place_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Make the file ``path``, whole or not at all; False if there is one already, also if somebody
+    else makes it at the same time."""
+    def place(fs, file):
+        ready = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+        stream = fs.create(ready, True)
+        try:
+            stream.write(text.encode())
+        finally:
+            stream.close()
+        try:
+            if fs.makeQualified(file).toUri().getScheme() != "file":
+                return not fs.exists(file) and fs.rename(ready, file)
+            os.link(ready.toUri().getPath(), file.toUri().getPath())
+            return True
+        except FileExistsError:
+            return False
+        finally:
+            fs.delete(ready, False)
+    return _hadoop_path(spark, path, place)
+
+
 def _hadoop_path(spark: SparkSession, path: str, use: Callable) -> Any:
     """Call ``use`` with the file system that ``path`` names, whichever it is."""
     folder, settings = _folder(spark, path)

@@ -42,9 +42,10 @@ def silver_batch(rows: DataFrame, batch: int, root: str, source: str,
     """Land one micro-batch in bronze, log its clean rows as changes, merge them into silver."""
     spark = rows.sparkSession
     number = load_number(spark, root, source, batch)
-    note_loads(spark, root, [(number, source, batch)], "loaded")
+    note_loads(spark, root, [(number, source, batch)], "started")
     numbered = rows.withColumn("seq", F.coalesce("seq", F.lit(number).cast("long")))
     replace_bronze_batch(numbered.select(*BRONZE.names), root, source, batch)
+    note_loads(spark, root, [(number, source, batch)], "loaded")
     log = f"{load_path(root, 'silver_changes', source, batch)}/attempt={uuid.uuid4().hex}"
     build_silver(read_bronze_loads(spark, root, [(source, batch)])).write.parquet(log)
     changes = spark.read.schema(SILVER).parquet(log)

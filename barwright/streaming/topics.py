@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from barwright.functions.dates import utc_instant
+
 
 def read_stream(spark: SparkSession, path: str | None, schema: T.StructType | None,
                 fmt: str = "parquet", **options: str) -> DataFrame:
@@ -27,6 +29,18 @@ def decode(messages: DataFrame, schema: T.StructType) -> DataFrame:
         .select("row.*")
 
 
+def without_redeliveries(messages: DataFrame, ts: str, delay: str, *keys: str) -> DataFrame:
+    """Messages without those whose ``keys`` came before, as a broker gives some again after a failure.
+
+    State is one entry for each message of the last ``delay`` of event time: the watermark on ``ts``
+    lets go of older ones. A repeat that comes later than that passes, and the merge by key behind
+    it still counts it once.
+    """
+    if dict(messages.dtypes)[ts] == "timestamp_ntz":
+        messages = messages.withColumn(ts, utc_instant(F.col(ts)))
+    return messages.withWatermark(ts, delay).dropDuplicatesWithinWatermark([*keys])
+
+
 def encode(rows: DataFrame, key: str = "symbol") -> DataFrame:
     """Messages keyed by symbol, so that a broker keeps the order within a symbol."""
     return rows.select(F.col(key).cast("string").alias("key"),

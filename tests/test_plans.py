@@ -18,6 +18,7 @@ from bars_help import day, price
 def stored(spark, tmp_path_factory):
     """Tables in which one symbol has two thirds of bronze, half of that on one date."""
     root = str(tmp_path_factory.mktemp("tables"))
+    tables.change_state(spark, root, lambda state: state.update(buckets=4))
     n = F.col("id")
     hot = F.when(n % 3 < 2, "HOT").otherwise(F.concat(F.lit("S"), (n % 101).cast("string")))
     dt = F.when(n % 3 == 0, F.lit(day("2021-06-01"))) \
