@@ -21,7 +21,8 @@ Equal fingerprints are taken together first, so copies cost one row. The fingerp
 searched breadth first: each one found takes all within four bits out of the rest, so a dense group
 is used up in few steps and gives a link less than it has members, never all pairs. A key's group
 holds distinct numbers that share two Golay codewords; its size is bounded by them and not by the
-copies in the corpus, and it needs eight bytes each.
+copies in the corpus, and it needs eight bytes each. A group of more than ``BLOCK`` is cut into blocks,
+and each block is compared with each other one in a cell of its own, which any task may take.
 
 A null or empty text has no words and fingerprint zero. Rows of the same doc_id are documents of
 their own and may have different groups; component_id is the smallest doc_id of the group, null if
@@ -39,12 +40,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barwright.llm.common import pieces, same, stored, text_key
+from barwright.llm.common import bounded_broadcast, pieces, same, stored, text_key
 from barwright.llm.components import components
 
 SHINGLE = 4
 BITS = 4
 SEED = 42
+# Fingerprints of a key that one task searches at once.
+BLOCK = 1 << 14
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 # Generator polynomial of the binary Golay code: x^11 + x^9 + x^7 + x^6 + x^5 + x + 1.
 GENERATOR = 0b101011100011
@@ -159,8 +162,33 @@ def forest(fps: np.ndarray, bits: int) -> list[tuple[int, int]]:
     return links
 
 
-def linked(fps: DataFrame, bits: int = BITS) -> DataFrame:
-    """Links (a, b) between distinct fingerprints ``fp`` that join every group."""
+def bridges(left: np.ndarray, right: np.ndarray, bits: int) -> list[tuple[int, int]]:
+    """Links between two blocks of a key that join what steps of at most ``bits`` bits from one block
+    to the other join, one less than members."""
+    links, root = [], {}
+
+    def top(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for here in np.unique(left).tolist():
+        close = right[np.bitwise_count(right ^ np.uint64(here)) <= bits]
+        for there in close.tolist():
+            a, b = top(here), top(there)
+            if a != b:
+                root[a] = b
+                links.append((here, there))
+    return links
+
+
+def linked(fps: DataFrame, bits: int = BITS, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) between distinct fingerprints ``fp`` that join every group.
+
+    A key with more than ``block`` fingerprints is cut into blocks by a hash: each is searched, and each
+    is compared with each other one, in cells that tasks share.
+    """
     if bits > BITS:
         raise ValueError("the segments find pairs of at most four differing bits")
 
@@ -171,13 +199,15 @@ def linked(fps: DataFrame, bits: int = BITS) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key), pa.array(values[owner].view(np.int64))], ["key", "fp"])
 
+    def links(found):
+        a, b = (np.array([x[i] for x in found], np.uint64).view(np.int64) for i in (0, 1))
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
     def search(batches):
-        def links(key, values):
+        def groups(key, values):
             at = np.flatnonzero(np.diff(key)) + 1
-            found = [x for group in np.split(values, at) if len(group) > 1
-                     for x in forest(group, bits)]
-            a, b = (np.array([x[i] for x in found], np.uint64).view(np.int64) for i in (0, 1))
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            return links([x for group in np.split(values, at) if len(group) > 1
+                          for x in forest(group, bits)])
 
         held = [], []
         for batch in batches:
@@ -188,17 +218,34 @@ def linked(fps: DataFrame, bits: int = BITS) -> DataFrame:
             # The last key of a batch may go on in the next one.
             cut = np.searchsorted(key, key[-1])
             if cut or held[0] and held[0][-1][-1] != key[-1]:
-                yield links(np.concatenate([*held[0], key[:cut]]),
-                            np.concatenate([*held[1], values[:cut]]))
+                yield groups(np.concatenate([*held[0], key[:cut]]),
+                             np.concatenate([*held[1], values[:cut]]))
                 held = [], []
             held[0].append(key[cut:].copy())
             held[1].append(values[cut:].copy())
         if held[0]:
-            yield links(np.concatenate(held[0]), np.concatenate(held[1]))
-
-    spread_out = fps.select("fp").mapInArrow(spread, "key long, fp long")
-    return spread_out.repartition("key").sortWithinPartitions("key").mapInArrow(
-        search, "a long, b long").distinct()
+            yield groups(np.concatenate(held[0]), np.concatenate(held[1]))
+
+    def meet(cell, rows):
+        values = rows.column("fp").to_numpy().view(np.uint64)
+        own = rows.column("own").to_numpy()
+        low, high = cell[1].as_py(), cell[2].as_py()
+        found = forest(values, bits) if low == high else bridges(
+            values[own == low], values[own == high], bits)
+        return pa.Table.from_batches([links(found)])
+
+    keyed = fps.select("fp").mapInArrow(spread, "key long, fp long")
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block)
+    large = bounded_broadcast(stored(sizes, "simhash-large"))
+    small = keyed.join(large, "key", "left_anti").repartition("key").sortWithinPartitions(
+        "key").mapInArrow(search, "a long, b long")
+    own = F.pmod(F.xxhash64(F.lit("block"), "fp"), F.col("parts")).cast("int")
+    cells = keyed.join(large, "key").withColumn("parts", F.ceil(F.col("n") / block).cast("int")) \
+        .withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))) \
+        .select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+                "own", "fp")
+    return small.unionByName(cells.groupBy("key", "low", "high").applyInArrow(
+        meet, "a long, b long")).distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE, bits: int = BITS) -> DataFrame:

@@ -13,17 +13,19 @@ all gave. For a chunk of candidates three bounds follow each other:
 A bound prunes only what is strictly less than the k-th score, so ties are kept, and it allows for
 the rounding of the rotation. Ties in the result go to the smaller vec_id.
 
-Vectors that are null, empty, or hold null or non-finite components take no part, nor do rows with
-a null vec_id. Vectors of different lengths are compared as if filled up with zeros. Repeated rows
-of a vector count once; of different vectors with one vec_id each is a candidate, and the largest in
-array order is the query. Products must stay below 2^53, else the job fails. Other columns are
-ignored; an empty table gives an empty result.
+Vectors that are null or hold null or non-finite components take no part, nor do rows with a null
+vec_id. An empty vector scores 0. Vectors of different lengths are compared as if filled up with zeros.
+Repeated rows of a vector count once; of different vectors with one vec_id each is a candidate, and
+the largest in array order is the query. Where a product could reach 2^53, whole numbers of any size
+take the place of doubles; a score beyond 64 bits fails the job. Other columns are ignored; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from math import ceil
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,7 @@ SCALE = 256
 TOP = 5
 EVERY = 50
 # Queries of a block, candidates of a range, and candidates scored at once.
-QUERY_BLOCK, RANGE, CHUNK = 4096, 1024, 1024
+QUERY_BLOCK, RANGE, CHUNK = 4096, 8192, 1024
 # The longest vectors, which every query meets first.
 SEEDS = 2048
 
@@ -47,7 +49,7 @@ def whole_vectors(rows: DataFrame, scale: int = SCALE) -> DataFrame:
     fit = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     v = F.transform(x, lambda c: F.floor(c * F.lit(float(scale))))
     found = rows.select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("embedding")).where(
-        F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & fit).select(
+        F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & fit).select(
         "vec_id", v.alias("v")).distinct()
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda n, c: n + c.cast("double") * c))
     return found.withColumn("norm", norm)
@@ -65,6 +67,19 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
     return out
 
 
+def numbers_of(column: pa.Array) -> list[list[int]]:
+    return column.to_pylist()
+
+
+def exact_products(left: list[list[int]], right: list[list[int]]) -> np.ndarray:
+    """Inner products in whole numbers of any size; what one vector is shorter counts as zeros."""
+    out = np.array([[sum(map(mul, a, b)) for b in right] for a in left], object).reshape(
+        len(left), len(right))
+    if out.size and max(abs(out.min()), abs(out.max())) >= 2**63:
+        raise ArithmeticError("an inner product is beyond 64 bits")
+    return out
+
+
 def rotation(vectors: DataFrame, width: int) -> np.ndarray:
     """The right singular vectors of all vectors, by their summed products of coordinates."""
     def products(batches):
@@ -89,8 +104,8 @@ class Search:
     """Bounds and scores of queries against chunks of candidates."""
 
     def __init__(self, turn: np.ndarray, top: int, ids: np.ndarray, queries: np.ndarray,
-                 least: np.ndarray):
-        self.turn, self.top, self.ids, self.queries = turn, top, ids, queries
+                 least: np.ndarray, numbers: list[list[int]]):
+        self.turn, self.top, self.ids, self.queries, self.numbers = turn, top, ids, queries, numbers
         self.head = max(1, turn.shape[1] // 4)
         self.turned = queries @ turn
         self.norms = np.linalg.norm(queries, axis=1)
@@ -98,10 +113,8 @@ class Search:
         self.least = least.astype(np.float64).copy()
         self.found: list[list[tuple[int, int]]] = [[] for _ in ids]
 
-    def meet(self, ids: np.ndarray, vectors: np.ndarray, norms: np.ndarray) -> bool:
+    def meet(self, ids: np.ndarray, vectors: np.ndarray, norms: np.ndarray, column: pa.Array) -> bool:
         """Scores a chunk in descending length; False if no query can gain from it or later ones."""
-        if len(norms) and self.norms.max(initial=0.0) * norms[0] >= 2**53:
-            raise ArithmeticError("inner products above 2^53 are not exact")
         slack = 1e-9 * self.norms * (norms[0] if len(norms) else 0.0) + 1e-6
         open_ = np.flatnonzero(self.norms * norms[0] + slack >= self.least)
         if not len(open_):
@@ -114,19 +127,26 @@ class Search:
         live = open_[hopeful.any(1)]
         columns = np.flatnonzero(hopeful.any(0))
         if len(live) and len(columns):
-            self._score(live, ids[columns], vectors[columns])
+            self._score(live, ids[columns], vectors[columns], norms[0], column.take(pa.array(columns)))
         return True
 
-    def _score(self, live: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
-        scores = self.queries[live] @ vectors.T  # whole numbers below 2^53: exact
+    def _score(self, live: np.ndarray, ids: np.ndarray, vectors: np.ndarray, longest: float,
+               column: pa.Array) -> None:
+        if self.norms.max(initial=0.0) * longest < 2**52:
+            scores = self.queries[live] @ vectors.T  # whole numbers below 2^53: exact
+        else:
+            scores = exact_products([self.numbers[q] for q in live.tolist()], numbers_of(column))
         good = (scores >= self.least[live, None]) & (ids != self.ids[live, None])
         for row in np.flatnonzero(good.any(1)):
             q, at = live[row], np.flatnonzero(good[row])
-            best = at[np.lexsort((ids[at], -scores[row, at]))[:self.top]]
+            best = sorted(at.tolist(), key=lambda c: (-scores[row, c], ids[c]))[:self.top] \
+                if scores.dtype == object else at[np.lexsort((ids[at], -scores[row, at]))[:self.top]]
             merged = self.found[q] + [(-int(scores[row, c]), int(ids[c])) for c in best]
             self.found[q] = sorted(merged)[:self.top]
             if len(self.found[q]) == self.top:
-                self.least[q] = max(self.least[q], -self.found[q][-1][0])
+                # Rounded down where it is no double, so that ties stay.
+                self.least[q] = max(self.least[q], np.nextafter(-self.found[q][-1][0], -np.inf)
+                                    if abs(self.found[q][-1][0]) > 2**53 else -self.found[q][-1][0])
 
     def results(self) -> Iterator[tuple[int, int, int]]:
         for q, found in zip(self.ids.tolist(), self.found):
@@ -144,14 +164,14 @@ def top_products(rows: DataFrame, every: int = EVERY, top: int = TOP, scale: int
     count, width = all_.agg(F.count("*"), F.max(F.size("v"))).first()
     if not count:
         return spark.createDataFrame([], result)
-    turn = rotation(all_, width)
+    turn = rotation(all_, width := max(1, width))
     ranges = stored(all_.repartitionByRange(
         max(1, ceil(count / range_rows)), F.desc("norm"), F.col("vec_id"), F.col("v")).withColumn(
         "part", F.spark_partition_id()), "vector-ranges")
     longest = ranges.orderBy(F.desc("norm"), "vec_id", "v").limit(SEEDS).toArrow()
     longest = longest.combine_chunks().to_batches()[0]
     seeds = (longest.column("vec_id").to_numpy(), matrix(longest.column("v"), width),
-             longest.column("norm").to_numpy())
+             longest.column("norm").to_numpy().max(), longest.column("v"))
 
     asking = ranges.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(
         F.max("v").alias("v"))
@@ -162,8 +182,9 @@ def top_products(rows: DataFrame, every: int = EVERY, top: int = TOP, scale: int
             least = np.full(len(ids), -np.inf)
             for at in range(0, len(ids), 512):
                 cut = slice(at, at + 512)
-                first = Search(turn, top, ids[cut], vectors[cut], least[cut])
-                first._score(np.arange(len(ids[cut])), *seeds[:2])
+                first = Search(turn, top, ids[cut], vectors[cut], least[cut],
+                               numbers_of(batch.column("v").slice(at, 512)))
+                first._score(np.arange(len(ids[cut])), *seeds)
                 least[cut] = first.least
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(np.linalg.norm(vectors, axis=1)), pa.array(least)],
@@ -212,12 +233,13 @@ def top_products(rows: DataFrame, every: int = EVERY, top: int = TOP, scale: int
                     ids = rows_.column("vec_id").to_numpy()
                     if kind == 0:
                         asked_.append((ids, matrix(rows_.column("v"), width),
-                                       rows_.column("least").to_numpy()))
+                                       rows_.column("least").to_numpy(), numbers_of(rows_.column("v"))))
                     elif asked_ and not done:
                         current = current or Search(turn, top, *(
-                            np.concatenate([a[i] for a in asked_]) for i in range(3)))
+                            np.concatenate([a[i] for a in asked_]) for i in range(3)),
+                            [v for a in asked_ for v in a[3]])
                         done = not current.meet(ids, matrix(rows_.column("v"), width),
-                                                rows_.column("norm").to_numpy())
+                                                rows_.column("norm").to_numpy(), rows_.column("v"))
         if current:
             yield output(current)
 

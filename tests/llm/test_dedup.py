@@ -194,6 +194,63 @@ def test_a_forest_joins_what_steps_join():
         assert len(links) == len(root) - len({find(x) for x in root})
 
 
+def test_bridges_join_what_steps_between_blocks_join():
+    draw = np.random.default_rng(9)
+    for _ in range(20):
+        left, right = (draw.integers(0, 2**8, 25).astype(np.uint64) for _ in range(2))
+        left, right = np.unique(left), np.setdiff1d(right, left)
+        links = golay_simhash.bridges(left, right, 1)
+        pairs = [(a, b) for a in left.tolist() for b in right.tolist() if (a ^ b).bit_count() <= 1]
+        assert {*links} <= {*pairs} and len(links) < len(left) + len(right)
+        for joined in (links, pairs):
+            root = {x: x for x in left.tolist() + right.tolist()}
+
+            def find(x):
+                while root[x] != x:
+                    x = root[x]
+                return x
+
+            for a, b in joined:
+                root[max(find(a), find(b))] = min(find(a), find(b))
+            found = {x: find(x) for x in root}
+            assert joined is links or found == before
+            before = found
+
+
+def test_keys_with_many_fingerprints_are_cut_into_blocks(spark):
+    draw = np.random.default_rng(10)
+    base = draw.integers(0, 2**63, 6)
+    fps = {int(b) for b in base}
+    for b in base.tolist():
+        for _ in range(60):
+            fps.add(b ^ sum(1 << int(k) for k in draw.choice(63, draw.integers(1, 6), replace=False)))
+    rows = spark.createDataFrame([(f,) for f in fps], "fp long")
+
+    def classes(block):
+        links = golay_simhash.linked(rows, 4, block)
+        return {frozenset(x) for x in _joined(fps, [tuple(r) for r in links.collect()])}
+
+    want = {frozenset(x) for x in _joined(fps, [(a, b) for a, b in combinations(fps, 2)
+                                                if (a ^ b).bit_count() <= 4])}
+    assert classes(8) == classes(golay_simhash.BLOCK) == want
+
+
+def _joined(nodes, links):
+    root = {x: x for x in nodes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        root[find(a)] = find(b)
+    groups_ = defaultdict(set)
+    for x in nodes:
+        groups_[find(x)].add(x)
+    return groups_.values()
+
+
 def test_components_of_chains_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
     edges += [(500, 501), (501, 502), (502, 500), (-3, 500)]

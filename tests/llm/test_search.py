@@ -18,7 +18,7 @@ from samples import SF, random_texts
 def best(vectors, every=50, top=5):
     """(vec_id, list) rows -> result rows, by all products."""
     rows = {(i, tuple(math.floor(256 * x) for x in v)) for i, v in vectors
-            if i is not None and v and all(x is not None and math.isfinite(x) for x in v)}
+            if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)}
     out = []
     for q in sorted({i for i, _ in rows if i % every == 0}):
         own = max(v for i, v in rows if i == q)
@@ -55,6 +55,69 @@ def test_few_or_no_vectors(spark):
     assert [tuple(r) for r in top_products.top_products(two).collect()] == [(0, 1, 1, -65536)]
 
 
+def test_products_beyond_what_doubles_tell_apart(spark):
+    draw = np.random.default_rng(2)
+    big = [float(x) for x in draw.integers(2**20, 2**21, 6)]
+    rows = [(i, [x + (i % 3 == k) * 2**-8 for k, x in enumerate(big)]) for i in range(40)]
+    rows += [(50, []), (60, [-x for x in big])]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = top_products.top_products(docs, every=10, range_rows=16)
+    want = best(rows, 10)
+    assert sorted(map(tuple, got.collect())) == want and max(r[3] for r in want) > 2**56
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        top_products.top_products(spark.createDataFrame(
+            [(i, [2.0**40]) for i in range(3)], "vec_id long, embedding array<double>")).collect()
+
+
+def naive_fingerprint(text):
+    """The walk step by step, as the shared random numbers are drawn."""
+    if not text:
+        return ""
+    w = edit_embedding.walk(edit_embedding.SEED)
+    rng = np.random.default_rng(edit_embedding.SEED)
+    goes_on = rng.random((edit_embedding.CLASSES, edit_embedding.PERIOD)) < 0.5
+    goes_on[:, 0] = True
+    codes, seen, at, step = [ord(c) for c in text], [], 0, 0
+    while at < len(codes):
+        seen.append(at)
+        kind = (codes[at] * 0x9E3779B1) % 2**32 >> 26
+        # The bit of a step decides whether the walk leaves after it.
+        at += bool(goes_on[kind, step % edit_embedding.PERIOD])
+        step += 1
+    out = []
+    for s in w.steps.tolist():
+        if s >= len(seen):
+            break
+        mixed = 0
+        for k in range(edit_embedding.GRAM):
+            code = codes[seen[s] + k] if seen[s] + k < len(codes) else 0
+            mixed = (mixed + (code + 1) * int(w.grams[k])) % 2**64
+        mixed ^= mixed >> 31
+        out.append("0123456789abcdef"[(mixed * 0x9E3779B97F4A7C15) % 2**64 >> 60])
+    return "".join(out)
+
+
+def test_fingerprints_equal_a_walk_step_by_step(sf_docs, odd_texts):
+    texts = [*sf_docs.values()][:60] + [t or "" for _, t in odd_texts] + ["a", "é" * 700, "ab" * 9000]
+    for text in texts:
+        assert edit_embedding.fingerprint(text) == naive_fingerprint(text)
+
+
+def test_rows_without_an_id_are_dealt_by_their_texts(spark, monkeypatch):
+    monkeypatch.setattr(edit_embedding, "STRETCH", 5)
+    rows = [(None, f"text {n} " * 5) for n in range(40)] + [(i, f"{i} of " * 9) for i in (3, 10**17, -10**15)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    placed = edit_embedding.beside_next(docs).where("guest = 0")
+    assert placed.where("doc_id IS NULL").select("run").distinct().count() > 4
+    got = edit_embedding.fingerprint_edits(docs).collect()
+    # A ring: every text is the next one of exactly one other.
+    digests = {hashlib.sha256((a[:len(a) - len(a) // 3] + b[:len(a) // 3]).encode()).hexdigest(): (a, b)
+               for _, a in rows for _, b in rows}
+    after = {digests[r["edited_sha256"]][0]: digests[r["edited_sha256"]][1] for r in got}
+    assert len(got) == len(rows) and {*after} == {*after.values()} == {t for _, t in rows}
+    assert after[f"{10**17} of " * 9] == "3 of " * 9 and after["3 of " * 9] == f"{-10**15} of " * 9
+
+
 def edits(rows):
     """Rows in the order of the contract -> (doc_id, n_chars, digest of the edited text, next)."""
     rows = sorted(((i, t or "") for i, t in rows), key=lambda r: r[1], reverse=True)
