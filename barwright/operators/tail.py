@@ -29,14 +29,22 @@ def advance_tail(tail: DataFrame, changes: DataFrame) -> DataFrame:
     return last_rows(merge_latest(tail, changes))
 
 
-def out_of_reach(tail: DataFrame, changes: DataFrame) -> DataFrame:
-    """Symbols whose first changed day has its frame not wholly in the tail."""
+def within_tail(tail: DataFrame, changes: DataFrame) -> DataFrame:
+    """The changed rows that a tail has to take up: all but those older than a full one."""
+    ends = tail.groupBy("symbol").agg(F.count(F.lit(1)).alias("_rows"), F.min("dt").alias("_oldest"))
+    return changes.join(ends, "symbol", "left").where(
+        F.col("_rows").isNull() | (F.col("_rows") < TAIL) | (F.col("dt") >= F.col("_oldest")))
+
+
+def reach_of_tail(tail: DataFrame, changes: DataFrame) -> DataFrame:
+    """The changed symbols, and whether the first changed day of each is too ``far`` back for its frame to
+    be wholly in the tail."""
     place = F.row_number().over(Window.partitionBy("symbol").orderBy("dt"))
     reach = tail.withColumn("_place", place).groupBy("symbol").agg(
         F.count(F.lit(1)).alias("_rows"), F.max(F.when(F.col("_place") <= HALO, F.col("dt"))).alias("_floor"))
     first = changes.groupBy("symbol").agg(F.min("dt").alias("_first"))
-    far = (F.col("_rows") == TAIL) & (F.col("_first") <= F.col("_floor"))
-    return first.join(reach, "symbol", "left").where(F.col("_rows").isNull() | far).select("symbol")
+    far = F.col("_rows").isNull() | (F.col("_rows") == TAIL) & (F.col("_first") <= F.col("_floor"))
+    return first.join(reach, "symbol", "left").select("symbol", far.alias("far"))
 
 
 def gold_from_tail(tail: DataFrame, changes: DataFrame) -> DataFrame:

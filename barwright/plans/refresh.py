@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,7 +21,9 @@ from barwright.operators.quality import QualityError, check_counts, enforce_cons
 from barwright.operators.serving import latest_ranked
 from barwright.operators.silver import build_silver, quarantine
 from barwright.operators.sketches import key_sketches, price_sketches
-from barwright.operators.tail import advance_tail, gold_from_tail, last_rows, out_of_reach
+from barwright.operators.tail import (
+    advance_tail, gold_from_tail, last_rows, reach_of_tail, within_tail,
+)
 from barwright.schemas import BRONZE, GOLD, KEY, SILVER
 from barwright.session import staged
 from barwright.sources.raw import EmptySourceError, RawBars, read_csv_bars, read_feed
@@ -137,31 +140,40 @@ def refresh_all(spark: SparkSession, root: str,
     check_schemas(spark, root)
     pending = pending_loads(spark, root)
     bronze = read_table(spark, root, "bronze_price_raw")
-    counted = Observation()
-    set_aside = quarantine(bronze.select(*BRONZE.names))
-    set_aside.observe(counted, F.count("*").alias("incomplete")).write.mode("overwrite").parquet(
-        table_path(root, "quarantine"))
-    incomplete = counted.get["incomplete"]
-    if limits:
-        clean = build_silver(bronze, read_table(spark, root, "price_silver"))
-        found = clean.agg(*check_counts()).first().asDict()
-        total = {"incomplete": bronze.count()}
-        over = {name: (found | {"incomplete": incomplete})[name] for name, share in limits.items()
-                if (found | {"incomplete": incomplete})[name]
-                > share * total.get(name, found["rows"])}
-        if over:
-            raise QualityError(f"more rows fail than allowed: {over}")
-    with views_at_the_end(spark):
-        quality = refresh_silver(spark, root) | {"incomplete": incomplete}
-        with ThreadPoolExecutor(1) as beside:
-            tail = beside.submit(refresh_tail, spark, root)
-            done = Refresh(quality["rows"], refresh_gold(spark, root), quality)
-            refresh_latest(spark, root)
-            tail.result()
+    with ThreadPoolExecutor(2) as beside, views_at_the_end(spark):
+        set_aside = beside.submit(refresh_quarantine, spark, root)
+        if limits:
+            _check_limits(spark, root, bronze, limits, set_aside.result())
+        quality = refresh_silver(spark, root)
+        tail = beside.submit(refresh_tail, spark, root)
+        done = Refresh(quality["rows"], refresh_gold(spark, root), quality)
+        refresh_latest(spark, root)
+        tail.result()
+        quality["incomplete"] = set_aside.result()
         note_loads(spark, root, pending, "applied")
     return done
 
 
+def refresh_quarantine(spark: SparkSession, root: str) -> int:
+    """Store the incomplete rows of bronze and return how many they are."""
+    counted = Observation()
+    rows = quarantine(read_table(spark, root, "bronze_price_raw").select(*BRONZE.names))
+    rows.observe(counted, F.count("*").alias("incomplete")).write.mode("overwrite").parquet(
+        table_path(root, "quarantine"))
+    return counted.get["incomplete"]
+
+
+def _check_limits(spark: SparkSession, root: str, bronze: DataFrame, limits: dict[str, float],
+                  incomplete: int) -> None:
+    clean = build_silver(bronze, read_table(spark, root, "price_silver"))
+    found = clean.agg(*check_counts()).first().asDict() | {"incomplete": incomplete}
+    total = {"incomplete": bronze.count()}
+    over = {name: found[name] for name, share in limits.items()
+            if found[name] > share * total.get(name, found["rows"])}
+    if over:
+        raise QualityError(f"more rows fail than allowed: {over}")
+
+
 def run(spark: SparkSession, sources: list[RawBars], root: str, batch: int | None = None,
         strict: bool = False, full: bool = True) -> Refresh:
     """Load the sources side by side, then silver, then gold. All loads must succeed first.
@@ -192,21 +204,25 @@ def refresh_increment(spark: SparkSession, root: str,
     check_schemas(spark, root)
     new = read_bronze_loads(spark, root, loads).select(*BRONZE.names)
     with staged(build_silver(new), "silver-changes") as changes, views_at_the_end(spark):
-        quality = apply_to_silver(changes, root)
-        done = Refresh(quality.get("rows", 0), apply_to_gold(changes, root), quality)
+        parts = touched_parts(changes, root)
+        quality = apply_to_silver(changes, root, parts)
+        done = Refresh(quality.get("rows", 0), apply_to_gold(changes, root, parts=parts), quality)
         note_loads(spark, root, [entry for entry in pending if entry[1:] in loads], "applied")
     return done
 
 
-def apply_to_silver(changes: DataFrame, root: str) -> dict[str, int]:
+Parts = list[tuple[int, int]]
+
+
+def apply_to_silver(changes: DataFrame, root: str, parts: Parts | None = None) -> dict[str, int]:
     """Merge clean rows into the buckets of silver they touch, and into its tail. ``changes`` must be
-    a written table.
+    a written table; ``parts`` are its months and buckets, where they are known.
 
     The tail counts as out of date until it is written as well, so that one which a lost driver left
     behind is never read.
     """
     spark = changes.sparkSession
-    parts = touched_parts(changes, root)
+    parts = touched_parts(changes, root) if parts is None else parts
     if not parts:
         return {}
     follows = is_kept(spark, root, "silver_tail") or not table_exists(spark, root, "price_silver")
@@ -214,23 +230,23 @@ def apply_to_silver(changes: DataFrame, root: str) -> dict[str, int]:
     changes = changes.select(*SILVER.names)
     counts = _write_silver(merge_latest(known.select(*SILVER.names), changes), root)
     if follows:
-        _replace_buckets(spark, root, "silver_tail", {bucket for _, bucket in parts},
-                         lambda tail: advance_tail(tail, changes))
+        tail = read_buckets(spark, root, "silver_tail", {bucket for _, bucket in parts}).drop("bucket")
+        _follow(spark, root, "silver_tail", within_tail(tail, changes),
+                lambda: advance_tail(tail, changes))
     return counts
 
 
-def _replace_buckets(spark: SparkSession, root: str, name: str, touched: set[int],
-                     change: Callable[[DataFrame], DataFrame]) -> None:
-    """Write the touched buckets of a small table as ``change`` makes them, and count it as kept."""
-    before = read_buckets(spark, root, name, touched).drop("bucket")
-    # Spark reads while it writes, so what is read must not be what is replaced.
-    with staged(change(before), name) as rows:
-        write_buckets(rows, root, name)
+def _follow(spark: SparkSession, root: str, name: str, news: DataFrame,
+            after: Callable[[], DataFrame]) -> None:
+    """Write the buckets of a small table as they are ``after`` a change, if the change has ``news`` for
+    it, and count it as kept. They are read before the write's commit replaces them."""
+    if not news.isEmpty():
+        write_buckets(after(), root, name)
     keep(spark, root, name)
 
 
-def apply_to_gold(changes: DataFrame, root: str,
-                  then: Callable[[DataFrame], None] | None = None) -> int:
+def apply_to_gold(changes: DataFrame, root: str, then: Callable[[DataFrame], None] | None = None,
+                  parts: Parts | None = None) -> int:
     """Recompute the gold rows that the silver rows at the keys of ``changes`` have an effect on.
 
     The tail of silver has what new days and corrections of the last ones need; months are read for
@@ -238,18 +254,22 @@ def apply_to_gold(changes: DataFrame, root: str,
     """
     spark = changes.sparkSession
     keys = changes.select(*KEY)
-    parts = touched_parts(keys, root)
+    parts = touched_parts(keys, root) if parts is None else parts
     if not parts:
         return 0
-    if is_kept(spark, root, "silver_tail"):
-        tail = read_buckets(spark, root, "silver_tail", {bucket for _, bucket in parts}).drop("bucket")
-        with staged(out_of_reach(tail, keys), "far-symbols") as far:
-            affected = gold_from_tail(tail, keys.join(far, "symbol", "left_anti"))
-            if not far.isEmpty():
-                affected = affected.unionByName(gold_for_changes(
-                    keys.join(far, "symbol", "left_semi"), root))
-            return upsert_gold(affected, root, then)
-    return upsert_gold(gold_for_changes(keys, root), root, then)
+    if not is_kept(spark, root, "silver_tail"):
+        return upsert_gold(gold_for_changes(keys, root, parts), root, then)
+    tail = read_buckets(spark, root, "silver_tail", {bucket for _, bucket in parts}).drop("bucket")
+    counted = Observation()
+    symbols = reach_of_tail(tail, keys).observe(
+        counted, F.count_if("far").alias("far"), F.count(F.lit(1)).alias("all"))
+    with staged(symbols, "changed-symbols") as reach:
+        far, all_ = counted.get["far"], counted.get["all"]
+        near, back = (keys.join(reach.where(F.col("far") == side), "symbol", "left_semi")
+                      for side in (False, True))
+        found = [gold_from_tail(tail, near)] if far < all_ else []
+        found += [gold_for_changes(back if found else keys, root, None if found else parts)] if far else []
+        return upsert_gold(reduce(DataFrame.unionByName, found), root, then)
 
 
 def upsert_gold(features: DataFrame, root: str,
@@ -264,8 +284,11 @@ def upsert_gold(features: DataFrame, root: str,
         merged = merge_keyed(known.select(*GOLD.names), rows)
         count = write_months(enforce_constraints(merged, KEY), root, "features_gold")["rows"]
         if follows:
-            _replace_buckets(spark, root, "gold_latest", {bucket for _, bucket in parts},
-                             lambda latest: advance_latest(latest, rows))
+            latest = read_buckets(spark, root, "gold_latest", {bucket for _, bucket in parts}).drop("bucket")
+            known = latest.select("symbol", F.col("dt").alias("_last"))
+            news = rows.join(known, "symbol", "left").where(
+                F.col("_last").isNull() | (F.col("dt") >= F.col("_last")))
+            _follow(spark, root, "gold_latest", news, lambda: advance_latest(latest, rows))
         if then:
             then(rows)
         return count
@@ -291,7 +314,8 @@ def _unique_parts(rows: DataFrame, root: str) -> list[tuple[int, int]]:
     return sorted((row["ym"], row["bucket"]) for row in parts if row["ym"] is not None)
 
 
-def gold_for_changes(changes: DataFrame, root: str, margin: int = 2) -> DataFrame | None:
+def gold_for_changes(changes: DataFrame, root: str, parts: Parts | None = None,
+                     margin: int = 2) -> DataFrame | None:
     """Features of each changed row and of the next ``HALO`` rows of its symbol.
 
     Reads the months of the changes and ``margin`` months on either side, in the buckets of the
@@ -299,7 +323,7 @@ def gold_for_changes(changes: DataFrame, root: str, margin: int = 2) -> DataFram
     between it and today are not read; windows run by symbol and segment.
     """
     spark = changes.sparkSession
-    parts = touched_parts(changes, root)
+    parts = touched_parts(changes, root) if parts is None else parts
     if not parts:
         return None
     buckets = sorted({bucket for _, bucket in parts})
