@@ -242,23 +242,26 @@ def lowered(text):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
 
 
-def scan(rows, order):
-    """Result rows by looking at every word and every block."""
-    rank = {w: i for i, w in enumerate(order)}
+def scan(rows, templates=license_scan.TEMPLATES):
+    """Result rows by looking at every word and every block, wherever it begins."""
     out = []
     for doc_id, text in rows:
         words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lowered(text or ""))
         places = [(i, label) for phrase, label in license_scan.PHRASES.items()
                   for i in range(len(words)) if words[i:i + len(phrase.split())] == phrase.split()]
         base, more, score = sorted({x for _, x in places}), set(), float(bool(places))
-        half = license_scan.BLOCK // 2
-        for b in range(max(0, math.ceil((len(words) - license_scan.BLOCK) / half)) + 1):
-            block = {*words[b * half:b * half + license_scan.BLOCK]}
-            for label, template in license_scan.TEMPLATES:
-                t = {*template.split()}
-                if len(block & t) >= math.ceil(license_scan.THRESHOLD * len(t) - 1e-9):
+        for label, template in templates:
+            seq, t = template.split(), {*template.split()}
+            short = len(seq) <= license_scan.SHORT
+            need = len(t) if short else math.ceil(license_scan.THRESHOLD * len(t) - 1e-9)
+            span = len(seq) if short else license_scan.WIDE * len(seq)
+            for i, word in enumerate(words):
+                if word not in t:
+                    continue
+                shared = len({*words[i:i + span]} & t)
+                if shared >= need and (not short or words[i:i + span] == seq):
                     more.add(label)
-                    score = max(score, len(block & t) / len(t))
+                    score = max(score, shared / len(t))
         out.append((doc_id, len(words), len(places), min((i for i, _ in places), default=None),
                     max((i for i, _ in places), default=None), ",".join(base),
                     ",".join(sorted({*base, *more})), score))
@@ -282,16 +285,34 @@ def test_license_scan_equals_brute_force(spark, odd_texts):
     rows = licensed(3) + odd_texts
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = [tuple(r) for r in license_scan.scan_licenses(docs).collect()]
-    want = scan(rows, license_scan.known_words())
+    want = scan(rows)
     assert sum(bool(r[6]) for r in want) > 30
     assert sorted(map(str, got)) == sorted(map(str, want))
 
 
+def test_notices_are_found_wherever_they_begin_and_whole_ones_may_be_given(spark):
+    notice = license_scan.TEMPLATES[1][1].split()
+    whole = " ".join(license_scan.TEMPLATES[i][1] for i in (1, 3, 5, 6, 10))
+    templates = [*license_scan.TEMPLATES, ("whole", whole), ("twice", "to be to be or not")]
+    rows = []
+    for at in (0, 1, 17, 31, 32, 33, 50, 64):
+        wide = " x ".join(notice)  # a word of something else between any two
+        rows.append((at, "a " * at + wide + " b" * 40))
+        rows.append((100 + at, "a " * at + whole.replace("software", "program") + " b" * at))
+        rows.append((200 + at, "to " * at + "be to be to be or not to be"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = license_scan.scan_licenses(docs, templates=templates).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, scan(rows, templates)))
+    labels = {r["doc_id"]: r["labels"].split(",") for r in got}
+    assert all("mit" in labels[at] and "whole" in labels[100 + at] and "twice" in labels[200 + at]
+               for at, _ in rows if at < 100)
+
+
 def test_license_query_and_odd_rows(spark, sf_docs, odd_docs, odd_texts, no_docs):
     got = license_scan.scan_licenses(table(spark, SF, "documents")).collect()
-    assert sorted(map(str, map(tuple, got))) == sorted(map(str, scan([*sf_docs.items()], [])))
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, scan([*sf_docs.items()])))
     odd = license_scan.scan_licenses(odd_docs).collect()
-    assert sorted(map(str, map(tuple, odd))) == sorted(map(str, scan(odd_texts, [])))
+    assert sorted(map(str, map(tuple, odd))) == sorted(map(str, scan(odd_texts)))
     assert license_scan.scan_licenses(no_docs).collect() == []
 
 
