@@ -126,6 +126,17 @@ def _side(side: str, here: str) -> str:
       / nullif(count(*) FILTER (WHERE {here}), 0) AS null_rate_{side}"""
 
 
+RECONCILE = f"""WITH {SILVER},{_silver("early", "feed")},
+keys AS (SELECT DISTINCT symbol, dt FROM bronze WHERE {COMPLETE}
+         UNION SELECT symbol, dt FROM silver UNION SELECT symbol, dt FROM early)
+SELECT * FROM (
+  SELECT symbol, dt,
+         (symbol, dt) IN (SELECT (symbol, dt) FROM bronze WHERE {COMPLETE}) AS in_bronze,
+         (symbol, dt) IN (SELECT (symbol, dt) FROM silver) AS in_silver,
+         (symbol, dt) IN (SELECT (symbol, dt) FROM early) AS in_gold
+  FROM keys) flags
+WHERE NOT (in_bronze AND in_silver AND in_gold)"""
+
 ORACLE = {
     "csv_ingest": f"WITH {BULK} SELECT {BARS}, 'csv' AS source, CAST(0 AS BIGINT) AS seq FROM bulk",
     "csv_split": f"WITH {BULK} SELECT {BARS}, 'csv' AS source, CAST(0 AS BIGINT) AS seq FROM bulk",
@@ -258,16 +269,8 @@ per_key AS (SELECT source, symbol, dt, count(*) AS copies FROM bronze GROUP BY s
 SELECT source, CAST(sum(copies) AS BIGINT) AS n_rows, count(*) AS n_keys,
        CAST(sum(copies) AS DOUBLE) / count(*) AS rows_per_key
 FROM per_key GROUP BY source""",
-    "reconcile": f"""WITH {SILVER},{_silver("early", "feed")},
-keys AS (SELECT DISTINCT symbol, dt FROM bronze WHERE {COMPLETE}
-         UNION SELECT symbol, dt FROM silver UNION SELECT symbol, dt FROM early)
-SELECT * FROM (
-  SELECT symbol, dt,
-         (symbol, dt) IN (SELECT (symbol, dt) FROM bronze WHERE {COMPLETE}) AS in_bronze,
-         (symbol, dt) IN (SELECT (symbol, dt) FROM silver) AS in_silver,
-         (symbol, dt) IN (SELECT (symbol, dt) FROM early) AS in_gold
-  FROM keys) flags
-WHERE NOT (in_bronze AND in_silver AND in_gold)""",
+    "reconcile": RECONCILE,
+    "reconcile_digest": RECONCILE,
     "reconcile_tables": f"""WITH {TWO_LOADS}
 SELECT * FROM (
   SELECT coalesce(a.symbol, b.symbol) AS symbol, coalesce(a.dt, b.dt) AS dt,

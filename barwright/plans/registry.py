@@ -10,6 +10,7 @@ from barwright.functions.dates import month_key
 from barwright.operators import (
     bars, calendar, gold, merge, quality, serving, silver, sketches, synth,
 )
+from barwright.plans import reconcile as reconciling
 from barwright.plans import refresh
 from barwright.plans.driver_tables import bulk_bronze, feed_bronze, feed_rows, table
 from barwright.schemas import BAR_COLUMNS, BRONZE, GOLD, KEY, SILVER
@@ -552,6 +553,17 @@ def reconcile(spark, sf):
     return quality.reconcile_layers(both_bronze(spark, sf), clean(spark, sf), early)
 
 
+@query
+def reconcile_digest(spark, sf):
+    """The same on stored tables: folders whose digests agree are not opened."""
+    root = scratch_dir(spark, "tables")
+    refresh.run(spark, [loaded(feed_bronze(spark, sf), "feed")], root)
+    reconciling.refresh_digests(spark, root)
+    refresh.load(loaded(bulk_bronze(spark, sf), "bulk"), root)
+    refresh.refresh_silver(spark, root)
+    return reconciling.reconcile_by_digest(spark, root)
+
+
 @query
 def reconcile_tables(spark, sf):
     before, after = (silver.build_silver(rows(spark, sf)).select(*BAR_COLUMNS)
