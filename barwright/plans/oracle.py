@@ -142,6 +142,9 @@ ORACLE = {
     "csv_split": f"WITH {BULK} SELECT {BARS}, 'csv' AS source, CAST(0 AS BIGINT) AS seq FROM bulk",
     "feed_ingest": f"""WITH {FEED}
 SELECT symbol, dt, open, high, low, close, coalesce(volume, 0) AS volume, source, seq
+FROM feed WHERE dt >= DATE '2024-01-01' AND dt < current_date""",
+    "feed_extracts": f"""WITH {FEED}
+SELECT symbol, dt, open, high, low, close, coalesce(volume, 0) AS volume, source, seq
 FROM feed WHERE dt >= DATE '2024-01-01' AND dt < current_date""",
     "feed_single_symbol": f"""WITH {FEED}
 SELECT 'ALL' AS symbol, dt, open, high, low, close, CAST(0 AS BIGINT) AS volume, source, seq

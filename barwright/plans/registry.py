@@ -16,6 +16,7 @@ from barwright.plans.driver_tables import bulk_bronze, feed_bronze, feed_rows, t
 from barwright.schemas import BAR_COLUMNS, BRONZE, GOLD, KEY, SILVER
 from barwright.session import scratch_dir, staged
 from barwright.sources import raw, tables
+from barwright.sources.extracts import LandedExtracts
 from barwright.streaming import bars as stream_bars
 from barwright.streaming import tables as stream_tables
 from barwright.streaming.topics import decode, publish, read_stream, without_redeliveries
@@ -92,6 +93,16 @@ def feed_ingest(spark, sf):
     return raw.read_feed(spark, folder, start="2024-01-01", seq=F.col("seq")).bars
 
 
+@query
+def feed_extracts(spark, sf):
+    """The same extract through the data source for landed files."""
+    folder = scratch_dir(spark, "feed")
+    vendor_extract(spark, sf).write.parquet(folder)
+    spark.dataSource.register(LandedExtracts)
+    rows = spark.read.format("landed_extracts").option("path", folder).load()
+    return raw.feed_bars(rows, start="2024-01-01", seq=F.col("seq")).bars
+
+
 @query
 def feed_single_symbol(spark, sf):
     folder = scratch_dir(spark, "feed")

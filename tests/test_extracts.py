@@ -1,0 +1,92 @@
+"""Landed extracts as a data source: batches, streams, offsets, faults."""
+
+from __future__ import annotations
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+
+from barwright.sources import extracts
+from barwright.sources.extracts import ExtractStreamReader, LandedExtracts, batches_of
+from bars_help import rows_of
+
+
+def land(folder, name, first, n=5):
+    folder.mkdir(exist_ok=True)
+    pq.write_table(pa.table({"Date": [f"2024-01-{d:02}" for d in range(first, first + n)],
+                             "Close": [float(d) for d in range(first, first + n)]}), folder / name)
+
+
+@pytest.fixture
+def landed(spark, tmp_path):
+    spark.dataSource.register(LandedExtracts)
+    folder = tmp_path / "feed"
+    land(folder, "a.parquet", 1)
+    land(folder, "b.parquet", 6)
+    (folder / "_SUCCESS").touch()
+    return folder
+
+
+def test_every_file_is_a_partition(spark, landed):
+    rows = spark.read.format("landed_extracts").option("path", str(landed)).load()
+    assert rows.schema.simpleString() == "struct<Date:string,Close:double>"
+    assert [r[1] for r in rows_of(rows)] == [float(d) for d in range(1, 11)]
+    assert rows.rdd.getNumPartitions() == 2
+    assert rows.select("Close").where("Close > 8").count() == 2
+    by_uri = spark.read.format("landed_extracts").option("path", f"file://{landed}").load()
+    assert rows_of(by_uri) == rows_of(rows)
+
+
+def test_an_empty_folder_is_an_error(spark, tmp_path, landed):
+    (tmp_path / "none").mkdir()
+    with pytest.raises(Exception, match="no extract has landed"):
+        spark.read.format("landed_extracts").option("path", str(tmp_path / "none")).load()
+
+
+def test_a_stream_goes_on_after_the_last_file(spark, tmp_path, landed):
+    def run():
+        rows = spark.readStream.format("landed_extracts").option("path", str(landed)).load()
+        rows.writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
+            "checkpointLocation", str(tmp_path / "checkpoint")).trigger(
+            availableNow=True).start().awaitTermination()
+        return [r[1] for r in rows_of(spark.read.parquet(str(tmp_path / "out")))]
+
+    assert run() == [float(d) for d in range(1, 11)]
+    land(landed, "c.parquet", 11)
+    assert run() == run() == [float(d) for d in range(1, 16)]
+
+
+def test_offsets_are_names(landed):
+    schema = LandedExtracts({"path": str(landed)}).schema()
+    reader = ExtractStreamReader({"path": str(landed), "filesPerBatch": "1"}, schema)
+    assert [reader.latestOffset() for _ in range(3)] == [
+        {"file": "a.parquet"}, {"file": "b.parquet"}, {"file": "b.parquet"}]
+    again = ExtractStreamReader({"path": str(landed)}, schema)
+    names = lambda a, b: [p.value for p in again.partitions({"file": a}, {"file": b})]
+    assert names("", "b.parquet") == ["a.parquet", "b.parquet"]
+    assert names("a.parquet", "b.parquet") == ["b.parquet"] and names("b.parquet", "b.parquet") == []
+
+
+def test_a_file_that_fails_goes_on_where_it_was(landed, monkeypatch):
+    monkeypatch.setattr(extracts, "PAUSE", 0)
+    file = pq.ParquetFile(landed / "a.parquet")
+    opened = []
+
+    class Faulty:
+        def iter_batches(self, rows, columns):
+            opened.append(len(opened))
+            for n, batch in enumerate(file.iter_batches(rows, columns=columns)):
+                if n == len(opened):
+                    raise OSError("the store is away")
+                yield batch
+
+    schema = file.schema_arrow
+    got = pa.Table.from_batches(batches_of(Faulty, schema, 2, 1))
+    assert got.to_pydict() == pq.read_table(landed / "a.parquet").to_pydict() and len(opened) == 5
+
+    class Gone:
+        def iter_batches(self, rows, columns):
+            raise OSError("the store is away")
+
+    with pytest.raises(OSError, match="away"):
+        list(batches_of(Gone, schema, 3, 1))
