@@ -23,14 +23,31 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_STORED: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def stored_inside() -> Iterator[list[str]]:
+    """The paths of what is stored inside, for a caller that knows when they are read no more."""
+    paths: list[str] = []
+    _STORED.append(paths)
+    try:
+        yield paths
+    finally:
+        _STORED.remove(paths)
+
+
 def stored(rows: DataFrame, label: str) -> DataFrame:
     """``rows`` written to the folder that all executors share, and read back.
 
     Later steps read files instead of running the plan again, also after executors are lost. The
-    files stay until this process ends, because the returned frame is lazy.
+    files stay until this process ends, because the returned frame is lazy, unless a caller removes
+    them (:func:`stored_inside`).
     """
     path = scratch_dir(rows.sparkSession, label)
     rows.write.parquet(path)
+    for paths in _STORED:
+        paths.append(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
