@@ -8,7 +8,8 @@ from __future__ import annotations
 import public_tokenizers
 
 from barwright.llm import golay_simhash, line_dedup, quality, sentence_pieces, source_mix
-from barwright.llm.common import stored, table
+from barwright.llm.common import stored, stored_inside, table
+from barwright.session import remove
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,7 +50,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        with stored_inside() as made:
+            docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        # What the stage wrote for itself and what it read are done with.
+        for path in [*last, *made[:-1]]:
+            remove(spark, path)
+        last = made[-1:]
     return docs
