@@ -320,6 +320,14 @@ FROM silver GROUP BY symbol""",
     "duplicate_rate_sketch": f"""WITH {BOTH}
 SELECT source, count(*) * (CASE source WHEN 'feed' THEN 2 ELSE 1 END) AS n_rows, true AS rate_fits
 FROM bronze GROUP BY source""",
+    "stream_late_rows": f"""WITH {TICKS},
+marks AS (SELECT CAST(max(ts) FILTER (WHERE seq % 2 = 0) - INTERVAL 2 DAY AS DATE) AS first,
+                 CAST(max(ts) - INTERVAL 2 DAY AS DATE) AS last FROM ticks),
+days AS (SELECT symbol, CAST(ts AS DATE) AS dt, seq % 2 = 1 AND CAST(ts AS DATE) < first AS late, last
+         FROM ticks, marks)
+SELECT 'bars' AS kind, count(DISTINCT (symbol, dt)) AS n FROM days WHERE NOT late AND dt < last
+UNION ALL SELECT 'late_rows', count(*) FROM days WHERE late
+UNION ALL SELECT 'open_rows', count(*) FROM days WHERE NOT late AND dt >= last""",
     "stream_redelivery": f"""WITH {FEED_SILVER}
 SELECT 'bronze_price_raw' AS layer, count(*) AS n_rows FROM feed
 UNION ALL SELECT 'price_silver', count(*) FROM feed_silver""",

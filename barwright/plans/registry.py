@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from barwright.session import scratch_dir, staged
 from barwright.sources import raw, tables
 from barwright.sources.extracts import LandedExtracts
 from barwright.streaming import bars as stream_bars
+from barwright.streaming import late
 from barwright.streaming import tables as stream_tables
 from barwright.streaming.topics import decode, publish, read_stream, without_redeliveries
 
@@ -604,6 +607,23 @@ def stream_reconcile(spark, sf):
     return quality.reconcile_summary(stream_daily_bars(spark, sf), daily_bars(spark, sf))
 
 
+@query
+def stream_late_rows(spark, sf):
+    """Odd events come after all even ones: most are too late for their bars, and are kept. Counts of
+    bars, late rows and rows of open days."""
+    root = scratch_dir(spark, "stream")
+    events = table(spark, sf, "events")
+    for odd in range(2):
+        events.where(F.col("event_id") % 2 == odd).coalesce(1).write.mode("append").parquet(f"{root}/events")
+    stream = ticks(feed_rows(read_stream(spark, f"{root}/events", events.schema, maxFilesPerTrigger="1")))
+    late.stream_bars_and_late_rows(stream, root, f"{root}/checkpoint",
+                                   datetime.timedelta(days=2)).awaitTermination()
+    counts = [("bars", late.read_stream_bars(spark, root).count()),
+              *((name, late.read_rows(spark, root, name, stream.schema).count())
+                for name in ("late_rows", "open_rows"))]
+    return spark.createDataFrame(counts, "kind string, n long")
+
+
 def streamed_silver(spark, sf):
     """The events in three files, a micro-batch each, so that later ones merge into earlier ones."""
     root = scratch_dir(spark, "stream")
