@@ -199,6 +199,8 @@ SELECT 'bronze_price_raw' AS layer, count(*) AS n_rows FROM bronze
 UNION ALL SELECT 'price_silver', count(*) FROM silver
 UNION ALL SELECT 'features_gold', count(*) FROM gold""",
     "silver_upsert": f"""WITH {TWO_LOADS}
+SELECT * FROM second UNION ALL SELECT * FROM first {KEEP_OLD.format("second")}""",
+    "silver_upsert_bucketed": f"""WITH {TWO_LOADS}
 SELECT * FROM second UNION ALL SELECT * FROM first {KEEP_OLD.format("second")}""",
     "gold_upsert": f"""WITH {TWO_LOADS},{_gold("gold1", "first")},{_gold("gold2", "second")}
 SELECT * FROM gold2 UNION ALL SELECT * FROM gold1 {KEEP_OLD.format("gold2")}""",

@@ -17,7 +17,7 @@ from barwright.plans import refresh
 from barwright.plans.driver_tables import bulk_bronze, feed_bronze, feed_rows, table
 from barwright.schemas import BAR_COLUMNS, BRONZE, GOLD, KEY, SILVER
 from barwright.session import scratch_dir, staged
-from barwright.sources import raw, tables
+from barwright.sources import bucketed, raw, tables
 from barwright.sources.extracts import LandedExtracts
 from barwright.streaming import bars as stream_bars
 from barwright.streaming import late
@@ -252,6 +252,18 @@ def silver_upsert(spark, sf):
     return tables.read_table(spark, root, "price_silver").select(*SILVER.names)
 
 
+@query
+def silver_upsert_bucketed(spark, sf):
+    """The same merge on a bucketed table, whose rows are not shuffled."""
+    path = scratch_dir(spark, "bucketed")
+    name = f"silver_{path.rsplit('-', 1)[1]}"
+    bucketed.write_bucketed(silver.build_silver(feed_bronze(spark, sf)), name, path, 8)
+    bucketed.upsert_bucketed(silver.build_silver(restated_feed(spark, sf)), name, 8)
+    rows = spark.read.schema(spark.table(name).schema).parquet(path).select(*SILVER.names)
+    spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
 @query
 def gold_upsert(spark, sf):
     root = scratch_dir(spark, "tables")

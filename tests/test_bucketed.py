@@ -1,0 +1,40 @@
+"""Merges into a bucketed table: rows, months touched, and no shuffle of the base."""
+
+from __future__ import annotations
+
+import random
+from pathlib import Path
+
+from barwright.operators.merge import merge_latest
+from barwright.operators.silver import build_silver
+from barwright.schemas import SILVER
+from barwright.sources import bucketed
+from bars_help import bar, rows_of
+from test_silver_gold import random_series
+
+
+def test_a_merge_moves_neither_side(spark, bronze, tmp_path):
+    rng = random.Random(2)
+    first = build_silver(bronze([r for s in "ABCDE" for r in random_series(rng, s, 30, 90)]))
+    rows = first.collect()
+    changed = [bar(r["symbol"], r["dt"].isoformat(), 7, seq=n % 3) for n, r in enumerate(rows[:9])]
+    second = build_silver(bronze([*changed, bar("NEW", rows[0]["dt"].isoformat(), 3)]))
+    first, second = (spark.createDataFrame(x.select(*SILVER.names).collect(), SILVER) for x in (first, second))
+    path = str(tmp_path / "silver")
+    bucketed.write_bucketed(first, "bucketed_silver", path, 4)
+    bucketed.write_bucketed(second, "bucketed_changes", str(tmp_path / "changes"), 4)
+    try:
+        with bucketed.settings(spark):
+            merged = bucketed.merged_rows(spark, "bucketed_silver", "bucketed_changes")
+            plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and "SelectedBucketsCount: 4" in plan
+        files = lambda: {(f.parent.name, f.name) for f in Path(path).rglob("*.parquet")}
+        before = files()
+        bucketed.upsert_bucketed(second, "bucketed_silver", 4)
+        got = spark.read.parquet(path).select(*SILVER.names)
+        assert rows_of(got) == rows_of(merge_latest(first, second).select(*SILVER.names))
+        touched = {r[0] for r in second.selectExpr("concat('ym=', year(dt) * 100 + month(dt))").collect()}
+        assert {month for month, _ in before - files()} == touched
+    finally:
+        for name in ("bucketed_silver", "bucketed_changes"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
