@@ -16,6 +16,10 @@ before a run of marks, and the input is composed run by run; recent runs are rem
 Decoding runs the pieces the other way: marks become spaces, runs of byte ids become text (bytes
 that are no UTF-8 become U+FFFD each), the space in front goes.
 
+Models are BPE with byte fallback and without a character map. Others raise ValueError: Unigram models,
+whose arcs would have scores of their own to add up, normalisers that map or drop characters,
+user-defined and unused pieces.
+
 A null text has null ids and a null decoded text; an empty one has no ids. Repeated rows give
 repeated results, other columns than doc_id and text are ignored, an empty table gives an empty
 result. Texts are encoded whole, whatever their length.
