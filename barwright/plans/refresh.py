@@ -7,7 +7,7 @@ refresh gives the same tables while reading one load and the months it touches.
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -139,12 +139,10 @@ def refresh_all(spark: SparkSession, root: str,
     finish_move(spark, root)
     check_schemas(spark, root)
     pending = pending_loads(spark, root)
-    bronze = read_table(spark, root, "bronze_price_raw")
     with ThreadPoolExecutor(2) as beside, views_at_the_end(spark):
         set_aside = beside.submit(refresh_quarantine, spark, root)
-        if limits:
-            _check_limits(spark, root, bronze, limits, set_aside.result())
-        quality = refresh_silver(spark, root)
+        quality = (_gated_silver(spark, root, limits, set_aside) if limits
+                   else refresh_silver(spark, root))
         tail = beside.submit(refresh_tail, spark, root)
         done = Refresh(quality["rows"], refresh_gold(spark, root), quality)
         refresh_latest(spark, root)
@@ -163,15 +161,22 @@ def refresh_quarantine(spark: SparkSession, root: str) -> int:
     return counted.get["incomplete"]
 
 
-def _check_limits(spark: SparkSession, root: str, bronze: DataFrame, limits: dict[str, float],
-                  incomplete: int) -> None:
-    clean = build_silver(bronze, read_table(spark, root, "price_silver"))
-    found = clean.agg(*check_counts()).first().asDict() | {"incomplete": incomplete}
-    total = {"incomplete": bronze.count()}
-    over = {name: found[name] for name, share in limits.items()
-            if found[name] > share * total.get(name, found["rows"])}
-    if over:
-        raise QualityError(f"more rows fail than allowed: {over}")
+def _gated_silver(spark: SparkSession, root: str, limits: dict[str, float],
+                  set_aside: Future[int]) -> dict[str, int]:
+    """:func:`refresh_silver`, if no limit is exceeded: silver is built once, beside the table, and counted
+    as it is."""
+    read, found = Observation(), Observation()
+    bronze = read_table(spark, root, "bronze_price_raw").select(*SILVER.names).observe(
+        read, F.count(F.lit(1)).alias("rows"))
+    known = read_table(spark, root, "price_silver").select(*SILVER.names)
+    with staged(build_silver(bronze, known).observe(found, *check_counts()), "silver") as rows:
+        counts = found.get | {"incomplete": set_aside.result()}
+        total = {"incomplete": read.get["rows"]}
+        over = {name: counts[name] for name, share in limits.items()
+                if counts[name] > share * total.get(name, counts["rows"])}
+        if over:
+            raise QualityError(f"more rows fail than allowed: {over}")
+        return _write_silver(rows, root)
 
 
 def run(spark: SparkSession, sources: list[RawBars], root: str, batch: int | None = None,
