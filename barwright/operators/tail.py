@@ -23,10 +23,11 @@ def last_rows(silver: DataFrame, rows: int = TAIL) -> DataFrame:
     return silver.withColumn("_rank", newest).where(F.col("_rank") <= rows).drop("_rank")
 
 
-def advance_tail(tail: DataFrame, changes: DataFrame) -> DataFrame:
+def advance_tail(tail: DataFrame, changes: DataFrame, unique: bool = False) -> DataFrame:
     """The tail after a merge of ``changes`` into silver, by the rule of that merge. A changed row older
-    than a full tail falls out again."""
-    return last_rows(merge_latest(tail, changes))
+    than a full tail falls out again. With ``unique`` no key is repeated in ``changes``, so that the last
+    of them alone can stay and the merge need not shuffle the others."""
+    return last_rows(merge_latest(tail, last_rows(changes) if unique else changes))
 
 
 def within_tail(tail: DataFrame, changes: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ refresh gives the same tables while reading one load and the months it touches.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import contextlib
+from collections.abc import Callable, Iterator
 from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
@@ -28,7 +29,7 @@ from barwright.schemas import BRONZE, GOLD, KEY, SILVER
 from barwright.session import staged
 from barwright.sources.raw import EmptySourceError, RawBars, read_csv_bars, read_feed
 from barwright.sources.tables import (
-    append_bronze, bucket_of, buckets, check_schemas, finish_move, is_kept, keep, load_number, load_path,
+    any_stored, append_bronze, bucket_of, buckets, check_schemas, finish_move, is_kept, keep, load_number, load_path,
     note_loads, pending_loads, read_bronze_loads, read_buckets, read_months, read_parts, read_table,
     settle_buckets, stored_months, table_exists, table_path, touched_parts, views_at_the_end, write_buckets, write_months,
 )
@@ -210,8 +211,10 @@ def refresh_increment(spark: SparkSession, root: str,
     new = read_bronze_loads(spark, root, loads).select(*BRONZE.names)
     with staged(build_silver(new), "silver-changes") as changes, views_at_the_end(spark):
         parts = touched_parts(changes, root)
-        quality = apply_to_silver(changes, root, parts)
-        done = Refresh(quality.get("rows", 0), apply_to_gold(changes, root, parts=parts), quality)
+        with new_symbols(changes, root, parts) as first:
+            quality = apply_to_silver(changes, root, parts, unique=True)
+            gold = apply_to_gold(changes, root, parts=parts, first=first)
+        done = Refresh(quality.get("rows", 0), gold, quality)
         note_loads(spark, root, [entry for entry in pending if entry[1:] in loads], "applied")
     return done
 
@@ -219,9 +222,32 @@ def refresh_increment(spark: SparkSession, root: str,
 Parts = list[tuple[int, int]]
 
 
-def apply_to_silver(changes: DataFrame, root: str, parts: Parts | None = None) -> dict[str, int]:
+@contextlib.contextmanager
+def new_symbols(changes: DataFrame, root: str, parts: Parts) -> Iterator[DataFrame | None]:
+    """The symbols of ``changes`` that silver has no row of yet, as its tail tells before they are merged;
+    None if there are none or no tail is kept. All rows of such a symbol are in ``changes``."""
+    spark = changes.sparkSession
+    if not parts:
+        yield None
+        return
+    symbols = changes.select("symbol").distinct()
+    if table_exists(spark, root, "price_silver"):
+        if not is_kept(spark, root, "silver_tail"):
+            yield None
+            return
+        tail = read_buckets(spark, root, "silver_tail", {bucket for _, bucket in parts})
+        symbols = symbols.join(tail.select("symbol"), "symbol", "left_anti")
+    counted = Observation()
+    with staged(symbols.observe(counted, F.count(F.lit(1)).alias("n")), "new-symbols") as found:
+        yield found if counted.get["n"] else None
+
+
+def apply_to_silver(changes: DataFrame, root: str, parts: Parts | None = None,
+                    unique: bool = False) -> dict[str, int]:
     """Merge clean rows into the buckets of silver they touch, and into its tail. ``changes`` must be
-    a written table; ``parts`` are its months and buckets, where they are known.
+    a written table; ``parts`` are its months and buckets, where they are known. With ``unique`` the
+    caller has seen to it that no key is repeated in ``changes``: they need no shuffle where silver
+    has nothing to merge them with.
 
     The tail counts as out of date until it is written as well, so that one which a lost driver left
     behind is never read.
@@ -231,13 +257,17 @@ def apply_to_silver(changes: DataFrame, root: str, parts: Parts | None = None) -
     if not parts:
         return {}
     follows = is_kept(spark, root, "silver_tail") or not table_exists(spark, root, "price_silver")
-    known = read_parts(spark, root, "price_silver", parts)
     changes = changes.select(*SILVER.names)
-    counts = _write_silver(merge_latest(known.select(*SILVER.names), changes), root)
+    if unique and not any_stored(spark, root, "price_silver", parts):
+        merged = changes
+    else:
+        known = read_parts(spark, root, "price_silver", parts)
+        merged = merge_latest(known.select(*SILVER.names), changes)
+    counts = _write_silver(merged, root)
     if follows:
         tail = read_buckets(spark, root, "silver_tail", {bucket for _, bucket in parts}).drop("bucket")
         _follow(spark, root, "silver_tail", within_tail(tail, changes),
-                lambda: advance_tail(tail, changes))
+                lambda: advance_tail(tail, changes, unique))
     return counts
 
 
@@ -251,19 +281,29 @@ def _follow(spark: SparkSession, root: str, name: str, news: DataFrame,
 
 
 def apply_to_gold(changes: DataFrame, root: str, then: Callable[[DataFrame], None] | None = None,
-                  parts: Parts | None = None) -> int:
+                  parts: Parts | None = None, first: DataFrame | None = None) -> int:
     """Recompute the gold rows that the silver rows at the keys of ``changes`` have an effect on.
 
     The tail of silver has what new days and corrections of the last ones need; months are read for
-    symbols that were corrected further back only.
+    symbols that were corrected further back only. Symbols named in ``first`` (:func:`new_symbols`) have
+    no other rows than those of ``changes``, which then has the columns of silver, each key once: their
+    features need no stored row.
     """
     spark = changes.sparkSession
     keys = changes.select(*KEY)
     parts = touched_parts(keys, root) if parts is None else parts
     if not parts:
         return 0
+    found = []
+    if first is not None:
+        found = [gold_features(changes.join(first, "symbol", "left_semi"))]
+        keys = keys.join(first, "symbol", "left_anti")
+        parts = touched_parts(keys, root)
+        if not parts:
+            return upsert_gold(found[0], root, then)
     if not is_kept(spark, root, "silver_tail"):
-        return upsert_gold(gold_for_changes(keys, root, parts), root, then)
+        found += [gold_for_changes(keys, root, parts)]
+        return upsert_gold(reduce(DataFrame.unionByName, found), root, then)
     tail = read_buckets(spark, root, "silver_tail", {bucket for _, bucket in parts}).drop("bucket")
     counted = Observation()
     symbols = reach_of_tail(tail, keys).observe(
@@ -272,8 +312,9 @@ def apply_to_gold(changes: DataFrame, root: str, then: Callable[[DataFrame], Non
         far, all_ = counted.get["far"], counted.get["all"]
         near, back = (keys.join(reach.where(F.col("far") == side), "symbol", "left_semi")
                       for side in (False, True))
-        found = [gold_from_tail(tail, near)] if far < all_ else []
-        found += [gold_for_changes(back if found else keys, root, None if found else parts)] if far else []
+        found += [gold_from_tail(tail, near)] if far < all_ else []
+        if far:
+            found += [gold_for_changes(back, root) if far < all_ else gold_for_changes(keys, root, parts)]
         return upsert_gold(reduce(DataFrame.unionByName, found), root, then)
 
 

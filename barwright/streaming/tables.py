@@ -12,6 +12,7 @@ Folders of micro-batches add up: ``compact_bronze`` gathers those of bronze, and
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,11 +21,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from barwright.operators.silver import build_silver
-from barwright.plans.refresh import apply_to_gold, apply_to_silver
+from barwright.plans.refresh import apply_to_gold, apply_to_silver, new_symbols
 from barwright.schemas import BRONZE, KEY, SILVER
 from barwright.session import staged
 from barwright.sources.tables import (
     load_number, load_path, note_loads, read_bronze_loads, replace_bronze_batch, table_path,
+    touched_parts,
 )
 from barwright.streaming.topics import publish, read_stream, start
 
@@ -49,10 +51,12 @@ def silver_batch(rows: DataFrame, batch: int, root: str, source: str,
     log = f"{load_path(root, 'silver_changes', source, batch)}/attempt={uuid.uuid4().hex}"
     build_silver(read_bronze_loads(spark, root, [(source, batch)])).write.parquet(log)
     changes = spark.read.schema(SILVER).parquet(log)
-    apply_to_silver(changes, root)
-    publish(changes, topic)
-    if with_gold:
-        apply_to_gold(changes, root, lambda gold: publish(gold, gold_topic))
+    parts = touched_parts(changes, root)
+    with new_symbols(changes, root, parts) if with_gold else contextlib.nullcontext() as first:
+        apply_to_silver(changes, root, parts, unique=True)
+        publish(changes, topic)
+        if with_gold:
+            apply_to_gold(changes, root, lambda gold: publish(gold, gold_topic), parts, first)
     note_loads(spark, root, [(number, source, batch)], "applied")
 
 

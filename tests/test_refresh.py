@@ -437,3 +437,27 @@ def test_a_run_loads_all_sources_before_silver(spark, bronze, tmp_path):
     assert silver_of(spark, str(tmp_path)) == []
     result = refresh.run(spark, [good], str(tmp_path), 2)
     assert (result.silver_rows, result.gold_rows, result.quality["volume_is_negative"]) == (1, 1, 0)
+
+
+def test_new_symbols_of_an_increment_need_no_stored_row(spark, bronze, tmp_path, monkeypatch):
+    """One symbol comes whole, one is corrected far back and one goes on; also when silver has nothing."""
+    root, rng = str(tmp_path), random.Random(21)
+    old, next_, new = (random_series(rng, name, 60) for name in ("OLD", "NEXT", "NEW"))
+    far, asked = refresh.gold_for_changes, []
+
+    def watched(changes, *rest):
+        asked.append({row["symbol"] for row in changes.select("symbol").distinct().collect()})
+        return far(changes, *rest)
+
+    monkeypatch.setattr(refresh, "gold_for_changes", watched)
+    loads = [old + next_[:50], new + next_[50:] + [(*row[:8], 2) for row in old[:3]] + new[:5]]
+    for number, rows in enumerate(loads, 1):
+        refresh.run(spark, [RawBars("t", bronze(rows).withColumns(
+            {"_raw": F.lit(None).cast("string"), "_reason": F.lit(None).cast("string")}))],
+            root, number, full=False)
+        silver, gold = expected(bronze([row for load in loads[:number] for row in load]))
+        assert (silver_of(spark, root), gold_of(spark, root)) == (silver, gold)
+    assert asked == [{"OLD"}]
+    tail = rows_of(tables.read_table(spark, root, "silver_tail").select(*SILVER.names))
+    refresh.refresh_tail(spark, root)
+    assert rows_of(tables.read_table(spark, root, "silver_tail").select(*SILVER.names)) == tail
