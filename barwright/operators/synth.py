@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from barwright.functions import draws
 from barwright.operators.calendar import business_day_number, first_business_day
 from barwright.operators.quality import row_checks
+from barwright.session import path_exists, remove
 
 # Fixed values of the random walk.
 DRIFT, VOLATILITY = 0.0002, 0.02
@@ -93,12 +94,26 @@ def generate_bars(spark: SparkSession, rows: int | None = None, num_symbols: int
 
 
 def write_csv(bars: DataFrame, path: str, split_rows: int = 0) -> None:
-    """CSV files with a header each; ``split_rows`` limits the rows of one file."""
+    """CSV files with a header each; ``split_rows`` limits the rows of one file.
+
+    The many files of a split are moved into place by the tasks that wrote them (the committer's
+    algorithm 2), since the driver would move one after the other. A repeated task replaces its files, and
+    those of a write that fails are removed.
+    """
     text = bars.withColumn("date", F.date_format("dt", "yyyy-MM-dd")).select(*CSV_COLUMNS)
     writer = text.write.option("header", True)
-    if split_rows:
-        writer = writer.option("maxRecordsPerFile", split_rows)
-    writer.csv(path)
+    if not split_rows:
+        writer.csv(path)
+        return
+    spark = bars.sparkSession
+    there = path_exists(spark, path)
+    try:
+        writer.option("maxRecordsPerFile", split_rows).option(
+            "mapreduce.fileoutputcommitter.algorithm.version", "2").csv(path)
+    except Exception:
+        if not there:
+            remove(spark, path)
+        raise
 
 
 def profile(bars: DataFrame) -> DataFrame:

@@ -168,6 +168,21 @@ def parse_bars(raw: DataFrame, dates: list[str], source: str, seq: int | Column
     ))
 
 
+def header_names(spark: SparkSession, path: str) -> list[str]:
+    """The column names of CSV files, from the first line that is not empty.
+
+    Spark takes them from the same line, but lists every file as a path of its own for that.
+    """
+    text = spark.read.text(path)
+    line = text.where(F.length(F.trim("value")) > 0).select("value").first()
+    if line is None:
+        return spark.read.csv(path, header=True).columns
+    header = spark.sparkContext.parallelize([line["value"]], 1)
+    names = spark.read.csv(header, header=True).columns
+    # Folders named by column and value.
+    return names + [name for name in text.columns[1:] if name not in names]
+
+
 def read_csv_bars(spark: SparkSession, path: str, source: str = "csv", seq: int | Column = 0,
                   missing_symbol: str | None = None, date_format: str | None = None) -> RawBars:
     """CSV with a header in any column order and letter case; ``date`` or ``dt``, all others named
@@ -177,7 +192,7 @@ def read_csv_bars(spark: SparkSession, path: str, source: str = "csv", seq: int
     that header: ``enforceSchema`` off makes Spark compare each file's header and fail, where it
     would otherwise read columns of another order by position.
     """
-    names = spark.read.csv(path, header=True).columns
+    names = header_names(spark, path)
     schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, CORRUPT]])
     raw = spark.read.csv(
         path, schema=schema, header=True, enforceSchema=False, mode="PERMISSIVE",

@@ -166,3 +166,39 @@ def test_split_csv_reads_back(spark, tmp_path):
     assert rows_of(got.bars.select(bars.columns)) == rows_of(
         bars.select("symbol", "dt", *[F.col(c).cast("decimal(28,8)").alias(c)
                                       for c in ("open", "high", "low", "close")], "volume"))
+
+
+def test_header_of_split_csv_is_read_from_one_file(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    synth.write_csv(synth.generate_bars(spark, num_symbols=2, days=60), path, split_rows=2)
+    assert len(list((tmp_path / "csv").glob("*.csv"))) > 50
+    spark.sparkContext.setJobGroup("header", "")
+    try:
+        raw.read_csv_bars(spark, path)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    status = spark.sparkContext.statusTracker()
+    stages = [s for job in status.getJobIdsForGroup("header") for s in status.getJobInfo(job).stageIds]
+    assert 0 < sum(status.getStageInfo(s).numTasks for s in stages) < 10
+
+
+def test_header_names_are_those_spark_finds(spark, tmp_path):
+    for number, header in enumerate(['a,"b ""c"", d",,a', " \n\nx , y", "﻿date,open"]):
+        path = tmp_path / str(number)
+        (path / "kind=1").mkdir(parents=True)
+        (path / "kind=1" / "empty.csv").write_text("")
+        (path / "kind=1" / "rows.csv").write_text(header + "\n1,2,3,4\n")
+        assert raw.header_names(spark, str(path)) == spark.read.csv(str(path), header=True).columns
+
+
+def test_a_split_that_fails_leaves_no_files(spark, tmp_path):
+    bars, path = synth.generate_bars(spark, num_symbols=2, days=30), str(tmp_path / "csv")
+    stop = F.when(F.col("symbol") == "SYM0002", F.raise_error(F.lit("stop")).cast("string"))
+    with pytest.raises(Exception, match="stop"):
+        synth.write_csv(bars.withColumn("symbol", F.coalesce(stop, "symbol")), path, split_rows=7)
+    assert not (tmp_path / "csv").exists()
+    synth.write_csv(bars, path, split_rows=7)
+    files = sorted((tmp_path / "csv").glob("*.csv"))
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        synth.write_csv(bars, path, split_rows=7)
+    assert files and sorted((tmp_path / "csv").glob("*.csv")) == files
