@@ -4,7 +4,8 @@ Every step can be repeated: a micro-batch that runs again after a failure overwr
 its own number in bronze and merges rows that are there already (silver, gold). That and the
 checkpoint make the tables exactly-once. In the change log each attempt has a folder of its own, so
 that files which the gold stream has planned never go; keys that stand there twice are recomputed
-once. A source name belongs to one checkpoint, since micro-batches are numbered from 0 in each.
+once. The gold stream follows a list beside the log, with one small file for each attempt, written after
+the attempt's rows: its micro-batches are as many as those of silver, in however many files they lie. A source name belongs to one checkpoint, since micro-batches are numbered from 0 in each.
 
 Folders of micro-batches add up: ``compact_bronze`` gathers those of bronze, and the option
 ``cleanSource="delete"`` of :func:`stream_gold` removes what it has worked in from the change log.
@@ -22,16 +23,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from barwright.operators.silver import build_silver
 from barwright.plans.refresh import apply_to_gold, apply_to_silver, new_symbols
-from barwright.schemas import BRONZE, KEY, SILVER
-from barwright.session import staged
+from barwright.schemas import BRONZE, KEY, SILVER, few_rows
+from barwright.session import path_exists, remove, staged
 from barwright.sources.tables import (
     load_number, load_path, note_loads, read_bronze_loads, replace_bronze_batch, table_path,
     touched_parts,
 )
 from barwright.streaming.topics import publish, read_stream, start
 
-CHANGES = T.StructType([
-    *SILVER.fields,
+LOGGED = T.StructType([
     T.StructField("source", T.StringType()),
     T.StructField("batch", T.LongType()),
     T.StructField("attempt", T.StringType()),
@@ -48,7 +48,8 @@ def silver_batch(rows: DataFrame, batch: int, root: str, source: str,
     numbered = rows.withColumn("seq", F.coalesce("seq", F.lit(number).cast("long")))
     replace_bronze_batch(numbered.select(*BRONZE.names), root, source, batch)
     note_loads(spark, root, [(number, source, batch)], "loaded")
-    log = f"{load_path(root, 'silver_changes', source, batch)}/attempt={uuid.uuid4().hex}"
+    attempt = uuid.uuid4().hex
+    log = attempt_path(root, source, batch, attempt)
     build_silver(read_bronze_loads(spark, root, [(source, batch)])).write.parquet(log)
     changes = spark.read.schema(SILVER).parquet(log)
     parts = touched_parts(changes, root)
@@ -57,9 +58,15 @@ def silver_batch(rows: DataFrame, batch: int, root: str, source: str,
         publish(changes, topic)
         if with_gold:
             apply_to_gold(changes, root, lambda gold: publish(gold, gold_topic), parts, first)
+    few_rows(spark, [(source, batch, attempt)], LOGGED).write.mode("append").parquet(
+        table_path(root, "silver_change_list"))
     note_loads(spark, root, [(number, source, batch)], "applied")
 
 
+def attempt_path(root: str, source: str, batch: int, attempt: str) -> str:
+    return f"{load_path(root, 'silver_changes', source, batch)}/attempt={attempt}"
+
+
 def stream_silver(raw: DataFrame, root: str, source: str, checkpoint: str,
                   every: str | None = None, with_gold: bool = False,
                   topic: dict[str, str] | None = None,
@@ -82,6 +89,20 @@ def gold_batch(changes: DataFrame, batch: int, root: str,
         apply_to_gold(keys, root, lambda gold: publish(gold, topic))
 
 
+def logged_batch(listed: DataFrame, batch: int, root: str, topic: dict[str, str] | None = None,
+                 clean: bool = False) -> None:
+    """:func:`gold_batch` on the attempts that ``listed`` names. ``clean`` removes their rows when they are
+    worked in, so that of a repeated micro-batch those that are gone need nothing more."""
+    spark = listed.sparkSession
+    paths = sorted({attempt_path(root, *row) for row in listed.select(*LOGGED.names).collect()})
+    if clean:
+        paths = [path for path in paths if path_exists(spark, path)]
+    if paths:
+        gold_batch(spark.read.schema(SILVER).parquet(*paths), batch, root, topic)
+    for path in paths if clean else []:
+        remove(spark, path)
+
+
 def stream_gold(spark: SparkSession, root: str, checkpoint: str, every: str | None = None,
                 topic: dict[str, str] | None = None, **options: str) -> StreamingQuery:
     """Follow the change log of silver and recompute the features around each change.
@@ -90,9 +111,11 @@ def stream_gold(spark: SparkSession, root: str, checkpoint: str, every: str | No
     were given out before, so gold is merged from a batch computation on the affected rows. If silver
     replaces a month while it is read here, the micro-batch fails and is repeated on restart; let the
     two queries take turns, or use ``with_gold``, to avoid that. ``topic`` gives the recomputed
-    features out as messages; ``options`` are those of the file source.
+    features out as messages; ``options`` are those of the file source, to which a micro-batch of silver
+    is one file.
     """
-    changes = read_stream(spark, table_path(root, "silver_changes"), CHANGES, **options)
-    writer = changes.writeStream.foreachBatch(
-        lambda rows, batch: gold_batch(rows, batch, root, topic))
+    listed = read_stream(spark, table_path(root, "silver_change_list"), LOGGED, **options)
+    clean = options.get("cleanSource", "off").lower() == "delete"
+    writer = listed.writeStream.foreachBatch(
+        lambda rows, batch: logged_batch(rows, batch, root, topic, clean))
     return start(writer, checkpoint, every)

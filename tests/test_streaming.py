@@ -15,7 +15,9 @@ from barwright.plans.refresh import refresh_all
 from barwright.schemas import BAR_COLUMNS, BRONZE, GOLD, SILVER
 from barwright.sources import tables
 from barwright.streaming.bars import streaming_daily_bars, write_daily_bars
-from barwright.streaming.tables import gold_batch, silver_batch, stream_gold, stream_silver
+from barwright.streaming.tables import (
+    gold_batch, logged_batch, silver_batch, stream_gold, stream_silver,
+)
 from barwright.streaming.topics import decode, encode, read_stream
 from bars_help import rows_of
 from test_silver_gold import random_series
@@ -192,3 +194,29 @@ def test_messages_round_trip(spark, bronze):
     assert messages.columns == ["key", "value"]
     kafka_like = messages.select(F.col("value").cast("binary"))
     assert rows_of(decode(kafka_like, BRONZE)) == rows_of(rows)
+
+
+def test_gold_has_as_many_micro_batches_as_silver(spark, bronze, tmp_path):
+    root, rows = str(tmp_path), shuffled_rows(12)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for part in range(2):
+            silver_batch(bronze(rows[part::2]), part, root, "live")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "silver_changes").rglob("*.parquet"))) > 4
+    stream_gold(spark, root, f"{root}/cp-gold", maxFilesPerTrigger="1").awaitTermination()
+    assert {f.name for f in (tmp_path / "cp-gold" / "commits").glob("[0-9]*")} == {"0", "1"}
+    gold = tables.read_table(spark, root, "features_gold").select(*GOLD.names)
+    assert rows_of(gold) == rows_of(gold_features(build_silver(bronze(rows))))
+
+
+def test_a_repeated_gold_batch_whose_rows_were_cleaned_changes_nothing(spark, bronze, tmp_path):
+    root, rows = str(tmp_path), shuffled_rows(13)
+    silver_batch(bronze(rows), 0, root, "live")
+    listed = spark.read.parquet(f"{root}/silver_change_list")
+    for _ in range(2):
+        logged_batch(listed, 0, root, clean=True)
+    assert not list((tmp_path / "silver_changes").rglob("*.parquet"))
+    gold = tables.read_table(spark, root, "features_gold").select(*GOLD.names)
+    assert rows_of(gold) == rows_of(gold_features(build_silver(bronze(rows))))
