@@ -672,12 +672,13 @@ def stream_redelivery(spark, sf):
 @query
 def topic_gold(spark, sf):
     """Messages of raw prices to silver and gold in one stream, and both layers out as messages; the
-    last message of a key and date is the result."""
+    last message of a key and date is the result. Each load of the topic has two files, as of two
+    partitions, so that the micro-batches are as many at any size."""
     root = scratch_dir(spark, "stream")
     topic = {name: {"format": "parquet", "path": f"{root}/topic-{name}"}
              for name in ("raw", "silver", "gold")}
     for part in range(3):
-        publish(feed_bronze(spark, sf).where(F.col("seq") % 3 == part), topic["raw"])
+        publish(feed_bronze(spark, sf).where(F.col("seq") % 3 == part).repartition(2, "symbol"), topic["raw"])
     messages = read_stream(spark, topic["raw"]["path"], spark.read.parquet(topic["raw"]["path"]).schema,
                            maxFilesPerTrigger="2")
     stream_tables.stream_silver(decode(messages, BRONZE), root, "prices", f"{root}/checkpoint",

@@ -11,6 +11,8 @@ from barwright.functions.dates import utc_date, utc_instant
 from barwright.operators.bars import daily_bars
 from barwright.operators.gold import gold_features
 from barwright.operators.silver import build_silver
+from barwright.plans import registry
+from barwright.plans.driver_tables import feed_bronze
 from barwright.plans.refresh import refresh_all
 from barwright.schemas import BAR_COLUMNS, BRONZE, GOLD, SILVER
 from barwright.sources import tables
@@ -220,3 +222,16 @@ def test_a_repeated_gold_batch_whose_rows_were_cleaned_changes_nothing(spark, br
     assert not list((tmp_path / "silver_changes").rglob("*.parquet"))
     gold = tables.read_table(spark, root, "features_gold").select(*GOLD.names)
     assert rows_of(gold) == rows_of(gold_features(build_silver(bronze(rows))))
+
+
+def test_topic_gold_has_three_micro_batches_whatever_the_number_of_files(spark, tmp_path, monkeypatch):
+    events = spark.range(4000).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01' + make_dt_interval(id % 9) AS ts", "id % 7 AS user_id",
+        "CAST(id % 50 + 1 AS double) AS value")
+    events.repartition(9).write.parquet(f"{tmp_path}/events.parquet")
+    roots, run = [], registry.stream_tables.stream_silver
+    monkeypatch.setattr(registry.stream_tables, "stream_silver",
+                        lambda rows, root, *rest, **options: roots.append(root) or run(rows, root, *rest, **options))
+    got = registry.QUERIES["topic_gold"](spark, str(tmp_path))
+    assert rows_of(got) == rows_of(gold_features(build_silver(feed_bronze(spark, str(tmp_path)))))
+    assert spark.read.parquet(f"{roots[0]}/bronze_price_raw").select("batch").distinct().count() == 3
